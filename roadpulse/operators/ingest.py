@@ -51,17 +51,19 @@ def route(events: DataFrame) -> DataFrame:
     return events.withColumn("date", event_date())
 
 
-def spread(routed: DataFrame, partitions: int, files_per_zone: int = 1) -> DataFrame:
-    """Gathers the rows of a ``(date, zone)`` pair into at most ``files_per_zone`` tasks.
-
-    One task per pair would let a zone that holds a third of a batch stall it, so a
-    pair can be cut. The cut follows from the row's content: a task that is run
-    again after a lost executor sends every row to the same place.
+def spread(routed: DataFrame, tasks_per_file: int = 16, partitions: int | None = None) -> DataFrame:
+    """Gathers the rows of a ``(date, zone)`` pair before the lake is written.
+
+    Not into one task: a zone that holds a third of a batch would stall it. A pair is
+    cut by the input tasks its rows come from, ``tasks_per_file`` of them to a piece.
+    A piece is therefore never larger than that many input splits, whatever the
+    batch holds, and a small batch still makes one file per pair. An input task that
+    is run again keeps its number, so every row goes to the same piece as before.
     """
-    keys = [F.col("date"), F.col("zone")]
-    if files_per_zone > 1:
-        keys.append(F.pmod(F.xxhash64(*EVENT_COLUMNS), F.lit(files_per_zone)))
-    return routed.repartition(partitions, *keys)
+    piece = F.floor(F.spark_partition_id() / tasks_per_file)
+    keys = [F.col("date"), F.col("zone"), F.col("piece")]
+    numbered = routed.withColumn("piece", piece)
+    return numbered.repartition(*([partitions] if partitions else []), *keys).drop("piece")
 
 
 def partition_counts(lake: DataFrame) -> DataFrame:
