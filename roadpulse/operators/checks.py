@@ -40,7 +40,8 @@ def sensor_conflicts(events: DataFrame) -> DataFrame:
     """Sensors seen with more than one road, road type or zone.
 
     Reduced to distinct combinations before the shuffle, so a sensor that sends a
-    third of all events counts no more than any other.
+    third of all events counts no more than any other. Values are counted, never
+    collected: a sensor that makes up roads cannot fill a task.
     """
     attributes = ["road_id", "road_type", "zone"]
     return (
@@ -49,7 +50,7 @@ def sensor_conflicts(events: DataFrame) -> DataFrame:
         .groupBy("sensor_id")
         .agg(
             F.count("*").alias("combinations"),
-            *[F.size(F.collect_set(name)).alias(f"{name}s") for name in attributes],
+            *[F.count_distinct(name).alias(f"{name}s") for name in attributes],
         )
         .filter(F.col("combinations") > 1)
     )

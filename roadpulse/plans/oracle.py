@@ -124,9 +124,8 @@ FROM ({_CHECKED}) c GROUP BY road_type
 """,
     "sensor_conflicts": """
 SELECT sensor_id, count(DISTINCT (road, road_type, zone)) AS combinations,
-       CAST(count(DISTINCT road) AS INT) AS road_ids,
-       CAST(count(DISTINCT road_type) AS INT) AS road_types,
-       CAST(count(DISTINCT zone) AS INT) AS zones
+       count(DISTINCT road) AS road_ids, count(DISTINCT road_type) AS road_types,
+       count(DISTINCT zone) AS zones
 FROM (SELECT *, CASE WHEN user_id < 5 AND event_type = 'error' THEN 'R999'
                      ELSE road_id END AS road FROM v) t
 GROUP BY sensor_id HAVING count(DISTINCT (road, road_type, zone)) > 1

@@ -8,6 +8,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from roadpulse.operators import kpis, panels, summary
 from roadpulse.operators.checks import require_rows
@@ -16,8 +17,9 @@ from roadpulse.schema import ALERT_COLUMNS, KPI_NAMES, LATEST_ALERTS
 from roadpulse.sinks.database import write_database
 from roadpulse.sinks.store import write_alerts, write_summary, write_table
 from roadpulse.sources.database import Database, database_count
-from roadpulse.sources.lake import read_lake
+from roadpulse.sources.lake import read_lake, stream_lake
 from roadpulse.sources.store import ALERTS, read_dated_alerts, read_summary, read_table
+from roadpulse.streaming.ingest import ONCE
 
 
 class CountMismatch(RuntimeError):
@@ -106,6 +108,26 @@ def run(
     return verify(spark, refresh.store, refresh.database)
 
 
+def start_incremental(
+    spark: SparkSession, refresh: Refresh, checkpoint: str, trigger: dict | None = None
+) -> StreamingQuery:
+    """Runs the refresh for the dates that received events since the last run.
+
+    The lake is followed as a stream of which only the partition ``date`` is looked
+    at. The dates of a batch are then computed again from the whole of their events,
+    so a batch that is repeated, or a file that arrives meanwhile, does no harm.
+    """
+
+    def refresh_dates(batch: DataFrame, number: int) -> None:
+        dates = [row.date for row in batch.select("date").distinct().collect()]
+        if dates:
+            run(spark, refresh, dates)
+
+    lake = stream_lake(spark, refresh.lake, refresh.lake_format).select("date")
+    writer = lake.writeStream.foreachBatch(refresh_dates)
+    return writer.option("checkpointLocation", checkpoint).trigger(**(trigger or ONCE)).start()
+
+
 def latest_alerts(spark: SparkSession, store: str, k: int = LATEST_ALERTS) -> DataFrame:
     """The newest stored alerts, read from the newest dates that hold ``k`` of them."""
     since = summary.newest_alert_dates(read_summary(spark, store), k)

@@ -68,6 +68,22 @@ KPI_SCHEMAS = {
 }
 KPI_NAMES = list(KPI_SCHEMAS)
 
+# Sums and counts that the four aggregate indicators are made of.
+SUMMARY = T.StructType(
+    [
+        T.StructField("hour", T.IntegerType()),
+        T.StructField("zone", T.StringType()),
+        T.StructField("road_type", T.StringType()),
+        T.StructField("vehicle_sum", T.DoubleType()),
+        T.StructField("vehicle_readings", T.LongType()),
+        T.StructField("speed_sum", T.DoubleType()),
+        T.StructField("speed_readings", T.LongType()),
+        T.StructField("events", T.LongType()),
+        T.StructField("congested", T.LongType()),
+        T.StructField("date", T.DateType()),
+    ]
+)
+
 
 @dataclass(frozen=True)
 class RoadType:

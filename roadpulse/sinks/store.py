@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from roadpulse.sources.store import ALERTS, SUMMARY
+from roadpulse.sources.store import ALERTS, SUMMARY_NAME
 
 
 def write_table(table: DataFrame, store: str, name: str) -> None:
@@ -24,7 +24,7 @@ def _write_dated(table: DataFrame, path: str, replace_all: bool) -> None:
 def write_summary(summary: DataFrame, store: str, replace_all: bool = True) -> None:
     """Replaces the summary, or only the dates present in ``summary``."""
     # Some hundred rows a date: one task writes a date's single file.
-    _write_dated(summary.repartition("date"), f"{store}/{SUMMARY}", replace_all)
+    _write_dated(summary.repartition("date"), f"{store}/{SUMMARY_NAME}", replace_all)
 
 
 def write_alerts(alerts: DataFrame, store: str, replace_all: bool = True) -> None:

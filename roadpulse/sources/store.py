@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from roadpulse.schema import KPI_NAMES, KPI_SCHEMAS
+from roadpulse.schema import KPI_NAMES, KPI_SCHEMAS, SUMMARY
 
 ALERTS = "congestion_alerts"
-SUMMARY = "event_summary"
+SUMMARY_NAME = "event_summary"
 _DATE = T.StructField("date", T.DateType())
 
 
@@ -30,7 +30,7 @@ def read_dated_alerts(spark: SparkSession, store: str) -> DataFrame:
 
 
 def read_summary(spark: SparkSession, store: str) -> DataFrame:
-    return spark.read.parquet(f"{store}/{SUMMARY}")
+    return spark.read.schema(SUMMARY).parquet(f"{store}/{SUMMARY_NAME}")
 
 
 def register_views(spark: SparkSession, store: str) -> None:
