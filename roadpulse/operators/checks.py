@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,9 +18,16 @@ def row_count(table: DataFrame, name: str = "rows") -> DataFrame:
     return table.agg(F.count("*").alias(name))
 
 
-def require_rows(table: DataFrame, name: str) -> int:
-    """Number of rows; raises when there are none."""
-    rows = row_count(table).first()["rows"]
+def row_counts(tables: dict[str, DataFrame]) -> dict[str, int]:
+    """Rows of several tables, counted in one job; one number per table reaches the driver."""
+    counted = [row_count(table).withColumn("name", F.lit(name)) for name, table in tables.items()]
+    return {row["name"]: row["rows"] for row in reduce(DataFrame.union, counted).collect()}
+
+
+def require_rows(rows: DataFrame | int, name: str) -> int:
+    """Number of rows of a table, given as such or counted already; raises when there are none."""
+    if isinstance(rows, DataFrame):
+        rows = row_count(rows).first()["rows"]
     if rows == 0:
         raise EmptyTable(f"no rows in {name}")
     return rows

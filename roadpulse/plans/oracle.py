@@ -144,6 +144,11 @@ SELECT event_id, sensor_id, road_id, road_type, zone, vehicle_count, average_spe
 FROM v WHERE {_REASON} IS NULL
 """,
     "rejected_records": f"SELECT event_id, {_REASON} AS reason FROM v WHERE {_REASON} IS NOT NULL",
+    "document_events": """
+SELECT sensor_id, road_id, road_type, zone, vehicle_count, average_speed, occupancy_rate,
+       event_time
+FROM v
+""",
     "lake_partition_counts": _PARTITION_COUNTS,
     "lake_pruned_scan": """
 SELECT sensor_id, vehicle_count, average_speed, occupancy_rate FROM v

@@ -3,22 +3,29 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from roadpulse.operators import kpis, panels, summary
-from roadpulse.operators.checks import require_rows
+from roadpulse.operators.checks import require_rows, row_counts
 from roadpulse.operators.ingest import route
 from roadpulse.schema import ALERT_COLUMNS, KPI_NAMES, LATEST_ALERTS
 from roadpulse.sinks.database import write_database
 from roadpulse.sinks.store import write_alerts, write_summary, write_table
 from roadpulse.sources.database import Database, database_count
 from roadpulse.sources.lake import read_lake, stream_lake
-from roadpulse.sources.store import ALERTS, read_dated_alerts, read_summary, read_table
+from roadpulse.sources.store import (
+    ALERTS,
+    read_dated_alerts,
+    read_summary,
+    read_table,
+    read_tables,
+)
 from roadpulse.streaming.ingest import ONCE
 
 
@@ -49,6 +56,11 @@ def compute_kpis(events: DataFrame) -> dict[str, DataFrame]:
     }
 
 
+def _of_dates(dates: set[date | None]) -> Column:
+    known = F.col("date").isin([day for day in dates if day is not None])
+    return known | F.col("date").isNull() if None in dates else known
+
+
 def store_kpis(
     spark: SparkSession, events: DataFrame, store: str, dates: Iterable[date] | None = None
 ) -> None:
@@ -62,12 +74,16 @@ def store_kpis(
         events = route(events)
     everything = dates is None
     if not everything:
-        events = events.filter(F.col("date").isin(sorted(set(dates))))
-    write_summary(summary.summarize(events), store, replace_all=everything)
+        events = events.filter(_of_dates(set(dates)))
     alerts = events.filter(kpis.congested()).select(*ALERT_COLUMNS, "date")
-    write_alerts(alerts, store, replace_all=everything)
-    for name, table in summary.indicators(read_summary(spark, store)).items():
-        write_table(table, store, name)
+    # Independent jobs are handed in together; the cluster fills the gaps between them.
+    with ThreadPoolExecutor(max_workers=4) as jobs:
+        running = [jobs.submit(write_alerts, alerts, store, everything)]
+        write_summary(summary.summarize(events), store, everything)
+        tables = summary.indicators(read_summary(spark, store))
+        running += [jobs.submit(write_table, table, store, name) for name, table in tables.items()]
+        for job in running:
+            job.result()
 
 
 def publish(
@@ -85,10 +101,10 @@ def verify(spark: SparkSession, store: str, database: Database | None = None) ->
     Alerts may be absent on a quiet day. With a database, its tables must hold the
     same number of rows.
     """
-    counts = {}
+    counts = row_counts(read_tables(spark, store))
     for name in KPI_NAMES:
-        table = read_table(spark, store, name)
-        counts[name] = table.count() if name == ALERTS else require_rows(table, name)
+        if name != ALERTS:
+            require_rows(counts[name], name)
     if database is not None:
         for name, expected in counts.items():
             found = database_count(spark, database, name)

@@ -8,6 +8,7 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from roadpulse.functions.codec import iso_text
 from roadpulse.operators import checks, ingest, kpis, panels, summary, windows
 from roadpulse.plans import refresh
 from roadpulse.plans.road_events import (
@@ -16,8 +17,9 @@ from roadpulse.plans.road_events import (
     with_defects,
     with_wrong_road,
 )
+from roadpulse.schema import EVENT_COLUMNS
 from roadpulse.sinks.lake import write_lake
-from roadpulse.sources.lake import read_lake, stream_lake
+from roadpulse.sources.lake import read_documents, read_lake, stream_lake
 from roadpulse.sources.store import read_summary, read_table, register_views
 from roadpulse.streaming import live
 from roadpulse.streaming.ingest import ONCE, start_ingest, start_rejects
@@ -173,6 +175,19 @@ def rejected_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bad.select("event_id", "reason")
 
 
+@_query
+def document_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events written as JSON documents, arrays of at most 2,000, and read back."""
+    path = scratch(spark, "documents")
+    events = road_events(spark, sf_dir, "event_id").withColumn("event_time", iso_text())
+    # The id is unique, so a range of 2,000 ids bounds what a document collects.
+    documents = events.groupBy(F.floor(F.col("event_id") / 2000).alias("document")).agg(
+        F.to_json(F.collect_list(F.struct(*EVENT_COLUMNS)), {"pretty": "true"}).alias("value")
+    )
+    documents.write.partitionBy("document").text(path)
+    return read_documents(spark, path).select(*EVENT_COLUMNS)
+
+
 # ---- lake ---------------------------------------------------------------------
 
 

@@ -42,7 +42,7 @@ def start_hourly_table(
     """
 
     def replace(table: DataFrame, batch: int) -> None:
-        table.coalesce(1).write.mode("overwrite").parquet(path)
+        table.write.mode("overwrite").parquet(path)
 
     writer = hourly_by_zone(events, delay=None).writeStream.outputMode("complete")
     writer = writer.foreachBatch(replace).option("checkpointLocation", checkpoint)

@@ -137,6 +137,22 @@ def test_a_day_without_alerts_passes(spark, golden, tmp_path):
     assert refresh.latest_alerts(spark, store).count() == 0
 
 
+def test_events_without_a_time_can_be_refreshed(spark, golden, tmp_path):
+    store = str(tmp_path / "store")
+    timeless = golden.selectExpr(
+        *[c for c in golden.columns if c != "event_time"],
+        "CAST(NULL AS TIMESTAMP_NTZ) AS event_time",
+    ).select(*golden.columns)
+    both = golden.union(timeless)
+    refresh.store_kpis(spark, both, store)
+    before = {name: rows(table) for name, table in read_tables(spark, store).items()}
+    assert {r[0] for r in before["hourly_stats"]} == {8, 14, 18, None}
+    refresh.store_kpis(spark, both, store, [None, date(2026, 1, 2)])
+    assert {name: rows(table) for name, table in read_tables(spark, store).items()} == before
+    assert len(refresh.latest_alerts(spark, store, 6).collect()) == 6
+    assert all(r.event_time for r in refresh.latest_alerts(spark, store, 3).collect())
+
+
 def test_jobs(spark, paths, capsys):
     process.main(["--lake", paths.lake, "--store", paths.store])
     assert verify.main(["--store", paths.store])["traffic_by_zone"] == 4
