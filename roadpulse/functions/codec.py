@@ -66,15 +66,13 @@ def reject_reason(text: Column) -> Column:
 def iso_text(column: str = "event_time") -> Column:
     """Time as ISO text with all six digits.
 
-    Cut from the plain cast rather than made by ``date_format``, which would move
+    Made from the plain cast rather than by ``date_format``, which would move
     the hour when the session time zone skips it.
     """
     text = wall_time(column).cast("string")
-    return F.concat(
-        F.translate(F.substring(text, 1, 19), " ", "T"),
-        F.lit("."),
-        F.rpad(F.substring(text, 21, 6), 6, "0"),
-    )
+    # The cast leaves out zeros at the end, and the point with them.
+    pointed = F.when(F.length(text) == 19, F.concat(text, F.lit("."))).otherwise(text)
+    return F.rpad(F.replace(pointed, F.lit(" "), F.lit("T")), 26, "0")
 
 
 def event_json() -> Column:

@@ -51,19 +51,29 @@ def route(events: DataFrame) -> DataFrame:
     return events.withColumn("date", event_date())
 
 
-def spread(routed: DataFrame, tasks_per_file: int = 16, partitions: int | None = None) -> DataFrame:
+def spread(routed: DataFrame, tasks_per_file: int = 4, partitions: int | None = None) -> DataFrame:
     """Gathers the rows of a ``(date, zone)`` pair before the lake is written.
 
-    Not into one task: a zone that holds a third of a batch would stall it. A pair is
-    cut by the input tasks its rows come from, ``tasks_per_file`` of them to a piece.
-    A piece is therefore never larger than that many input splits, whatever the
-    batch holds, and a small batch still makes one file per pair. An input task that
-    is run again keeps its number, so every row goes to the same piece as before.
+    Not into one task: a zone that holds a third of the rows would stall it. In a batch
+    the adaptive planner cuts large pairs by size. A stream, or a batch without that
+    planner, cuts a pair by the input tasks its rows come from, ``tasks_per_file`` of
+    them to a piece. A piece is therefore never larger than that many input splits, and
+    a small batch still makes one file per pair. An input task that is run again keeps
+    its number, so every row goes to the same piece as before.
     """
-    piece = F.floor(F.spark_partition_id() / tasks_per_file)
-    keys = [F.col("date"), F.col("zone"), F.col("piece")]
-    numbered = routed.withColumn("piece", piece)
-    return numbered.repartition(*([partitions] if partitions else []), *keys).drop("piece")
+    adaptive = routed.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true"
+    keys = ["date", "zone"]
+    if routed.isStreaming or not adaptive:
+        piece = F.floor(F.spark_partition_id() / tasks_per_file)
+        routed = routed.withColumn("piece", piece)
+        keys.append("piece")
+    number = [partitions] if partitions else []
+    if adaptive:
+        # Large partitions are cut further, small ones put together.
+        gathered = routed.hint("rebalance", *number, *keys)
+    else:
+        gathered = routed.repartition(*number, *keys)
+    return gathered.drop("piece")
 
 
 def partition_counts(lake: DataFrame) -> DataFrame:

@@ -57,6 +57,11 @@ _PARTITION_COUNTS = """
 SELECT CAST(event_time AS DATE) AS date, zone, count(*) AS events
 FROM v GROUP BY CAST(event_time AS DATE), zone
 """
+_LAKE = """
+SELECT sensor_id, road_id, road_type, zone, vehicle_count, average_speed, occupancy_rate,
+       event_time, CAST(event_time AS DATE) AS date
+FROM v
+"""
 _LAST_HOUR = """
 SELECT zone, avg(vehicle_count) AS avg_vehicles, count(*) AS event_count FROM v
 WHERE event_time >= TIMESTAMP '2024-01-15 11:00:00'
@@ -154,11 +159,8 @@ FROM v
 SELECT sensor_id, vehicle_count, average_speed, occupancy_rate FROM v
 WHERE CAST(event_time AS DATE) = DATE '2024-01-03' AND zone = 'Downtown'
 """,
-    "lake_parquet_scan": """
-SELECT sensor_id, road_id, road_type, zone, vehicle_count, average_speed, occupancy_rate,
-       event_time, CAST(event_time AS DATE) AS date
-FROM v
-""",
+    "lake_parquet_scan": _LAKE,
+    "lake_conversion": _LAKE,
     "last_hour_by_zone": _LAST_HOUR,
     "lake_last_hour_by_zone": _LAST_HOUR,
     "stream_ingest": _PARTITION_COUNTS,

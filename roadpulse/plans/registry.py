@@ -22,7 +22,7 @@ from roadpulse.sinks.lake import write_lake
 from roadpulse.sources.lake import read_documents, read_lake, stream_lake
 from roadpulse.sources.store import read_summary, read_table, register_views
 from roadpulse.streaming import live
-from roadpulse.streaming.ingest import ONCE, start_ingest, start_rejects
+from roadpulse.streaming.ingest import ONCE, start_conversion, start_ingest, start_rejects
 from roadpulse.streaming.session import scratch, stream_session
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -217,6 +217,18 @@ def lake_parquet_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _lake(spark, sf_dir, "parquet")
 
 
+@_query
+def lake_conversion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event of a JSON lake after its conversion to Parquet."""
+    source, root = scratch(spark, "lake"), scratch(spark, "lake")
+    write_lake(road_events(spark, sf_dir), source)
+    converted = start_conversion(
+        stream_lake(spark, source), root, scratch(spark, "checkpoint"), trigger=ONCE
+    )
+    converted.awaitTermination()
+    return read_lake(spark, root, "parquet")
+
+
 _AS_OF = datetime(2024, 1, 15, 12)
 
 

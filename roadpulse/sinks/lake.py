@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 
 from roadpulse.functions.codec import iso_text
 from roadpulse.functions.traffic import wall_time
-from roadpulse.operators.ingest import route
+from roadpulse.operators.ingest import route, spread
 from roadpulse.schema import EVENT_COLUMNS, LAKE_PARTITIONS
 
 PARTITIONS = LAKE_PARTITIONS.fieldNames()
@@ -24,10 +24,6 @@ def lake_rows(events: DataFrame, fmt: str = "json") -> DataFrame:
 
 
 def write_lake(events: DataFrame, root: str, fmt: str = "json", mode: str = "append") -> None:
-    """Backfills the lake with a batch of events.
-
-    The rebalance hint gathers a ``(date, zone)`` pair into few files, and the
-    adaptive planner cuts a pair that is too large for one task into several.
-    """
-    rows = lake_rows(events, fmt).hint("rebalance", *PARTITIONS)
+    """Backfills the lake with a batch of events."""
+    rows = spread(lake_rows(events, fmt))
     rows.write.partitionBy(*PARTITIONS).mode(mode).format(fmt).save(root)

@@ -8,13 +8,15 @@ from datetime import date, datetime
 import pytest
 from samples import GOLDEN, message, rows
 
+from roadpulse.jobs import convert, ingest, publish, refresh
 from roadpulse.operators import kpis
 from roadpulse.operators.ingest import partition_counts, typed
-from roadpulse.schema import EVENT_COLUMNS, RAW_EVENT
+from roadpulse.schema import EVENT_COLUMNS, KPI_NAMES, RAW_EVENT
+from roadpulse.sinks.lake import write_lake
 from roadpulse.sources.lake import read_lake, stream_lake
 from roadpulse.sources.messages import message_files
 from roadpulse.streaming import live
-from roadpulse.streaming.ingest import ONCE, start_ingest, start_rejects
+from roadpulse.streaming.ingest import ONCE, start_conversion, start_ingest, start_rejects
 from roadpulse.streaming.session import scratch, stream_session
 
 MESSAGES = [message(**dict(zip(EVENT_COLUMNS, row))) for row in GOLDEN]
@@ -36,24 +38,24 @@ def inbox(tmp_path):
 def test_ingest_restart_and_late_events(spark, golden, inbox, tmp_path, fmt):
     root, checkpoint = str(tmp_path / "lake"), str(tmp_path / "checkpoint")
 
-    def ingest():
+    def run():
         messages = message_files(spark, inbox.path, files_per_batch=1)
         query = start_ingest(messages, root, checkpoint, fmt, trigger=ONCE)
         query.awaitTermination()
         return query
 
     inbox("1.txt", MESSAGES[:3] + ["{bad", ""])
-    query = ingest()
+    query = run()
     counted = [p.observedMetrics["ingest"] for p in query.recentProgress if p.numInputRows]
     assert sum(m.messages for m in counted) == 5
     assert sum(m.accepted for m in counted) == 3
     inbox("2.txt", MESSAGES[3:] + ["5"])
-    ingest()
+    run()
     assert rows(read_lake(spark, root, fmt).select(*EVENT_COLUMNS)) == rows(golden)
-    ingest()
+    run()
     assert read_lake(spark, root, fmt).count() == 5
     inbox("3.txt", [message(event_time="2025-12-31T23:59:59")])
-    ingest()
+    run()
     late = partition_counts(read_lake(spark, root, fmt)).filter("date < DATE '2026-01-01'")
     assert rows(late) == {(date(2025, 12, 31), "Downtown", 1)}
     folders = [d for d in os.listdir(root) if d.startswith("date=")]
@@ -87,6 +89,43 @@ def test_alerts_from_the_lake(spark, golden, inbox, tmp_path):
     assert rows(alerts) == rows(kpis.congestion_alerts(golden))
 
 
+def test_conversion_of_a_growing_lake(spark, golden, tmp_path):
+    source, root = str(tmp_path / "json"), str(tmp_path / "parquet")
+    for copies in (1, 2):
+        write_lake(golden, source)
+        events = stream_lake(spark, source)
+        start_conversion(events, root, str(tmp_path / "c"), trigger=ONCE).awaitTermination()
+        typed_lake = read_lake(spark, root, "parquet")
+        assert typed_lake.count() == 5 * copies
+        assert rows(typed_lake) == rows(read_lake(spark, source))
+
+
+def test_jobs(spark, golden, inbox, tmp_path, monkeypatch):
+    inbox("1.txt", [*MESSAGES, "{bad"])
+    lake, rejects, checkpoint = (str(tmp_path / n) for n in ("lake", "rejects", "checkpoint"))
+    common = ["--lake", lake, "--rejects", rejects, "--checkpoint", checkpoint, "--once"]
+    for _ in range(2):
+        ingest.main([*common, "--files", inbox.path])
+    assert rows(read_lake(spark, lake).select(*EVENT_COLUMNS)) == rows(golden)
+    assert spark.read.parquet(rejects).count() == 1
+    typed_lake = str(tmp_path / "typed")
+    convert.main(["--source", lake, "--lake", typed_lake, "--checkpoint", f"{checkpoint}/t"])
+    store = str(tmp_path / "store")
+    refresh.main(
+        ["--lake", typed_lake, "--lake-format", "parquet", "--store", store]
+        + ["--checkpoint", f"{checkpoint}/r"]
+    )
+    assert spark.read.parquet(f"{store}/traffic_by_zone").count() == 4
+    loaded = {}
+    monkeypatch.setenv("JDBC_PASSWORD", "secret")
+    monkeypatch.setattr(
+        "roadpulse.plans.refresh.write_database",
+        lambda table, database, name, connections: loaded.update({name: database.password}),
+    )
+    publish.main(["--store", store, "--url", "jdbc:x", "--user", "u"])
+    assert loaded == {name: "secret" for name in KPI_NAMES}
+
+
 def test_hours(spark, tmp_path):
     """Open hours appear in the table; closed ones are sent once, and late events are late."""
     session = stream_session(spark, state_partitions=2)
