@@ -8,6 +8,7 @@ from datetime import date
 
 from pyspark.sql import SparkSession
 
+from roadpulse.schema import KPI_NAMES
 from roadpulse.sources.database import Database
 from roadpulse.sources.lake import FORMATS
 
@@ -38,6 +39,8 @@ def add_database(arguments: argparse.ArgumentParser, required: bool) -> None:
         default="JDBC_PASSWORD",
         help="environment variable that holds the password",
     )
+    arguments.add_argument("--tables", nargs="+", choices=KPI_NAMES, default=KPI_NAMES)
+    arguments.add_argument("--alert-connections", type=int, default=8)
 
 
 def database(options: argparse.Namespace) -> Database | None:

@@ -10,10 +10,15 @@ def main(argv: list[str] | None = None) -> None:
     parser = arguments.parser(__doc__)
     arguments.add_store(parser)
     arguments.add_database(parser, required=True)
-    parser.add_argument("--alert-connections", type=int, default=8)
     options = parser.parse_args(argv)
     spark = arguments.session("road-sensor-publish")
-    publish(spark, options.store, arguments.database(options), options.alert_connections)
+    publish(
+        spark,
+        options.store,
+        arguments.database(options),
+        options.tables,
+        options.alert_connections,
+    )
 
 
 if __name__ == "__main__":

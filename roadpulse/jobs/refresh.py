@@ -15,7 +15,12 @@ def main(argv: list[str] | None = None) -> None:
     options = parser.parse_args(argv)
     spark = arguments.session("road-sensor-refresh")
     refresh = Refresh(
-        options.lake, options.store, options.lake_format, arguments.database(options)
+        options.lake,
+        options.store,
+        options.lake_format,
+        arguments.database(options),
+        tuple(options.tables),
+        options.alert_connections,
     )
     start_incremental(spark, refresh, options.checkpoint).awaitTermination()
 

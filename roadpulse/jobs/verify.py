@@ -12,7 +12,7 @@ def main(argv: list[str] | None = None) -> dict[str, int]:
     arguments.add_database(parser, required=False)
     options = parser.parse_args(argv)
     spark = arguments.session("road-sensor-verify")
-    counts = verify(spark, options.store, arguments.database(options))
+    counts = verify(spark, options.store, arguments.database(options), options.tables)
     for name, rows in counts.items():
         print(f"{name}: {rows} rows")
     return counts

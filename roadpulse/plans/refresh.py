@@ -41,6 +41,7 @@ class Refresh:
     store: str
     lake_format: str = "json"
     database: Database | None = None
+    published: tuple[str, ...] = tuple(KPI_NAMES)
     alert_connections: int = 8
 
 
@@ -87,18 +88,31 @@ def store_kpis(
 
 
 def publish(
-    spark: SparkSession, store: str, database: Database, alert_connections: int = 8
+    spark: SparkSession,
+    store: str,
+    database: Database,
+    tables: Iterable[str] = KPI_NAMES,
+    alert_connections: int = 8,
 ) -> None:
-    """The five stored tables into the database; the small ones in one transaction each."""
-    for name in KPI_NAMES:
+    """Stored tables into the database; the small ones in one transaction each.
+
+    The alerts are loaded whole, whatever their size. Where they outgrow the database,
+    leave them out of ``tables`` and serve them from the store.
+    """
+    for name in tables:
         connections = alert_connections if name == ALERTS else 1
         write_database(read_table(spark, store, name), database, name, connections)
 
 
-def verify(spark: SparkSession, store: str, database: Database | None = None) -> dict[str, int]:
+def verify(
+    spark: SparkSession,
+    store: str,
+    database: Database | None = None,
+    tables: Iterable[str] = KPI_NAMES,
+) -> dict[str, int]:
     """Row counts of the stored tables; fails on an empty one.
 
-    Alerts may be absent on a quiet day. With a database, its tables must hold the
+    Alerts may be absent on a quiet day. With a database, its ``tables`` must hold the
     same number of rows.
     """
     counts = row_counts(read_tables(spark, store))
@@ -106,10 +120,10 @@ def verify(spark: SparkSession, store: str, database: Database | None = None) ->
         if name != ALERTS:
             require_rows(counts[name], name)
     if database is not None:
-        for name, expected in counts.items():
+        for name in tables:
             found = database_count(spark, database, name)
-            if found != expected:
-                raise CountMismatch(f"{name}: {expected} rows stored, {found} in the database")
+            if found != counts[name]:
+                raise CountMismatch(f"{name}: {counts[name]} rows stored, {found} in the database")
     return counts
 
 
@@ -120,8 +134,10 @@ def run(
     events = read_lake(spark, refresh.lake, refresh.lake_format)
     store_kpis(spark, events, refresh.store, dates)
     if refresh.database is not None:
-        publish(spark, refresh.store, refresh.database, refresh.alert_connections)
-    return verify(spark, refresh.store, refresh.database)
+        publish(
+            spark, refresh.store, refresh.database, refresh.published, refresh.alert_connections
+        )
+    return verify(spark, refresh.store, refresh.database, refresh.published)
 
 
 def start_incremental(

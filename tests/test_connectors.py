@@ -134,3 +134,8 @@ def test_publish_and_verify(monkeypatch, spark, golden, tmp_path):
     tables["congestion_alerts"] = (4, 4)
     with pytest.raises(refresh.CountMismatch, match="congestion_alerts"):
         refresh.verify(spark, store, DATABASE)
+    small = [name for name in KPI_NAMES if name != "congestion_alerts"]
+    refresh.verify(spark, store, DATABASE, small)
+    tables.clear()
+    refresh.publish(spark, store, DATABASE, small)
+    assert list(tables) == small
