@@ -1,9 +1,11 @@
-"""Process, publish and verify in one run, for the dates with new events."""
+"""Process, publish and verify the events that are new in the lake."""
 
 from __future__ import annotations
 
 from roadpulse.jobs import arguments
-from roadpulse.plans.refresh import Refresh, start_incremental
+from roadpulse.plans.follow import start_following
+from roadpulse.plans.refresh import Refresh
+from roadpulse.streaming.ingest import ONCE
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -11,7 +13,7 @@ def main(argv: list[str] | None = None) -> None:
     arguments.add_lake(parser)
     arguments.add_store(parser)
     arguments.add_database(parser, required=False)
-    parser.add_argument("--checkpoint", required=True)
+    parser.add_argument("--every", help="keep running, with this time between refreshes")
     options = parser.parse_args(argv)
     spark = arguments.session("road-sensor-refresh")
     refresh = Refresh(
@@ -22,7 +24,8 @@ def main(argv: list[str] | None = None) -> None:
         tuple(options.tables),
         options.alert_connections,
     )
-    start_incremental(spark, refresh, options.checkpoint).awaitTermination()
+    trigger = {"processingTime": options.every} if options.every else ONCE
+    start_following(spark, refresh, trigger).awaitTermination()
 
 
 if __name__ == "__main__":

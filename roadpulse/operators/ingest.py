@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from roadpulse.functions.codec import event_json, iso_text, parse_message, reject_reason
 from roadpulse.functions.traffic import event_date, wall_time
-from roadpulse.schema import EVENT_COLUMNS
 
 
 def decode(messages: DataFrame, value: str = "value") -> DataFrame:

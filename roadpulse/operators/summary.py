@@ -12,7 +12,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roadpulse.functions.traffic import congested, event_date, event_hour
-from roadpulse.schema import OCCUPANCY_LIMIT, SPEED_LIMIT
+from roadpulse.schema import OCCUPANCY_LIMIT, SPEED_LIMIT, SUMMARY
+
+GROUPS = ["date", "hour", "zone", "road_type"]
 
 
 def summarize(
@@ -34,6 +36,12 @@ def summarize(
     )
 
 
+def merge(summaries: DataFrame) -> DataFrame:
+    """Rows of several summaries put together: one row per group again."""
+    measures = [f.name for f in SUMMARY if f.name not in GROUPS]
+    return summaries.groupBy(*GROUPS).agg(*[F.sum(name).alias(name) for name in measures])
+
+
 def _mean(total: str, readings: str) -> Column:
     return F.try_divide(F.sum(total), F.sum(readings))
 

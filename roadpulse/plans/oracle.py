@@ -183,6 +183,7 @@ SELECT * FROM ({_HOURS}) h WHERE window_start + INTERVAL 1 HOUR <=
     "stored_panel_sql": _TRAFFIC_BY_HOUR,
     "lake_to_panel": f"{_CRITICAL_ZONES} ORDER BY congestion_count DESC, zone LIMIT 5",
     "refresh_one_date": _SUMMARY,
+    "follow_lake": _SUMMARY,
 }
 
 

@@ -9,7 +9,6 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
 
 from roadpulse.operators import kpis, panels, summary
 from roadpulse.operators.checks import require_rows, row_counts
@@ -18,7 +17,7 @@ from roadpulse.schema import ALERT_COLUMNS, KPI_NAMES, LATEST_ALERTS
 from roadpulse.sinks.database import write_database
 from roadpulse.sinks.store import write_alerts, write_summary, write_table
 from roadpulse.sources.database import Database, database_count
-from roadpulse.sources.lake import read_lake, stream_lake
+from roadpulse.sources.lake import read_lake
 from roadpulse.sources.store import (
     ALERTS,
     read_dated_alerts,
@@ -26,7 +25,6 @@ from roadpulse.sources.store import (
     read_table,
     read_tables,
 )
-from roadpulse.streaming.ingest import ONCE
 
 
 class CountMismatch(RuntimeError):
@@ -81,8 +79,16 @@ def store_kpis(
     with ThreadPoolExecutor(max_workers=4) as jobs:
         running = [jobs.submit(write_alerts, alerts, store, everything)]
         write_summary(summary.summarize(events), store, everything)
-        tables = summary.indicators(read_summary(spark, store))
-        running += [jobs.submit(write_table, table, store, name) for name, table in tables.items()]
+        running.append(jobs.submit(write_indicators, read_summary(spark, store), store))
+        for job in running:
+            job.result()
+
+
+def write_indicators(table: DataFrame, store: str) -> None:
+    """The four aggregate indicators of a summary, written side by side."""
+    tables = summary.indicators(table)
+    with ThreadPoolExecutor(max_workers=len(tables)) as jobs:
+        running = [jobs.submit(write_table, table, store, name) for name, table in tables.items()]
         for job in running:
             job.result()
 
@@ -133,6 +139,11 @@ def run(
     """Compute, publish, verify. A repeated run leaves the same tables."""
     events = read_lake(spark, refresh.lake, refresh.lake_format)
     store_kpis(spark, events, refresh.store, dates)
+    return serve(spark, refresh)
+
+
+def serve(spark: SparkSession, refresh: Refresh) -> dict[str, int]:
+    """Publish what is stored, then verify."""
     if refresh.database is not None:
         publish(
             spark, refresh.store, refresh.database, refresh.published, refresh.alert_connections
@@ -140,26 +151,6 @@ def run(
     return verify(spark, refresh.store, refresh.database, refresh.published)
 
 
-def start_incremental(
-    spark: SparkSession, refresh: Refresh, checkpoint: str, trigger: dict | None = None
-) -> StreamingQuery:
-    """Runs the refresh for the dates that received events since the last run.
-
-    The lake is followed as a stream of which only the partition ``date`` is looked
-    at. The dates of a batch are then computed again from the whole of their events,
-    so a batch that is repeated, or a file that arrives meanwhile, does no harm.
-    """
-
-    def refresh_dates(batch: DataFrame, number: int) -> None:
-        dates = [row.date for row in batch.select("date").distinct().collect()]
-        if dates:
-            run(spark, refresh, dates)
-
-    lake = stream_lake(spark, refresh.lake, refresh.lake_format).select("date")
-    writer = lake.writeStream.foreachBatch(refresh_dates)
-    return writer.option("checkpointLocation", checkpoint).trigger(**(trigger or ONCE)).start()
-
-
 def latest_alerts(spark: SparkSession, store: str, k: int = LATEST_ALERTS) -> DataFrame:
     """The newest stored alerts, read from the newest dates that hold ``k`` of them."""
     since = summary.newest_alert_dates(read_summary(spark, store), k)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from roadpulse.functions.codec import iso_text
 from roadpulse.operators import checks, ingest, kpis, panels, summary, windows
 from roadpulse.plans import refresh
+from roadpulse.plans.follow import start_following
 from roadpulse.plans.road_events import (
     road_event_stream,
     road_events,
@@ -375,3 +376,14 @@ def refresh_one_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = _store(spark, sf_dir)
     refresh.store_kpis(spark, road_events(spark, sf_dir), store, [date(2024, 1, 15)])
     return read_summary(spark, store)
+
+
+@_query
+def follow_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The summary of a store that followed a lake while it grew."""
+    events = road_events(spark, sf_dir)
+    paths = refresh.Refresh(scratch(spark, "lake"), scratch(spark, "store"), "parquet")
+    for period in ("event_time < '2024-01-15 12:00:00'", "event_time >= '2024-01-15 12:00:00'"):
+        write_lake(events.filter(period), paths.lake, "parquet")
+        start_following(spark, paths).awaitTermination()
+    return read_summary(spark, paths.store)

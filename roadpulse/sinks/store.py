@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from roadpulse.sources.store import ALERTS, SUMMARY_NAME
 
@@ -12,11 +13,11 @@ def write_table(table: DataFrame, store: str, name: str) -> None:
     table.coalesce(1).write.mode("overwrite").parquet(f"{store}/{name}")
 
 
-def _write_dated(table: DataFrame, path: str, replace_all: bool) -> None:
+def _write_dated(table: DataFrame, path: str, replace_all: bool, *below: str) -> None:
     (
         table.write.mode("overwrite")
         .option("partitionOverwriteMode", "static" if replace_all else "dynamic")
-        .partitionBy("date")
+        .partitionBy("date", *below)
         .parquet(path)
     )
 
@@ -27,6 +28,12 @@ def write_summary(summary: DataFrame, store: str, replace_all: bool = True) -> N
     _write_dated(summary.repartition("date"), f"{store}/{SUMMARY_NAME}", replace_all)
 
 
+def add_alerts(alerts: DataFrame, store: str, batch: int) -> None:
+    """Adds the alerts of a batch; writing the same batch again replaces it."""
+    numbered = alerts.withColumn("batch", F.lit(batch))
+    _write_dated(numbered, f"{store}/{ALERTS}", batch == 0, "batch")
+
+
 def write_alerts(alerts: DataFrame, store: str, replace_all: bool = True) -> None:
     """Replaces the alerts (with ``date``), or only the dates present.
 

@@ -69,6 +69,16 @@ def stream_lake(
     return _typed_view(reader.format(fmt).load(root))
 
 
+def read_files(spark: SparkSession, pattern: str, mode: str = "FAILFAST") -> DataFrame:
+    """Events of all JSON-lines files that match a pattern, whatever their directories say.
+
+    For files whose body holds every field and whose directories are no proper partitions.
+    Nothing can be skipped; prefer ``read_lake``.
+    """
+    files = spark.read.schema(RAW_EVENT).option("mode", mode)
+    return typed(files.json(pattern))
+
+
 def read_documents(spark: SparkSession, path: str, mode: str = "FAILFAST") -> DataFrame:
     """Events from pretty-printed JSON documents, each an array of events.
 

@@ -15,7 +15,7 @@ _DATE = T.StructField("date", T.DateType())
 def read_table(spark: SparkSession, store: str, name: str) -> DataFrame:
     """One indicator table with its published columns."""
     schema = KPI_SCHEMAS[name]
-    # The selection leaves out the partition column that the alerts are stored by.
+    # The selection leaves out the partition columns that the alerts are stored by.
     return spark.read.schema(schema).parquet(f"{store}/{name}").select(*schema.fieldNames())
 
 
@@ -26,7 +26,7 @@ def read_tables(spark: SparkSession, store: str) -> dict[str, DataFrame]:
 def read_dated_alerts(spark: SparkSession, store: str) -> DataFrame:
     """The alerts with the partition column ``date``, for reads of a few dates."""
     schema = T.StructType(list(KPI_SCHEMAS[ALERTS]) + [_DATE])
-    return spark.read.schema(schema).parquet(f"{store}/{ALERTS}")
+    return spark.read.schema(schema).parquet(f"{store}/{ALERTS}").select(*schema.fieldNames())
 
 
 def read_summary(spark: SparkSession, store: str) -> DataFrame:

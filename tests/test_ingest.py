@@ -98,7 +98,7 @@ def test_times_keep_six_digits_in_every_zone(spark):
     other = spark.newSession()
     # 02:30 does not exist on this day in New York.
     other.conf.set("spark.sql.session.timeZone", "America/New_York")
-    times = ["2026-03-08T02:30:00.000001", "2026-03-08T02:30:00.100000", "2026-03-08T02:30:00.000000"]
+    times = [f"2026-03-08T02:30:00.{digits}" for digits in ("000001", "100000", "000000")]
     events = ingest.typed(
         other.createDataFrame([(*GOLDEN[0][:-1], t) for t in times], RAW_EVENT)
     )

@@ -18,7 +18,8 @@ DATA = "/root/testdata"
 SCALES = [scale for scale in ("sf0.001", "sf0.01") if os.path.isdir(f"{DATA}/{scale}")]
 QUERIES = contract.queries()
 SQL = contract.oracle_sql()
-BATCH = [n for n in QUERIES if not n.startswith(("stream_", "stored_", "lake_", "refresh_"))]
+WRITING = ("stream_", "stored_", "lake_", "refresh_", "follow_", "document_")
+BATCH = [n for n in QUERIES if not n.startswith(WRITING)]
 
 
 @pytest.fixture(scope="module")

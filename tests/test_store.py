@@ -11,11 +11,11 @@ from test_indicators import EXPECTED
 from roadpulse.jobs import process, verify
 from roadpulse.operators import checks, kpis
 from roadpulse.operators.ingest import route, typed
-from roadpulse.plans import refresh
+from roadpulse.plans import follow, refresh
+from roadpulse.plans.follow import add_batch, start_following
 from roadpulse.schema import EVENT, KPI_NAMES, KPI_SCHEMAS, RAW_EVENT
 from roadpulse.sinks.lake import write_lake
-from roadpulse.sources.store import read_dated_alerts, read_summary, read_tables, register_views
-from roadpulse.streaming.ingest import ONCE
+from roadpulse.sources.store import read_summary, read_tables, register_views
 
 PANELS = {
     "SELECT hour, AVG(avg_vehicles) FROM hourly_stats GROUP BY hour ORDER BY hour": [
@@ -81,25 +81,64 @@ def test_refreshing_dates_equals_a_full_run(spark, tmp_path):
         assert sorted(map(str, stored.collect())) == sorted(map(str, table.collect()))
 
 
-def test_incremental_follows_the_lake(spark, tmp_path):
-    paths = refresh.Refresh(str(tmp_path / "lake"), str(tmp_path / "store"))
-    checkpoint = str(tmp_path / "checkpoint")
+def _same_tables(spark, one, other):
+    assert rows(read_summary(spark, one)) == rows(read_summary(spark, other))
+    for name, table in read_tables(spark, one).items():
+        found = read_tables(spark, other)[name]
+        assert sorted(map(str, found.collect())) == sorted(map(str, table.collect()))
+
+
+@pytest.mark.parametrize("fmt", ["json", "parquet"])
+def test_following_the_lake_equals_runs_over_it(spark, tmp_path, fmt):
+    lake, store = str(tmp_path / "lake"), str(tmp_path / "store")
+    paths = refresh.Refresh(lake, store, fmt)
+    for number, days in enumerate([(1,), (1, 2), (3,), (1,), (2, 4, 5)]):
+        write_lake(_more(spark, *days), lake, fmt)
+        start_following(spark, paths).awaitTermination()
+        full = str(tmp_path / f"full-{number}")
+        refresh.run(spark, refresh.Refresh(lake, full, fmt))
+        _same_tables(spark, full, store)
+        newest = refresh.latest_alerts(spark, store).collect()
+        assert newest == refresh.latest_alerts(spark, full).collect()
+    start_following(spark, paths).awaitTermination()
+    _same_tables(spark, full, store)
+
+
+def test_a_batch_done_twice_counts_once(spark, tmp_path):
+    store, full = str(tmp_path / "store"), str(tmp_path / "full")
+    batches = [route(_more(spark, *days)) for days in ((1, 2), (2, 3), (1, 4), (4,))]
+    for number, batch in enumerate(batches):
+        for _ in range(2):
+            add_batch(spark, batch, store, number)
+    refresh.store_kpis(spark, _more(spark, 1, 2, 2, 3, 1, 4, 4), full)
+    _same_tables(spark, full, store)
+
+
+def test_a_batch_that_breaks_off_is_done_again(spark, tmp_path, monkeypatch):
+    lake, store, full = (str(tmp_path / name) for name in ("lake", "store", "full"))
+    paths = refresh.Refresh(lake, store)
+    write_lake(_more(spark, 1, 2), lake)
+    start_following(spark, paths).awaitTermination()
+    write_lake(_more(spark, 2, 3), lake)
+    with monkeypatch.context() as broken:
+        broken.setattr(follow, "write_indicators", lambda *a: 1 / 0)
+        with pytest.raises(Exception, match="division by zero"):
+            start_following(spark, paths).awaitTermination()
+    start_following(spark, paths).awaitTermination()
+    refresh.run(spark, refresh.Refresh(lake, full))
+    _same_tables(spark, full, store)
 
-    def follow():
-        query = refresh.start_incremental(spark, paths, checkpoint, ONCE)
-        query.awaitTermination()
-        return read_tables(spark, paths.store)
 
-    write_lake(_more(spark, 1), paths.lake)
-    assert follow()["congestion_alerts"].count() == 3
-    write_lake(_more(spark, 1, 2), paths.lake)
-    tables = follow()
-    assert tables["congestion_alerts"].count() == 9
-    assert {(r.zone, r.event_count) for r in tables["traffic_by_zone"].collect()} >= {
-        ("Downtown", 6)
-    }
-    follow()
-    assert read_dated_alerts(spark, paths.store).count() == 9
+def test_following_with_events_without_a_time(spark, golden, tmp_path):
+    store, full = str(tmp_path / "store"), str(tmp_path / "full")
+    timeless = golden.selectExpr(
+        *[c for c in golden.columns if c != "event_time"],
+        "CAST(NULL AS TIMESTAMP_NTZ) AS event_time",
+    ).select(*golden.columns)
+    for number, batch in enumerate((golden, timeless, timeless)):
+        add_batch(spark, route(batch), store, number)
+    refresh.store_kpis(spark, golden.union(timeless).union(timeless), full)
+    _same_tables(spark, full, store)
 
 
 def test_latest_alerts_open_few_dates(spark, tmp_path):
