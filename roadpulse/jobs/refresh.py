@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from roadpulse.jobs import arguments
 from roadpulse.plans.follow import start_following
-from roadpulse.plans.refresh import Refresh
+from roadpulse.plans.refresh import Refresh, verify
 from roadpulse.streaming.ingest import ONCE
 
 
@@ -26,6 +26,8 @@ def main(argv: list[str] | None = None) -> None:
     )
     trigger = {"processingTime": options.every} if options.every else ONCE
     start_following(spark, refresh, trigger).awaitTermination()
+    # Also when nothing was new: an empty store is an error.
+    verify(spark, refresh.store, refresh.database, refresh.published)
 
 
 if __name__ == "__main__":

@@ -52,19 +52,22 @@ def start_following(
     refresh: Refresh,
     trigger: dict | None = None,
     files_per_batch: int | None = None,
+    events: DataFrame | None = None,
 ) -> StreamingQuery:
     """Compute, publish and verify for the events that reach the lake.
 
-    The progress is kept inside the store, as the two belong together.
+    The progress is kept inside the store, as the two belong together. ``events`` takes
+    the place of the lake, for instance the union of the streams of two lakes.
     """
 
-    def add(events: DataFrame, batch: int) -> None:
-        add_batch(spark, events, refresh.store, batch)
+    def add(arrived: DataFrame, batch: int) -> None:
+        add_batch(spark, arrived, refresh.store, batch)
         serve(spark, refresh)
 
-    events = stream_lake(
-        spark, refresh.lake, refresh.lake_format, files_per_batch=files_per_batch
-    )
+    if events is None:
+        events = stream_lake(
+            spark, refresh.lake, refresh.lake_format, files_per_batch=files_per_batch
+        )
     writer = events.writeStream.foreachBatch(add)
     writer = writer.option("checkpointLocation", f"{refresh.store}/_progress")
     return writer.trigger(**(trigger or ONCE)).start()

@@ -16,6 +16,39 @@ class LakeMissing(RuntimeError):
     """The lake directory does not exist yet."""
 
 
+class LakeOfAnotherWriter(RuntimeError):
+    """Writing here would hide files: those that are there, or those to be written."""
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.option("recursiveFileLookup", True).text(path)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+    return True
+
+
+def followed_by_a_stream(spark: SparkSession, root: str) -> bool:
+    """Whether a stream writes this lake. Reads then see the files in its log only."""
+    return _exists(spark, f"{root}/_spark_metadata")
+
+
+def require_batch_lake(spark: SparkSession, root: str) -> None:
+    if followed_by_a_stream(spark, root):
+        raise LakeOfAnotherWriter(f"{root} is written by a stream; send the events through it")
+
+
+def require_stream_lake(spark: SparkSession, root: str, fmt: str) -> None:
+    if followed_by_a_stream(spark, root) or not _exists(spark, root):
+        return
+    if not read_lake(spark, root, fmt).isEmpty():
+        raise LakeOfAnotherWriter(
+            f"{root} holds files of another writer, which a stream would hide; use a new root"
+        )
+
+
 def lake_schema(fmt: str) -> T.StructType:
     """Event columns with the partition columns last, as a directory read returns them.
 

@@ -7,6 +7,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from roadpulse.operators.ingest import accepted, decode, observe_ingest, rejected, spread
 from roadpulse.sinks.lake import PARTITIONS, lake_rows
+from roadpulse.sources.lake import require_stream_lake
 
 # One file per zone and minute by default, instead of one per handful of events.
 DEFAULT_TRIGGER = {"processingTime": "1 minute"}
@@ -33,8 +34,10 @@ def start_ingest(
 
     Late events need no watermark: nothing waits, nothing is dropped. The sink's log
     and the checkpoint make a restart add nothing twice. One writer per lake: reads
-    of the directory see what this query committed.
+    of the directory see what this query committed, hence a root that holds files of
+    another writer is refused.
     """
+    require_stream_lake(messages.sparkSession, root, fmt)
     decoded = observe_ingest(decode(messages))
     rows = spread(lake_rows(accepted(decoded), fmt), tasks_per_file, partitions)
     writer = rows.writeStream.format(fmt).partitionBy(*PARTITIONS).option("path", root)
@@ -52,6 +55,7 @@ def start_conversion(
 
     Indicators over the typed lake read a fraction of the bytes and parse nothing.
     """
+    require_stream_lake(events.sparkSession, root, "parquet")
     rows = spread(lake_rows(events, "parquet"), tasks_per_file)
     writer = rows.writeStream.format("parquet").partitionBy(*PARTITIONS).option("path", root)
     return _start(writer, checkpoint, trigger)

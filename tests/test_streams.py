@@ -11,10 +11,13 @@ from samples import GOLDEN, message, rows
 from roadpulse.jobs import convert, ingest, publish, refresh
 from roadpulse.operators import kpis
 from roadpulse.operators.ingest import partition_counts, typed
+from roadpulse.plans.follow import start_following
+from roadpulse.plans.refresh import Refresh
 from roadpulse.schema import EVENT_COLUMNS, KPI_NAMES, RAW_EVENT
 from roadpulse.sinks.lake import write_lake
-from roadpulse.sources.lake import read_lake, stream_lake
+from roadpulse.sources.lake import LakeOfAnotherWriter, read_lake, stream_lake
 from roadpulse.sources.messages import message_files
+from roadpulse.sources.store import read_table
 from roadpulse.streaming import live
 from roadpulse.streaming.ingest import ONCE, start_conversion, start_ingest, start_rejects
 from roadpulse.streaming.session import scratch, stream_session
@@ -89,6 +92,40 @@ def test_alerts_from_the_lake(spark, golden, inbox, tmp_path):
     assert rows(alerts) == rows(kpis.congestion_alerts(golden))
 
 
+def test_one_writer_per_lake(spark, golden, inbox, tmp_path):
+    inbox("1.txt", MESSAGES)
+    batch, stream = str(tmp_path / "batch"), str(tmp_path / "stream")
+
+    def run(root):
+        messages = message_files(spark, inbox.path)
+        start_ingest(messages, root, f"{root}-c", trigger=ONCE).awaitTermination()
+
+    write_lake(golden, batch)
+    with pytest.raises(LakeOfAnotherWriter, match="batch"):
+        run(batch)
+    (tmp_path / "stream").mkdir()
+    for _ in range(2):
+        run(stream)
+    with pytest.raises(LakeOfAnotherWriter, match="stream"):
+        write_lake(golden, stream)
+    assert read_lake(spark, batch).count() == read_lake(spark, stream).count() == 5
+
+
+def test_following_two_lakes(spark, golden, tmp_path):
+    old, new, store = (str(tmp_path / name) for name in ("old", "new", "store"))
+    write_lake(golden, old)
+    write_lake(golden, new, "parquet")
+    both = stream_lake(spark, old).union(stream_lake(spark, new, "parquet"))
+    paths = Refresh("", store)
+    start_following(spark, paths, events=both).awaitTermination()
+    assert rows(read_table(spark, store, "critical_zones")) == {
+        ("Downtown", 4),
+        ("Residential-North", 2),
+        ("Industrial", 0),
+        ("Suburbs", 0),
+    }
+
+
 def test_conversion_of_a_growing_lake(spark, golden, tmp_path):
     source, root = str(tmp_path / "json"), str(tmp_path / "parquet")
     for copies in (1, 2):
