@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import json
 import os
-import tempfile
 import time
 
 from pyspark.sql import DataFrame
@@ -18,10 +17,12 @@ from pyspark.sql import functions as F
 from bench import SF_DIR, session
 from roadpulse.functions.traffic import congested, event_hour
 from roadpulse.operators import kpis, summary
-from roadpulse.plans.refresh import store_kpis
+from roadpulse.plans.follow import start_following
+from roadpulse.plans.refresh import Refresh, store_kpis
 from roadpulse.plans.road_events import road_events
 from roadpulse.sinks.lake import write_lake
 from roadpulse.sources.lake import read_lake
+from roadpulse.streaming.session import scratch
 
 COPIES = int(os.environ.get("BENCH_COPIES", "50"))
 
@@ -63,9 +64,13 @@ def one_summary(events: DataFrame) -> None:
     consume(summary.summarize(events))
 
 
+def follow(spark, paths: Refresh) -> None:
+    start_following(spark, paths).awaitTermination()
+
+
 def main() -> None:
     spark = session()
-    scratch = os.environ.get("BENCH_SCRATCH") or tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    root_of_all = os.environ.get("BENCH_SCRATCH") or scratch(spark, "layouts")
     copies = road_events(spark, SF_DIR).withColumn(
         "copy", F.explode(F.sequence(F.lit(0), F.lit(COPIES - 1)))
     )
@@ -80,7 +85,7 @@ def main() -> None:
         times[name] = round(time.perf_counter() - start, 3)
 
     for fmt in ("json", "parquet"):
-        root = f"{scratch}/{fmt}"
+        root = f"{root_of_all}/{fmt}"
         timed(f"{fmt}: write lake", write_lake, shifted, root, fmt)
         events = read_lake(spark, root, fmt)
         one_summary(events)
@@ -89,16 +94,20 @@ def main() -> None:
         timed(f"{fmt}: four aggregates, persisted", persisted, events)
         timed(f"{fmt}: grouping sets", grouping_sets, events)
         timed(f"{fmt}: one summary", one_summary, events)
-        timed(f"{fmt}: all five stored", store_kpis, spark, events, f"{scratch}/store-{fmt}")
+        paths = Refresh(root, f"{root_of_all}/followed-{fmt}", fmt)
+        timed(f"{fmt}: all five stored", store_kpis, spark, events, f"{root_of_all}/store-{fmt}")
         one_date = [spark.sql("SELECT DATE '2024-01-15'").first()[0]]
         timed(
             f"{fmt}: one date refreshed",
             store_kpis,
             spark,
             events,
-            f"{scratch}/store-{fmt}",
+            f"{root_of_all}/store-{fmt}",
             one_date,
         )
+        timed(f"{fmt}: followed from the start", follow, spark, paths)
+        write_lake(road_events(spark, SF_DIR), root, fmt)
+        timed(f"{fmt}: followed, one copy more", follow, spark, paths)
     print(json.dumps({"events": COPIES * road_events(spark, SF_DIR).count(), "seconds": times}))
     spark.stop()
 

@@ -3,54 +3,33 @@
 from __future__ import annotations
 
 from roadpulse.jobs import arguments
-from roadpulse.schema import CONSUMER_GROUP, TOPIC
-from roadpulse.sources.messages import message_files, topic
-from roadpulse.streaming.ingest import ONCE, start_ingest, start_rejects
+from roadpulse.streaming.ingest import start_ingest, start_rejects
 
 
 def main(argv: list[str] | None = None) -> None:
     parser = arguments.parser(__doc__)
+    arguments.add_source(parser)
     arguments.add_lake(parser)
-    source = parser.add_mutually_exclusive_group(required=True)
-    source.add_argument("--servers", help="brokers of the topic")
-    source.add_argument("--files", help="directory of text files, one message per line")
-    parser.add_argument("--topic", default=TOPIC)
-    parser.add_argument("--group", default=CONSUMER_GROUP)
-    parser.add_argument("--batch-rows", type=int, help="most messages in a batch")
     parser.add_argument("--rejects", required=True, help="directory for rejected messages")
-    parser.add_argument("--checkpoint", required=True)
-    parser.add_argument("--once", action="store_true", help="stop when all is read")
-    parser.add_argument("--every", default="1 minute", help="time between batches")
     options = parser.parse_args(argv)
-
     spark = arguments.session("road-sensor-ingest")
-
-    def messages():
-        if options.files:
-            return message_files(spark, options.files)
-        return topic(
-            spark, options.servers, options.topic, options.group, batch_rows=options.batch_rows
-        )
-
-    trigger = ONCE if options.once else {"processingTime": options.every}
+    trigger = arguments.trigger(options)
     running = [
         start_ingest(
-            messages(),
+            arguments.messages(spark, options),
             options.lake,
             f"{options.checkpoint}/lake",
             options.lake_format,
             trigger=trigger,
         ),
         start_rejects(
-            messages(), options.rejects, f"{options.checkpoint}/rejects", trigger=trigger
+            arguments.messages(spark, options),
+            options.rejects,
+            f"{options.checkpoint}/rejects",
+            trigger=trigger,
         ),
     ]
-    if options.once:
-        for query in running:
-            query.awaitTermination()
-    else:
-        # Either one failing ends the program, so that the cluster restarts both.
-        spark.streams.awaitAnyTermination()
+    arguments.wait(spark, running, options)
 
 
 if __name__ == "__main__":

@@ -68,6 +68,8 @@ def start_following(
         events = stream_lake(
             spark, refresh.lake, refresh.lake_format, files_per_batch=files_per_batch
         )
-    writer = events.writeStream.foreachBatch(add)
+    # Selected here and not in the batch, whose columns are all read whatever it uses.
+    used = events.select("vehicle_count", *ALERT_COLUMNS, "date")
+    writer = used.writeStream.foreachBatch(add)
     writer = writer.option("checkpointLocation", f"{refresh.store}/_progress")
     return writer.trigger(**(trigger or ONCE)).start()

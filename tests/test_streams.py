@@ -9,6 +9,7 @@ import pytest
 from samples import GOLDEN, message, rows
 
 from roadpulse.jobs import convert, ingest, publish, refresh
+from roadpulse.jobs import live as live_job
 from roadpulse.operators import kpis
 from roadpulse.operators.ingest import partition_counts, typed
 from roadpulse.plans.follow import start_following
@@ -160,6 +161,19 @@ def test_jobs(spark, golden, inbox, tmp_path, monkeypatch):
     assert loaded == {name: "secret" for name in KPI_NAMES}
 
 
+def test_live_job(spark, golden, inbox, tmp_path):
+    inbox("1.txt", [*MESSAGES, "{bad", message(event_time="2026-01-03T08:00:00")])
+    alerts, hours = str(tmp_path / "alerts"), str(tmp_path / "hours")
+    live_job.main(
+        ["--files", inbox.path, "--alerts", alerts, "--hours", hours]
+        + ["--checkpoint", str(tmp_path / "c"), "--once"]
+    )
+    assert spark.read.parquet(alerts).filter("date = DATE '2026-01-02'").count() == 3
+    closed = spark.read.parquet(hours).select("window_start", "zone", "events")
+    assert closed.count() == 5
+    assert (datetime(2026, 1, 2, 18), "Downtown", 1) in rows(closed)
+
+
 def test_hours(spark, tmp_path):
     """Open hours appear in the table; closed ones are sent once, and late events are late."""
     session = stream_session(spark, state_partitions=2)
