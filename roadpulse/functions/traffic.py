@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -14,6 +17,7 @@ from roadpulse.schema import (
     RUSH_HOURS,
     SPEED_LIMIT,
     SPEED_TOLERANCE,
+    RoadType,
 )
 
 
@@ -49,11 +53,8 @@ def event_date(column: str = "event_time") -> Column:
 def day_period(column: str = "event_time") -> Column:
     """``rush``, ``day`` or ``night`` by hour of day; NULL without a time."""
     hour = event_hour(column)
-    rush = F.lit(False)
-    for first, last in RUSH_HOURS:
-        rush = rush | hour.between(first, last)
     return (
-        F.when(rush, "rush")
+        F.when(_any(hour.between(first, last) for first, last in RUSH_HOURS), "rush")
         .when(hour.between(*DAY_HOURS), "day")
         .when(hour.isNotNull(), "night")
     )
@@ -63,47 +64,51 @@ def _outside(column: str, low: float, high: float) -> Column:
     return (F.col(column) < low) | (F.col(column) > high)
 
 
-def _known_road() -> Column:
-    return F.col("road_type").isin(*ROAD_TYPES)
+def _any(checks) -> Column:
+    return reduce(or_, checks)
 
 
-def _unknown_road() -> Column:
-    return F.col("road_type").isNull() | ~_known_road()
+def _road_checks(road: RoadType) -> dict[str, Column]:
+    """Checks against the envelope of one road type."""
+    # Speeds are whole km/h, so the ceiling is the largest whole speed allowed.
+    ceiling = int(round(road.max_speed * SPEED_TOLERANCE, 6))
+    return {
+        "vehicle_count": _outside("vehicle_count", 0, road.capacity),
+        "average_speed": _outside("average_speed", MIN_SPEED, ceiling),
+    }
 
 
-def _per_road(column: str, low: int, high_of) -> Column:
-    """``column`` outside the range of its own road type, as an OR of plain comparisons."""
-    checks = F.lit(False)
-    for name, road in ROAD_TYPES.items():
-        checks = checks | ((F.col("road_type") == name) & _outside(column, low, high_of(road)))
-    return checks
+def _common_checks() -> dict[str, Column]:
+    return {
+        "occupancy_rate": _outside("occupancy_rate", *OCCUPANCY_RANGE),
+        "road_type": F.col("road_type").isNull() | ~F.col("road_type").isin(*ROAD_TYPES),
+    }
 
 
-def envelope_checks() -> dict[str, Column]:
-    """Named violations of the physical envelope.
+def _of(name: str) -> Column:
+    return F.col("road_type") == name
 
-    The three-row envelope is folded into the predicates as literals: no join is
+
+def implausible() -> Column:
+    """True where an event lies outside the physical envelope of its road type.
+
+    The three-row envelope is folded into the predicate as literals: no join is
     planned, and the comparisons can be pushed to the scan.
     """
-    return {
-        "vehicle_count": _per_road("vehicle_count", 0, lambda road: road.capacity),
-        "average_speed": _per_road(
-            "average_speed",
-            MIN_SPEED,
-            # Whole km/h, so the ceiling is the largest whole speed allowed.
-            lambda road: int(round(road.max_speed * SPEED_TOLERANCE, 6)),
-        ),
-        "occupancy_rate": _outside("occupancy_rate", *OCCUPANCY_RANGE),
-        "road_type": _unknown_road(),
-    }
+    by_road = [_of(name) & _any(_road_checks(road).values()) for name, road in ROAD_TYPES.items()]
+    return _any([*by_road, *_common_checks().values()])
 
 
-def implausible() -> Column:
-    """True where at least one envelope check fires."""
-    anything = F.lit(False)
-    for check in envelope_checks().values():
-        anything = anything | check
-    return anything
+def envelope_checks() -> dict[str, Column]:
+    """The single checks behind ``implausible`` by name."""
+    roads = {name: _road_checks(road) for name, road in ROAD_TYPES.items()}
+    return {
+        **{
+            check: _any(_of(name) & checks[check] for name, checks in roads.items())
+            for check in ("vehicle_count", "average_speed")
+        },
+        **_common_checks(),
+    }
 
 
 def violations() -> Column:

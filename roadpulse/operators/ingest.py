@@ -60,7 +60,7 @@ def spread(routed: DataFrame, tasks_per_file: int = 4, partitions: int | None =
     a small batch still makes one file per pair. An input task that is run again keeps
     its number, so every row goes to the same piece as before.
     """
-    adaptive = routed.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true"
+    adaptive = routed.sparkSession.conf.get("spark.sql.adaptive.enabled").lower() == "true"
     keys = ["date", "zone"]
     if routed.isStreaming or not adaptive:
         piece = F.floor(F.spark_partition_id() / tasks_per_file)
