@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from roadpulse.functions.traffic import wall_time
 
+UTC_NAMES = ("UTC", "Etc/UTC", "GMT", "Z")
+
 
 def _literal(moment: datetime) -> Column:
     if moment.tzinfo is not None:
@@ -36,9 +38,12 @@ def hourly_by_zone(
 
     ``delay`` is how long a window waits for late events before its state is
     dropped and, in append mode, its row is sent. Without it every window is kept.
-    Watermarks need TIMESTAMP; run the stream in a UTC session, so that the
+    Watermarks need TIMESTAMP, so the stream must run in a UTC session, where the
     wall-clock times pass through unchanged (see ``streaming.session``).
     """
+    zone = events.sparkSession.conf.get("spark.sql.session.timeZone")
+    if zone not in UTC_NAMES:
+        raise ValueError(f"windows would be cut in {zone}: use a UTC session")
     timed = events.withColumn("event_time", wall_time().cast("timestamp"))
     if delay is not None:
         timed = timed.withWatermark("event_time", delay)

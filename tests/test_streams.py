@@ -12,6 +12,7 @@ from roadpulse.jobs import convert, ingest, publish, refresh
 from roadpulse.jobs import live as live_job
 from roadpulse.operators import kpis
 from roadpulse.operators.ingest import partition_counts, typed
+from roadpulse.operators.windows import hourly_by_zone
 from roadpulse.plans.follow import start_following
 from roadpulse.plans.refresh import Refresh
 from roadpulse.schema import EVENT_COLUMNS, KPI_NAMES, RAW_EVENT
@@ -210,6 +211,18 @@ def test_hours(spark, tmp_path):
     assert hours("closed") == {(at(8), "A", 4.0, 3)}
 
 
+def test_windows_need_a_utc_session(spark, golden):
+    session = spark.newSession()
+    session.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")
+    events = typed(session.createDataFrame(GOLDEN, RAW_EVENT))
+    with pytest.raises(ValueError, match="Kolkata"):
+        hourly_by_zone(events)
+    hours = hourly_by_zone(typed(stream_session(spark).createDataFrame(GOLDEN, RAW_EVENT)))
+    assert (datetime(2026, 1, 2, 18), "Downtown", 1) in rows(
+        hours.select("window_start", "zone", "events")
+    )
+
+
 def test_stream_session_keeps_settings_to_itself(spark):
     before = spark.conf.get("spark.sql.shuffle.partitions")
     session = stream_session(spark, state_partitions=3)
