@@ -1,4 +1,4 @@
-"""Indicators that follow the lake: every event is read once, when it arrives.
+"""Indicators that follow the lake: events are read when they arrive and not again.
 
 The summary consists of sums and counts, so new events are added to it; the cost of a
 refresh follows the new events and not the lake. A store is kept either this way or by
