@@ -286,23 +286,24 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     digest = F.md5(F.coalesce("text", F.lit("")))
     texts = texts.select(*identity(texts), doc.alias("doc"), F.xxhash64(doc, digest).alias("row"), digest.alias("digest"), "text")
     copies = texts.groupBy("digest").agg(F.min("doc").alias("doc")).select(F.xxhash64("doc", "digest").alias("row"), F.lit(True).alias("first_copy"))
-    whole = texts.drop("digest")
-    firsts = whole.join(copies.hint("shuffle_hash"), "row").select("row", "doc", "text")
+    whole = texts.select("row", "doc", *IDENTITY, "text")
+    firsts = whole.join(copies.hint("shuffle_hash"), "row")
 
-    anchored = firsts.select("row", "text").mapInArrow(_anchors, "row long, anchor long").repartition("anchor")
+    # every branch takes all columns of `whole`, so that one exchange of the texts serves all
+    spread = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    anchored = firsts.mapInArrow(_anchors, "row long NOT NULL, anchor long NOT NULL").repartition(spread, "anchor")
     several = anchored.groupBy("anchor").agg(F.min("row").alias("a"), F.max("row").alias("b")).filter("a != b").select("anchor")
-    shared = anchored.join(several, "anchor", "left_semi").groupBy("row").agg(F.collect_set("anchor").alias("anchors"))
-    sharing = firsts.join(shared.hint("shuffle_hash"), "row").select("row", "doc", "text", "anchors")
+    shared = anchored.join(several, "anchor").groupBy("row").agg(F.collect_set("anchor").alias("anchors"))
+    sharing = firsts.join(shared.hint("shuffle_hash"), "row")
 
-    contents = sharing.mapInArrow(_contents, "anchor long, words binary, first_doc long, last_doc long")
+    contents = sharing.mapInArrow(_contents, "anchor long NOT NULL, words binary NOT NULL, first_doc long NOT NULL, last_doc long NOT NULL")
     sharded = contents.repartition("anchor").sortWithinPartitions("anchor")
-    found = sharded.mapInArrow(_search, "content binary, earliest array<long>")
-    places = sharing.mapInArrow(_occurrences, "content binary, row long, doc long, first int")
+    found = sharded.mapInArrow(_search, "content binary NOT NULL, earliest array<long> NOT NULL")
+    places = sharing.mapInArrow(_occurrences, "content binary NOT NULL, row long NOT NULL, doc long NOT NULL, first int NOT NULL")
     hit = F.transform("earliest", lambda x, i: F.when(x < F.col("doc"), F.col("first") + i))
     hits = places.join(found, "content").select("row", F.filter(hit, lambda x: x.isNotNull()).alias("hits")).filter(F.size("hits") > 0)
     windows = hits.groupBy("row").agg(F.flatten(F.collect_list("hits")).alias("windows"))
     known = whole.join(copies.hint("shuffle_hash"), "row", "left").join(windows.hint("shuffle_hash"), "row", "left")
-    known = known.select(*IDENTITY, "text", F.coalesce("first_copy", F.lit(False)).alias("first_copy"), "windows")
     kinds = "id long, nameless boolean, text_hash long, n_words long, n_removed long, kept string"
     removed = known.mapInArrow(_remove, kinds)
     return removed.select(*IDENTITY, doc_id(), "n_words", "n_removed", "kept")
