@@ -22,11 +22,11 @@ from pyspark.sql import functions as F
 
 from roadpulse.llm.common import components, cut
 
-BLOCK = 8
+BLOCK = 16
 #: Vectors of a slab that are compared in one task.
-TILE = 8192
+TILE = 32768
 #: Pairs whose block distances are computed at a time.
-STRIP = 1 << 22
+STRIP = 1 << 19
 SLACK = 1e-5
 
 
@@ -85,7 +85,8 @@ def _visits(batches: Iterator[pa.RecordBatch], least: float, tiles: dict[tuple[i
         for rows, vectors in _matrix(batch.column("vector")):
             size, node = vectors.shape[1], nodes[rows]
             draw = (node.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)).astype(np.int64)
-            data = np.array([x.tobytes() for x in vectors], object)
+            narrow = vectors.astype(np.float32)
+            data = np.array([x.tobytes() for x in (narrow if (narrow == vectors).all() else vectors)], object)
             for number, slabs, reaches in _slabs(vectors, least):
                 for slab in np.unique(slabs):
                     here = np.flatnonzero(slabs == slab)
@@ -123,7 +124,9 @@ def forest(a: np.ndarray, b: np.ndarray, count: int) -> np.ndarray:
 
 def linked(vectors: np.ndarray, left: np.ndarray, right: np.ndarray, number: int, least: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Pairs (rows of `vectors`, one of `left` and one of `right`) that belong to the block and have a
-    cosine of `least` or more. If left and right are the same rows, each pair comes once."""
+    cosine of `least` or more. If left and right are the same rows, each pair comes once.
+
+    Both sides go by the block's second coordinate, so a strip of one meets only what is in reach."""
     units = _units(vectors)
     turned, blocks = units @ rotation(vectors.shape[1]), _blocks(vectors.shape[1])
     share = max(0.0, 2 - 2 * least) / vectors.shape[1]
@@ -132,12 +135,20 @@ def linked(vectors: np.ndarray, left: np.ndarray, right: np.ndarray, number: int
     half = (part * part).sum(axis=1, keepdims=True) / 2
     one, other = np.hstack([part, -half, -np.ones_like(half)]), np.hstack([part, np.ones_like(half), half])
     same = left is right
-    reach = np.float32(-share * (b - a) / 2 - SLACK)
-    columns, step = other[right].T.copy(), max(1, STRIP // max(1, len(right)))
+    reach, radius = np.float32(-share * (b - a) / 2 - SLACK), np.sqrt(share * (b - a)) + SLACK
+    by = turned[:, min(a + 1, b - 1)]
+    left = left[np.argsort(by[left], kind="stable")]
+    right = left if same else right[np.argsort(by[right], kind="stable")]
+    columns, order, step = other[right].T.copy(), by[right], max(1, STRIP // max(1, len(right)))
     for start in range(0, len(left), step):
-        near = one[left[start : start + step]] @ columns >= reach
-        i, j = np.divmod(np.flatnonzero(near), len(right))
-        i += start
+        strip = left[start : start + step]
+        low = start if same else np.searchsorted(order, by[strip[0]] - radius)
+        high = np.searchsorted(order, by[strip[-1]] + radius)
+        if low >= high:
+            continue
+        near = one[strip] @ columns[:, low:high] >= reach
+        i, j = np.divmod(np.flatnonzero(near), high - low)
+        i, j = i + start, j + low
         if same:
             i, j = i[i < j], j[i < j]
         i, j = left[i], right[j]
@@ -155,7 +166,8 @@ def _compare(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.Rec
     """(node, links, other) of one comparison: links to count, and edges that connect the linked."""
     table = pa.Table.from_batches(batches)
     size, number = table.column("size")[0].as_py(), table.column("block")[0].as_py()
-    vectors = np.frombuffer(b"".join(table.column("vector").to_pylist()), np.float64).reshape(-1, size)
+    kinds = {4 * size: np.float32, 8 * size: np.float64}  # single precision where nothing is lost by it
+    vectors = np.stack([np.frombuffer(x, kinds[len(x)]) for x in table.column("vector").to_pylist()]).astype(np.float64)
     nodes, copies, sides = (table.column(x).to_numpy() for x in ("node", "copies", "side"))
     same = table.column("tile_a")[0].as_py() == table.column("tile_b")[0].as_py()
     left, right = np.flatnonzero(sides == 0), np.flatnonzero(sides == 1)
