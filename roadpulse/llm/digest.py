@@ -82,7 +82,7 @@ def _send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         to = [batch.column(x) for x in IDENTITY]
         texts, wanted = batch.column("text").to_pylist(), batch.column("wanted").to_pylist()
         starts = pa.array([x[:n] for x, n in zip(texts, wanted)], pa.string())
-        prints = pa.array([fingerprint(x.encode()) for x in texts], pa.string())
+        prints = pa.array([bytes.fromhex(fingerprint(x.encode())) for x in texts], pa.binary())
         yield pa.RecordBatch.from_arrays([*to, starts, prints], [*IDENTITY, "start", "next_fingerprint"])
 
 
@@ -91,14 +91,14 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts, starts = batch.column("text").to_pylist(), batch.column("start").to_pylist()
         changed = [edited(x, y).encode() for x, y in zip(texts, starts)]
         own, other = [fingerprint(x.encode()) for x in texts], [fingerprint(x) for x in changed]
-        following_ = batch.column("next_fingerprint").to_pylist()
+        after = [x.hex() for x in batch.column("next_fingerprint").to_pylist()]
         columns = [
             pa.array([len(x) for x in texts], pa.int64()),
             pa.array([sha256(x).hexdigest() for x in changed], pa.string()),
             pa.array(own, pa.string()),
             pa.array(other, pa.string()),
             pa.array(map(likeness, own, other), pa.float64()),
-            pa.array(map(likeness, own, following_), pa.float64()),
+            pa.array(map(likeness, own, after), pa.float64()),
         ]
         names = [*IDENTITY, "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
         yield pa.RecordBatch.from_arrays([*(batch.column(x) for x in IDENTITY), *columns], names)
@@ -121,7 +121,7 @@ def compare_with_next(docs: DataFrame) -> DataFrame:
     wants = after.select(*to, F.floor(F.col("n_chars") / 4).alias("wanted"), *next_is)
     asked = texts.join(wants, IDENTITY).select(*(F.col(f"to_{x}").alias(x) for x in IDENTITY), "text", "wanted")
     kinds = "id long, nameless boolean, text_hash long"
-    sent = asked.mapInArrow(_send, f"{kinds}, start string, next_fingerprint string").dropDuplicates(IDENTITY)
+    sent = asked.mapInArrow(_send, f"{kinds}, start string, next_fingerprint binary").dropDuplicates(IDENTITY)
     result = f"{kinds}, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
     compared = texts.join(sent, IDENTITY).mapInArrow(_compare, result)
     return compared.select(doc_id(), *compared.columns[len(IDENTITY) :])
