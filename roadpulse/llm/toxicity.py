@@ -142,7 +142,7 @@ def sample(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> DataFrame:
     picked = [ids.filter(F.col("label") == x).orderBy(draw, "doc_id").limit(most) for x in (0, 1)]
     shares = ids.groupBy("label").agg(F.greatest(F.lit(1.0), F.count("*") / F.lit(most)).alias("weight"))
     chosen = picked[0].union(picked[1]).join(F.broadcast(shares), "label")  # 2 * most rows
-    return there.dropDuplicates(["doc_id"]).join(F.broadcast(chosen), "doc_id").select("label", "weight", "text")
+    return there.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"]).select("label", "weight", "text")
 
 
 def _fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -155,7 +155,7 @@ def _fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def train(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> dict[str, float]:
     """The model, fitted by one task on the bounded sample; empty if there is nothing to learn from."""
-    rows = sample(docs, labels, most).coalesce(1).mapInArrow(_fit, "feature string, weight double").collect()
+    rows = sample(docs, labels, most).repartition(1).mapInArrow(_fit, "feature string, weight double").collect()
     return {x["feature"]: x["weight"] for x in rows}
 
 
