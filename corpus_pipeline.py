@@ -36,8 +36,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, n_tokens, ids, decoded_sha256) of every document, as often as the mix has it."""
-    path = byte_bpe()
-    found = bpe.decode(bpe.encode(docs, path), path)
+    found = bpe.round_trip(docs, byte_bpe())
     decoded = F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256")
     return found.select("doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"), "ids", decoded)
 

@@ -20,7 +20,7 @@ import unicodedata
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadpulse.llm.common import pieces, share, shared
+from roadpulse.llm.common import map_batches, pieces, share, shared
 
 #: Fixed value: the public pattern of byte-level BPE vocabularies that splits text before merging.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -191,7 +191,7 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
     and special tokens' strings in a text are those tokens. Other columns are not looked at."""
     vocabulary = share(docs.sparkSession, load(path))
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return rows.mapInArrow(partial(_encode, vocabulary=vocabulary), "doc_id long, ids binary")
+    return map_batches(rows, partial(_encode, vocabulary=vocabulary), "doc_id long, ids binary")
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
@@ -199,4 +199,20 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     UTF-8 become U+FFFD; an id beyond the vocabulary is an error."""
     vocabulary = share(encoded.sparkSession, load(path).tokens)
     rows = encoded.select("doc_id", "ids")
-    return rows.mapInArrow(partial(_decode, vocabulary=vocabulary), "doc_id long, ids binary, text string")
+    return map_batches(rows, partial(_decode, vocabulary=vocabulary), "doc_id long, ids binary, text string")
+
+
+def _round_trip(batches: Iterator[pa.RecordBatch], vocabulary) -> Iterator[pa.RecordBatch]:
+    known = shared(vocabulary)
+    encoder = Encoder(known)
+    for batch in pieces(batches, "text", 1 << 20):
+        ids = [x.tobytes() for x in encoder.encode(batch.column("text").to_pylist())]
+        texts = [decode_ids(x, known.tokens) for x in ids]
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ids, pa.binary()), pa.array(texts, pa.string())], ["doc_id", "ids", "text"])
+
+
+def round_trip(docs: DataFrame, path: str) -> DataFrame:
+    """`decode(encode(docs))` in one pass of Python: (doc_id, ids, text)."""
+    vocabulary = share(docs.sparkSession, load(path))
+    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    return map_batches(rows, partial(_round_trip, vocabulary=vocabulary), "doc_id long, ids binary, text string")

@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import contextlib
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
+from functools import partial
 
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import Broadcast, cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 #: A word: what stands between ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -57,6 +62,26 @@ def doc_id() -> Column:
     return F.when(~F.col("nameless"), F.col("id")).alias("doc_id")
 
 
+#: Rows of an Arrow batch at most: a text may be long, and a batch is held whole.
+BATCH_ROWS = 1000
+
+
+def map_batches(df: DataFrame, function: Callable, schema: str | StructType) -> DataFrame:
+    """`mapInArrow` in batches of at most BATCH_ROWS rows (a setting of the session); when a task is
+    done, the memory its worker keeps goes back to the system."""
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    df.sparkSession.conf.set(setting, min(int(df.sparkSession.conf.get(setting)), BATCH_ROWS))
+    return df.mapInArrow(partial(_tidied, function=function), schema)
+
+
+def _tidied(batches: Iterator[pa.RecordBatch], function: Callable) -> Iterator[pa.RecordBatch]:
+    yield from function(batches)
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only glibc has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def pieces(batches: Iterator[pa.RecordBatch], column: str, limit: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """The batches cut into runs of rows of at most `limit` bytes in `column` (one row at least)."""
     for batch in batches:

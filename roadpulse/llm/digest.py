@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from roadpulse.llm.common import IDENTITY, cut, doc_id, identity, pieces
+from roadpulse.llm.common import IDENTITY, cut, doc_id, identity, map_batches, pieces
 
 BITS = 9
 #: Mean difference of two independent codes from 0 to 3: at this score digests are unrelated.
@@ -121,7 +121,7 @@ def compare_with_next(docs: DataFrame) -> DataFrame:
     wants = after.select(*to, F.floor(F.col("n_chars") / 4).alias("wanted"), *next_is)
     asked = texts.join(wants, IDENTITY).select(*(F.col(f"to_{x}").alias(x) for x in IDENTITY), "text", "wanted")
     kinds = "id long, nameless boolean, text_hash long"
-    sent = asked.mapInArrow(_send, f"{kinds}, start string, next_fingerprint binary").dropDuplicates(IDENTITY)
+    sent = map_batches(asked, _send, f"{kinds}, start string, next_fingerprint binary").dropDuplicates(IDENTITY)
     result = f"{kinds}, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
-    compared = texts.join(sent, IDENTITY).mapInArrow(_compare, result)
+    compared = map_batches(texts.join(sent, IDENTITY), _compare, result)
     return compared.select(doc_id(), *compared.columns[len(IDENTITY) :])

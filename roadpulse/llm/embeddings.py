@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadpulse.llm.common import components, cut
+from roadpulse.llm.common import components, cut, map_batches
 
 BLOCK = 16
 #: Vectors of a slab that are compared in one task.
@@ -198,11 +198,11 @@ def near_duplicates(vectors: DataFrame, least: float = 0.9) -> DataFrame:
     reps = cut(different.withColumn("node", F.monotonically_increasing_id()))  # numbered once, then read
 
     plain = reps.select("node", "copies", "vector")
-    counted = plain.mapInArrow(partial(_homes, least=least), "size long, block long, slab long, n long")
+    counted = map_batches(plain, partial(_homes, least=least), "size long, block long, slab long, n long")
     sizes = counted.groupBy("size", "block", "slab").agg(F.sum("n").alias("n")).collect()  # slabs, not vectors
     tiles = {(x["size"], x["block"], x["slab"]): -(-x["n"] // TILE) for x in sizes}
     kinds = "size long, block long, slab long, tile_a long, tile_b long, side long, node long, copies long, vector binary"
-    visits = plain.mapInArrow(partial(_visits, least=least, tiles=tiles), kinds)
+    visits = map_batches(plain, partial(_visits, least=least, tiles=tiles), kinds)
     groups = visits.groupBy("size", "block", "slab", "tile_a", "tile_b")
     found = cut(groups.applyInArrow(_compare_with(least), "node long, links long, other long"))
 

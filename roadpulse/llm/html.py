@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadpulse.llm.common import cut, pieces
+from roadpulse.llm.common import cut, map_batches, pieces
 
 #: A comment, a declaration, or a tag: (closing, name, attributes). Possessive, so it never backtracks.
 MARKUP = re.compile(
@@ -205,7 +205,7 @@ def importance(pages: DataFrame, share: float = 0.5) -> DataFrame:
     content importance one less the mean entropy of the contents under it (0 for one found on a single
     page, 1 for one on all of them); `share` weighs the two. A node of a single page counts 1.
     """
-    found = pages.mapInArrow(_nodes, "host string, node long, kind int, feature long")
+    found = map_batches(pages, _nodes, "host string, node long, kind int, feature long")
     counts = found.groupBy("host", "node", "kind", "feature").agg(F.count("*").alias("n"))
     shown = F.col("kind") == PRESENTATION
     sums = counts.groupBy("host", "node").agg(
@@ -249,4 +249,4 @@ def extract(pages: DataFrame, least: float = 0.25, least_pages: int = 8) -> Data
     else:
         salted = low.select("host", "low", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).cast("long").alias("salt"))
         known = hosted.select("*", salt).join(salted, ["host", "salt"], "left")
-    return known.select("page_id", "url", "html", "low").mapInArrow(_extract, "page_id long, url string, text string")
+    return map_batches(known.select("page_id", "url", "html", "low"), _extract, "page_id long, url string, text string")

@@ -19,7 +19,7 @@ import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from roadpulse.llm.common import held_out, pieces, share, shared
+from roadpulse.llm.common import held_out, map_batches, pieces, share, shared
 
 WORDS = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 ORDER = 5
@@ -204,7 +204,7 @@ def train(docs: DataFrame, most_grams: int = MOST_GRAMS) -> dict[str, Model]:
     keeps, at most `most_grams` a language."""
     rows = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
     rows = rows.select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
-    counted = rows.mapInArrow(_count, "lang string, gram string, times long").groupBy("lang", "gram").agg(F.sum("times").alias("times"))
+    counted = map_batches(rows, _count, "lang string, gram string, times long").groupBy("lang", "gram").agg(F.sum("times").alias("times"))
     order = Window.partitionBy("lang").orderBy(F.col("times").desc(), "gram")
     kept = counted.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= most_grams).drop("place")
     found = kept.toArrow()
@@ -232,4 +232,4 @@ def identify(docs: DataFrame, models: dict[str, Model]) -> DataFrame:
     if there are no models. Repeated rows repeat; other columns are not looked at."""
     sent = share(docs.sparkSession, models)
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return rows.mapInArrow(partial(_identify, models=sent), "doc_id long, lang_pred string, score double, cross_entropy double, rejected boolean")
+    return map_batches(rows, partial(_identify, models=sent), "doc_id long, lang_pred string, score double, cross_entropy double, rejected boolean")

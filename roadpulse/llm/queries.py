@@ -50,8 +50,7 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = byte_bpe()
-    found = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path), path)
+    found = bpe.round_trip(table(spark, sf_dir, "documents"), byte_bpe())
     return found.select(
         "doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"),

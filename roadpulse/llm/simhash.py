@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roadpulse.llm.common import IDENTITY, components, cut, identity, pieces, raw_bytes
+from roadpulse.llm.common import IDENTITY, components, cut, identity, map_batches, pieces, raw_bytes
 
 BITS = 64
 #: Fingerprints with the same key that are compared pair by pair; larger buckets go by shared neighbours.
@@ -57,7 +57,7 @@ def _fingerprints(batches: Iterator[pa.RecordBatch], shingle: int, seed: int) ->
 def fingerprints(docs: DataFrame, shingle: int = 3, seed: int = 42) -> DataFrame:
     """(doc_id, fp) of every row; null and empty texts have fingerprint 0."""
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return rows.mapInArrow(partial(_fingerprints, shingle=shingle, seed=seed), "doc_id long, fp long")
+    return map_batches(rows, partial(_fingerprints, shingle=shingle, seed=seed), "doc_id long, fp long")
 
 
 def _segments(max_bits: int) -> list[tuple[int, int]]:
@@ -157,7 +157,7 @@ def keep_one(docs: DataFrame, shingle: int = 3, max_bits: int = 2, seed: int = 4
     """`docs`, all its columns, with one row of each group of near-duplicates: the one with the
     smallest doc_id, and of those the first by hash of its text. Rows without doc_id come last."""
     rows = docs.select(*identity(docs), F.col("text").cast("string"))
-    prints = cut(rows.mapInArrow(partial(_identified, shingle=shingle, seed=seed), "id long, nameless boolean, text_hash long, fp long"))
+    prints = cut(map_batches(rows, partial(_identified, shingle=shingle, seed=seed), "id long, nameless boolean, text_hash long, fp long"))
     found = components(links(prints, max_bits)).withColumnsRenamed({"node": "fp", "component": "root"})
     rooted = prints.join(found, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     first = rooted.groupBy("root").agg(F.min(F.struct("nameless", "id", "text_hash")).alias("first")).select("first.*")

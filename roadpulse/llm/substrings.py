@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadpulse.llm.common import IDENTITY, doc_id, identity, pieces, raw_bytes
+from roadpulse.llm.common import IDENTITY, doc_id, identity, map_batches, pieces, raw_bytes
 
 WINDOW, ANCHOR = 13, 4
 #: Words of one index; a shard's anchors are indexed together up to this many.
@@ -291,21 +291,21 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
 
     # every branch takes all columns of `whole`, so that one exchange of the texts serves all
     spread = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    anchored = firsts.mapInArrow(_anchors, "row long NOT NULL, anchor long NOT NULL").repartition(spread, "anchor")
+    anchored = map_batches(firsts, _anchors, "row long NOT NULL, anchor long NOT NULL").repartition(spread, "anchor")
     several = anchored.groupBy("anchor").agg(F.min("row").alias("a"), F.max("row").alias("b")).filter("a != b").select("anchor")
     shared = anchored.join(several, "anchor").groupBy("row").agg(F.collect_set("anchor").alias("anchors"))
     sharing = firsts.join(shared.hint("shuffle_hash"), "row")
 
-    contents = sharing.mapInArrow(_contents, "anchor long NOT NULL, words binary NOT NULL, first_doc long NOT NULL, last_doc long NOT NULL")
+    contents = map_batches(sharing, _contents, "anchor long NOT NULL, words binary NOT NULL, first_doc long NOT NULL, last_doc long NOT NULL")
     sharded = contents.repartition("anchor").sortWithinPartitions("anchor")
-    found = sharded.mapInArrow(_search, "content binary NOT NULL, earliest array<long> NOT NULL")
-    places = sharing.mapInArrow(_occurrences, "content binary NOT NULL, row long NOT NULL, doc long NOT NULL, first int NOT NULL")
+    found = map_batches(sharded, _search, "content binary NOT NULL, earliest array<long> NOT NULL")
+    places = map_batches(sharing, _occurrences, "content binary NOT NULL, row long NOT NULL, doc long NOT NULL, first int NOT NULL")
     hit = F.transform("earliest", lambda x, i: F.when(x < F.col("doc"), F.col("first") + i))
     hits = places.join(found, "content").select("row", F.filter(hit, lambda x: x.isNotNull()).alias("hits")).filter(F.size("hits") > 0)
     windows = hits.groupBy("row").agg(F.flatten(F.collect_list("hits")).alias("windows"))
     known = whole.join(copies.hint("shuffle_hash"), "row", "left").join(windows.hint("shuffle_hash"), "row", "left")
     kinds = "id long, nameless boolean, text_hash long, n_words long, n_removed long, kept string"
-    removed = known.mapInArrow(_remove, kinds)
+    removed = map_batches(known, _remove, kinds)
     return removed.select(*IDENTITY, doc_id(), "n_words", "n_removed", "kept")
 
 

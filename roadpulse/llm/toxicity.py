@@ -17,8 +17,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from roadpulse.llm.common import cut, held_out, pieces, share, shared
+from roadpulse.llm.common import cut, held_out, map_batches, pieces, share, shared
 
 #: Letters are words; these marks end a sentence.
 TOKEN = re.compile(r"[^\W\d_]+|[.!?\n。！？]")
@@ -155,7 +156,7 @@ def _fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def train(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> dict[str, float]:
     """The model, fitted by one task on the bounded sample; empty if there is nothing to learn from."""
-    rows = sample(docs, labels, most).repartition(1).mapInArrow(_fit, "feature string, weight double").collect()
+    rows = map_batches(sample(docs, labels, most).repartition(1), _fit, "feature string, weight double").collect()
     return {x["feature"]: x["weight"] for x in rows}
 
 
@@ -178,7 +179,7 @@ def score(docs: DataFrame, model: dict[str, float]) -> DataFrame:
     has everything under an empty model. Repeated rows repeat; other columns are not looked at."""
     sent = share(docs.sparkSession, model or {"": -50.0})
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    scored = rows.mapInArrow(partial(_score, model=sent), f"doc_id long, text string, {SCORED}")
+    scored = map_batches(rows, partial(_score, model=sent), f"doc_id long, text string, {SCORED}")
     return scored.select("doc_id", "score", "offending")
 
 
@@ -186,5 +187,5 @@ def keep_clean(docs: DataFrame, model: dict[str, float], most: float = 0.5) -> D
     """`docs`, all its columns, without the documents that score `most` or more."""
     sent = share(docs.sparkSession, model or {"": -50.0})
     rows = docs.select(F.col("text").cast("string").alias("text"), F.struct("*").alias("row"))
-    scored = rows.mapInArrow(partial(_score, model=sent), f"text string, row {rows.schema['row'].dataType.simpleString()}, {SCORED}")
+    scored = map_batches(rows, partial(_score, model=sent), StructType([*rows.schema, *StructType.fromDDL(SCORED)]))
     return scored.filter(F.col("score") < most).select("row.*")
