@@ -177,6 +177,8 @@ class Identifier:
         because neighbouring characters are not independent. A text is rejected if its cross-entropy
         lies over the language's own by more than `reject` deviations, and as many standard errors.
         """
+        if not self.langs:
+            return [(UNKNOWN, 0.0, None, True)] * len(texts)
         if len(self.index) > KEPT_WORDS:
             self._forget()
         split = [WORDS.findall((x or "").lower()) for x in texts]
@@ -185,7 +187,7 @@ class Identifier:
             self._learn(new[start : start + 50_000])
         out = []
         for words in split:
-            if not words or not self.langs:
+            if not words:
                 out.append((UNKNOWN, 0.0, None, True))
                 continue
             at = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))

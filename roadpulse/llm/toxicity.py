@@ -113,20 +113,20 @@ class Scorer(dict):
         return -float(np.expm1(-clean))
 
     def offending(self, text: str, least: float = 0.5) -> list[dict]:
-        """Where sentences of probability `least` or more stand (code points), with the probability."""
-        out, start, z, last = [], 0, self.bias, 0
+        """Where the sentences of probability `least` or more stand (code points), with the probability;
+        if there are none, the most probable sentence."""
+        found, start, z, last = [], 0, self.bias, 0
         words: set[str] = set()
-        limit = float(np.log(least / (1 - least)))
         for token in [*TOKEN.finditer(text), None]:
             if token is None or token[0] in ENDS:
-                if words and z >= limit:
-                    out.append({"start": start, "end": token.end() if token else last, "score": float(1 / (1 + np.exp(-z)))})
+                if words:
+                    found.append({"start": start, "end": token.end() if token else last, "score": float(1 / (1 + np.exp(-max(z, -500.0))))})
                 z, words = self.bias, set()
             else:
                 start, last, word = start if words else token.start(), token.end(), token[0].lower()
                 z += 0.0 if word in words else self[word]
                 words.add(word)
-        return out
+        return [x for x in found if x["score"] >= least] or sorted(found, key=lambda x: -x["score"])[:1]
 
 
 def sample(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> DataFrame:
@@ -175,7 +175,7 @@ SCORED = "score double, offending array<struct<start: int, end: int, score: doub
 
 def score(docs: DataFrame, model: dict[str, float]) -> DataFrame:
     """(doc_id, score, offending) per row of `docs` (doc_id, text): the probability that the document is
-    toxic and, where it is 0.5 or more, the sentences that are. Null and empty texts have score 0, as
+    toxic and, where it is 0.5 or more, the sentences that make it so. Null and empty texts have score 0, as
     has everything under an empty model. Repeated rows repeat; other columns are not looked at."""
     sent = share(docs.sparkSession, model or {"": -50.0})
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))

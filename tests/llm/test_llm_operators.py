@@ -1,0 +1,391 @@
+"""Operators against row-by-row computations, and their defined results on odd rows."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from roadpulse.llm import bpe, chat, digest, embeddings, html, language, mixing, simhash, substrings, toxicity
+from roadpulse.llm.common import components
+from roadpulse.llm.vocabularies import byte_bpe
+
+#: Names that operators use inside.
+CLASHING = {"fp": 1, "row": 2, "id": 3, "text_hash": 4, "rest": 5, "size": 6, "score": 7, "words": 8, "node": 9, "label": 10, "times": 11}
+SCHEMA = "doc_id long, text string, lang string, source string, " + ", ".join(f"{x} int" for x in CLASHING)
+LONG = " ".join(f"w{i}" for i in range(30_000))
+PASSAGE = " ".join(f"p{i}" for i in range(20))
+
+
+def documents(spark, rows):
+    return spark.createDataFrame([(*x, *CLASHING.values()) for x in rows], SCHEMA)
+
+
+ROWS = [
+    (5, f"Alpha beta gamma. {PASSAGE} delta", "en", "a"),
+    (1, f"x y z {PASSAGE} omega", "en", "b"),
+    (7, f"x y z {PASSAGE} omega", "en", None),
+    (None, f"q {PASSAGE}", None, "a"),
+    (2, None, "en", "a"),
+    (3, "", "fr", "b"),
+    (4, " \t\n", None, "b"),
+    (9, "short one", "en", "a"),
+    (9, "short one", "en", "a"),
+    (10, LONG, "en", "c"),
+    (11, "Été à Paris 漢字 <|endoftext|> 12 ½", "fr", "c"),
+]
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    return documents(spark, ROWS).cache()
+
+
+@pytest.fixture(scope="module")
+def none(spark):
+    return documents(spark, [])
+
+
+def rows(df, *columns):
+    key = lambda x: [(y is None, y) for y in x]
+    return sorted((tuple(x) for x in df.select(*columns).collect()), key=key)
+
+
+def smallest_reachable(nodes, links):
+    label = {x: x for x in nodes}
+    while True:
+        changed = False
+        for a, b in links:
+            low = min(label[a], label[b])
+            if label[a] != low or label[b] != low:
+                label[a] = label[b] = low
+                changed = True
+        if not changed:
+            return label
+
+
+def test_components(spark):
+    rng = random.Random(3)
+    links = [(rng.randrange(300), rng.randrange(300)) for _ in range(200)] + [(1000 + i, 1001 + i) for i in range(50)]
+    found = dict(rows(components(spark.createDataFrame([*links, (None, 3), (4, 4)], "src long, dst long")), "node", "component"))
+    label = smallest_reachable({x for y in links for x in y}, links)
+    assert found == {x: label[x] for a, b in links if a != b for x in (a, b)}
+
+
+# embeddings
+
+
+def vectors(spark, rows_):
+    return spark.createDataFrame(rows_, "vec_id long, embedding array<double>, node string, links string")
+
+
+@pytest.mark.parametrize("size", [3, 16, 40])
+def test_embeddings_equal_brute_force(spark, size, monkeypatch):
+    monkeypatch.setattr(embeddings, "TILE", 40)
+    monkeypatch.setattr(embeddings, "STRIP", 500)
+    rng = np.random.default_rng(size)
+    near = rng.standard_normal((12, size))[rng.integers(0, 12, 150)] + 0.25 * rng.standard_normal((150, size))
+    some = np.concatenate([near, rng.standard_normal((100, size)) * 7, near[:3], near[:3] * 2])
+    ids = rng.permutation(len(some)).tolist()
+    found = embeddings.near_duplicates(vectors(spark, [(i, x.tolist(), "", "") for i, x in zip(ids, some)]))
+    units = some / np.linalg.norm(some, axis=1, keepdims=True)
+    close = units @ units.T >= 0.9
+    np.fill_diagonal(close, False)
+    label = smallest_reachable(ids, [(ids[a], ids[b]) for a, b in zip(*np.nonzero(close))])
+    expected = sorted((x, int(n), label[x], label[x] == x) for x, n in zip(ids, close.sum(axis=1)))
+    assert rows(found, "vec_id", "n_links", "component_id", "kept") == expected
+
+
+def test_odd_vectors(spark):
+    nan, inf = float("nan"), float("inf")
+    data = [(3, [1.0, 0.0]), (2, [2.0, 0.1]), (4, [0.0, 0.0]), (5, None), (6, [None, 1.0]), (7, [nan, 1.0]), (8, [inf, 1.0]), (9, []),
+            (None, [1.0, 0.0]), (3, [1.0, 0.0]), (1, [1.0]), (12, [1e200, 0.0, 0.0])]
+    found = embeddings.near_duplicates(vectors(spark, [(*x, "", "") for x in data]))
+    assert rows(found, "vec_id", "n_links", "component_id", "kept") == [
+        (1, 0, 1, True), (2, 3, 2, True), (3, 3, 2, False), (3, 3, 2, False), (4, 0, 4, True), (5, 0, 5, True), (6, 0, 6, True),
+        (7, 0, 7, True), (8, 0, 8, True), (9, 0, 9, True), (12, 0, 12, True), (None, 3, 2, False),
+    ]
+    assert embeddings.near_duplicates(vectors(spark, [])).count() == 0
+
+
+# chat
+
+
+def test_perspectives(spark):
+    schema = "conv_id long, turn long, role string, text string, segment string"
+    data = [(1, 0, "system", "be kind"), (1, 1, "ann", "hi"), (1, 2, "bob", "hello"), (1, 3, "ann", None), (2, 0, "system", "alone"), (None, 5, None, "x")]
+    turns = spark.createDataFrame([(*x, "") for x in data], schema)
+    found = chat.perspectives(turns, block=2).orderBy("conv_id", "perspective", "turn_no").collect()
+    by = {}
+    for x in found:
+        by.setdefault((x.conv_id, x.perspective), []).append(x)
+    assert set(by) == {(1, "ann"), (1, "bob"), (None, "unknown")}
+    text = "".join(x.segment for x in by[1, "ann"])
+    assert text == "<|system|>\nbe kind<|end|>\n<|assistant|>\nhi<|end|>\n<|user name=bob|>\nhello<|end|>\n<|assistant|>\n<|end|>\n"
+    assert [text[x.mask_start : x.mask_end] for x in by[1, "ann"]] == ["", "hi<|end|>", "", "<|end|>"]
+    text = "".join(x.segment for x in by[1, "bob"])
+    assert "".join(text[x.mask_start : x.mask_end] for x in by[1, "bob"]) == "hello<|end|>"
+    assert chat.perspectives(turns.limit(0)).count() == 0
+    assert chat.perspectives(turns.union(turns)).count() == 2 * len(found)
+
+
+# mixing
+
+
+def test_targets_are_filled_up(spark):
+    rng = random.Random(5)
+    for _ in range(3):
+        sizes = {f"s{i:02}": rng.choice([0, 1, 10, 1000, 50_000]) for i in range(12)} | {None: 7}
+        df = spark.createDataFrame([(k, v) for k, v in sizes.items()], "source string, size long")
+        found = {x.source: x.target for x in mixing.targets(df).collect()}
+        order = sorted((x for x in sizes if x is not None)) + [None]
+        weight = {x: (5, 2, 1)[i % 3] for i, x in enumerate(order)}
+        capped: set = set()
+        while True:  # as the contract says it
+            rest = sum(sizes.values()) - sum(3 * sizes[x] for x in capped)
+            open_ = [x for x in order if x not in capped]
+            share = {x: rest * weight[x] / sum(weight[y] for y in open_) for x in open_}
+            over = {x for x in open_ if share[x] > 3 * sizes[x]}
+            if not over:
+                break
+            capped |= over
+        assert found == pytest.approx({x: share.get(x, 3 * sizes[x]) for x in order})
+
+
+def test_mix(spark, odd, none):
+    found = mixing.mix(odd)
+    assert rows(found, "doc_id", "taken") == rows(mixing.mix(odd.repartition(7)), "doc_id", "taken")
+    sums = found.groupBy("source").agg(F.sum("taken").alias("taken"), F.max("target").alias("target"), F.max("source_size").alias("size")).collect()
+    assert all(0 <= x.target - x.taken < 1 for x in sums)
+    assert found.filter("taken > 3 * size OR (size = 0 AND taken > 0)").count() == 0
+    assert found.count() == odd.count() and mixing.mix(none).count() == 0
+    sent = mixing.mixed_documents(odd)
+    assert sent.columns == odd.columns and mixing.mixed_documents(none).count() == 0
+    assert 0 < sent.groupBy("doc_id", "text", "source").count().agg(F.max("count")).first()[0] <= 6
+
+
+# substrings
+
+
+def removed(documents_):
+    first = {}
+    windows = lambda w: [tuple(w[i : i + 13]) for i in range(len(w) - 12)]
+    split = [(float("inf") if i is None else i, i, re.findall(r"[^\x20\x09-\x0D]+", t or "")) for i, t in documents_]
+    for at, _, words in split:
+        for x in windows(words):
+            first[x] = min(first.get(x, at), at)
+    for at, i, words in split:
+        gone = {k + j for k, x in enumerate(windows(words)) if first[x] < at for j in range(13)}
+        yield i, len(words), len(gone), " ".join(x for k, x in enumerate(words) if k not in gone)
+
+
+def test_substrings_equal_brute_force(spark):
+    rng = random.Random(1)
+    passages = [[rng.choice("abcdefgh") * rng.randint(1, 2) for _ in range(rng.randint(8, 40))] for _ in range(10)]
+    docs = [(rng.choice([i, i, i, 3]), " ".join(sum(rng.choices(passages, k=rng.randint(0, 4)), [rng.choice("xyz")]))) for i in range(120)]
+    found = substrings.remove_repeats(documents(spark, [(*x, None, None) for x in docs]))
+    assert rows(found, "doc_id", "n_words", "n_removed", "kept") == sorted(removed(docs))
+
+
+def test_substrings_of_odd_rows(odd, none):
+    found = substrings.remove_repeats(odd)
+    key = lambda x: [(y is None, y) for y in x]
+    assert rows(found, "doc_id", "n_words", "n_removed", "kept") == sorted(removed([x[:2] for x in ROWS]), key=key)
+    left = substrings.without_repeats(odd)
+    assert left.columns == odd.columns
+    texts = dict(rows(left, "doc_id", "text"))
+    assert texts[2] is None and texts[3] == "" and texts[4] == " \t\n" and texts[5] == "Alpha beta gamma. delta" and 7 not in texts and texts[None] == "q"
+    assert substrings.without_repeats(none).count() == 0 == substrings.remove_repeats(none).count()
+
+
+def test_fm_index(spark):
+    rng = np.random.default_rng(2)
+    for round_ in range(30):
+        texts = [rng.integers(1, 3 if round_ % 2 else 40, rng.integers(13, 60)).astype(np.uint64) for _ in range(8)]
+        texts += [np.concatenate([texts[i][: i + 5], texts[7 - i]]) for i in range(4)]
+        docs, first = rng.integers(0, 6, len(texts)), {}
+        for x, doc in zip(texts, docs):
+            for i in range(len(x) - 12):
+                first[x[i : i + 13].tobytes()] = min(first.get(x[i : i + 13].tobytes(), 99), doc)
+        for x, found in zip(texts, substrings.earliest(texts, docs)):
+            assert found.tolist() == [first[x[i : i + 13].tobytes()] for i in range(len(x) - 12)]
+
+
+# simhash
+
+
+def plain_fingerprint(text):
+    words = re.findall(rb"[^\x20\x09-\x0D]+", re.sub(rb"[A-Z]", lambda x: x[0].lower(), (text or "").encode()))
+    shingles = [b" ".join(words[i : i + 3]) for i in range(len(words) - 2)] or ([b" ".join(words)] if words else [])
+    hashes = [xxhash.xxh64_intdigest(x, 42) for x in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+@pytest.mark.parametrize("max_bits,pairwise", [(0, 64), (1, 64), (1, 2), (2, 64), (2, 2), (3, 64)])
+def test_simhash_links(spark, max_bits, pairwise, monkeypatch):
+    monkeypatch.setattr(simhash, "PAIRWISE", pairwise)
+    rng = random.Random(max_bits)
+    prints = {rng.getrandbits(64) for _ in range(20)}
+    for x in list(prints) * 6:
+        for _ in range(rng.randint(1, 4)):
+            x ^= 1 << rng.randrange(64)
+        prints.add(x)
+    signed = lambda x: x - (1 << 64) if x >> 63 else x
+    prints = sorted(prints)
+    links = [(a, b) for a in prints for b in prints if a < b and (a ^ b).bit_count() <= max_bits]
+    df = spark.createDataFrame([(signed(x),) for x in prints], "fp long")
+    edges = [(a & (2**64 - 1), b & (2**64 - 1)) for a, b in simhash.links(df, max_bits).select("src", "dst").collect()]
+    assert all((a ^ b).bit_count() <= max_bits for a, b in edges)
+    assert smallest_reachable(prints, edges) == smallest_reachable(prints, links)
+
+
+def test_simhash_of_odd_rows(odd, none):
+    found = simhash.near_duplicates(odd)
+    given = [(i, plain_fingerprint(t)) for i, t, *_ in ROWS]
+    assert [(i, int(x, 16)) for i, x in rows(found, "doc_id", simhash.as_hex(F.col("fp")))] == sorted(given, key=lambda x: (x[0] is None, x))
+    assert dict(rows(found, "doc_id", "component_id")) | {None: None} == {i: i for i, *_ in ROWS} | {7: 1, 3: 2, 4: 2, None: None}
+    kept = simhash.keep_one(odd)
+    assert kept.columns == odd.columns and rows(kept, "doc_id") == [(1,), (2,), (5,), (9,), (10,), (11,), (None,)]
+    assert simhash.near_duplicates(none).count() == 0 == simhash.keep_one(none).count()
+
+
+# html
+
+PAGE = """<!DOCTYPE html><html><head><title>t</title><style>p{{}}</style></head><body class="has-sidebar"><header class="top"><h1>Site</h1></header>
+<div id="cookie-notice">We use cookies</div><div class="q1"><span>Call us now</span></div>
+<div class="wrap"><h2>T&eacute;st &amp; {n}</h2><p>One  {n}<p>Two <b>bold</b> {n}<ul><li>a{n}<li>b{n}</ul><script>if(a<b)"</p>"</script></div>
+<section class="comments"><p>first!</p></section><form><input>f</form><aside>s</aside><footer>foot {n}</footer></body></html>"""
+
+
+def test_main_text(spark):
+    pages = [(i, f"http://a.example/{i}", PAGE.format(n=i), "x") for i in range(12)]
+    pages += [(50, "http://b.example/", PAGE.format(n=1), "x"), (51, None, "<p>a&nbsp;b<br>c &lt;d&gt;", "x"), (52, "//c", None, "x"), (53, "c", "", "x"), (None, "d", "<p", "x"), (None, "d", "<p", "x")]
+    found = html.extract(spark.createDataFrame(pages, "page_id long, url string, html string, host string"))
+    by = {x.page_id: x.text for x in found.collect()}
+    body = lambda n: f"Tést & {n}\n\nOne {n}\n\nTwo bold {n}\n\na{n}\n\nb{n}"
+    assert [by[i] for i in range(12)] == [body(i) for i in range(12)]  # the line on all pages of the site is gone
+    assert by[50] == "Call us now\n\n" + body(1)  # one page says nothing about its site
+    assert by[51] == "a b c <d>" and by[52] == "" == by[53] and by[None] == "" and found.count() == len(pages)
+    assert html.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+def test_articles_of_all_pages(spark):
+    from html import unescape
+
+    for page_id, text in spark.read.parquet("/root/testdata/sf0.001/pages.parquet").select("page_id", "html").collect():
+        inside = re.search(r"<article>(.*)</article>", text, re.S)[1]
+        parts = (" ".join(unescape(re.sub(r"<[^>]*>", " ", x)).split()) for x in re.split(r"</?(?:h1|p)>", inside))
+        assert html.main_text(html.parse(text)[0]) == "\n\n".join(x for x in parts if x), page_id
+
+
+def test_broken_markup():
+    for text in ("<", "<p", "<!--", '<a href="x>y', "</x>", "<div>" * 5000 + "x", '"' * 500 + '<a "' * 3000, "<script>", "<table><tr><td>a<td>b"):
+        html.parse(text)
+
+
+# language
+
+
+def test_language(spark, odd, none):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    models = language.train(docs)
+    given = dict(rows(docs, "doc_id", "lang"))
+    found = language.identify(docs, models).filter(F.crc32(F.col("doc_id").cast("string")) % 5 == 0).collect()
+    assert np.mean([given[x.doc_id] == x.lang_pred for x in found]) > 0.95
+    assert all(0 <= x.score <= 1 for x in found)
+    by = {x.doc_id: x for x in language.identify(odd, models).collect()}
+    assert [by[i].lang_pred for i in (2, 3, 4)] == ["und"] * 3 and by[2].score == 0
+    assert {x.lang_pred for x in language.identify(odd, {}).collect()} == {"und"}
+    assert language.train(none) == {} and language.identify(none, models).count() == 0
+
+
+def test_model_is_a_distribution():
+    counts = language.grams({"the": 20, "then": 3, "hat": 5, "a": 1})
+    letters = sorted({x for gram in counts for x in gram} - {language.START})
+    model = language.estimate(dict(counts), len({x for gram in counts for x in gram}))
+    for context in ("\x02\x02\x02\x02", "\x02\x02th", "qqqq", "\x02\x02\x02h"):
+        points = language._points([context + x for x in letters], 5)
+        before = [np.zeros(len(points), np.uint64), *language._hashes(points[:, :-1])]
+        total = np.exp(language.log_likelihood(model, language._hashes(points), before)).sum()
+        unseen = 2 / (1 + len({x for gram in counts for x in gram}))  # the start mark and letters never met
+        assert 1 - unseen < total <= 1 + 1e-9
+
+
+# bpe
+
+
+def test_bpe_equals_the_library(spark, odd, none):
+    tokenizers = pytest.importorskip("tokenizers")
+    known = tokenizers.Tokenizer.from_file(byte_bpe())
+    rng, marks = random.Random(2), ["a", "aa", " ", "\n", "é", "\x85", "\x1c", "½", "<|endoftext|>", "<|end", "'s", "漢", "՘", "꟎", "\0", "!!", "\U0001f600"]
+    texts = [x[1] for x in ROWS] + ["".join(rng.choices(marks, k=rng.randrange(30))) for _ in range(200)]
+    docs = documents(spark, [(i, x, None, None) for i, x in enumerate(texts)])
+    for found in (bpe.decode(bpe.encode(docs, byte_bpe()), byte_bpe()), bpe.round_trip(docs, byte_bpe())):
+        for x in found.collect():
+            ids = known.encode(texts[x.doc_id] or "", add_special_tokens=False).ids
+            assert np.frombuffer(x.ids, "<u4").tolist() == ids
+            assert x.text == known.decode(ids, skip_special_tokens=False) == (texts[x.doc_id] or "")
+    assert bpe.round_trip(none, byte_bpe()).count() == 0
+
+
+# digest
+
+
+def test_digests(odd, none):
+    found = {}
+    for x in digest.compare_with_next(odd).collect():
+        found.setdefault(x.doc_id, []).append(x)
+    order = sorted({(i is None, i, t or "") for i, t, *_ in ROWS}, key=lambda x: (x[0], x[1] or 0))
+    for place, (_, doc, text) in enumerate(order):
+        after, quarter = order[(place + 1) % len(order)][2], len(text) // 4
+        changed = text[: len(text) - quarter] + after[:quarter]
+        for x in found[doc]:
+            assert x.n_chars == len(text) and x.edited_sha256 == hashlib.sha256(changed.encode()).hexdigest()
+            assert x.fingerprint == digest.fingerprint(text.encode()) and x.edited_fingerprint == digest.fingerprint(changed.encode())
+            assert x.near_next == digest.likeness(x.fingerprint, digest.fingerprint(after.encode()))
+    assert len(found[9]) == 2 and found[1][0].fingerprint == found[7][0].fingerprint
+    assert digest.compare_with_next(none).count() == 0
+
+
+def test_likeness():
+    rng = random.Random(4)
+    words = [" ".join(rng.choices(["stone", "river", "of", "the", "light", "green", "walk", "seven"], k=80)) for _ in range(30)]
+    prints = [digest.fingerprint(x.encode()) for x in words]
+    assert digest.likeness(prints[0], prints[0]) == 1.0
+    assert all(digest.likeness(a, digest.fingerprint((x[:-20] + "zz").encode())) > 0.7 for a, x in zip(prints, words))
+    assert digest.likeness(digest.fingerprint(b"completely different"), digest.fingerprint(b"1234 5678 90")) < 0.9
+
+
+# toxicity
+
+
+def test_toxicity(spark, odd, none):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{x}.parquet") for x in ("documents", "labels"))
+    model = toxicity.train(docs, labels, most=800)
+    given = dict(rows(labels, "doc_id", "toxic"))
+    found = [x for x in toxicity.score(docs, model).collect() if x.doc_id in given and zlib.crc32(str(x.doc_id).encode()) % 5 == 0]
+    assert np.mean([given[x.doc_id] == (x.score >= 0.5) for x in found]) > 0.97
+    assert all(x.offending for x in found if x.score > 0.75) and not any(x.offending for x in found if x.score < 0.5)
+    text = "All is well here. You are an idiot and a moron! Good night."
+    spans = toxicity.Scorer(model).offending(text)
+    assert [text[x["start"] : x["end"]] for x in spans] == ["You are an idiot and a moron!"]
+    assert {x.doc_id: x.score for x in toxicity.score(odd, model).collect()}[2] == 0
+    kept = toxicity.keep_clean(odd, model)
+    assert kept.columns == odd.columns and kept.count() == len(ROWS)
+    empty = labels.limit(0)
+    assert toxicity.train(odd, empty) == {} and toxicity.score(odd, {}).agg(F.max("score")).first()[0] < 1e-6
+    assert toxicity.score(none, model).count() == 0 == toxicity.keep_clean(none, model).count()
+
+
+def test_labels_held_out_are_not_learned(spark):
+    docs = documents(spark, [(i, "bad apple", None, None) for i in range(50)])
+    labels = spark.createDataFrame([(i, 1 if i % 2 else None) for i in range(50)], "doc_id long, toxic int")
+    found = rows(toxicity.sample(docs, labels), "label", "weight")
+    learned = [i for i in range(1, 50, 2) if zlib.crc32(str(i).encode()) % 5]
+    assert found == [(1, 1.0)] * len(learned)
