@@ -7,13 +7,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from roadpulse.functions.traffic import wall_time
-from roadpulse.schema import EVENT_COLUMNS, RAW_EVENT
+from roadpulse.schema import EVENT_COLUMNS, WHOLE, WIRE_EVENT
 
 BLANK = "blank"
 NOT_OBJECT = "not_object"
 MALFORMED = "malformed"
 BAD_EVENT_TIME = "bad_event_time"
 MISSING_ZONE = "missing_zone"
+#: White space as JSON defines it.
+JSON_SPACE = " \t\r\n"
 REASONS = [BLANK, NOT_OBJECT, MALFORMED, BAD_EVENT_TIME, MISSING_ZONE]
 
 # The message is parsed as one field of a wrapper whose last field must arrive.
@@ -21,7 +23,7 @@ REASONS = [BLANK, NOT_OBJECT, MALFORMED, BAD_EVENT_TIME, MISSING_ZONE]
 # then either breaks the wrapper or cuts its end off.
 _WRAPPER = T.StructType(
     [
-        T.StructField("event", RAW_EVENT),
+        T.StructField("event", WIRE_EVENT),
         T.StructField("complete", T.BooleanType()),
         T.StructField("broken", T.StringType()),
     ]
@@ -39,18 +41,51 @@ def parse_message(text: Column) -> Column:
     return F.from_json(wrapped, _WRAPPER, _JSON_OPTIONS)
 
 
+def whole(reading: Column) -> Column:
+    """A reading as a whole number, halves rounded up; NULL if no BIGINT can hold it."""
+    return F.round(reading).try_cast("bigint")
+
+
+def _lost(event: str) -> Column:
+    """Whether a reading is too large, or no number, for a whole number."""
+    found = F.lit(False)
+    for name in WHOLE:
+        reading = F.col(f"{event}.{name}")
+        found = found | (reading.isNotNull() & whole(reading).isNull())
+    return found
+
+
+def whole_event(event: str = "event") -> Column:
+    """The parsed event with whole readings."""
+    fields = [whole(F.col(f"{event}.{x}")) if x in WHOLE else F.col(f"{event}.{x}") for x in EVENT_COLUMNS]
+    return F.struct(*(field.alias(name) for field, name in zip(fields, EVENT_COLUMNS)))
+
+
+def holds_more(text: Column, event: str = "event") -> Column:
+    """Whether a message has fields the event has not, or readings that were rounded."""
+    unknown = F.array_except(F.json_object_keys(text), F.array(*map(F.lit, EVENT_COLUMNS)))
+    found = F.coalesce(F.size(unknown) > 0, F.lit(False))
+    for name in WHOLE:
+        reading = F.col(f"{event}.{name}")
+        found = found | F.coalesce(F.round(reading) != reading, F.lit(False))
+    return found
+
+
 def reject_reason(text: Column) -> Column:
     """Why a message cannot enter the lake, or NULL when it can.
 
     Reads the columns of ``parse_message`` and the text they came from. The order
     matters: each test presumes that the ones before it passed.
     """
-    trimmed = F.trim(text)
+    trimmed = F.btrim(text, F.lit(JSON_SPACE))
     return (
         F.when(text.isNull() | (trimmed == ""), BLANK)
         .when(~trimmed.startswith("{"), NOT_OBJECT)
         .when(
-            F.col("broken").isNotNull() | F.col("complete").isNull() | ~F.is_valid_utf8(text),
+            F.col("broken").isNotNull()
+            | F.col("complete").isNull()
+            | ~F.is_valid_utf8(text)
+            | _lost("event"),
             MALFORMED,
         )
         .when(

@@ -5,8 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadpulse.functions.codec import event_json, iso_text, parse_message, reject_reason
+from roadpulse.functions.codec import (
+    event_json,
+    holds_more,
+    iso_text,
+    parse_message,
+    reject_reason,
+    whole_event,
+)
 from roadpulse.functions.traffic import event_date, wall_time
+from roadpulse.schema import EXTRA
 
 
 def decode(messages: DataFrame, value: str = "value") -> DataFrame:
@@ -21,9 +29,18 @@ def decode(messages: DataFrame, value: str = "value") -> DataFrame:
     return parsed.withColumn("reason", reject_reason(F.col(value))).drop("complete", "broken")
 
 
-def accepted(decoded: DataFrame, *keep: str) -> DataFrame:
-    """The good events, flat, with the input columns named in ``keep`` in front."""
-    return decoded.filter(F.col("reason").isNull()).select(*keep, "event.*")
+def accepted(decoded: DataFrame, *keep: str, extra: str | None = None) -> DataFrame:
+    """The good events, flat, with the input columns named in ``keep`` in front.
+
+    Counts and speeds become whole numbers, halves rounded up. With ``extra``, the column
+    that holds the messages, a last column EXTRA keeps the whole message wherever it has
+    fields the event has not or a reading was rounded, so the raw zone loses nothing.
+    """
+    good = decoded.filter(F.col("reason").isNull())
+    whole = [] if extra is None else [F.when(holds_more(F.col(extra)), F.col(extra)).alias(EXTRA)]
+    return good.select(*keep, whole_event().alias("event"), *whole).select(
+        *keep, "event.*", *([EXTRA] if whole else [])
+    )
 
 
 def rejected(decoded: DataFrame, *keep: str, value: str = "value") -> DataFrame:

@@ -5,14 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadpulse.schema import EVENT_COLUMNS
+from roadpulse.schema import EVENT_COLUMNS, ROAD_TYPES, ZONES
 
 EVENTS_TABLE = (
     "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, "
     "value DOUBLE, props STRING"
 )
-_ZONES = ["Downtown", "Industrial", "Residential-North", "Residential-South", "Suburbs"]
-_ROADS = ["Highway", "Avenue", "Street"]
 
 
 def _pick(names: list[str], position: Column) -> Column:
@@ -31,8 +29,8 @@ def adapt(events: DataFrame, *keep: str) -> DataFrame:
         F.concat(F.lit("R"), F.lpad((sensor * 7 % 20 + 1).cast("string"), 3, "0")).alias(
             "road_id"
         ),
-        _pick(_ROADS, sensor % 3).alias("road_type"),
-        _pick(_ZONES, sensor % 5).alias("zone"),
+        _pick(list(ROAD_TYPES), sensor % 3).alias("road_type"),
+        _pick(ZONES, sensor % 5).alias("zone"),
         (F.floor("value") % 101).alias("vehicle_count"),
         (5 + (F.col("event_id") * 13) % 116).alias("average_speed"),
         F.get_json_object("props", "$.k").cast("double").alias("occupancy_rate"),
@@ -59,13 +57,16 @@ def with_wrong_road(events: DataFrame) -> DataFrame:
 
 
 def with_defects(messages: DataFrame) -> DataFrame:
-    """Breaks messages by ``event_type``: cut off, without a zone, or without a valid time."""
+    """Messages by ``event_type``: cut off, without a zone, or without a valid time; and good ones
+    with white space in front and an unknown field, or with a speed written as 45.0."""
     text = F.col("value").cast("string")
     kind = F.col("event_type")
     broken = (
         F.when(kind == "error", F.expr("left(cast(value AS STRING), length(value) - 1)"))
         .when(kind == "signup", F.regexp_replace(text, r'"zone":"[^"]*",', ""))
         .when(kind == "view", F.regexp_replace(text, r'"event_time":"[^"]*"', '"event_time":"?"'))
+        .when(kind == "click", F.concat(F.lit("\t\r\n "), F.regexp_replace(text, r"\}$", ',"lane":2}')))
+        .when(kind == "purchase", F.regexp_replace(text, r'"average_speed":(\d+)', '"average_speed":$1.0'))
         .otherwise(text)
     )
     return messages.withColumn("value", broken.cast("binary"))

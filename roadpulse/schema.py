@@ -22,6 +22,14 @@ RAW_EVENT = T.StructType(
 )
 EVENT_COLUMNS = RAW_EVENT.fieldNames()
 
+# Readings as JSON may write them: 45, 45.0 or 45.5. They become whole numbers when read.
+WHOLE = ["vehicle_count", "average_speed"]
+WIRE_EVENT = T.StructType(
+    [T.StructField(f.name, T.DoubleType() if f.name in WHOLE else f.dataType) for f in RAW_EVENT]
+)
+# Raw zone, in front of the partition columns: the whole message, where the event does not hold all of it.
+EXTRA = "message"
+
 # Typed view: sensors report wall-clock time without an offset, which is exactly
 # TIMESTAMP_NTZ. Hours and dates then do not depend on the session time zone.
 EVENT = T.StructType(
@@ -101,6 +109,7 @@ RUSH_HOURS = ((7, 9), (17, 19))
 DAY_HOURS = (6, 22)
 
 # Physical envelope of each road type; speeds may exceed the maximum by a tenth.
+ZONES = ["Downtown", "Industrial", "Residential-North", "Residential-South", "Suburbs"]
 ROAD_TYPES = {
     "Highway": RoadType(capacity=100, max_speed=120),
     "Avenue": RoadType(capacity=50, max_speed=60),

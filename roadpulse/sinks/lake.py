@@ -7,15 +7,19 @@ from pyspark.sql import DataFrame
 from roadpulse.functions.codec import iso_text
 from roadpulse.functions.traffic import wall_time
 from roadpulse.operators.ingest import route, spread
-from roadpulse.schema import EVENT_COLUMNS, LAKE_PARTITIONS
+from roadpulse.schema import EVENT_COLUMNS, EXTRA, LAKE_PARTITIONS
 from roadpulse.sources.lake import require_batch_lake
 
 PARTITIONS = LAKE_PARTITIONS.fieldNames()
 
 
 def lake_rows(events: DataFrame, fmt: str = "json") -> DataFrame:
-    """Rows as the lake stores them: the time as text in JSON, typed in Parquet."""
-    routed = route(events).select(*EVENT_COLUMNS, "date")
+    """Rows as the lake stores them: the time as text in JSON, typed in Parquet.
+
+    The message of events that hold more than their columns (EXTRA) is stored with them.
+    """
+    extra = [EXTRA] if EXTRA in events.columns else []
+    routed = route(events).select(*EVENT_COLUMNS, *extra, "date")
     if fmt == "json":
         # Text keeps what the sensor wrote; a typed JSON write would lose digits.
         if dict(events.dtypes)["event_time"] != "string":

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from roadpulse.operators.ingest import typed
-from roadpulse.schema import EVENT, EVENT_COLUMNS, LAKE_PARTITIONS, RAW_EVENT
+from roadpulse.schema import EVENT, EVENT_COLUMNS, EXTRA, LAKE_PARTITIONS, WHOLE, WIRE_EVENT
 
-FORMATS = {"json": RAW_EVENT, "parquet": EVENT}
+FORMATS = {"json": WIRE_EVENT, "parquet": EVENT}
 
 
 class LakeMissing(RuntimeError):
@@ -20,7 +21,7 @@ class LakeOfAnotherWriter(RuntimeError):
     """Writing here would hide files: those that are there, or those to be written."""
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def exists(spark: SparkSession, path: str) -> bool:
     try:
         spark.read.option("recursiveFileLookup", True).text(path)
     except AnalysisException as error:
@@ -32,7 +33,7 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 def followed_by_a_stream(spark: SparkSession, root: str) -> bool:
     """Whether a stream writes this lake. Reads then see the files in its log only."""
-    return _exists(spark, f"{root}/_spark_metadata")
+    return exists(spark, f"{root}/_spark_metadata")
 
 
 def require_batch_lake(spark: SparkSession, root: str) -> None:
@@ -41,7 +42,7 @@ def require_batch_lake(spark: SparkSession, root: str) -> None:
 
 
 def require_stream_lake(spark: SparkSession, root: str, fmt: str) -> None:
-    if followed_by_a_stream(spark, root) or not _exists(spark, root):
+    if followed_by_a_stream(spark, root) or not exists(spark, root):
         return
     if not read_lake(spark, root, fmt).isEmpty():
         raise LakeOfAnotherWriter(
@@ -61,8 +62,23 @@ def lake_schema(fmt: str) -> T.StructType:
     return T.StructType(body + list(LAKE_PARTITIONS))
 
 
+def whole_readings(files: DataFrame) -> DataFrame:
+    """Counts and speeds as whole numbers, halves rounded up, as ingest does."""
+    kinds = dict(files.dtypes)
+    rounded = {x: F.round(x).cast("bigint") for x in WHOLE if kinds[x] == "double"}
+    return files.withColumns(rounded) if rounded else files
+
+
 def _typed_view(files: DataFrame) -> DataFrame:
-    return typed(files).select(*EVENT_COLUMNS, "date")
+    return typed(whole_readings(files)).select(*EVENT_COLUMNS, "date")
+
+
+def read_extra(spark: SparkSession, root: str, fmt: str = "json") -> DataFrame:
+    """The messages that hold more than their event's columns, with ``date`` and ``zone``."""
+    partitions = LAKE_PARTITIONS.fieldNames()
+    schema = T.StructType([T.StructField(EXTRA, T.StringType()), *LAKE_PARTITIONS])
+    found = spark.read.schema(schema).format(fmt).load(root)
+    return found.filter(F.col(EXTRA).isNotNull()).select(EXTRA, *partitions)
 
 
 def read_lake(
@@ -108,8 +124,8 @@ def read_files(spark: SparkSession, pattern: str, mode: str = "FAILFAST") -> Dat
     For files whose body holds every field and whose directories are no proper partitions.
     Nothing can be skipped; prefer ``read_lake``.
     """
-    files = spark.read.schema(RAW_EVENT).option("mode", mode)
-    return typed(files.json(pattern))
+    files = spark.read.schema(WIRE_EVENT).option("mode", mode)
+    return typed(whole_readings(files.json(pattern)))
 
 
 def read_documents(spark: SparkSession, path: str, mode: str = "FAILFAST") -> DataFrame:
@@ -117,5 +133,5 @@ def read_documents(spark: SparkSession, path: str, mode: str = "FAILFAST") -> Da
 
     A document is one unit of work for a task; large data belongs into JSON lines.
     """
-    documents = spark.read.schema(RAW_EVENT).option("multiLine", True).option("mode", mode)
-    return typed(documents.json(path))
+    documents = spark.read.schema(WIRE_EVENT).option("multiLine", True).option("mode", mode)
+    return typed(whole_readings(documents.json(path)))

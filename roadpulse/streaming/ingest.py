@@ -39,7 +39,7 @@ def start_ingest(
     """
     require_stream_lake(messages.sparkSession, root, fmt)
     decoded = observe_ingest(decode(messages))
-    rows = spread(lake_rows(accepted(decoded), fmt), tasks_per_file, partitions)
+    rows = spread(lake_rows(accepted(decoded, extra="value"), fmt), tasks_per_file, partitions)
     writer = rows.writeStream.format(fmt).partitionBy(*PARTITIONS).option("path", root)
     return _start(writer, checkpoint, trigger)
 

@@ -9,11 +9,11 @@ import json
 from roadpulse.schema import EVENT_COLUMNS
 
 GOLDEN = [
-    ("S001", "R005", "Highway", "Downtown", 85, 35, 78.5, "2026-01-02T08:30:00.000000"),
-    ("S002", "R012", "Avenue", "Industrial", 42, 55, 45.2, "2026-01-02T08:35:00.000000"),
-    ("S003", "R008", "Street", "Residential-North", 18, 25, 82.1, "2026-01-02T08:40:00.000000"),
-    ("S004", "R003", "Highway", "Suburbs", 95, 75, 55.3, "2026-01-02T14:15:00.000000"),
-    ("S005", "R020", "Avenue", "Downtown", 72, 20, 88.7, "2026-01-02T18:45:00.000000"),
+    ("S001", "R003", "Highway", "Downtown", 62, 30, 74.5, "2026-01-02T08:31:00.000000"),
+    ("S002", "R011", "Avenue", "Industrial", 31, 48, 40.0, "2026-01-02T08:37:00.000000"),
+    ("S003", "R017", "Street", "Residential-North", 15, 22, 91.5, "2026-01-02T08:44:00.000000"),
+    ("S004", "R006", "Highway", "Suburbs", 81, 70, 33.0, "2026-01-02T14:25:00.000000"),
+    ("S005", "R014", "Avenue", "Downtown", 55, 18, 86.0, "2026-01-02T18:10:00.000000"),
 ]
 
 

@@ -15,21 +15,21 @@ from roadpulse.schema import EVENT, KPI_SCHEMAS, RAW_EVENT
 
 EXPECTED = {
     "traffic_by_zone": {
-        ("Suburbs", 95.0, 1),
-        ("Downtown", 78.5, 2),
-        ("Industrial", 42.0, 1),
-        ("Residential-North", 18.0, 1),
+        ("Suburbs", 81.0, 1),
+        ("Downtown", 58.5, 2),
+        ("Industrial", 31.0, 1),
+        ("Residential-North", 15.0, 1),
     },
-    "speed_by_road": {("Highway", 55.0), ("Avenue", 37.5), ("Street", 25.0)},
+    "speed_by_road": {("Highway", 50.0), ("Avenue", 33.0), ("Street", 22.0)},
     "congestion_alerts": {
-        ("Downtown", "Highway", 35, 78.5, datetime(2026, 1, 2, 8, 30)),
-        ("Residential-North", "Street", 25, 82.1, datetime(2026, 1, 2, 8, 40)),
-        ("Downtown", "Avenue", 20, 88.7, datetime(2026, 1, 2, 18, 45)),
+        ("Downtown", "Highway", 30, 74.5, datetime(2026, 1, 2, 8, 31)),
+        ("Residential-North", "Street", 22, 91.5, datetime(2026, 1, 2, 8, 44)),
+        ("Downtown", "Avenue", 18, 86.0, datetime(2026, 1, 2, 18, 10)),
     },
     "hourly_stats": {
-        (8, 48.333333333333336, 38.333333333333336),
-        (14, 95.0, 75.0),
-        (18, 72.0, 20.0),
+        (8, 36.0, 33.333333333333336),
+        (14, 81.0, 70.0),
+        (18, 55.0, 18.0),
     },
     "critical_zones": {
         ("Downtown", 2),
@@ -145,20 +145,20 @@ def test_hours_do_not_move_with_the_session_zone(spark, golden):
 def test_panels(golden):
     tables = compute_kpis(golden)
     by_hour = [tuple(r) for r in panels.traffic_by_hour(tables["hourly_stats"]).collect()]
-    assert by_hour == [(8, 48.333333333333336), (14, 95.0), (18, 72.0)]
+    assert by_hour == [(8, 36.0), (14, 81.0), (18, 55.0)]
     by_road = [tuple(r) for r in panels.speed_by_road(tables["speed_by_road"]).collect()]
-    assert by_road == [("Highway", 55.0), ("Avenue", 37.5), ("Street", 25.0)]
+    assert by_road == [("Highway", 50.0), ("Avenue", 33.0), ("Street", 22.0)]
     by_zone = [tuple(r) for r in panels.traffic_by_zone(tables["traffic_by_zone"]).collect()]
     assert by_zone == [
-        ("Suburbs", 95.0),
-        ("Downtown", 78.5),
-        ("Industrial", 42.0),
-        ("Residential-North", 18.0),
+        ("Suburbs", 81.0),
+        ("Downtown", 58.5),
+        ("Industrial", 31.0),
+        ("Residential-North", 15.0),
     ]
     critical = [tuple(r) for r in panels.critical_zones(tables["critical_zones"], 3).collect()]
     assert critical == [("Downtown", 2), ("Residential-North", 1), ("Industrial", 0)]
     latest = panels.latest_alerts(tables["congestion_alerts"]).collect()
-    assert [r.average_speed for r in latest] == [20, 25, 35]
+    assert [r.average_speed for r in latest] == [18, 22, 30]
     assert panels.preview(golden, 2).count() == 2
 
 

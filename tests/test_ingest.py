@@ -34,7 +34,13 @@ def reasons(spark, *values):
         (message(event_time="2026-01-02T14:30:00+05:00"), None),
         (message(event_time="2026-01-02"), None),
         ("", "blank"),
-        ("  \t"[:2], "blank"),
+        ("\t", "blank"),
+        ("\n", "blank"),
+        ("  \t\r\n", "blank"),
+        (f"\t{GOOD}", None),
+        (f"\n{GOOD}", None),
+        (f"\r\n {GOOD}\t", None),
+        ("\u00a0" + GOOD, "not_object"),
         (None, "blank"),
         ("{bad", "malformed"),
         (GOOD[:-1], "malformed"),
@@ -44,7 +50,10 @@ def reasons(spark, *values):
         (f"{GOOD},{GOOD}", "malformed"),
         (GOOD.replace('"S001"', "'S001'"), "malformed"),
         (message(vehicle_count="x"), "malformed"),
-        (message(average_speed=35.5), "malformed"),
+        (message(average_speed=35.0), None),
+        (message(average_speed=35.5), None),
+        (message(vehicle_count=1e300), "malformed"),
+        (message(vehicle_count="NaN"), "malformed"),
         (GOOD.encode().replace(b"S001", b"\xff\xfe"), "malformed"),
         ("5", "not_object"),
         ("[1]", "not_object"),
@@ -75,6 +84,14 @@ def test_text_values_and_split(spark):
     assert rows(ingest.rejected(decoded, "n")) == {(2, "{bad", "malformed")}
 
 
+def test_nothing_of_a_good_message_is_lost(spark):
+    more, rounded, same = message(lane=2), message(average_speed=35.5), message(average_speed=35.0)
+    messages = spark.createDataFrame([(x,) for x in (GOOD, more, rounded, same)], "value STRING")
+    events = ingest.accepted(ingest.decode(messages), extra="value").collect()
+    assert [x.message for x in events] == [None, more, rounded, None]
+    assert [x.average_speed for x in events] == [30, 30, 36, 35]
+
+
 def test_a_filter_does_not_parse_twice(spark):
     messages = spark.createDataFrame([(GOOD,)], "value STRING")
     for table in (
