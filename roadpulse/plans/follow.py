@@ -1,8 +1,10 @@
 """Indicators that follow the lake: events are read when they arrive and not again.
 
-The summary consists of sums and counts, so new events are added to it; the cost of a
-refresh follows the new events and not the lake. A store is kept either this way or by
-runs over the lake (``plans.refresh``), never by both.
+The summary consists of sums and counts, so that of new events is stored beside the older
+ones, by date and batch, and added up when it is read. The four indicators need it without
+the date: these totals, a few rows an hour of day, zone and road type, are carried from batch
+to batch. A batch therefore costs what arrives in it, however many dates there are. A store is
+kept either this way or by runs over the lake (``plans.refresh``), never by both.
 """
 
 from __future__ import annotations
@@ -12,39 +14,51 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from roadpulse.operators import kpis, summary
-from roadpulse.plans.refresh import Refresh, serve, write_indicators
+from roadpulse.operators.checks import require_rows
+from roadpulse.plans.refresh import PROGRESS, Refresh, publish, write_indicators
 from roadpulse.schema import ALERT_COLUMNS, SUMMARY
-from roadpulse.sinks.store import add_alerts, write_summary
+from roadpulse.sinks.database import append_database
+from roadpulse.sinks.store import add_alerts, add_summary
 from roadpulse.sources.lake import stream_lake
+from roadpulse.sources.store import ALERTS, read_dated_alerts, read_table
 from roadpulse.streaming.ingest import ONCE
 
 
 def add_batch(spark: SparkSession, events: DataFrame, store: str, batch: int) -> None:
     """Adds a batch of events, with ``date``, to the stored tables.
 
-    Batches alternate between two running summaries: each reads the one its predecessor
-    left and writes the other. Nothing a batch reads is changed by it, so a batch that
-    broke off is simply done again, and never counted twice.
+    Batches alternate between two totals: each reads the one its predecessor left and
+    writes the other. Nothing a batch reads is changed by it, so a batch that broke off is
+    simply done again, and never counted twice.
     """
     part = f"{store}/_running/part"
     summary.summarize(events).write.mode("overwrite").parquet(part)
     added = spark.read.schema(SUMMARY).parquet(part)
-    total = added
+    total = added.withColumn("date", F.lit(None).cast("date"))
     if batch > 0:
         before = spark.read.schema(SUMMARY).parquet(f"{store}/_running/{(batch - 1) % 2}")
-        total = summary.merge(before.unionByName(added))
+        total = before.unionByName(total)
     running = f"{store}/_running/{batch % 2}"
-    total.write.mode("overwrite").parquet(running)
-    total = spark.read.schema(SUMMARY).parquet(running)
-
-    # One row per date of the batch reaches the driver.
-    dates = [row.date for row in added.select("date").distinct().collect()]
-    touched = F.lit(None in dates) & F.col("date").isNull()
-    touched = touched | F.col("date").isin([day for day in dates if day is not None])
-    write_summary(total.filter(touched), store, replace_all=batch == 0)
+    summary.merge(total).coalesce(1).write.mode("overwrite").parquet(running)
+    add_summary(added, store, batch)
     alerts = events.filter(kpis.congested()).select(*ALERT_COLUMNS, "date")
     add_alerts(alerts, store, batch)
-    write_indicators(total, store)
+    write_indicators(spark.read.schema(SUMMARY).parquet(running), store)
+
+
+def publish_batch(spark: SparkSession, refresh: Refresh, batch: int) -> None:
+    """The four small tables whole, and the alerts of the batch where alerts are published.
+
+    Alerts are appended; a batch done again after its load appends them again, which
+    ``verify`` finds by comparing the counts. The first batch replaces what is there.
+    """
+    small = [name for name in refresh.published if name != ALERTS]
+    publish(spark, refresh.store, refresh.database, small)
+    if ALERTS in refresh.published and batch == 0:
+        publish(spark, refresh.store, refresh.database, [ALERTS], refresh.alert_connections)
+    elif ALERTS in refresh.published:
+        alerts = read_dated_alerts(spark, refresh.store, batch).select(*ALERT_COLUMNS)
+        append_database(alerts, refresh.database, ALERTS, refresh.alert_connections)
 
 
 def start_following(
@@ -54,7 +68,10 @@ def start_following(
     files_per_batch: int | None = None,
     events: DataFrame | None = None,
 ) -> StreamingQuery:
-    """Compute, publish and verify for the events that reach the lake.
+    """Compute and publish for the events that reach the lake.
+
+    Each batch checks that the indicators have rows; ``plans.refresh.verify`` compares
+    all counts, for instance once a run.
 
     The progress is kept inside the store, as the two belong together. ``events`` takes
     the place of the lake, for instance the union of the streams of two lakes.
@@ -62,7 +79,9 @@ def start_following(
 
     def add(arrived: DataFrame, batch: int) -> None:
         add_batch(spark, arrived, refresh.store, batch)
-        serve(spark, refresh)
+        require_rows(read_table(spark, refresh.store, "traffic_by_zone"), "traffic_by_zone")
+        if refresh.database is not None:
+            publish_batch(spark, refresh, batch)
 
     if events is None:
         events = stream_lake(
@@ -71,5 +90,5 @@ def start_following(
     # Selected here and not in the batch, whose columns are all read whatever it uses.
     used = events.select("vehicle_count", *ALERT_COLUMNS, "date")
     writer = used.writeStream.foreachBatch(add)
-    writer = writer.option("checkpointLocation", f"{refresh.store}/_progress")
+    writer = writer.option("checkpointLocation", f"{refresh.store}/{PROGRESS}")
     return writer.trigger(**(trigger or ONCE)).start()

@@ -183,6 +183,14 @@ SELECT * FROM ({_HOURS}) h WHERE window_start + INTERVAL 1 HOUR <=
     "stored_panel_sql": _TRAFFIC_BY_HOUR,
     "lake_to_panel": f"{_CRITICAL_ZONES} ORDER BY congestion_count DESC, zone LIMIT 5",
     "refresh_one_date": _SUMMARY,
+    "refresh_shrunk_date": f"""
+SELECT CAST(event_time AS DATE) AS date, count(*) AS events,
+       count(CASE WHEN {_CONGESTED} THEN 1 END) AS congested,
+       count(CASE WHEN {_CONGESTED} THEN 1 END) AS alerts
+FROM v WHERE CAST(event_time AS DATE) <> DATE '2024-01-16'
+  AND (CAST(event_time AS DATE) <> DATE '2024-01-15' OR NOT coalesce({_CONGESTED}, false))
+GROUP BY CAST(event_time AS DATE)
+""",
     "follow_lake": _SUMMARY,
 }
 

@@ -15,9 +15,9 @@ from roadpulse.operators.checks import require_rows, row_counts
 from roadpulse.operators.ingest import route
 from roadpulse.schema import ALERT_COLUMNS, KPI_NAMES, LATEST_ALERTS
 from roadpulse.sinks.database import write_database
-from roadpulse.sinks.store import write_alerts, write_summary, write_table
+from roadpulse.sinks.store import clear_dates, write_alerts, write_summary, write_table
 from roadpulse.sources.database import Database, database_count
-from roadpulse.sources.lake import read_lake
+from roadpulse.sources.lake import exists, read_lake
 from roadpulse.sources.store import (
     ALERTS,
     read_dated_alerts,
@@ -27,6 +27,14 @@ from roadpulse.sources.store import (
 )
 
 
+#: Folder of a store in which following keeps its progress.
+PROGRESS = "_progress"
+
+
+class FollowedStore(RuntimeError):
+    """The store is kept by following a lake; a run over the lake would mix the two."""
+
+
 class CountMismatch(RuntimeError):
     """A serving table does not hold the rows of its stored table."""
 
@@ -65,15 +73,22 @@ def store_kpis(
 ) -> None:
     """Computes and stores the five tables; with ``dates`` only these are read again.
 
+    The named dates are the scope: what is stored of them goes first, also where nothing
+    takes its place. A store that follows a lake is refused.
+
     Two passes over the events: one for the summary behind the four aggregates, one
     for the alerts. The stored summary cuts the lineage, so that a lost executor or a
     failed table does not send the run back to the lake.
     """
     if "date" not in events.columns:
         events = route(events)
+    if exists(spark, f"{store}/{PROGRESS}"):
+        raise FollowedStore(f"{store} follows a lake: refresh it by following, or use a new store")
     everything = dates is None
     if not everything:
-        events = events.filter(_of_dates(set(dates)))
+        dates = set(dates)
+        events = events.filter(_of_dates(dates))
+        clear_dates(spark, store, dates)
     alerts = events.filter(kpis.congested()).select(*ALERT_COLUMNS, "date")
     # Independent jobs are handed in together; the cluster fills the gaps between them.
     with ThreadPoolExecutor(max_workers=4) as jobs:

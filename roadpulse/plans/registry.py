@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadpulse.functions.codec import iso_text
+from roadpulse.functions.traffic import congested
 from roadpulse.operators import checks, ingest, kpis, panels, summary, windows
 from roadpulse.plans import refresh
 from roadpulse.plans.follow import start_following
@@ -21,7 +22,7 @@ from roadpulse.plans.road_events import (
 from roadpulse.schema import EVENT_COLUMNS
 from roadpulse.sinks.lake import write_lake
 from roadpulse.sources.lake import read_documents, read_lake, stream_lake
-from roadpulse.sources.store import read_summary, read_table, register_views
+from roadpulse.sources.store import read_dated_alerts, read_summary, read_table, register_views
 from roadpulse.streaming import live
 from roadpulse.streaming.ingest import ONCE, start_conversion, start_ingest, start_rejects
 from roadpulse.streaming.session import scratch, stream_session
@@ -185,7 +186,7 @@ def document_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = events.groupBy(F.floor(F.col("event_id") / 2000).alias("document")).agg(
         F.to_json(F.collect_list(F.struct(*EVENT_COLUMNS)), {"pretty": "true"}).alias("value")
     )
-    documents.write.partitionBy("document").text(path)
+    documents.select("value").write.option("maxRecordsPerFile", 1).text(path)
     return read_documents(spark, path).select(*EVENT_COLUMNS)
 
 
@@ -378,12 +379,27 @@ def refresh_one_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_summary(spark, store)
 
 
+@_query
+def refresh_shrunk_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events, congested ones and stored alerts by date, after a refresh of two dates of which
+    one has lost its congestion and the other all its events."""
+    store, events = _store(spark, sf_dir), road_events(spark, sf_dir)
+    day, quiet, empty = F.to_date("event_time"), date(2024, 1, 15), date(2024, 1, 16)
+    left = events.filter((day != empty) & ((day != quiet) | ~F.coalesce(congested(), F.lit(False))))
+    refresh.store_kpis(spark, left, store, [quiet, empty])
+    sums = read_summary(spark, store).groupBy("date")
+    sums = sums.agg(F.sum("events").alias("events"), F.sum("congested").alias("congested"))
+    alerts = read_dated_alerts(spark, store).groupBy("date").agg(F.count("*").alias("alerts"))
+    return sums.join(alerts, "date", "full").fillna(0, ["alerts"])
+
+
 @_query
 def follow_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The summary of a store that followed a lake while it grew."""
     events = road_events(spark, sf_dir)
     paths = refresh.Refresh(scratch(spark, "lake"), scratch(spark, "store"), "parquet")
-    for period in ("event_time < '2024-01-15 12:00:00'", "event_time >= '2024-01-15 12:00:00'"):
+    early = F.coalesce(F.col("event_time") < "2024-01-15 12:00:00", F.lit(True))
+    for period in (early, ~early):
         write_lake(events.filter(period), paths.lake, "parquet")
         start_following(spark, paths).awaitTermination()
     return read_summary(spark, paths.store)

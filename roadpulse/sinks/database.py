@@ -7,6 +7,21 @@ from pyspark.sql import DataFrame
 from roadpulse.sources.database import Database
 
 
+def append_database(
+    table: DataFrame, database: Database, name: str, connections: int = 1, batch_rows: int = 10_000
+) -> None:
+    """Adds rows to a database table, over at most ``connections`` sessions."""
+    (
+        table.write.format("jdbc")
+        .options(**database.connection())
+        .option("dbtable", name)
+        .option("numPartitions", connections)
+        .option("batchsize", batch_rows)
+        .mode("append")
+        .save()
+    )
+
+
 def write_database(
     table: DataFrame,
     database: Database,

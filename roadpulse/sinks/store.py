@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterable
+from datetime import date
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadpulse.sources.store import ALERTS, SUMMARY_NAME
@@ -22,12 +25,28 @@ def _write_dated(table: DataFrame, path: str, replace_all: bool, *below: str) ->
     )
 
 
+def clear_dates(spark: SparkSession, store: str, dates: Iterable[date | None]) -> None:
+    """Removes what is stored of these dates, so that a date that lost its rows keeps none."""
+    files = spark._jvm.org.apache.hadoop.fs
+    for name in (SUMMARY_NAME, ALERTS):
+        for day in dates:
+            value = "__HIVE_DEFAULT_PARTITION__" if day is None else day.isoformat()
+            path = files.Path(f"{store}/{name}/date={value}")
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def write_summary(summary: DataFrame, store: str, replace_all: bool = True) -> None:
     """Replaces the summary, or only the dates present in ``summary``."""
     # Some hundred rows a date: one task writes a date's single file.
     _write_dated(summary.repartition("date"), f"{store}/{SUMMARY_NAME}", replace_all)
 
 
+def add_summary(summary: DataFrame, store: str, batch: int) -> None:
+    """Adds the summary of a batch; writing the same batch again replaces it."""
+    numbered = summary.withColumn("batch", F.lit(batch)).repartition("date")
+    _write_dated(numbered, f"{store}/{SUMMARY_NAME}", batch == 0, "batch")
+
+
 def add_alerts(alerts: DataFrame, store: str, batch: int) -> None:
     """Adds the alerts of a batch; writing the same batch again replaces it."""
     numbered = alerts.withColumn("batch", F.lit(batch))

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from roadpulse.operators.summary import merge
 from roadpulse.schema import KPI_NAMES, KPI_SCHEMAS, SUMMARY
 
 ALERTS = "congestion_alerts"
@@ -23,14 +25,22 @@ def read_tables(spark: SparkSession, store: str) -> dict[str, DataFrame]:
     return {name: read_table(spark, store, name) for name in KPI_NAMES}
 
 
-def read_dated_alerts(spark: SparkSession, store: str) -> DataFrame:
-    """The alerts with the partition column ``date``, for reads of a few dates."""
+def read_dated_alerts(spark: SparkSession, store: str, batch: int | None = None) -> DataFrame:
+    """The alerts with the partition column ``date``, for reads of a few dates; of one batch
+    in a store that follows a lake."""
     schema = T.StructType(list(KPI_SCHEMAS[ALERTS]) + [_DATE])
-    return spark.read.schema(schema).parquet(f"{store}/{ALERTS}").select(*schema.fieldNames())
+    stored = spark.read.schema(schema).parquet(f"{store}/{ALERTS}")
+    if batch is not None:
+        stored = stored.filter(F.col("batch") == batch) if "batch" in stored.columns else stored.limit(0)
+    return stored.select(*schema.fieldNames())
 
 
 def read_summary(spark: SparkSession, store: str) -> DataFrame:
-    return spark.read.schema(SUMMARY).parquet(f"{store}/{SUMMARY_NAME}")
+    """The stored summary; what following added batch by batch is added up here."""
+    stored = spark.read.schema(SUMMARY).parquet(f"{store}/{SUMMARY_NAME}")
+    if "batch" in stored.columns:
+        stored = merge(stored)
+    return stored.select(*SUMMARY.fieldNames())
 
 
 def register_views(spark: SparkSession, store: str) -> None:

@@ -115,6 +115,31 @@ def test_database_source():
     assert session.settings["query"] == "SELECT COUNT(*) AS row_total FROM critical_zones"
 
 
+def test_alerts_are_appended_batch_by_batch(monkeypatch, spark, golden, tmp_path):
+    from roadpulse.operators.ingest import route
+    from roadpulse.plans import follow
+
+    loads = []
+    monkeypatch.setattr(refresh, "write_database", lambda t, d, name, c: loads.append((name, "all", t.count())))
+    monkeypatch.setattr(follow, "append_database", lambda t, d, name, c: loads.append((name, "more", t.count(), c)))
+    paths = refresh.Refresh("", str(tmp_path / "store"), database=DATABASE, alert_connections=3)
+    batches = [golden, golden.limit(0).union(golden.filter("sensor_id = 'S001'")), golden.filter("sensor_id = 'S004'")]
+    for number, batch in enumerate(batches):
+        follow.add_batch(spark, route(batch), paths.store, number)
+        follow.publish_batch(spark, paths, number)
+    alerts = [x[1:] for x in loads if x[0] == "congestion_alerts"]
+    assert alerts == [("all", 3), ("more", 1, 3), ("more", 0, 3)]
+    assert {x[0] for x in loads} == set(KPI_NAMES)
+
+
+def test_append_options():
+    from roadpulse.sinks.database import append_database
+
+    table = Recorder()
+    append_database(table, DATABASE, "congestion_alerts", connections=8)
+    assert table.settings["mode"] == "append" and table.settings["numPartitions"] == 8
+
+
 def test_publish_and_verify(monkeypatch, spark, golden, tmp_path):
     store = str(tmp_path / "store")
     refresh.store_kpis(spark, golden, store)

@@ -19,13 +19,13 @@ from roadpulse.sources.store import read_summary, read_tables, register_views
 
 PANELS = {
     "SELECT hour, AVG(avg_vehicles) FROM hourly_stats GROUP BY hour ORDER BY hour": [
-        (8, 48.333333333333336), (14, 95.0), (18, 72.0),
+        (8, 36.0), (14, 81.0), (18, 55.0),
     ],
     "SELECT road_type, avg_speed FROM speed_by_road ORDER BY avg_speed DESC": [
-        ("Highway", 55.0), ("Avenue", 37.5), ("Street", 25.0),
+        ("Highway", 50.0), ("Avenue", 33.0), ("Street", 22.0),
     ],
     "SELECT zone, avg_vehicles FROM traffic_by_zone ORDER BY avg_vehicles DESC": [
-        ("Suburbs", 95.0), ("Downtown", 78.5), ("Industrial", 42.0), ("Residential-North", 18.0),
+        ("Suburbs", 81.0), ("Downtown", 58.5), ("Industrial", 31.0), ("Residential-North", 15.0),
     ],
 }
 
@@ -60,7 +60,7 @@ def test_dashboard_sql_runs_unchanged(spark, paths):
         "SELECT zone, road_type, average_speed, event_time FROM congestion_alerts "
         "ORDER BY event_time DESC LIMIT 10"
     )
-    assert [r.average_speed for r in latest.collect()] == [20, 25, 35]
+    assert [r.average_speed for r in latest.collect()] == [18, 22, 30]
 
 
 def _more(spark, *days):
@@ -81,6 +81,40 @@ def test_refreshing_dates_equals_a_full_run(spark, tmp_path):
         assert sorted(map(str, stored.collect())) == sorted(map(str, table.collect()))
 
 
+def test_a_refreshed_date_that_shrinks_keeps_no_rows(spark, tmp_path):
+    store, full = str(tmp_path / "store"), str(tmp_path / "full")
+    refresh.store_kpis(spark, _more(spark, 1, 2, 3), store)
+    left = _more(spark, 1).union(_more(spark, 2).filter("sensor_id = 'S004'"))
+    refresh.store_kpis(spark, left, store, [date(2026, 1, 2), date(2026, 1, 3)])
+    refresh.store_kpis(spark, left, full)
+    _same_tables(spark, full, store)
+
+
+def test_a_store_is_kept_one_way(spark, tmp_path):
+    lake, store, full = (str(tmp_path / name) for name in ("lake", "store", "full"))
+    paths = refresh.Refresh(lake, store)
+    write_lake(_more(spark, 1, 2), lake)
+    refresh.run(spark, paths)
+    start_following(spark, paths).awaitTermination()  # takes the store over
+    for dates in (None, [date(2026, 1, 2)]):
+        with pytest.raises(refresh.FollowedStore, match="follows a lake"):
+            refresh.run(spark, paths, dates)
+    write_lake(_more(spark, 2), lake)
+    start_following(spark, paths).awaitTermination()
+    refresh.run(spark, refresh.Refresh(lake, full))
+    _same_tables(spark, full, store)
+
+
+def test_a_batch_reads_totals_that_do_not_grow_with_dates(spark, tmp_path):
+    store = str(tmp_path / "store")
+    sizes = []
+    for number, days in enumerate((range(1, 3), range(3, 20), range(20, 29), [28])):
+        add_batch(spark, route(_more(spark, *days)), store, number)
+        sizes.append(spark.read.parquet(f"{store}/_running/{number % 2}").count())
+    assert sizes == [5, 5, 5, 5]  # hour, zone and road type of the samples
+    assert read_summary(spark, store).count() == 28 * 5
+
+
 def _same_tables(spark, one, other):
     assert rows(read_summary(spark, one)) == rows(read_summary(spark, other))
     for name, table in read_tables(spark, one).items():
@@ -146,7 +180,7 @@ def test_latest_alerts_open_few_dates(spark, tmp_path):
     refresh.store_kpis(spark, _more(spark, *range(1, 10)), store)
     latest = refresh.latest_alerts(spark, store, 4)
     assert [(r.event_time.day, r.average_speed) for r in latest.collect()] == [
-        (9, 20), (9, 25), (9, 35), (8, 20),
+        (9, 18), (9, 22), (9, 30), (8, 18),
     ]
     text = plan(latest)
     assert "PartitionFilters" in text and "TakeOrderedAndProject" in text
