@@ -12,14 +12,16 @@ search: for every window the index tells how far it matches and which documents
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from roadpulse.llm.common import IDENTITY, doc_id, identity, map_batches, pieces, raw_bytes
+from roadpulse.llm.common import map_batches, pieces, raw_bytes
 
 WINDOW, ANCHOR = 13, 4
 #: Words of one index; a shard's anchors are indexed together up to this many.
@@ -59,11 +61,12 @@ def anchors(words: np.ndarray, window: int = WINDOW, anchor: int = ANCHOR) -> np
     return (np.minimum(value[:-rest], value[rest:]) if rest else value).view(np.int64)
 
 
-def segments(selected: np.ndarray) -> Iterator[tuple[int, int]]:
-    """(first window, number of windows) of the runs of equal anchors."""
-    if len(selected):
-        starts = np.flatnonzero(np.append(True, selected[1:] != selected[:-1]))
-        yield from zip(starts.tolist(), np.diff(np.append(starts, len(selected))).tolist())
+def segments(selected: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First window and number of windows of the runs of equal anchors."""
+    if not len(selected):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    starts = np.flatnonzero(np.append(True, selected[1:] != selected[:-1]))
+    return starts, np.diff(np.append(starts, len(selected)))
 
 
 class WaveletMatrix:
@@ -172,10 +175,11 @@ def _shared_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, i
         for row, doc, shared, text in zip(*columns):
             words = hashes.of((text or b"").split())
             selected = anchors(words)
-            wanted = np.isin(selected, shared.values.to_numpy())
-            for first, count in segments(selected):
-                if wanted[first]:
-                    yield row, doc, first, count, int(selected[first]), words[first : first + count + WINDOW - 1].tobytes()
+            starts, counts = segments(selected)
+            known, heads = np.sort(shared.values.to_numpy()), selected[starts]
+            wanted = known[np.minimum(np.searchsorted(known, heads), len(known) - 1)] == heads
+            for first, count, anchor in zip(starts[wanted].tolist(), counts[wanted].tolist(), heads[wanted].tolist()):
+                yield row, doc, first, count, anchor, words[first : first + count + WINDOW - 1].tobytes()
 
 
 def _batches(rows: Iterator[tuple], schema: pa.Schema, size: int = 20_000) -> Iterator[pa.RecordBatch]:
@@ -248,7 +252,8 @@ def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     return _batches(rows(), schema)
 
 
-def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _remove(batches: Iterator[pa.RecordBatch], untouched: bool) -> Iterator[pa.RecordBatch]:
+    """The kept words of each text; if `untouched`, a text that loses nothing stays as it is."""
     for batch in pieces(batches, "text"):
         total, gone, kept = [], [], []
         columns = (raw_bytes(batch.column("text")), batch.column("first_copy").to_pylist(), batch.column("windows"))
@@ -263,30 +268,21 @@ def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 np.add.at(covered, starts + WINDOW, -1)
             keep = (np.cumsum(covered)[:-1] == 0).tolist() if covered.any() else None
             left = words if keep is None else [x for x, stays in zip(words, keep) if stays]
-            total.append(len(words)), gone.append(len(words) - len(left)), kept.append(b" ".join(left).decode())
-        known = [batch.column(x) for x in IDENTITY]
-        columns = [pa.array(total, pa.int64()), pa.array(gone, pa.int64()), pa.array(kept, pa.string())]
-        yield pa.RecordBatch.from_arrays([*known, *columns], [*IDENTITY, "n_words", "n_removed", "kept"])
+            total.append(len(words)), gone.append(len(words) - len(left))
+            same = untouched and keep is None
+            kept.append((text and text.decode()) if same else b" ".join(left).decode())
+        found = [pa.array(total, pa.int64()), pa.array(gone, pa.int64()), pa.array(kept, pa.string())]
+        yield pa.RecordBatch.from_arrays([batch.column("rest"), *found], ["rest", "n_words", "n_removed", "kept"])
 
 
-def remove_repeats(docs: DataFrame) -> DataFrame:
-    """(id, nameless, text_hash, doc_id, n_words, n_removed, kept) per row of `docs` (doc_id, text).
-
-    Words stand between ASCII white space. A word is removed if it is covered by a window whose words
-    also start, in that order, in a document with a smaller doc_id; `kept` joins the others by one space.
-    A missing doc_id comes after all others, and equal doc_ids remove nothing from one another. Null
-    texts are empty; repeated rows get equal results; other columns are not looked at.
-
-    Words are compared by 64-bit hashes, and rows told apart by a 64-bit hash of doc_id and text. A text
-    that an earlier document has word for word loses everything its length allows at once; only first
-    copies are searched. All joins of texts share one exchange.
-    """
+def _searched(docs: DataFrame, rest: list[str], untouched: bool) -> DataFrame:
+    """(rest, n_words, n_removed, kept) per row of `docs`; `rest` holds the columns so named."""
     doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST))
-    texts = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    packed = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.struct(*rest).alias("rest"))
     digest = F.md5(F.coalesce("text", F.lit("")))
-    texts = texts.select(*identity(texts), doc.alias("doc"), F.xxhash64(doc, digest).alias("row"), digest.alias("digest"), "text")
+    texts = packed.select(doc.alias("doc"), F.xxhash64(doc, digest).alias("row"), digest.alias("digest"), "text", "rest")
     copies = texts.groupBy("digest").agg(F.min("doc").alias("doc")).select(F.xxhash64("doc", "digest").alias("row"), F.lit(True).alias("first_copy"))
-    whole = texts.select("row", "doc", *IDENTITY, "text")
+    whole = texts.select("row", "doc", "text", "rest")
     firsts = whole.join(copies.hint("shuffle_hash"), "row")
 
     # every branch takes all columns of `whole`, so that one exchange of the texts serves all
@@ -304,16 +300,29 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     hits = places.join(found, "content").select("row", F.filter(hit, lambda x: x.isNotNull()).alias("hits")).filter(F.size("hits") > 0)
     windows = hits.groupBy("row").agg(F.flatten(F.collect_list("hits")).alias("windows"))
     known = whole.join(copies.hint("shuffle_hash"), "row", "left").join(windows.hint("shuffle_hash"), "row", "left")
-    kinds = "id long, nameless boolean, text_hash long, n_words long, n_removed long, kept string"
-    removed = map_batches(known, _remove, kinds)
-    return removed.select(*IDENTITY, doc_id(), "n_words", "n_removed", "kept")
+    kinds = StructType([known.schema["rest"], *StructType.fromDDL("n_words long, n_removed long, kept string")])
+    return map_batches(known, partial(_remove, untouched=untouched), kinds)
+
+
+def remove_repeats(docs: DataFrame) -> DataFrame:
+    """(doc_id, n_words, n_removed, kept) per row of `docs` (doc_id, text).
+
+    Words stand between ASCII white space. A word is removed if it is covered by a window whose words
+    also start, in that order, in a document with a smaller doc_id; `kept` joins the others by one space.
+    A missing doc_id comes after all others, and equal doc_ids remove nothing from one another. Null
+    texts are empty; repeated rows get equal results; other columns are not looked at.
+
+    Words are compared by 64-bit hashes, and rows told apart by a 64-bit hash of doc_id and text. A text
+    that an earlier document has word for word loses everything its length allows at once; only first
+    copies are searched. All joins of texts share one exchange.
+    """
+    found = _searched(docs, ["doc_id"], untouched=False)
+    return found.select(F.col("rest.doc_id").cast("long").alias("doc_id"), "n_words", "n_removed", "kept")
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
     """`docs`, all its columns: a document that loses words has the kept ones, joined by one space, as its
     text; one that loses all of them goes; all others stay as they are, also those without a word."""
-    found = remove_repeats(docs).filter("n_removed > 0").dropDuplicates(IDENTITY).select(*IDENTITY, "kept", (F.col("n_removed") == F.col("n_words")).alias("gone"))
-    packed = docs.select(*identity(docs), F.struct("*").alias("row"))
-    joined = packed.join(found, IDENTITY, "left").filter("gone IS NULL OR NOT gone")
-    columns = [F.coalesce("kept", "row.text").alias(x) if x == "text" else F.col(f"row.{x}") for x in docs.columns]
-    return joined.select(*columns)
+    found = _searched(docs, [x for x in docs.columns if x != "text"], untouched=True)
+    left = found.filter("n_removed = 0 OR n_removed < n_words")
+    return left.select(*(F.col("kept").alias(x) if x == "text" else F.col(f"rest.`{x}`") for x in docs.columns))
