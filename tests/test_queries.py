@@ -10,14 +10,14 @@ from compare import assert_same, duck
 from samples import plan
 
 from roadpulse.operators import checks, kpis
-from roadpulse.plans import registry
+from roadpulse.plans import oracle, registry
 from roadpulse.sinks.lake import write_lake
 from roadpulse.sources.lake import read_lake
 
 DATA = "/root/testdata"
 SCALES = [scale for scale in ("sf0.001", "sf0.01") if os.path.isdir(f"{DATA}/{scale}")]
-QUERIES = contract.queries()
-SQL = contract.oracle_sql()
+QUERIES = registry.all_queries()
+SQL = oracle.all_sql()
 WRITING = ("stream_", "stored_", "lake_", "refresh_", "follow_", "document_")
 BATCH = [n for n in QUERIES if not n.startswith(WRITING)]
 
@@ -27,6 +27,10 @@ def connections():
     return {scale: duck(f"{DATA}/{scale}") for scale in SCALES}
 
 
+def test_all_are_registered():
+    assert QUERIES.keys() <= contract.queries().keys() and SQL.items() <= contract.oracle_sql().items()
+
+
 def test_every_query_has_its_sql():
     assert set(QUERIES) == set(SQL)
 
