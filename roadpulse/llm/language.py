@@ -19,7 +19,7 @@ import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from roadpulse.llm.common import held_out, map_batches, pieces, share, shared
+from roadpulse.llm.common import cut, held_out, map_batches, pieces, share, shared
 
 WORDS = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 ORDER = 5
@@ -200,16 +200,31 @@ class Identifier:
         return out
 
 
+def most_frequent(counted: DataFrame, most: int) -> DataFrame:
+    """The rows of `counted` (lang, gram, times) of the `most` most frequent grams of each language.
+
+    How many grams there are of each frequency tells the least one that is kept; of the grams of that
+    frequency, those of smallest hash, by the share there is room for. So grams are never sorted, and
+    a language with more than `most` keeps about as many.
+    """
+    frequencies = counted.groupBy("lang", "times").agg(F.count("*").alias("grams"))
+    over = Window.partitionBy("lang").orderBy(F.col("times").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    room = F.lit(most) - F.coalesce(F.sum("grams").over(over), F.lit(0))
+    kept = frequencies.withColumn("share", F.least(F.lit(1.0), room / F.col("grams"))).filter("share > 0")
+    least = kept.groupBy("lang").agg(F.min("times").alias("least"), F.min_by("share", "times").alias("share"))
+    draw = F.pmod(F.xxhash64("gram"), F.lit(1 << 20)) / F.lit(float(1 << 20))
+    chosen = counted.join(F.broadcast(least), "lang")  # a row a language, each of which becomes a model
+    return chosen.filter((F.col("times") > F.col("least")) | ((F.col("times") == F.col("least")) & (draw < F.col("share")))).select("lang", "gram", "times")
+
+
 def train(docs: DataFrame, most_grams: int = MOST_GRAMS) -> dict[str, Model]:
     """A model for each value of lang in `docs` (doc_id, text, lang), from all whole texts with a
     language that are not held out. Counts are summed by Spark; the driver gets the grams a model
-    keeps, at most `most_grams` a language."""
+    keeps, about `most_grams` a language at most."""
     rows = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
     rows = rows.select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
-    counted = map_batches(rows, _count, "lang string, gram string, times long").groupBy("lang", "gram").agg(F.sum("times").alias("times"))
-    order = Window.partitionBy("lang").orderBy(F.col("times").desc(), "gram")
-    kept = counted.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= most_grams).drop("place")
-    found = kept.toArrow()
+    counted = cut(map_batches(rows, _count, "lang string, gram string, times long").groupBy("lang", "gram").agg(F.sum("times").alias("times")))
+    found = most_frequent(counted, most_grams).toArrow()
     counts: dict[str, dict[str, int]] = {}
     for lang, gram, times in zip(*(found.column(x).to_pylist() for x in ("lang", "gram", "times"))):
         counts.setdefault(lang, {})[gram] = times

@@ -292,6 +292,19 @@ def test_broken_markup():
 # language
 
 
+def test_most_frequent_grams(spark):
+    """Above the least frequency all stay, at it a share; a language within the limit keeps everything."""
+    counts = [("en", f"g{i}", 1 + (i < 300) + (i < 100)) for i in range(4000)] + [("fr", f"g{i}", i % 3 + 1) for i in range(900)]
+    counted = spark.createDataFrame(counts, "lang string, gram string, times long")
+    for most in (1000, 200, 50):
+        kept = [tuple(x) for x in language.most_frequent(counted.filter("lang = 'en'"), most).collect()]
+        least = min(x[2] for x in kept)
+        assert {x for x in counts if x[0] == "en" and x[2] > least} <= set(kept) <= set(counts)
+        assert len(set(kept)) == len(kept) and abs(len(kept) - most) < 4 * most**0.5
+    assert rows(language.most_frequent(counted, 4000), "lang", "gram", "times") == sorted(counts)
+    assert language.most_frequent(counted.limit(0), 10).count() == 0
+
+
 def test_language(spark, odd, none):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     models = language.train(docs)
