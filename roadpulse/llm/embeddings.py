@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 from roadpulse.llm.common import components, cut, map_batches
 
 BLOCK = 16
-#: Vectors of a slab that are compared in one task.
-TILE = 32768
+#: Vectors of a slab that are compared in one task, and numbers in them: longer vectors are fewer.
+TILE, TILE_NUMBERS = 32768, 1 << 22
 #: Pairs whose block distances are computed at a time.
 STRIP = 1 << 19
 SLACK = 1e-5
@@ -200,7 +200,7 @@ def near_duplicates(vectors: DataFrame, least: float = 0.9) -> DataFrame:
     plain = reps.select("node", "copies", "vector")
     counted = map_batches(plain, partial(_homes, least=least), "size long, block long, slab long, n long")
     sizes = counted.groupBy("size", "block", "slab").agg(F.sum("n").alias("n")).collect()  # slabs, not vectors
-    tiles = {(x["size"], x["block"], x["slab"]): -(-x["n"] // TILE) for x in sizes}
+    tiles = {(x["size"], x["block"], x["slab"]): -(-x["n"] // max(1, min(TILE, TILE_NUMBERS // x["size"]))) for x in sizes}
     kinds = "size long, block long, slab long, tile_a long, tile_b long, side long, node long, copies long, vector binary"
     visits = map_batches(plain, partial(_visits, least=least, tiles=tiles), kinds)
     groups = visits.groupBy("size", "block", "slab", "tile_a", "tile_b")
