@@ -1,33 +1,24 @@
-"""Streams congestion alerts, and closed hours by zone, straight from the topic."""
+"""Streams congestion alerts, and hourly traffic by zone, straight from the topic."""
 
 from __future__ import annotations
 
 from roadpulse.jobs import arguments
 from roadpulse.operators.ingest import accepted, decode
-from roadpulse.streaming.live import start_alerts, start_hourly
-from roadpulse.streaming.session import stream_session
+from roadpulse.streaming.live import start_live
 
 
 def main(argv: list[str] | None = None) -> None:
     parser = arguments.parser(__doc__)
     arguments.add_source(parser)
     parser.add_argument("--alerts", required=True, help="directory for the alerts")
-    parser.add_argument("--hours", required=True, help="directory for the closed hours")
-    parser.add_argument("--delay", default="10 minutes", help="how long an hour waits for events")
+    parser.add_argument("--hours", required=True, help="directory for the hourly sums")
     options = parser.parse_args(argv)
-    spark = stream_session(arguments.session("road-sensor-live"))
-    trigger = arguments.trigger(options)
-
-    def events():
-        return accepted(decode(arguments.messages(spark, options)))
-
-    running = [
-        start_alerts(events(), options.alerts, f"{options.checkpoint}/alerts", trigger),
-        start_hourly(
-            events(), options.hours, f"{options.checkpoint}/hours", options.delay, trigger
-        ),
-    ]
-    arguments.wait(spark, running, options)
+    spark = arguments.session("road-sensor-live")
+    events = accepted(decode(arguments.messages(spark, options)))
+    running = start_live(
+        events, options.alerts, options.hours, options.checkpoint, arguments.trigger(options)
+    )
+    arguments.wait(spark, [running], options)
 
 
 if __name__ == "__main__":

@@ -7,7 +7,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roadpulse.functions.traffic import wall_time
+from roadpulse.functions.traffic import event_date, event_hour, wall_time
 
 UTC_NAMES = ("UTC", "Etc/UTC", "GMT", "Z")
 
@@ -31,6 +31,33 @@ def last_hour(events: DataFrame, as_of: datetime) -> DataFrame:
     return between(events, as_of - timedelta(hours=1), as_of)
 
 
+def hour_start() -> Column:
+    """The full hour of an event, as wall-clock time in any session; NULL without a time."""
+    return event_date().cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), event_hour())
+
+
+def hourly_sums(events: DataFrame) -> DataFrame:
+    """Traffic by zone and full hour as sums, which can be added up (see ``added_hours``).
+
+    Events without a time form the NULL hour.
+    """
+    return events.groupBy(hour_start().alias("window_start"), "zone").agg(
+        F.sum("vehicle_count").alias("vehicles"),
+        F.count("vehicle_count").alias("counted"),
+        F.count("*").alias("events"),
+    )
+
+
+def added_hours(sums: DataFrame) -> DataFrame:
+    """Hourly traffic by zone from any number of ``hourly_sums``."""
+    added = sums.groupBy("window_start", "zone").agg(
+        F.try_divide(F.sum("vehicles"), F.sum("counted")).alias("avg_vehicles"),
+        F.sum("events").alias("events"),
+    )
+    end = F.col("window_start") + F.make_dt_interval(F.lit(0), F.lit(1))
+    return added.select("window_start", end.alias("window_end"), "zone", "avg_vehicles", "events")
+
+
 def hourly_by_zone(
     events: DataFrame, delay: str | None = "10 minutes", length: str = "1 hour"
 ) -> DataFrame:

@@ -170,6 +170,16 @@ SELECT {_REASON} AS reason, count(*) AS records FROM v WHERE {_REASON} IS NOT NU
     "stream_alerts": _ALERTS,
     "lake_stream_alerts": _ALERTS,
     "stream_hourly_by_zone": _HOURS,
+    "stream_live": f"""
+SELECT date_trunc('hour', event_time) AS window_start, zone, count(*) AS events,
+       count(CASE WHEN {_CONGESTED} THEN 1 END) AS alerts
+FROM v GROUP BY 1, 2
+""",
+    "ingest_report": """
+SELECT CASE WHEN event_time < TIMESTAMP '2024-01-15 12:00:00' THEN 0 ELSE 1 END AS batch,
+       CAST(event_time AS DATE) AS date, zone, count(*) AS events
+FROM v GROUP BY 1, 2, 3
+""",
     "stream_closed_hours": f"""
 SELECT * FROM ({_HOURS}) h WHERE window_start + INTERVAL 1 HOUR <=
     (SELECT max(event_time) - INTERVAL 10 MINUTE FROM v)

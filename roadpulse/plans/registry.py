@@ -24,7 +24,13 @@ from roadpulse.sinks.lake import write_lake
 from roadpulse.sources.lake import read_documents, read_lake, stream_lake
 from roadpulse.sources.store import read_dated_alerts, read_summary, read_table, register_views
 from roadpulse.streaming import live
-from roadpulse.streaming.ingest import ONCE, start_conversion, start_ingest, start_rejects
+from roadpulse.streaming.ingest import (
+    ONCE,
+    start_conversion,
+    start_ingest,
+    start_rejects,
+    start_report,
+)
 from roadpulse.streaming.session import scratch, stream_session
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -295,9 +301,35 @@ def lake_stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def stream_hourly_by_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, checkpoint = scratch(spark, "hours"), scratch(spark, "checkpoint")
-    events = road_event_stream(stream_session(spark), sf_dir)
+    events = road_event_stream(spark, sf_dir)
     live.start_hourly_table(events, path, checkpoint, trigger=ONCE).awaitTermination()
-    return spark.read.parquet(path).select("window_start", "zone", "avg_vehicles", "events")
+    return live.read_hours(spark, path).drop("window_end")
+
+
+@_query
+def stream_live(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly traffic and alerts by zone and hour, of one query that reads the source once."""
+    alerts, hours = scratch(spark, "alerts"), scratch(spark, "hours")
+    events = road_event_stream(spark, sf_dir)
+    live.start_live(events, alerts, hours, scratch(spark, "checkpoint"), ONCE).awaitTermination()
+    keys = ["window_start", "zone"]
+    found = spark.read.parquet(alerts).groupBy(windows.hour_start().alias(keys[0]), keys[1])
+    found = found.agg(F.count("*").alias("alerts"))
+    traffic = live.read_hours(spark, hours).select(*keys, "events")
+    return traffic.join(found, keys, "left").fillna(0, ["alerts"])
+
+
+@_query
+def ingest_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events by batch, date and zone of a lake that grew twice."""
+    events = road_events(spark, sf_dir)
+    root, path, checkpoint = (scratch(spark, x) for x in ("lake", "report", "checkpoint"))
+    early = F.coalesce(F.col("event_time") < "2024-01-15 12:00:00", F.lit(True))
+    for period in (early, ~early):
+        write_lake(events.filter(period), root, "parquet")
+        arrived = stream_lake(spark, root, "parquet")
+        start_report(arrived, path, checkpoint, ONCE).awaitTermination()
+    return spark.read.parquet(path)
 
 
 @_query

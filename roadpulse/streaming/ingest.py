@@ -2,10 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from roadpulse.operators.ingest import accepted, decode, observe_ingest, rejected, spread
+from roadpulse.operators.ingest import (
+    accepted,
+    decode,
+    observe_ingest,
+    partition_counts,
+    rejected,
+    spread,
+)
 from roadpulse.sinks.lake import PARTITIONS, lake_rows
 from roadpulse.sources.lake import require_stream_lake
 
@@ -19,6 +28,32 @@ def _start(writer: DataStreamWriter, checkpoint: str, trigger: dict | None) -> S
     return writer.trigger(**(trigger or DEFAULT_TRIGGER)).start()
 
 
+def start_batches(
+    rows: DataFrame,
+    write: Callable[[DataFrame, int], None],
+    checkpoint: str,
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """Hands each batch to ``write``, which must replace what it wrote for the same number before."""
+    return _start(rows.writeStream.foreachBatch(write), checkpoint, trigger)
+
+
+def start_report(
+    events: DataFrame, path: str, checkpoint: str, trigger: dict | None = None
+) -> StreamingQuery:
+    """What arrived in a lake (``sources.lake.stream_lake``): events by date and zone of each batch.
+
+    Follows the lake's committed files instead of reading the topic again, and of those the
+    partition columns only. One file a batch, in ``batch=``; a batch run again replaces it.
+    """
+
+    def write(batch: DataFrame, number: int) -> None:
+        counts = partition_counts(batch).coalesce(1)
+        counts.write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    return start_batches(events.select("date", "zone"), write, checkpoint, trigger)
+
+
 def start_ingest(
     messages: DataFrame,
     root: str,

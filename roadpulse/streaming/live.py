@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from roadpulse.operators.ingest import route
 from roadpulse.operators.kpis import congestion_alerts
-from roadpulse.operators.windows import hourly_by_zone
-from roadpulse.streaming.ingest import _start
+from roadpulse.operators.windows import added_hours, hourly_by_zone, hourly_sums
+from roadpulse.streaming.ingest import _start, start_batches
+
+HOUR_SUMS = "window_start TIMESTAMP_NTZ, zone STRING, vehicles BIGINT, counted BIGINT, events BIGINT"
 
 
 def start_alerts(
@@ -32,18 +34,52 @@ def start_hourly(
     return _start(hours.writeStream.format("parquet").option("path", path), checkpoint, trigger)
 
 
+def late_rows(query: StreamingQuery) -> int:
+    """What ``start_hourly`` left out because its hour was closed: rows after the events of a task
+    were combined by hour and zone, in the batches the query remembers. Zero means nothing is missing."""
+    states = (state for batch in query.recentProgress for state in batch.stateOperators)
+    return sum(state.numRowsDroppedByWatermark for state in states)
+
+
 def start_hourly_table(
     events: DataFrame, path: str, checkpoint: str, trigger: dict | None = None
 ) -> StreamingQuery:
-    """Hourly traffic by zone with the open hours, replaced as a whole after each batch.
+    """Hourly traffic by zone with the open hours; read it with ``read_hours``.
+
+    No state and no watermark: each batch adds its sums, so an event counts however late it is.
+    """
+
+    def write(batch: DataFrame, number: int) -> None:
+        _add_hours(batch, path, number)
+
+    return start_batches(events, write, checkpoint, trigger)
+
+
+def start_live(
+    events: DataFrame, alerts: str, hours: str, checkpoint: str, trigger: dict | None = None
+) -> StreamingQuery:
+    """Alerts (``alerts/batch=/date=``) and hourly traffic (see ``read_hours``) in one query.
 
-    The table has one row per zone and hour. A batch that is run again writes the
-    same table again.
+    A batch is read and decoded once and kept while both are written; there is no state.
     """
 
-    def replace(table: DataFrame, batch: int) -> None:
-        table.write.mode("overwrite").parquet(path)
+    def write(batch: DataFrame, number: int) -> None:
+        batch.persist()
+        try:
+            found = route(congestion_alerts(batch))
+            found.write.mode("overwrite").partitionBy("date").parquet(f"{alerts}/batch={number}")
+            _add_hours(batch, hours, number)
+        finally:
+            batch.unpersist()
+
+    return start_batches(events, write, checkpoint, trigger)
+
+
+def _add_hours(events: DataFrame, path: str, number: int) -> None:
+    """One file a batch: a row for each zone and hour it has."""
+    hourly_sums(events).coalesce(1).write.mode("overwrite").parquet(f"{path}/batch={number}")
+
 
-    writer = hourly_by_zone(events, delay=None).writeStream.outputMode("complete")
-    writer = writer.foreachBatch(replace).option("checkpointLocation", checkpoint)
-    return writer.trigger(**(trigger or {"processingTime": "1 minute"})).start()
+def read_hours(spark: SparkSession, path: str) -> DataFrame:
+    """Hourly traffic by zone of all batches written so far."""
+    return added_hours(spark.read.schema(HOUR_SUMS).parquet(path))

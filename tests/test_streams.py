@@ -170,16 +170,16 @@ def test_live_job(spark, golden, inbox, tmp_path):
         + ["--checkpoint", str(tmp_path / "c"), "--once"]
     )
     assert spark.read.parquet(alerts).filter("date = DATE '2026-01-02'").count() == 3
-    closed = spark.read.parquet(hours).select("window_start", "zone", "events")
-    assert closed.count() == 5
-    assert (datetime(2026, 1, 2, 18), "Downtown", 1) in rows(closed)
+    table = live.read_hours(spark, hours).select("window_start", "zone", "events")
+    assert table.count() == 6
+    assert (datetime(2026, 1, 2, 18), "Downtown", 1) in rows(table)
 
 
 def test_hours(spark, tmp_path):
     """Open hours appear in the table; closed ones are sent once, and late events are late."""
     session = stream_session(spark, state_partitions=2)
     session.conf.set("spark.sql.session.timeZone", "UTC")
-    folder = str(tmp_path / "in")
+    folder, late = str(tmp_path / "in"), {}
 
     def add(*events):
         frame = spark.createDataFrame(
@@ -190,10 +190,11 @@ def test_hours(spark, tmp_path):
     def hours(kind):
         stream = session.readStream.schema(typed(spark.createDataFrame([], RAW_EVENT)).schema)
         start = live.start_hourly if kind == "closed" else live.start_hourly_table
-        start(
-            stream.parquet(folder), f"{tmp_path}/{kind}", f"{tmp_path}/{kind}-c", trigger=ONCE
-        ).awaitTermination()
-        table = spark.read.parquet(f"{tmp_path}/{kind}")
+        path = f"{tmp_path}/{kind}"
+        query = start(stream.parquet(folder), path, f"{path}-c", trigger=ONCE)
+        query.awaitTermination()
+        late[kind] = live.late_rows(query)
+        table = spark.read.parquet(path) if kind == "closed" else live.read_hours(spark, path)
         return rows(table.select("window_start", "zone", "avg_vehicles", "events"))
 
     def at(hour):
@@ -207,8 +208,17 @@ def test_hours(spark, tmp_path):
     add(("A", 6, "2026-01-02T08:30:00"), ("B", 3, "2026-01-02T09:10:00"))
     assert hours("closed") == {(at(8), "A", 4.0, 3)}
     assert hours("open") == {(at(8), "A", 4.0, 3), (at(9), "B", 2.0, 2)}
-    add(("A", 99, "2026-01-02T08:30:00"))
+    assert late["closed"] == 0
+    add(("A", 100, "2026-01-02T08:30:00"), ("A", 7, None), ("C", None, "2026-01-02T09:00:00"))
     assert hours("closed") == {(at(8), "A", 4.0, 3)}
+    assert late["closed"] == 1
+    assert hours("open") == {
+        (at(8), "A", 28.0, 4),
+        (at(9), "B", 2.0, 2),
+        (at(9), "C", None, 1),
+        (None, "A", 7.0, 1),
+    }
+    assert late["open"] == 0
 
 
 def test_windows_need_a_utc_session(spark, golden):
