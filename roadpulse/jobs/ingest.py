@@ -1,9 +1,21 @@
-"""Streams the topic into the lake and sets bad messages aside."""
+"""Streams the topic into the lake and sets bad messages aside.
+
+Two queries, each with a sink that takes every message exactly once; the sinks have no commit in
+common, so one query for both would write some rows twice after a crash. Counts by date and zone
+need no third read of the topic: they follow the lake.
+"""
 
 from __future__ import annotations
 
+import argparse
+
+from pyspark.sql import SparkSession
+from pyspark.sql.streaming import StreamingQuery
+
 from roadpulse.jobs import arguments
-from roadpulse.streaming.ingest import start_ingest, start_rejects
+from roadpulse.sinks.lake import make_folder
+from roadpulse.sources.lake import stream_lake
+from roadpulse.streaming.ingest import start_ingest, start_rejects, start_report
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -11,6 +23,7 @@ def main(argv: list[str] | None = None) -> None:
     arguments.add_source(parser)
     arguments.add_lake(parser)
     parser.add_argument("--rejects", required=True, help="directory for rejected messages")
+    parser.add_argument("--report", help="directory for events by batch, date and zone")
     options = parser.parse_args(argv)
     spark = arguments.session("road-sensor-ingest")
     trigger = arguments.trigger(options)
@@ -29,7 +42,17 @@ def main(argv: list[str] | None = None) -> None:
             trigger=trigger,
         ),
     ]
+    if options.report and not options.once:
+        running.append(_report(spark, options, trigger))
     arguments.wait(spark, running, options)
+    if options.report and options.once:  # of what the others have just written
+        arguments.wait(spark, [_report(spark, options, trigger)], options)
+
+
+def _report(spark: SparkSession, options: argparse.Namespace, trigger: dict) -> StreamingQuery:
+    make_folder(spark, options.lake)
+    arrived = stream_lake(spark, options.lake, options.lake_format)
+    return start_report(arrived, options.report, f"{options.checkpoint}/report", trigger)
 
 
 if __name__ == "__main__":

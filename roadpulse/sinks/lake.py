@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from roadpulse.functions.codec import iso_text
 from roadpulse.functions.traffic import wall_time
@@ -13,6 +13,12 @@ from roadpulse.sources.lake import require_batch_lake
 PARTITIONS = LAKE_PARTITIONS.fieldNames()
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    """The folder, empty where it was missing, so that it can be followed before the first event."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)
+
+
 def lake_rows(events: DataFrame, fmt: str = "json") -> DataFrame:
     """Rows as the lake stores them: the time as text in JSON, typed in Parquet.
 

@@ -16,12 +16,18 @@ from roadpulse.operators.windows import hourly_by_zone
 from roadpulse.plans.follow import start_following
 from roadpulse.plans.refresh import Refresh
 from roadpulse.schema import EVENT_COLUMNS, KPI_NAMES, RAW_EVENT
-from roadpulse.sinks.lake import write_lake
+from roadpulse.sinks.lake import make_folder, write_lake
 from roadpulse.sources.lake import LakeOfAnotherWriter, read_lake, stream_lake
 from roadpulse.sources.messages import message_files
 from roadpulse.sources.store import read_table
 from roadpulse.streaming import live
-from roadpulse.streaming.ingest import ONCE, start_conversion, start_ingest, start_rejects
+from roadpulse.streaming.ingest import (
+    ONCE,
+    start_conversion,
+    start_ingest,
+    start_rejects,
+    start_report,
+)
 from roadpulse.streaming.session import scratch, stream_session
 
 MESSAGES = [message(**dict(zip(EVENT_COLUMNS, row))) for row in GOLDEN]
@@ -143,8 +149,9 @@ def test_jobs(spark, golden, inbox, tmp_path, monkeypatch):
     inbox("1.txt", [*MESSAGES, "{bad"])
     lake, rejects, checkpoint = (str(tmp_path / n) for n in ("lake", "rejects", "checkpoint"))
     common = ["--lake", lake, "--rejects", rejects, "--checkpoint", checkpoint, "--once"]
+    report = str(tmp_path / "report")
     for _ in range(2):
-        ingest.main([*common, "--files", inbox.path])
+        ingest.main([*common, "--files", inbox.path, "--report", report])
     assert rows(read_lake(spark, lake).select(*EVENT_COLUMNS)) == rows(golden)
     assert spark.read.parquet(rejects).count() == 1
     typed_lake = str(tmp_path / "typed")
@@ -160,6 +167,29 @@ def test_jobs(spark, golden, inbox, tmp_path, monkeypatch):
     )
     publish.main(["--store", store, "--url", "jdbc:x", "--user", "u"])
     assert loaded == {name: "secret" for name in KPI_NAMES}
+    inbox("2.txt", [message(event_time="2026-01-03T08:00:00", zone="Suburbs")])
+    ingest.main([*common, "--files", inbox.path, "--report", report])
+    counts = spark.read.parquet(report)
+    assert counts.filter("batch = 0").agg({"events": "sum"}).first()[0] == 5
+    assert rows(counts.filter("batch = 1").select("date", "zone", "events")) == {
+        (date(2026, 1, 3), "Suburbs", 1)
+    }
+
+
+def test_report_of_a_lake_that_is_not_there_yet(spark, inbox, tmp_path):
+    root, path = str(tmp_path / "lake"), str(tmp_path / "report")
+    make_folder(spark, root)
+    often = {"processingTime": "0 seconds"}
+    report = start_report(stream_lake(spark, root), path, str(tmp_path / "c1"), often)
+    try:
+        report.processAllAvailable()
+        inbox("1.txt", MESSAGES)
+        messages = message_files(spark, inbox.path)
+        start_ingest(messages, root, str(tmp_path / "c2"), trigger=ONCE).awaitTermination()
+        report.processAllAvailable()
+    finally:
+        report.stop()
+    assert spark.read.parquet(path).agg({"events": "sum"}).first()[0] == 5
 
 
 def test_live_job(spark, golden, inbox, tmp_path):
