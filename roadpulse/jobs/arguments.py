@@ -68,6 +68,17 @@ def add_lake(arguments: argparse.ArgumentParser) -> None:
     arguments.add_argument("--lake-format", choices=sorted(FORMATS), default="json")
 
 
+def add_reading(arguments: argparse.ArgumentParser, stream: bool = True) -> None:
+    arguments.add_argument(
+        "--read-mode",
+        choices=["FAILFAST", "DROPMALFORMED"],
+        default="FAILFAST",
+        help="what a broken line of a JSON lake does: stop the program, or be left out",
+    )
+    if stream:
+        arguments.add_argument("--files-per-batch", type=int, help="most files in a batch")
+
+
 def add_store(arguments: argparse.ArgumentParser) -> None:
     arguments.add_argument("--store", required=True, help="root of the stored tables")
 

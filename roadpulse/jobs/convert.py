@@ -12,9 +12,12 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--source", required=True, help="root of the JSON lake")
     parser.add_argument("--lake", required=True, help="root of the Parquet lake")
     parser.add_argument("--checkpoint", required=True)
+    arguments.add_reading(parser)
     options = parser.parse_args(argv)
     spark = arguments.session("road-sensor-convert")
-    events = stream_lake(spark, options.source)
+    events = stream_lake(
+        spark, options.source, "json", options.read_mode, options.files_per_batch
+    )
     start_conversion(events, options.lake, options.checkpoint, trigger=ONCE).awaitTermination()
 
 

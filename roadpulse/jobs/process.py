@@ -11,10 +11,11 @@ def main(argv: list[str] | None = None) -> None:
     parser = arguments.parser(__doc__)
     arguments.add_lake(parser)
     arguments.add_store(parser)
+    arguments.add_reading(parser, stream=False)
     parser.add_argument("--dates", nargs="+", type=arguments.a_date, help="only these dates")
     options = parser.parse_args(argv)
     spark = arguments.session("road-sensor-process")
-    events = read_lake(spark, options.lake, options.lake_format)
+    events = read_lake(spark, options.lake, options.lake_format, options.read_mode)
     store_kpis(spark, events, options.store, options.dates)
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from roadpulse.jobs import arguments
 from roadpulse.plans.follow import start_following
 from roadpulse.plans.refresh import Refresh, verify
+from roadpulse.sources.lake import stream_lake
 from roadpulse.streaming.ingest import ONCE
 
 
@@ -12,6 +13,7 @@ def main(argv: list[str] | None = None) -> None:
     parser = arguments.parser(__doc__)
     arguments.add_lake(parser)
     arguments.add_store(parser)
+    arguments.add_reading(parser)
     arguments.add_database(parser, required=False)
     parser.add_argument("--every", help="keep running, with this time between refreshes")
     options = parser.parse_args(argv)
@@ -25,7 +27,10 @@ def main(argv: list[str] | None = None) -> None:
         options.alert_connections,
     )
     trigger = {"processingTime": options.every} if options.every else ONCE
-    start_following(spark, refresh, trigger).awaitTermination()
+    events = stream_lake(
+        spark, options.lake, options.lake_format, options.read_mode, options.files_per_batch
+    )
+    start_following(spark, refresh, trigger, events=events).awaitTermination()
     # Also when nothing was new: an empty store is an error.
     verify(spark, refresh.store, refresh.database, refresh.published)
 

@@ -8,7 +8,7 @@ from datetime import date, datetime
 import pytest
 from samples import GOLDEN, message, rows
 
-from roadpulse.jobs import convert, ingest, publish, refresh
+from roadpulse.jobs import convert, ingest, process, publish, refresh
 from roadpulse.jobs import live as live_job
 from roadpulse.operators import kpis
 from roadpulse.operators.ingest import partition_counts, typed
@@ -176,6 +176,31 @@ def test_jobs(spark, golden, inbox, tmp_path, monkeypatch):
     }
 
 
+def test_jobs_over_a_lake_with_a_broken_line(spark, golden, tmp_path):
+    lake, store = str(tmp_path / "lake"), str(tmp_path / "store")
+    write_lake(golden, lake)
+    folder = next((tmp_path / "lake").glob("date=*/zone=Suburbs"))
+    (folder / "broken.json").write_text('{"sensor_id":\n')
+    args = ["--lake", lake, "--store", store]
+    with pytest.raises(Exception, match="MALFORMED|FAILED_READ"):
+        process.main(args)
+    process.main([*args, "--read-mode", "DROPMALFORMED"])
+    assert read_table(spark, store, "traffic_by_zone").agg({"event_count": "sum"}).first()[0] == 5
+    typed_lake = str(tmp_path / "typed")
+    convert.main(
+        ["--source", lake, "--lake", typed_lake, "--checkpoint", str(tmp_path / "c")]
+        + ["--read-mode", "DROPMALFORMED", "--files-per-batch", "2"]
+    )
+    assert read_lake(spark, typed_lake, "parquet").count() == 5
+    followed = str(tmp_path / "followed")
+    refresh.main(
+        ["--lake", typed_lake, "--lake-format", "parquet", "--store", followed]
+        + ["--files-per-batch", "1"]
+    )
+    total = read_table(spark, followed, "traffic_by_zone").agg({"event_count": "sum"})
+    assert total.first()[0] == 5
+
+
 def test_report_of_a_lake_that_is_not_there_yet(spark, inbox, tmp_path):
     root, path = str(tmp_path / "lake"), str(tmp_path / "report")
     make_folder(spark, root)
