@@ -1,13 +1,15 @@
 """Language identification by interpolated Kneser-Ney character models.
 
 One model per language predicts the letters of a word one after the other, and its end, from the
-letters before. All orders are kept as sorted arrays of hashes with their log-probabilities; a text
-goes to the language of lowest cross-entropy per character. The counts come from all documents
-that may be learned from, combined in each task before they are shuffled.
+letters before; a text goes to the language of lowest cross-entropy per character. The counts come
+from all documents that may be learned from, combined in each task before they are shuffled. All grams
+of all orders stay in tables of Spark, to which the distinct grams of the texts are joined; `estimate`
+and `log_likelihood` say the same of one language's counts in arrays.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from functools import partial
@@ -16,17 +18,16 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame, Window
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from roadpulse.llm.common import cut, held_out, map_batches, pieces, share, shared
+from roadpulse.llm.common import BATCH_ROWS, cut, held_out, map_batches, pieces
 
 WORDS = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 ORDER = 5
 START, END = "\x02", "\x03"
-#: The most frequent grams of the highest order that a model keeps of each language.
-MOST_GRAMS = 400_000
-#: Distinct words a task counts or keeps scored at a time.
+#: Distinct words a task counts at a time.
 KEPT_WORDS = 200_000
 UNKNOWN = "und"
 
@@ -91,6 +92,10 @@ def _points(texts: list[str], width: int) -> np.ndarray:
     return np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), "<u4").reshape(-1, width)
 
 
+def _discount(ones: int, twos: int) -> float:
+    return min(0.95, max(0.05, ones / (ones + 2 * twos))) if ones else 0.5
+
+
 def estimate(counts: dict[str, int], alphabet: int) -> Model:
     """Interpolated Kneser-Ney: the highest order from counts, lower orders from the number of distinct
     characters before a gram, each discounted by n1 / (n1 + 2 n2) of its own counts."""
@@ -108,7 +113,7 @@ def estimate(counts: dict[str, int], alphabet: int) -> Model:
     lower, floor = None, 1.0 / (alphabet + 1)
     for order, rows, weight in reversed(tables):
         ones, twos = (weight == 1).sum(), (weight == 2).sum()
-        discount = min(0.95, max(0.05, ones / (ones + 2 * twos))) if ones else 0.5
+        discount = _discount(ones, twos)
         contexts, back = np.unique(before[order - 1][rows], return_inverse=True)
         total, kinds = np.bincount(back, weight), np.bincount(back)
         backoff = discount * kinds / total
@@ -146,62 +151,9 @@ def log_likelihood(model: Model, spelled: list[np.ndarray], before: list[np.ndar
     return out
 
 
-class Identifier:
-    """Scores texts, keeping the words it has met, up to KEPT_WORDS."""
-
-    def __init__(self, models: dict[str, Model], reject: float = 2.0, temper: float = 8.0):
-        self.langs, self.models = sorted(models), models
-        self.reject, self.temper = reject, temper
-        self._forget()
-
-    def _forget(self) -> None:
-        self.index: dict[str, int] = {}
-        self.scores = np.zeros((0, len(self.langs)))
-
-    def _learn(self, words: list[str]) -> None:
-        windows = [START * (ORDER - 1) + x + END for x in words]
-        points = _points([x[i : i + ORDER] for x in windows for i in range(len(x) - ORDER + 1)], ORDER)
-        _, first, back = np.unique(_hashes(points)[-1], return_index=True, return_inverse=True)
-        points = points[first]  # each gram once
-        spelled, before = _hashes(points), [np.zeros(len(points), np.uint64), *_hashes(points[:, :-1])]
-        sizes = np.array([len(x) + 1 for x in words])
-        starts = np.cumsum(sizes) - sizes
-        scores = [np.add.reduceat(log_likelihood(self.models[x], spelled, before)[back], starts) for x in self.langs]
-        self.index.update(zip(words, range(len(self.scores), len(self.scores) + len(words))))
-        self.scores = np.concatenate([self.scores, np.stack(scores, axis=1)])
-
-    def identify(self, texts: list[str | None]) -> list[tuple[str, float, float | None, bool]]:
-        """(language, score, cross-entropy in nats a character, rejected) of each text.
-
-        The score is the posterior of the language under equal priors, of the likelihood tempered
-        because neighbouring characters are not independent. A text is rejected if its cross-entropy
-        lies over the language's own by more than `reject` deviations, and as many standard errors.
-        """
-        if not self.langs:
-            return [(UNKNOWN, 0.0, None, True)] * len(texts)
-        if len(self.index) > KEPT_WORDS:
-            self._forget()
-        split = [WORDS.findall((x or "").lower()) for x in texts]
-        new = list(set().union(*split).difference(self.index))
-        for start in range(0, len(new), 50_000):
-            self._learn(new[start : start + 50_000])
-        out = []
-        for words in split:
-            if not words:
-                out.append((UNKNOWN, 0.0, None, True))
-                continue
-            at = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
-            total, size = self.scores[at].sum(axis=0), sum(map(len, words)) + len(words)
-            best = int(np.argmax(total))
-            posterior = 1.0 / np.exp((total - total[best]) / self.temper).sum()
-            model, entropy = self.models[self.langs[best]], -total[best] / size
-            limit = model.mean + self.reject * model.deviation * (1 + size**-0.5)
-            out.append((self.langs[best], float(posterior), float(entropy), bool(entropy > limit)))
-        return out
-
-
 def most_frequent(counted: DataFrame, most: int) -> DataFrame:
-    """The rows of `counted` (lang, gram, times) of the `most` most frequent grams of each language.
+    """The rows of `counted` (lang, gram, times) of the `most` most frequent grams of each language. Nothing
+    that `identify` scores by is chosen in this way: models keep every gram.
 
     How many grams there are of each frequency tells the least one that is kept; of the grams of that
     frequency, those of smallest hash, by the share there is room for. So grams are never sorted, and
@@ -217,36 +169,250 @@ def most_frequent(counted: DataFrame, most: int) -> DataFrame:
     return chosen.filter((F.col("times") > F.col("least")) | ((F.col("times") == F.col("least")) & (draw < F.col("share")))).select("lang", "gram", "times")
 
 
-def train(docs: DataFrame, most_grams: int = MOST_GRAMS) -> dict[str, Model]:
-    """A model for each value of lang in `docs` (doc_id, text, lang), from all whole texts with a
-    language that are not held out. Counts are summed by Spark; the driver gets the grams a model
-    keeps, about `most_grams` a language at most."""
+class Trained(NamedTuple):
+    """The models of all languages, in Spark: weights[k] (lang, gram, weight) and contexts[k] (context, total,
+    kinds: maps by language) of order k + 1, and the discounts of each order by language. Only what has a
+    row a language and order is held by the driver: the discounts, and total and kinds of order 1."""
+
+    langs: list[str]
+    weights: list[DataFrame]
+    contexts: list[DataFrame]
+    discounts: list[list[float]]
+    start: list[tuple[float, float]]
+    floor: float
+
+
+def _by_lang(column: str) -> Column:
+    return F.map_from_entries(F.collect_list(F.struct("lang", F.col(column).cast("double")))).alias(column)
+
+
+def train(docs: DataFrame) -> Trained | dict:
+    """Models of all values of lang in `docs` (doc_id, text, lang), from all whole texts with a language
+    that are not held out; {} if there are none. Counts are summed by Spark and every gram is kept:
+    the models are tables that grow with the grams of the texts."""
     rows = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
     rows = rows.select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
-    counted = cut(map_batches(rows, _count, "lang string, gram string, times long").groupBy("lang", "gram").agg(F.sum("times").alias("times")))
-    found = most_frequent(counted, most_grams).toArrow()
-    counts: dict[str, dict[str, int]] = {}
-    for lang, gram, times in zip(*(found.column(x).to_pylist() for x in ("lang", "gram", "times"))):
-        counts.setdefault(lang, {})[gram] = times
-    letters = set().union(*(set(x) for grams_ in counts.values() for x in grams_)) if counts else set()
-    return {lang: estimate(dict(sorted(x.items())), len(letters)) for lang, x in counts.items()}
+    counted = map_batches(rows, _count, "lang string, gram string, times long").groupBy("lang", "gram").agg(F.sum("times").alias("weight"))
+    weights = [cut(counted)]
+    for order in range(ORDER - 1, 0, -1):
+        shorter = weights[0].groupBy("lang", F.substring("gram", 2, order).alias("gram")).agg(F.count("*").alias("weight"))
+        weights.insert(0, cut(shorter))
+    ones, twos = (F.sum((F.col("weight") == x).cast("long")) for x in (1, 2))
+    sums = [{x.lang: x for x in table.groupBy("lang").agg(ones.alias("ones"), twos.alias("twos"), F.sum("weight").alias("total"), F.count("*").alias("kinds")).collect()} for table in weights]
+    langs = sorted(sums[0])
+    if not langs:
+        return {}
+    discounts = [[_discount(x[lang].ones, x[lang].twos) for lang in langs] for x in sums]
+    contexts = []
+    for order, table in enumerate(weights, 1):
+        by_lang = table.groupBy("lang", F.substring("gram", 1, order - 1).alias("context")).agg(F.sum("weight").alias("total"), F.count("*").alias("kinds"))
+        contexts.append(by_lang.groupBy("context").agg(_by_lang("total"), _by_lang("kinds")))
+    letters = weights[0].select("gram").distinct().count() + 1  # and START, which no gram ends in
+    start = [(float(sums[0][x].total), float(sums[0][x].kinds)) for x in langs]
+    return Trained(langs, weights, contexts, discounts, start, 1.0 / (letters + 1))
+
+
+def probabilities(models: Trained, wanted: DataFrame) -> DataFrame:
+    """(gram, log_p) of the distinct grams of `wanted`: log-probabilities of the last character by
+    language, as in `langs`. Order by order from the shortest, each distinct ending once: its own weight,
+    that of its context, and the probability of the ending that is shorter by one."""
+    known = None
+    for order in range(1, ORDER + 1):
+        ends = wanted.select(F.substring("gram", ORDER + 1 - order, order).alias("gram")).distinct()
+        weight = models.weights[order - 1].groupBy("gram").agg(_by_lang("weight"))
+        rows = ends.join(weight, "gram", "left")
+        if order == 1:  # one context, the same for all
+            names = F.array(*(F.struct(F.lit(x).alias("lang"), F.lit(d).alias("cut"), F.lit(total).alias("total"), F.lit(kinds).alias("kinds")) for x, d, (total, kinds) in zip(models.langs, models.discounts[0], models.start)))
+            total, kinds, shorter = (lambda x: x["total"]), (lambda x: x["kinds"]), (lambda i: F.lit(models.floor))
+        else:
+            rows = rows.withColumn("context", F.substring("gram", 1, order - 1)).withColumn("rest", F.substring("gram", 2, order - 1))
+            rows = rows.join(models.contexts[order - 1], "context", "left").join(known.select(F.col("gram").alias("rest"), F.col("p").alias("shorter")), "rest")
+            names = F.array(*(F.struct(F.lit(x).alias("lang"), F.lit(d).alias("cut")) for x, d in zip(models.langs, models.discounts[order - 1])))
+            total, kinds, shorter = (lambda x: F.col("total")[x["lang"]]), (lambda x: F.col("kinds")[x["lang"]]), (lambda i: F.col("shorter")[i])
 
+        def p(x: Column, i: Column) -> Column:  # called by transform at once
+            own = F.greatest(F.coalesce(F.col("weight")[x["lang"]], F.lit(0.0)) - x["cut"], F.lit(0.0))
+            return F.coalesce((own + x["cut"] * kinds(x) * shorter(i)) / total(x), shorter(i))  # no total: context never met
 
-def _identify(batches: Iterator[pa.RecordBatch], models) -> Iterator[pa.RecordBatch]:
-    identifier = Identifier(shared(models))
-    for batch in pieces(batches, "text"):
-        found = list(zip(*identifier.identify(batch.column("text").to_pylist()))) or [(), (), (), ()]
-        kinds = (pa.string(), pa.float64(), pa.float64(), pa.bool_())
-        columns = [pa.array(x, kind) for x, kind in zip(found, kinds)]
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], ["doc_id", "lang_pred", "score", "cross_entropy", "rejected"])
+        known = rows.select("gram", F.transform(names, p).alias("p"))
+    return known.select("gram", F.transform("p", lambda x: F.log(x)).alias("log_p"))
+
+
+PACKED = "chunk long, kind int, ids array<bigint>, blob binary"
+#: Kinds of rows, in the order in which a chunk is scored.
+GRAM, WORDS_OF, DOCS_OF = 0, 1, 2
+#: Letters of distinct words up to which a chunk is filled, and tokens up to which documents share a row.
+CHUNK_LETTERS, ROW_TOKENS = 3_000_000, 200_000
 
 
-def identify(docs: DataFrame, models: dict[str, Model]) -> DataFrame:
+class Places(dict):
+    """Numbers words by first use."""
+
+    letters = 0
+
+    def __missing__(self, word: str) -> int:
+        place = self[word] = len(self)
+        self.letters += len(word) + 1
+        return place
+
+
+def _squeezed(numbers: np.ndarray) -> bytes:
+    """Small whole numbers, the first bytes of all before their second bytes."""
+    return zlib.compress(numbers.astype("<i4").view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
+
+
+def _unsqueezed(blob: bytes) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(blob), np.uint8).reshape(4, -1).T.copy().view("<i4").ravel()
+
+
+def _pack(batches: Iterator[pa.RecordBatch], most_letters: int) -> Iterator[pa.RecordBatch]:
+    """Documents in chunks. A row holds some documents of the chunk: how many words each has, the words'
+    places in the chunk in rising order as steps, and how often they occur; one row holds the words."""
+    chunk = TaskContext.get().partitionId() << 32
+    index, ids, tokens = Places(), [], []
+
+    def row(kind: int, ids: list[int | None] | None, blob: bytes) -> pa.RecordBatch:
+        columns = [pa.array([chunk], pa.int64()), pa.array([kind], pa.int32()), pa.array([ids], pa.list_(pa.int64())), pa.array([blob], pa.binary())]
+        return pa.RecordBatch.from_arrays(columns, ["chunk", "kind", "ids", "blob"])
+
+    def documents() -> pa.RecordBatch:
+        doc = np.repeat(np.arange(len(tokens)), [len(x) for x in tokens])
+        pairs, times = np.unique(doc << 32 | np.concatenate(tokens), return_counts=True)
+        doc, at = pairs >> 32, pairs & 0xFFFFFFFF
+        step = np.diff(at, prepend=0)
+        first = np.flatnonzero(np.diff(doc, prepend=-1))
+        step[first] = at[first]
+        found = row(DOCS_OF, ids, _squeezed(np.concatenate([np.bincount(doc, minlength=len(tokens)), step, times])))
+        ids.clear(), tokens.clear()
+        return found
+
+    used = held = 0
+    for batch in pieces(batches, "text"):
+        for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
+            words = WORDS.findall((text or "").lower())
+            ids.append(doc_id), tokens.append(np.fromiter(map(index.__getitem__, words), np.int64, len(words)))
+            used, held = used + 1, held + len(words)
+            full = index.letters > most_letters
+            if full or held > ROW_TOKENS or len(ids) >= BATCH_ROWS:
+                yield documents()
+                held = 0
+            if full:
+                yield row(WORDS_OF, None, zlib.compress("\n".join(index).encode(), 1))
+                index, used, chunk = Places(), 0, chunk + 1
+    if ids:
+        yield documents()
+    if used:
+        yield row(WORDS_OF, None, zlib.compress("\n".join(index).encode(), 1))
+
+
+def _spelled(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct grams of a chunk's words as code points, the gram of each window of the words one
+    after the other, and how many windows each word has."""
+    words = zlib.decompress(blob).decode().split("\n") if blob else []
+    words = words if words != [""] else []
+    sizes = np.fromiter(map(len, words), np.int64, len(words)) + 1
+    letters = _points(["".join(START * (ORDER - 1) + x + END for x in words)], 1).ravel()
+    starts = np.arange(sizes.sum()) + np.repeat((ORDER - 1) * np.arange(len(words)), sizes)
+    points = letters[starts[:, None] + np.arange(ORDER)]
+    _, first, back = np.unique(_hashes(points)[-1], return_index=True, return_inverse=True)
+    return points[first], back, sizes
+
+
+def _grams_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for chunk, blob in zip(batch.column("chunk").to_pylist(), batch.column("blob").to_pylist()):
+            points = _spelled(blob)[0]
+            for start in range(0, len(points), 50_000):
+                part = points[start : start + 50_000]
+                text = part.tobytes().decode("utf-32-le")
+                columns = [pa.array([chunk] * len(part), pa.int64()), pa.array(range(start, start + len(part)), pa.int32()), pa.array([text[i : i + ORDER] for i in range(0, len(text), ORDER)], pa.string())]
+                yield pa.RecordBatch.from_arrays(columns, ["chunk", "at", "gram"])
+
+
+class Limits(NamedTuple):
+    """How far the cross-entropy of a text may lie over the mean surprise of a language's training text."""
+
+    langs: list[str]
+    mean: list[float]
+    deviation: list[float]
+
+
+def judge(total: np.ndarray, size: int, limits: Limits, reject: float = 2.0, temper: float = 8.0) -> tuple[str, float, float | None, bool]:
+    """(language, score, cross-entropy in nats a character, rejected) of a text by its log-likelihoods.
+
+    The score is the posterior of the language under equal priors, of the likelihood tempered
+    because neighbouring characters are not independent. A text is rejected if its cross-entropy
+    lies over the language's own by more than `reject` deviations, and as many standard errors.
+    """
+    if not size:
+        return UNKNOWN, 0.0, None, True
+    best = int(np.argmax(total))
+    posterior, entropy = 1.0 / np.exp((total - total[best]) / temper).sum(), -total[best] / size
+    limit = limits.mean[best] + reject * limits.deviation[best] * (1 + size**-0.5)
+    return limits.langs[best], float(posterior), float(entropy), bool(entropy > limit)
+
+
+def _score(batches: Iterator[pa.RecordBatch], limits: Limits) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by chunk and kind: the grams of a chunk with log-probabilities, its words, its documents."""
+    width, chunk = len(limits.langs), None
+    at, log_p, scores, sizes = [], [], np.zeros((0, width)), np.zeros(0, np.int64)
+    for batch in batches:
+        found = []
+        chunks, kinds = batch.column("chunk").to_numpy(), batch.column("kind").to_numpy()
+        edges = np.flatnonzero((np.diff(chunks) != 0) | (np.diff(kinds) != 0)) + 1
+        for start, end in zip([0, *edges], [*edges, len(kinds)]):
+            if start == end:
+                continue
+            part = batch.slice(start, end - start)
+            if chunks[start] != chunk:
+                chunk, at, log_p = chunks[start], [], []
+            if kinds[start] == GRAM:
+                at.append(part.column("at").to_numpy())
+                log_p.append(part.column("log_p").flatten().to_numpy(zero_copy_only=False).reshape(-1, width))
+            elif kinds[start] == WORDS_OF:
+                points, back, sizes = _spelled(part.column("blob")[0].as_py())
+                table, scores = np.zeros((len(points), width)), np.zeros((len(sizes), width))
+                if len(sizes):
+                    table[np.concatenate(at)] = np.concatenate(log_p)
+                    for lang in range(width):
+                        scores[:, lang] = np.add.reduceat(table[back, lang], np.cumsum(sizes) - sizes)
+                at, log_p = [], []
+            else:
+                for ids, blob in zip(part.column("ids").to_pylist(), part.column("blob").to_pylist()):
+                    numbers = _unsqueezed(blob).astype(np.int64)
+                    ends, rest = np.cumsum(numbers[: len(ids)]), numbers[len(ids) :].reshape(2, -1)
+                    for doc_id, start_, end_ in zip(ids, [0, *ends], ends):
+                        words, times = np.cumsum(rest[0, start_:end_]), rest[1, start_:end_]
+                        found.append((doc_id, *judge(times @ scores[words], int(times @ sizes[words]), limits)))
+        kinds = (pa.int64(), pa.string(), pa.float64(), pa.float64(), pa.bool_())
+        columns = [pa.array(x, kind) for x, kind in zip(list(zip(*found)) or [()] * 5, kinds)]
+        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "lang_pred", "score", "cross_entropy", "rejected"])
+
+
+def identify(docs: DataFrame, models: Trained | dict) -> DataFrame:
     """(doc_id, lang_pred, score, cross_entropy, rejected) per row of `docs` (doc_id, text).
 
     lang_pred is the language of lowest cross-entropy (the first by name among equals), whether
     rejected or not; `und` with score 0 for texts that are null or have no letter, and for all texts
-    if there are no models. Repeated rows repeat; other columns are not looked at."""
-    sent = share(docs.sparkSession, models)
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return map_batches(rows, partial(_identify, models=sent), "doc_id long, lang_pred string, score double, cross_entropy double, rejected boolean")
+    if there are no models. Repeated rows repeat; other columns are not looked at.
+
+    Texts are packed in chunks. The distinct grams of all chunks are joined to the models' tables, and
+    their log-probabilities sent back to the chunks; so no task holds a model."""
+    schema = "doc_id long, lang_pred string, score double, cross_entropy double, rejected boolean"
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    if not models:
+        none = (F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(None).cast("double").alias("cross_entropy"), F.lit(True).alias("rejected"))
+        return rows.select("doc_id", *none)
+    packed = cut(map_batches(rows, partial(_pack, most_letters=CHUNK_LETTERS), PACKED))
+    grams_ = map_batches(packed.filter(F.col("kind") == WORDS_OF).select("chunk", "blob"), _grams_of, "chunk long, at int, gram string")
+    learned = models.weights[-1]
+    log_p = cut(probabilities(models, cut(grams_.select("gram").union(learned.select("gram")).distinct())))
+    place = F.create_map(*(y for i, x in enumerate(models.langs) for y in (F.lit(x), F.lit(i))))
+    surprise = learned.join(log_p, "gram").select("lang", "weight", (-F.col("log_p")[place[F.col("lang")]]).alias("s"))
+    weighed = [F.sum(F.col("weight") * F.col("s") ** i) / F.sum("weight") for i in (1, 2)]
+    found = {x.lang: x for x in surprise.groupBy("lang").agg(weighed[0].alias("mean"), weighed[1].alias("square")).collect()}
+    mean = [found[x].mean for x in models.langs]
+    limits = Limits(models.langs, mean, [max(0.0, found[x].square - y * y) ** 0.5 for x, y in zip(models.langs, mean)])
+    scored = grams_.join(log_p, "gram").select("chunk", F.lit(GRAM).alias("kind"), "at", "log_p")
+    dealt = scored.unionByName(packed, allowMissingColumns=True).repartition("chunk").sortWithinPartitions("chunk", "kind")
+    return map_batches(dealt, partial(_score, limits=limits), schema)

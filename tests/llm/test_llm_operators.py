@@ -318,6 +318,40 @@ def test_language(spark, odd, none):
     assert language.train(none) == {} and language.identify(none, models).count() == 0
 
 
+@pytest.mark.parametrize("letters_a_chunk", [20, 3_000_000])
+def test_language_equals_whole_counts(spark, letters_a_chunk, monkeypatch):
+    """Every gram counts, also the rare ones of a language that has more than 400,000 of them."""
+    monkeypatch.setattr(language, "CHUNK_LETTERS", letters_a_chunk, raising=False)
+    rng = random.Random(6)
+    word = lambda letters: "".join(rng.choices(letters, k=rng.randint(1, 8)))
+    texts = [(i, " ".join(word("abcde" if i % 2 else "cdefgé漢") for _ in range(40)), "xx" if i % 2 else "yy") for i in range(60)]
+    if letters_a_chunk > 20:  # more than 400,000 grams met once or twice, by themselves
+        texts += [(1001 + 5 * i, " ".join("".join(chr(0x4E00 + (7 * n + 131 * j * (n // 500)) % 20_000) for j in range(5)) for n in range(i * 2800, i * 2800 + 2800)), "yy") for i in range(45)]
+    texts += [(2000 + i, word("abcdefgé漢q") + " " + word("cde"), None) for i in range(30)]
+    docs = documents(spark, [(*x, None) for x in texts])
+    counts = {"xx": language.Counter(), "yy": language.Counter()}
+    for i, text, lang in texts:
+        if lang and zlib.crc32(str(i).encode()) % 5:
+            counts[lang].update(language.grams(language.Counter(language.WORDS.findall(text.lower()))))
+    if letters_a_chunk > 20:
+        assert len(counts["yy"]) > 400_000
+    letters = {x for y in counts.values() for gram in y for x in gram}
+    models = {lang: language.estimate(dict(x), len(letters)) for lang, x in counts.items()}
+    found = {x.doc_id: x for x in language.identify(docs, language.train(docs)).collect()}
+    assert len(found) == len(texts)
+    for i, text, _ in texts:
+        spelled = [w[k : k + 5] for x in language.WORDS.findall(text.lower()) for w in ["\x02" * 4 + x + "\x03"] for k in range(len(w) - 4)]
+        points = language._points(spelled, 5)
+        before = [np.zeros(len(points), np.uint64), *language._hashes(points[:, :-1])]
+        total = {x: language.log_likelihood(m, language._hashes(points), before).sum() for x, m in models.items()}
+        best = max(sorted(total), key=total.get)
+        posterior = 1 / sum(np.exp((x - total[best]) / 8.0) for x in total.values())
+        entropy = -total[best] / len(points)
+        limit = models[best].mean + 2.0 * models[best].deviation * (1 + len(points) ** -0.5)
+        assert (found[i].lang_pred, found[i].score, found[i].cross_entropy) == (best, pytest.approx(posterior), pytest.approx(entropy))
+        assert found[i].rejected == (entropy > limit)
+
+
 def test_model_is_a_distribution():
     counts = language.grams({"the": 20, "then": 3, "hat": 5, "a": 1})
     letters = sorted({x for gram in counts for x in gram} - {language.START})
