@@ -1,7 +1,7 @@
 """Main text of web pages by site style trees.
 
 The pages of a host are merged into one style tree: a node is a path of block elements, each with tag,
-class and id. For every node the pages that have it are counted, with the presentation styles it takes
+class and id. For every node the pages of different text that have it are counted, with the presentation styles it takes
 (the sequence of its children) and the content found under it. A node is important if it is presented
 in varied ways or holds content that differs from page to page; a branch that looks and reads the same
 all over the site is removed from each of its pages. What the mark-up itself declares as menu, header,
@@ -12,11 +12,13 @@ only that counts.
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 from functools import partial
 from html import unescape
 from typing import NamedTuple
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -178,19 +180,26 @@ def main_text(blocks: list[Block], unimportant: frozenset[int] | set[int] = froz
 PRESENTATION, CONTENT = 0, 1
 
 
-def _nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """What a page adds to the style tree of its host: the style of each node and the contents under it."""
+def _trees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each page its host, a hash of the text it would have by its mark-up alone, and what it adds to the
+    style tree: the style of each node and the contents under it, packed."""
     for batch in pieces(batches, "html"):
-        hosts, nodes, kinds, features = [], [], [], []
-        for host, html in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist()):
+        contents, trees = [], []
+        for html in batch.column("html").to_pylist():
             blocks, styles = parse(html or "")
             under = {(node, CONTENT, xxhash.xxh64_intdigest(x.text) >> 1) for x in blocks for node in x.nodes}
-            present = {node for node, *_ in under}
-            found = under | {(node, PRESENTATION, styles.get(node, 0)) for node in present}
-            for node, kind, feature in found:
-                hosts.append(host), nodes.append(node), kinds.append(kind), features.append(feature)
-        columns = [pa.array(hosts, pa.string()), pa.array(nodes, pa.int64()), pa.array(kinds, pa.int32()), pa.array(features, pa.int64())]
-        yield pa.RecordBatch.from_arrays(columns, ["host", "node", "kind", "feature"])
+            found = under | {(node, PRESENTATION, styles.get(node, 0)) for node, *_ in under}
+            contents.append(xxhash.xxh64_intdigest(main_text(blocks)) >> 1)
+            trees.append(zlib.compress(np.array(sorted(found, key=lambda x: x[::-1]), np.int64).reshape(-1, 3).T.tobytes(), 1))
+        yield pa.RecordBatch.from_arrays([batch.column("host"), pa.array(contents, pa.int64()), pa.array(trees, pa.binary())], ["host", "content", "tree"])
+
+
+def _nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in pieces(batches, "tree", 1 << 18):
+        trees = [np.frombuffer(zlib.decompress(x), np.int64).reshape(3, -1) for x in batch.column("tree").to_pylist()]
+        node, kind, feature = np.concatenate(trees, axis=1)
+        hosts = batch.column("host").take(pa.array(np.repeat(np.arange(len(trees)), [x.shape[1] for x in trees])))
+        yield pa.RecordBatch.from_arrays([hosts, pa.array(node), pa.array(kind.astype(np.int32)), pa.array(feature)], ["host", "node", "kind", "feature"])
 
 
 def with_host(pages: DataFrame) -> DataFrame:
@@ -201,11 +210,13 @@ def with_host(pages: DataFrame) -> DataFrame:
 def importance(pages: DataFrame, share: float = 0.5) -> DataFrame:
     """(host, node, pages, importance) of every node of the hosts' style trees; pages as of `with_host`.
 
-    With m pages that have the node, presentation importance is the entropy of its styles to base m,
+    Pages of a host that have the same text are one page here: copies of an article are no evidence of a
+    template. With m pages that have the node, presentation importance is the entropy of its styles to base m,
     content importance one less the mean entropy of the contents under it (0 for one found on a single
     page, 1 for one on all of them); `share` weighs the two. A node of a single page counts 1.
     """
-    found = map_batches(pages, _nodes, "host string, node long, kind int, feature long")
+    trees = map_batches(pages, _trees, "host string, content long, tree binary").groupBy("host", "content").agg(F.min("tree").alias("tree"))
+    found = map_batches(trees.select("host", "tree"), _nodes, "host string, node long, kind int, feature long")
     counts = found.groupBy("host", "node", "kind", "feature").agg(F.count("*").alias("n"))
     shown = F.col("kind") == PRESENTATION
     sums = counts.groupBy("host", "node").agg(
@@ -236,8 +247,8 @@ def extract(pages: DataFrame, least: float = 0.25, least_pages: int = 8) -> Data
     an empty line, character references decoded, white space in a block made one space.
 
     Branches of importance under `least`, on `least_pages` pages or more of their host, are removed.
-    Null and empty pages have empty text; pages without a host share the host ''; repeated rows repeat
-    and count each time; other columns are not looked at. A host's unimportant nodes are few (templates,
+    Null and empty pages have empty text; pages without a host share the host ''; repeated rows repeat,
+    and count once as all pages of the same text do; other columns are not looked at. A host's unimportant nodes are few (templates,
     not pages, make them); they are broadcast if their number says so, else joined by host and salt.
     """
     hosted = with_host(pages)

@@ -284,6 +284,20 @@ def test_articles_of_all_pages(spark):
         assert html.main_text(html.parse(text)[0]) == "\n\n".join(x for x in parts if x), page_id
 
 
+def test_copies_of_an_article_are_no_template(spark):
+    """Groups of copies, on a host of articles and on one where only the copies have a quotation."""
+    paragraphs = lambda name, n: "".join(f"<p>{name} {i}</p>" for i in range(n))
+    article = lambda name, n, more="": f"<html><body><article><h1>{name}</h1>{paragraphs(name, n)}{more}</article></body></html>"
+    pages = [(f"http://a.example/{i}", article(f"story{i % 2}", 10)) for i in range(60)] + [("http://a.example/x", article("other", 20))]
+    quoted = "<blockquote>said once</blockquote><table><tr><td>1</td></tr></table>"
+    pages += [(f"http://b.example/{i}", article("copied", 5, quoted)) for i in range(12)] + [(f"http://b.example/o{i}", article(f"own{i}", 5)) for i in range(9)]
+    found = html.extract(spark.createDataFrame([(i, *x) for i, x in enumerate(pages)], "page_id long, url string, html string"))
+    by = {x.page_id: x.text for x in found.collect()}
+    assert len(by) == len(pages)
+    for i, (_, text) in enumerate(pages):
+        assert by[i].split() == re.sub("<[^>]*>", " ", text).split(), pages[i][0]
+
+
 def test_broken_markup():
     for text in ("<", "<p", "<!--", '<a href="x>y', "</x>", "<div>" * 5000 + "x", '"' * 500 + '<a "' * 3000, "<script>", "<table><tr><td>a<td>b"):
         html.parse(text)
