@@ -47,7 +47,7 @@ CLOSES = {
 SCOPE = {"li": {"ul", "ol", "menu", "dir"}, "dt": {"dl"}, "dd": {"dl"}, "option": {"select"}}
 APART = frozenset("nav footer aside form menu dialog button head search fieldset".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert form menu menubar toolbar".split())
-#: Words in a class or id that mark a part beside the article.
+#: Words that, alone or joined with one another, are a label (class or id) of a part beside the article.
 BESIDE = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense banner sponsor sponsored promo promotion promoted sidebar "
     "sidenav menu menubar nav navbar navigation breadcrumb breadcrumbs topbar masthead header footer copyright cookie cookies "
@@ -55,9 +55,6 @@ BESIDE = frozenset(
     "share sharing social related recommended recommendations comment comments commentlist disqus reply replies respond "
     "discussion feedback widget toolbar pagination pager paywall skip hidden".split()
 )
-#: Words before one of those that turn it into a description of the page.
-NEGATED = frozenset("has with no without".split())
-
 
 class Block(NamedTuple):
     """A run of text: the nodes it stands under, whether it is part of the article, the text."""
@@ -73,32 +70,45 @@ def _beside(name: str, attributes: dict[str, str], in_article: bool) -> bool:
         return True
     if attributes.get("role", "").lower() in ROLES or "hidden" in attributes or attributes.get("aria-hidden") == "true":
         return True
-    if "display:none" in attributes.get("style", "").replace(" ", "").lower():
-        return True
+    return "display:none" in attributes.get("style", "").replace(" ", "").lower()
+
+
+def _labelled(name: str, attributes: dict[str, str]) -> bool:
+    """Whether a whole label of the element says that it stands beside the article."""
     if name in ("html", "body", "article", "main"):
         return False
     for value in (attributes.get("class", ""), attributes.get("id", "")):
         for label in value.split():
-            words = re.sub(r"([a-z])([A-Z])", r"\1 \2", label).lower()
-            words = re.findall(r"[a-z]+", words)
-            if any(x in BESIDE for x in words) and words[0] not in NEGATED:
-                if not (in_article and words == ["header"]):
-                    return True
+            words = re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", label).lower())
+            if words and BESIDE.issuperset(words):
+                return True
     return False
 
 
-def _declares_article(name: str, attributes: dict[str, str]) -> bool:
-    return name in ("article", "main") or attributes.get("role", "").lower() in ("main", "article") or attributes.get("itemprop") == "articleBody"
+MAIN, ARTICLE = 1, 2
+
+
+def _declares_article(name: str, attributes: dict[str, str]) -> int:
+    """MAIN of the main part of a page, ARTICLE of an article, else 0."""
+    role = attributes.get("role", "").lower()
+    if name == "article" or role == "article" or attributes.get("itemprop") == "articleBody":
+        return ARTICLE
+    return MAIN if name == "main" or role == "main" else 0
 
 
 def parse(html: str) -> tuple[list[Block], dict[int, int]]:
     """The blocks of text of a page that are not declared to stand beside the article, in page order,
-    and the presentation style of every node: a hash of its children."""
+    and the presentation style of every node: a hash of its children.
+
+    A label says so only outside an article, and not of a branch with most of the text or with all the
+    articles that the page declares; inside an article, labels are left to the style tree."""
     blocks: list[Block] = []
     styles: dict[int, list[str]] = {}
-    # open elements: name, node, beside, in the article
-    stack: list[tuple[str, int, bool, bool]] = [("", 0, False, False)]
+    # open elements: name, node, beside, in an article (or in the main part of the page), labelled branches
+    stack: list[tuple[str, int, bool, int, tuple[int, ...]]] = [("", 0, False, 0, ())]
     texts: list[str] = []
+    branches: list[tuple[int, ...]] = []  # of each block
+    letters: dict[int, int] = {}  # under each labelled branch
 
     def flush() -> None:
         if texts:
@@ -106,7 +116,10 @@ def parse(html: str) -> tuple[list[Block], dict[int, int]]:
             texts.clear()
             if text and not stack[-1][2]:
                 nodes = tuple(dict.fromkeys(x[1] for x in stack))
-                blocks.append(Block(nodes, stack[-1][3], text))
+                blocks.append(Block(nodes, stack[-1][3] > 0, text))
+                branches.append(stack[-1][4])
+                for x in stack[-1][4]:
+                    letters[x] = letters.get(x, 0) + len(text)
 
     def close(names: set[str], until: set[str]) -> None:
         for depth in range(len(stack) - 1, 0, -1):
@@ -155,7 +168,7 @@ def parse(html: str) -> tuple[list[Block], dict[int, int]]:
             flush()
         plain = found[3] in (">", "")
         attributes = {} if plain else {k.lower(): v.strip("\"'") for k, v in ATTRIBUTE.findall(found[3].rstrip("/>"))}
-        _, node, beside, article = stack[-1]
+        _, node, beside, article, under = stack[-1]
         if block:
             label = name if plain else re.sub(r"\d+", "0", f"{name}.{attributes.get('class', '')}#{attributes.get('id', '')}")
             children = styles.setdefault(node, [])
@@ -163,9 +176,17 @@ def parse(html: str) -> tuple[list[Block], dict[int, int]]:
                 children.append(label)
             node = xxhash.xxh64_intdigest(label, node) >> 1
         if block or not plain:
-            beside = beside or _beside(name, attributes, article)
-        stack.append((name, node, beside, article or _declares_article(name, attributes)))
+            beside = beside or _beside(name, attributes, article > 0)
+            if not plain and article < ARTICLE and _labelled(name, attributes):
+                under = (*under, found.start())
+        stack.append((name, node, beside, max(article, _declares_article(name, attributes)), under))
     flush()
+    total = sum(len(x.text) for x in blocks)
+    dropped = {x for x, size in letters.items() if 2 * size <= total}
+    # where all declared articles stand in labelled branches, the labels above them are wrong
+    if not any(x.article and dropped.isdisjoint(y) for x, y in zip(blocks, branches)):
+        dropped -= {z for x, y in zip(blocks, branches) if x.article for z in y}
+    blocks = [x for x, y in zip(blocks, branches) if dropped.isdisjoint(y)]
     return blocks, {node: xxhash.xxh64_intdigest("\0".join(x)) >> 1 for node, x in styles.items()}
 
 

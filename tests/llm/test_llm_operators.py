@@ -298,6 +298,21 @@ def test_copies_of_an_article_are_no_template(spark):
         assert by[i].split() == re.sub("<[^>]*>", " ", text).split(), pages[i][0]
 
 
+def test_labels_do_not_take_the_article():
+    text = lambda x: html.main_text(html.parse(x)[0])
+    story = "<h1>Title</h1><p>The whole of a story.</p><p>It ends.</p>"
+    whole = "Title\n\nThe whole of a story.\n\nIt ends."
+    for label in ("content-sidebar-wrap", "elementor-widget-container", "overflow-hidden", "header-fixed", "sidebar", "widget overlay"):
+        assert text(f"<body><div class='{label}'><article>{story}</article></div><div id='footer'>f</div></body>") == whole, label
+        assert text(f"<body><div class='{label}'>{story}</div><div id='footer'>f</div></body>") == whole, label
+    for label in ("article-header", "section-header", "header", "discussion", "related-work", "market-share"):
+        assert text(f"<article><div class='{label}'><h1>Title</h1></div><p>The whole of a story.</p><p>It ends.</p></article>") == whole, label
+    # whole labels still tell what stands beside it, also in the main part and where it holds other articles
+    beside = "<div class='socialShare'>share</div><div id='cookie-notice'>c</div><section class='comments'>first</section>"
+    assert text(f"<body>{beside}{story}</body>") == whole == text(f"<main>{beside}{story}</main>")
+    assert text(f"<article>{story}</article><div class='related'><article>more</article></div>") == whole
+
+
 def test_broken_markup():
     for text in ("<", "<p", "<!--", '<a href="x>y', "</x>", "<div>" * 5000 + "x", '"' * 500 + '<a "' * 3000, "<script>", "<table><tr><td>a<td>b"):
         html.parse(text)
