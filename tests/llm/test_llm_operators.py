@@ -298,6 +298,18 @@ def test_copies_of_an_article_are_no_template(spark):
         assert by[i].split() == re.sub("<[^>]*>", " ", text).split(), pages[i][0]
 
 
+def test_templates_of_small_hosts(spark):
+    """From two different pages on, what all have alike goes; copies are no second page."""
+    own = lambda n: f"<div class='t'><h1>Title {n}</h1><p>Words {n}</p><p>More {n}</p></div>"
+    shape = lambda n: f"<body><div class='q1'>Call us now</div>{own(n)}<div class='q2'><p>Legal line</p></div></body>"
+    pages = [(m, n, shape(n)) for m in (1, 2, 3, 7) for n in range(m)] + [(9, 0, shape(0))] * 3
+    rows_ = [(i, f"http://h{m}.example/{n}", text) for i, (m, n, text) in enumerate(pages)]
+    found = {x.page_id: x.text for x in html.extract(spark.createDataFrame(rows_, "page_id long, url string, html string")).collect()}
+    for i, (m, n, _) in enumerate(pages):
+        body = f"Title {n}\n\nWords {n}\n\nMore {n}"
+        assert found[i] == (body if m in (2, 3, 7) else f"Call us now\n\n{body}\n\nLegal line"), m
+
+
 def test_labels_do_not_take_the_article():
     text = lambda x: html.main_text(html.parse(x)[0])
     story = "<h1>Title</h1><p>The whole of a story.</p><p>It ends.</p>"
