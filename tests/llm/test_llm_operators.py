@@ -477,3 +477,61 @@ def test_labels_held_out_are_not_learned(spark):
     found = rows(toxicity.sample(docs, labels), "label", "weight")
     learned = [i for i in range(1, 50, 2) if zlib.crc32(str(i).encode()) % 5]
     assert found == [(1, 1.0)] * len(learned)
+
+
+# pipeline
+
+
+def plain_mix(docs, weights=(5.0, 2.0, 1.0), most=3):
+    """How often each of the documents (doc_id, text, source) is sent, source by source in order of the draw."""
+    size = lambda x: len(re.findall(r"[^\x20\x09-\x0D]+", x[1]))
+    sums = {}
+    for x in docs:
+        sums[x[2]] = sums.get(x[2], 0) + size(x)
+    order = sorted(sums)
+    weight = {x: weights[i % 3] for i, x in enumerate(order)}
+    capped: set = set()
+    while True:
+        rest, open_ = sum(sums.values()) - sum(most * sums[x] for x in capped), [x for x in order if x not in capped]
+        share = {x: rest * weight[x] / sum(weight[y] for y in open_) for x in open_}
+        over = {x for x in open_ if share[x] > most * sums[x]}
+        if not over:
+            break
+        capped |= over
+    times = {}
+    for source in order:
+        md5 = lambda x: hashlib.md5(x.encode()).hexdigest()
+        drawn = sorted((x for x in docs if x[2] == source), key=lambda x: md5(f"{x[0]}:{md5(x[1])}:1:0"))
+        at, aim = 0, int(share.get(source, most * sums[source]))
+        for x in drawn * most:
+            if at < aim and size(x):
+                times[x[0]] = times.get(x[0], 0) + 1
+                at += size(x)
+    return times
+
+
+def test_pipeline_equals_brute_force(spark):
+    """Which documents stay, with which words, how often, as which ids."""
+    import corpus_pipeline
+
+    tokenizers = pytest.importorskip("tokenizers")
+    small = "/root/testdata/sf0.001"
+    documents_, labels = (spark.read.parquet(f"{small}/{x}.parquet") for x in ("documents", "labels"))
+    scorer = toxicity.Scorer(toxicity.train(documents_, labels))
+    given = sorted((x.doc_id, x.text, x.source) for x in documents_.collect())
+    clean = [x for x in given if scorer.document(x[1]) < 0.5]
+    prints = {i: plain_fingerprint(t) for i, t, _ in clean}
+    links = [(a, b) for a in prints for b in prints if a < b and (prints[a] ^ prints[b]).bit_count() <= 2]
+    first = smallest_reachable(prints, links)
+    apart = [x for x in clean if first[x[0]] == x[0]]
+    source = {i: s for i, _, s in apart}
+    texts = {i: t for i, t, _ in apart}
+    cut_ = [(i, kept if gone else texts[i], source[i]) for i, total, gone, kept in removed([x[:2] for x in apart]) if not gone or gone < total]
+    times = plain_mix(cut_)
+    assert len(given) > len(clean) > len(apart) >= len(cut_) > 0 and any(t != texts[i] for i, t, _ in cut_) and max(times.values()) > 1
+    known, expected = tokenizers.Tokenizer.from_file(byte_bpe()), []
+    for i, text, _ in cut_:
+        ids = known.encode(text, add_special_tokens=False).ids
+        expected += [(i, len(ids), np.array(ids, "<u4").tobytes(), hashlib.sha256(text.encode()).hexdigest())] * times.get(i, 0)
+    found = [(x.doc_id, x.n_tokens, bytes(x.ids), x.decoded_sha256) for x in corpus_pipeline.run(spark, small).collect()]
+    assert sorted(found) == sorted(expected)
