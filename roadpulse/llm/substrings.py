@@ -26,6 +26,8 @@ from roadpulse.llm.common import map_batches, pieces, raw_bytes
 WINDOW, ANCHOR = 13, 4
 #: Words of one index; a shard's anchors are indexed together up to this many.
 INDEX_WORDS = 1 << 19
+#: Words of a segment at most, where its anchor occurs once.
+LONGEST = 2 * WINDOW - ANCHOR
 KEPT_WORDS = 300_000
 #: Stands for a missing doc_id, after all others.
 LAST = (1 << 63) - 1
@@ -156,19 +158,23 @@ def earliest(texts: list[np.ndarray], first_docs: np.ndarray, window: int = WIND
 
 
 def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(row, anchor) for the distinct anchors of each document."""
+    """(row, anchor) for the distinct anchors of each document, once for LONGEST words of their segments."""
     hashes = WordHashes()
     for batch in pieces(batches, "text"):
         rows, found = [], []
         for row, text in zip(batch.column("row").to_pylist(), raw_bytes(batch.column("text"))):
-            some = np.unique(anchors(hashes.of((text or b"").split())))
-            found.append(some)
-            rows.append(np.full(len(some), row, np.int64))
+            selected = anchors(hashes.of((text or b"").split()))
+            starts, counts = segments(selected)
+            some, back = np.unique(selected[starts], return_inverse=True)
+            size = np.bincount(back, counts + WINDOW - 1, len(some)).astype(np.int64)
+            found.append(np.repeat(some, -(-size // LONGEST)))
+            rows.append(np.full(len(found[-1]), row, np.int64))
         yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(rows)), pa.array(np.concatenate(found))], ["row", "anchor"])
 
 
 def _shared_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, int, int, int, bytes]]:
-    """(row, doc, first window, windows, anchor, words) of the segments with a shared anchor."""
+    """(row, doc, first window, windows, anchor, words) of the segments with a shared anchor; window by
+    window, with a hash of the window in place of the anchor, where the anchor has too many."""
     hashes = WordHashes()
     for batch in pieces(batches, "text"):
         columns = (batch.column("row").to_pylist(), batch.column("doc").to_pylist(), batch.column("anchors"), raw_bytes(batch.column("text")))
@@ -177,9 +183,15 @@ def _shared_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, i
             selected = anchors(words)
             starts, counts = segments(selected)
             known, heads = np.sort(shared.values.to_numpy()), selected[starts]
-            wanted = known[np.minimum(np.searchsorted(known, heads), len(known) - 1)] == heads
-            for first, count, anchor in zip(starts[wanted].tolist(), counts[wanted].tolist(), heads[wanted].tolist()):
-                yield row, doc, first, count, anchor, words[first : first + count + WINDOW - 1].tobytes()
+            plain, crowded = (known[np.minimum(np.searchsorted(known, x), len(known) - 1)] == x for x in (heads, ~heads))
+            wanted = plain | crowded
+            for first, count, anchor, single in zip(starts[wanted].tolist(), counts[wanted].tolist(), heads[wanted].tolist(), crowded[wanted].tolist()):
+                if single:
+                    for at in range(first, first + count):
+                        window = words[at : at + WINDOW].tobytes()
+                        yield row, doc, at, 1, xxhash.xxh64_intdigest(window) - (1 << 63), window
+                else:
+                    yield row, doc, first, count, anchor, words[first : first + count + WINDOW - 1].tobytes()
 
 
 def _batches(rows: Iterator[tuple], schema: pa.Schema, size: int = 20_000) -> Iterator[pa.RecordBatch]:
@@ -288,8 +300,10 @@ def _searched(docs: DataFrame, rest: list[str], untouched: bool) -> DataFrame:
     # every branch takes all columns of `whole`, so that one exchange of the texts serves all
     spread = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     anchored = map_batches(firsts, _anchors, "row long NOT NULL, anchor long NOT NULL").repartition(spread, "anchor")
-    several = anchored.groupBy("anchor").agg(F.min("row").alias("a"), F.max("row").alias("b")).filter("a != b").select("anchor")
-    shared = anchored.join(several, "anchor").groupBy("row").agg(F.collect_set("anchor").alias("anchors"))
+    crowded = F.count("*") * LONGEST > INDEX_WORDS
+    several = anchored.groupBy("anchor").agg(F.min("row").alias("a"), F.max("row").alias("b"), crowded.alias("crowd")).filter("a != b").select("anchor", "crowd")
+    marked = F.when(F.col("crowd"), F.bitwise_not("anchor")).otherwise(F.col("anchor"))
+    shared = anchored.join(several, "anchor").groupBy("row").agg(F.collect_set(marked).alias("anchors"))
     sharing = firsts.join(shared.hint("shuffle_hash"), "row")
 
     contents = map_batches(sharing, _contents, "anchor long NOT NULL, words binary NOT NULL, first_doc long NOT NULL, last_doc long NOT NULL")

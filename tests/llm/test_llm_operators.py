@@ -193,6 +193,30 @@ def test_substrings_equal_brute_force(spark):
     assert rows(found, "doc_id", "n_words", "n_removed", "kept") == sorted(removed(docs))
 
 
+def test_an_anchor_never_outgrows_an_index(spark, monkeypatch):
+    """One phrase in all documents, some of the words around it in several: more segments than an index takes."""
+    monkeypatch.setattr(substrings, "INDEX_WORDS", 2200)
+    rng = random.Random(8)
+    around = [" ".join(f"v{rng.randrange(40)}" for _ in range(12)) for _ in range(60)]
+    value = lambda x: int(substrings.anchors(substrings.WordHashes().of(x.encode().split()), 4, 4).view(np.uint64)[0])
+    phrase = min((f"a{k} b c d" for k in range(5000)), key=value)  # selects all windows that hold it
+    docs = [(i, f"{rng.choice(around)} {phrase} {rng.choice(around)}") for i in range(400)]
+    df = documents(spark, [(*x, None, None) for x in docs])
+    assert rows(substrings.remove_repeats(df), "doc_id", "n_words", "n_removed", "kept") == sorted(removed(docs))
+    sizes, contents, original = {}, [], substrings.map_batches
+
+    def seen(df_, function, schema):
+        found = original(df_, function, schema)
+        contents.extend([found] if function is substrings._contents else [])
+        return found
+
+    monkeypatch.setattr(substrings, "map_batches", seen)
+    substrings.remove_repeats(df)
+    for anchor, words in contents[0].select("anchor", "words").collect():
+        sizes.setdefault(anchor, set()).add(bytes(words))
+    assert max(sum(map(len, x)) for x in sizes.values()) <= 2200 * 8
+
+
 def test_substrings_of_odd_rows(odd, none):
     found = substrings.remove_repeats(odd)
     key = lambda x: [(y is None, y) for y in x]
