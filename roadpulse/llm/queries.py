@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadpulse.llm import bpe, chat, digest, embeddings, html, language, mixing, simhash, substrings, toxicity
+from roadpulse.llm import (
+    bpe, chat, digest, embeddings, html, infill, language, mixing, negatives, simhash, substrings, token_counts, toxicity,
+)
 from roadpulse.llm.common import held_out
 from roadpulse.llm.vocabularies import byte_bpe
 
@@ -68,9 +70,21 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", predicted, F.size("offending").alias("n_offending"))
 
 
+def op11_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return infill.round_trip(table(spark, sf_dir, "documents"))
+
+
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count(table(spark, sf_dir, "documents"), byte_bpe())
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return negatives.mine(table(spark, sf_dir, "embeddings"))
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_embeddings, op2_perspectives, op3_weighted_mix, op4_substrings, op5_simhash, op6_main_text, op7_language, op8_bpe,
-        op9_digest, op10_toxicity,
+        op9_digest, op10_toxicity, op11_infill, op12_token_counts, op13_hard_negatives,
     )
     return {x.__name__: x for x in found}
