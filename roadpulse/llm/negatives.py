@@ -25,10 +25,10 @@ from roadpulse.llm.common import cut, map_batches, share, shared
 
 #: Candidates of the sample that the top of the tree is fitted on, and groups of labels.
 PIVOTS, BUCKETS = 256, 16
-#: Candidates in a tree, and anchors that search it together.
-TILE, ANCHORS = 4096, 4096
-#: Candidates of a node that is not divided, and anchors that descend at a time.
-LEAF, ABREAST = 32, 256
+#: Candidates in a tree (fewer where vectors are long: NUMBERS in all), and anchors that search it together.
+TILE, NUMBERS, ANCHORS = 8192, 1 << 21, 4096
+#: Candidates of a node that is not divided, children of a node, and anchors that descend at a time.
+LEAF, CHILDREN, ABREAST = 256, 64, 512
 #: Squared length of a row's whole numbers from which on scores might not be whole in double precision.
 LONGEST = 2.0**52
 #: Share of the scale of the distances by which bounds are widened against rounding.
@@ -58,17 +58,21 @@ def augmented(vectors: np.ndarray, norm: float) -> np.ndarray:
 
 
 def covering(points: np.ndarray, members: np.ndarray, centre: int, radius: float) -> list[tuple[int, np.ndarray]]:
-    """Centres more than `radius` apart, `centre` first, and the members each covers within it."""
-    found, rest, at = [], members, centre
-    while len(rest):
-        apart = np.sqrt(((points[rest] - points[at]) ** 2).sum(axis=1))
-        near = apart <= radius
-        near |= rest == at
-        found.append((at, rest[near]))
-        rest, apart = rest[~near], apart[~near]
-        if len(rest):
-            at = int(rest[np.argmax(apart)])
-    return found
+    """Centres more than `radius` apart, `centre` first, each with the members it is nearest to.
+
+    The next centre is the member farthest from those chosen, until all are covered within `radius`. Where that
+    would take more than CHILDREN, or leave them less than half a leaf each, as for vectors without structure,
+    the radii stay greater; they are measured, never presumed.
+    """
+    most = min(CHILDREN, -(-2 * len(members) // LEAF))
+    centres, owner = [centre], np.zeros(len(members), np.int64)
+    apart = ((points[members] - points[centre]) ** 2).sum(axis=1)
+    while len(centres) < most and (far := int(np.argmax(apart)), apart[far] > radius * radius)[1]:
+        other = ((points[members] - points[members[far]]) ** 2).sum(axis=1)
+        owner[other < apart] = len(centres)
+        apart = np.minimum(apart, other)
+        centres.append(int(members[far]))
+    return [(x, members[owner == i]) for i, x in enumerate(centres)]
 
 
 def build(vectors: np.ndarray, ids: np.ndarray, labels: np.ndarray, norm: float) -> Tree:
@@ -148,10 +152,8 @@ def _descend(tree: Tree, every: np.ndarray, allowed: Callable, windows: Windows,
         greatest[going, node] = -np.inf
 
         leaf = tree.children[node] == 0
-        owner, rows = _spread(tree.start[node[leaf]], (tree.end - tree.start)[node[leaf]])
-        if len(rows):
-            who = going[leaf][owner]
-            scores = np.einsum("ij,ij->i", vectors[who], tree.vectors[rows]).astype(np.int64)
+        if leaf.any():
+            who, rows, scores = _scored(tree, vectors, going[leaf], node[leaf], need.min(axis=1), high.max(axis=1))
             wanted = (scores[:, None] >= need[who]) & (scores[:, None] <= high[who]) & allowed(who + offset, rows)[:, None]
             pair, window = np.nonzero(wanted)
             slot = np.append(slot, who[pair] * width + window)
@@ -172,6 +174,20 @@ def _descend(tree: Tree, every: np.ndarray, allowed: Callable, windows: Windows,
             greatest[who[inside], child[inside]] = most[inside]
 
 
+def _scored(tree: Tree, vectors: np.ndarray, going: np.ndarray, leaf: np.ndarray, low: np.ndarray, high: np.ndarray) -> list[np.ndarray]:
+    """[anchor, row, score] of the rows of each anchor's leaf with a score between its low and high; anchors
+    that are at the same leaf are scored together."""
+    found = [(np.zeros(0, np.int64),) * 3]
+    order = np.argsort(leaf, kind="stable")
+    starts = np.flatnonzero(np.append(True, np.diff(leaf[order]) != 0))
+    for one, who in zip(leaf[order[starts]], np.split(going[order], starts[1:])):
+        start = tree.start[one]
+        scores = vectors[who] @ tree.vectors[start : tree.end[one]].T
+        i, j = np.nonzero((scores >= low[who, None]) & (scores <= high[who, None]))
+        found.append((who[i], start + j, scores[i, j].astype(np.int64)))
+    return [np.concatenate(x) for x in zip(*found)]
+
+
 class Cells(NamedTuple):
     """The top of the tree for one size of vectors: pivots, and the cells around them."""
 
@@ -338,7 +354,7 @@ def mine(
     placed = map_batches(rows, partial(_nearest, tops=tops), kinds)
     cell = ["size", "bucket", "pivot"]
     spans = placed.groupBy(*cell).agg(F.max("apart").alias("radius"), F.count("*").alias("n")).collect()  # cells, not rows
-    spans = [(x["size"], x["bucket"], x["pivot"], x["radius"] * (1 + SLACK) + 1e-6, -(-x["n"] // TILE)) for x in spans]
+    spans = [(x["size"], x["bucket"], x["pivot"], x["radius"] * (1 + SLACK) + 1e-6, -(-x["n"] // _tile(x["size"]))) for x in spans]
     tiles = spark.createDataFrame([(*x[:3], x[4]) for x in spans], "size long, bucket long, pivot long, tiles long")
     tile = F.pmod(F.xxhash64("vec_id", "label", "vector"), F.col("tiles")).alias("tile")
     tiled = placed.join(F.broadcast(tiles), cell).select("vec_id", "label", "vector", *cell, tile)
@@ -370,8 +386,9 @@ def mine(
 
 
 def _pivots(rows: DataFrame, counts: dict[int, int]) -> dict[int, np.ndarray]:
-    """A pivot for TILE rows of a size, PIVOTS at most, the first by hash of a sample eight times as large."""
-    wanted = {size: max(1, min(PIVOTS, n // TILE)) for size, n in counts.items()}
+    """A pivot for as many rows of a size as its groups of labels have in a tree each, PIVOTS at most: the
+    first by hash of a sample eight times as large."""
+    wanted = {size: max(1, min(PIVOTS, n // (_tile(size) * BUCKETS))) for size, n in counts.items()}
     every = [(size, max(1, counts[size] // (8 * wanted[size]))) for size in wanted]
     drawn = F.xxhash64("vec_id", "label", "vector").alias("drawn")
     sampled = rows.join(F.broadcast(rows.sparkSession.createDataFrame(every, "size long, one_in long")), "size")
@@ -385,6 +402,10 @@ def _pivots(rows: DataFrame, counts: dict[int, int]) -> dict[int, np.ndarray]:
     return found
 
 
+def _tile(size: int) -> int:
+    return max(1, min(TILE, NUMBERS // max(1, size)))
+
+
 def _hundredth(number: Column) -> Column:
     """A hundredth of a long, rounded down, in double precision."""
     return ((number - F.pmod(number, F.lit(100))) / 100).cast("double")

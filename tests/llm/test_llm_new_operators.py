@@ -215,28 +215,31 @@ def test_negatives_of_odd_rows(spark):
     assert mined(spark, []) == []
 
 
-def test_every_level_covers_its_rows():
+def test_every_level_covers_its_rows(monkeypatch):
+    monkeypatch.setattr(negatives, "LEAF", 16)
     rng = np.random.RandomState(2)
     points = np.vstack([rng.randint(-200, 200, (300, 6)), np.tile([7] * 6, (90, 1))]).astype(np.int32)
     norm = float((points.astype(float) ** 2).sum(axis=1).max())
     tree = negatives.build(points, np.arange(len(points)), np.zeros(len(points), np.int64), norm)
     high = negatives.augmented(tree.vectors, norm)
 
+    def children(node):
+        return range(tree.child[node], tree.child[node] + tree.children[node])
+
     def below(node):
         if not tree.children[node]:
             return list(range(tree.start[node], tree.end[node]))
-        first = tree.child[node]
-        children = range(first, first + tree.children[node])
-        assert all(tree.radius[x] <= tree.radius[node] / 2 + 1e-9 or tree.radius[node] == 0 for x in children)
-        return [row for x in children for row in below(x)]
+        return [row for x in children(node) for row in below(x)]
 
     for node in range(len(tree.centre)):
         apart = np.sqrt(((high[below(node)] - high[tree.centre[node]]) ** 2).sum(axis=1))
         assert apart.max() <= tree.radius[node] + 1e-6
+        if len(children(node)) < min(negatives.CHILDREN, 2 * len(apart) / negatives.LEAF):
+            assert all(tree.radius[x] <= tree.radius[node] / 2 + 1e-9 for x in children(node))
     assert sorted(below(0)) == list(range(len(points)))
 
 
-def test_a_search_leaves_out_most_of_a_clustered_tree(monkeypatch):
+def test_a_search_leaves_out_most_of_a_clustered_tree():
     rng = np.random.RandomState(3)
     centres = rng.randint(-2000, 2000, (40, 8))
     points = (centres[rng.randint(40, size=4000)] + rng.randint(-20, 20, (4000, 8))).astype(np.int32)
