@@ -18,9 +18,9 @@ MISSING_ZONE = "missing_zone"
 JSON_SPACE = " \t\r\n"
 REASONS = [BLANK, NOT_OBJECT, MALFORMED, BAD_EVENT_TIME, MISSING_ZONE]
 
-# The message is parsed as one field of a wrapper whose last field must arrive.
-# Text after the first JSON object, which the parser would skip without a word,
-# then either breaks the wrapper or cuts its end off.
+# The message is parsed as one field of a wrapper whose last field must arrive, so
+# that the parser cannot skip what follows the first JSON object without a word.
+# That the message is no more than this object is seen by ``is_one_object``.
 _WRAPPER = T.StructType(
     [
         T.StructField("event", WIRE_EVENT),
@@ -41,6 +41,17 @@ def parse_message(text: Column) -> Column:
     return F.from_json(wrapped, _WRAPPER, _JSON_OPTIONS)
 
 
+def is_one_object(text: Column) -> Column:
+    """Whether text that ``parse_message`` takes for an object and more is one object only.
+
+    As the first of two elements of an array the text may go on after its object with a comma and
+    a value alone; as a field of the wrapper, with a comma, a name and a colon. No text does both,
+    hence nothing follows. NaN and Infinity, which JSON does not know, are refused as well.
+    """
+    elements = F.json_array_length(F.concat(F.lit("["), text, F.lit(",0]")))
+    return F.coalesce(elements == 2, F.lit(False))
+
+
 def whole(reading: Column) -> Column:
     """A reading as a whole number, halves rounded up; NULL if no BIGINT can hold it."""
     return F.round(reading).try_cast("bigint")
@@ -85,7 +96,8 @@ def reject_reason(text: Column) -> Column:
             F.col("broken").isNotNull()
             | F.col("complete").isNull()
             | ~F.is_valid_utf8(text)
-            | _lost("event"),
+            | _lost("event")
+            | ~is_one_object(text),
             MALFORMED,
         )
         .when(

@@ -56,13 +56,27 @@ def with_wrong_road(events: DataFrame) -> DataFrame:
     return events.withColumn("road_id", road).select(*EVENT_COLUMNS)
 
 
+def _no_object(text: Column) -> Column:
+    speed = F.get_json_object(text, "$.average_speed").cast("int") % 4
+    return (
+        F.when(speed == 0, F.concat(text, F.lit(',"lane":2')))
+        .when(speed == 1, F.concat(text, F.lit(',"event":'), text))
+        .when(speed == 2, F.concat(text, F.lit(",1]")))
+        .otherwise(F.substring(text, F.lit(1), F.length(text) - 1))
+    )
+
+
 def with_defects(messages: DataFrame) -> DataFrame:
-    """Messages by ``event_type``: cut off, without a zone, or without a valid time; and good ones
-    with white space in front and an unknown field, or with a speed written as 45.0."""
+    """Messages by ``event_type``: not one whole object, without a zone, or without a valid time; and
+    good ones with white space in front and an unknown field, or with a speed written as 45.0.
+
+    Those that are no object are cut off, or go on after it: by a field, by another event, or as
+    an array would. Which of these is taken from the speed that the message has.
+    """
     text = F.col("value").cast("string")
     kind = F.col("event_type")
     broken = (
-        F.when(kind == "error", F.expr("left(cast(value AS STRING), length(value) - 1)"))
+        F.when(kind == "error", _no_object(text))
         .when(kind == "signup", F.regexp_replace(text, r'"zone":"[^"]*",', ""))
         .when(kind == "view", F.regexp_replace(text, r'"event_time":"[^"]*"', '"event_time":"?"'))
         .when(kind == "click", F.concat(F.lit("\t\r\n "), F.regexp_replace(text, r"\}$", ',"lane":2}')))

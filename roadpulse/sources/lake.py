@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from roadpulse.functions.codec import whole
 from roadpulse.operators.ingest import typed
 from roadpulse.schema import EVENT, EVENT_COLUMNS, EXTRA, LAKE_PARTITIONS, WHOLE, WIRE_EVENT
 
@@ -63,9 +64,10 @@ def lake_schema(fmt: str) -> T.StructType:
 
 
 def whole_readings(files: DataFrame) -> DataFrame:
-    """Counts and speeds as whole numbers, halves rounded up, as ingest does."""
+    """Counts and speeds as whole numbers, halves rounded up, as ingest does; a number that no
+    BIGINT holds is an unknown reading and stops no job."""
     kinds = dict(files.dtypes)
-    rounded = {x: F.round(x).cast("bigint") for x in WHOLE if kinds[x] == "double"}
+    rounded = {x: whole(F.col(x)) for x in WHOLE if kinds[x] == "double"}
     return files.withColumns(rounded) if rounded else files
 
 

@@ -6,6 +6,8 @@ import json
 from datetime import date, datetime
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from samples import GOLDEN, as_dict, message, plan, rows
 
 from roadpulse.operators import ingest
@@ -46,6 +48,17 @@ def reasons(spark, *values):
         (GOOD[:-1], "malformed"),
         (GOOD + "}", "malformed"),
         (GOOD + " tail", "malformed"),
+        (GOOD + ',"y":1', "malformed"),
+        (GOOD + ',"complete":true', "malformed"),
+        (GOOD + ',"complete":true}', "malformed"),
+        (GOOD + ',"event":' + message(zone="Other"), "malformed"),
+        (GOOD + ",1]", "malformed"),
+        (GOOD + "],[" + GOOD, "malformed"),
+        (GOOD + ',"k"', "malformed"),
+        (GOOD + ",", "malformed"),
+        (GOOD + ",null", "malformed"),
+        (message(complete=False, event={"zone": "x"}, broken="x"), None),
+        (message(occupancy_rate=float("nan")), "malformed"),
         (GOOD + GOOD, "malformed"),
         (f"{GOOD},{GOOD}", "malformed"),
         (GOOD.replace('"S001"', "'S001'"), "malformed"),
@@ -92,6 +105,22 @@ def test_nothing_of_a_good_message_is_lost(spark):
     assert [x.average_speed for x in events] == [30, 30, 36, 35]
 
 
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.text(st.sampled_from('{}[],:"01 ntrue'), max_size=14), min_size=40, max_size=40))
+def test_what_json_refuses_is_refused(spark, tails):
+    """Whatever follows a good message: it is good only if a JSON reader takes the whole for an object."""
+
+    def whole_object(text):
+        try:
+            return isinstance(json.loads(text), dict)
+        except ValueError:
+            return False
+
+    texts = [GOOD + tail for tail in tails] + [GOOD[:-1] + tail for tail in tails]
+    found = reasons(spark, *texts)
+    assert [x for x, reason in zip(texts, found) if reason is None and not whole_object(x)] == []
+
+
 def test_a_filter_does_not_parse_twice(spark):
     messages = spark.createDataFrame([(GOOD,)], "value STRING")
     for table in (

@@ -166,3 +166,15 @@ def test_the_raw_lake_keeps_what_an_event_does_not_hold(spark, tmp_path):
         start_ingest(messages, root, str(tmp_path / f"c-{fmt}"), fmt, trigger=ONCE).awaitTermination()
         assert [x.message for x in read_extra(spark, root, fmt).collect()] == [more]
         assert read_lake(spark, root, fmt).count() == 2
+
+
+def test_a_reading_that_no_long_holds_is_unknown(spark, golden, tmp_path):
+    root = str(tmp_path / "lake")
+    write_lake(golden, root)
+    folder = next((tmp_path / "lake").glob("date=*/zone=Suburbs"))
+    odd = {**as_dict(GOLDEN[3]), "average_speed": 1e30, "vehicle_count": 39.5}
+    (folder / "odd.json").write_text(json.dumps({k: v for k, v in odd.items() if k != "zone"}) + "\n")
+    for mode in ("FAILFAST", "DROPMALFORMED"):
+        found = read_lake(spark, root, mode=mode).filter("zone = 'Suburbs'")
+        assert {(r.average_speed, r.vehicle_count) for r in found.collect()} == {(70, 81), (None, 40)}
+    assert kpis.critical_zones(read_lake(spark, root)).count() == 4
