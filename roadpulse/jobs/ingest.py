@@ -1,8 +1,7 @@
 """Streams the topic into the lake and sets bad messages aside.
 
-Two queries, each with a sink that takes every message exactly once; the sinks have no commit in
-common, so one query for both would write some rows twice after a crash. Counts by date and zone
-need no third read of the topic: they follow the lake.
+One query, which reads and decodes a message once and commits lake and rejects together, batch by
+batch. Counts by date and zone need no second read of the topic: they follow the lake.
 """
 
 from __future__ import annotations
@@ -15,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 from roadpulse.jobs import arguments
 from roadpulse.sinks.lake import make_folder
 from roadpulse.sources.lake import stream_lake
-from roadpulse.streaming.ingest import start_ingest, start_rejects, start_report
+from roadpulse.streaming.ingest import start_ingest, start_report
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -31,16 +30,11 @@ def main(argv: list[str] | None = None) -> None:
         start_ingest(
             arguments.messages(spark, options),
             options.lake,
-            f"{options.checkpoint}/lake",
+            f"{options.checkpoint}/ingest",
             options.lake_format,
             trigger=trigger,
-        ),
-        start_rejects(
-            arguments.messages(spark, options),
-            options.rejects,
-            f"{options.checkpoint}/rejects",
-            trigger=trigger,
-        ),
+            rejects=options.rejects,
+        )
     ]
     if options.report and not options.once:
         running.append(_report(spark, options, trigger))

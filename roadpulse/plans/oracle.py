@@ -166,6 +166,17 @@ WHERE CAST(event_time AS DATE) = DATE '2024-01-03' AND zone = 'Downtown'
     "stream_ingest": _PARTITION_COUNTS,
     "stream_rejects": f"""
 SELECT {_REASON} AS reason, count(*) AS records FROM v WHERE {_REASON} IS NOT NULL GROUP BY 1
+""",
+    "stream_both_outputs": f"""
+SELECT CAST(event_time AS DATE) AS date, zone, count(*) AS events, NULL::VARCHAR AS reason
+FROM v WHERE {_REASON} IS NULL GROUP BY 1, 2
+UNION ALL
+SELECT NULL, NULL, count(*), {_REASON} FROM v WHERE {_REASON} IS NOT NULL GROUP BY {_REASON}
+""",
+    "ingest_counts": f"""
+SELECT CAST(0 AS BIGINT) AS number, count(*) AS messages,
+       count(CASE WHEN {_REASON} IS NULL THEN 1 END) AS accepted, count({_REASON}) AS rejected
+FROM v
 """,
     "stream_alerts": _ALERTS,
     "lake_stream_alerts": _ALERTS,

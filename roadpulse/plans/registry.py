@@ -21,14 +21,14 @@ from roadpulse.plans.road_events import (
 )
 from roadpulse.schema import EVENT_COLUMNS
 from roadpulse.sinks.lake import write_lake
-from roadpulse.sources.lake import read_documents, read_lake, stream_lake
+from roadpulse.sources import commits
+from roadpulse.sources.lake import read_documents, read_lake, read_rejects, stream_lake
 from roadpulse.sources.store import read_dated_alerts, read_summary, read_table, register_views
 from roadpulse.streaming import live
 from roadpulse.streaming.ingest import (
     ONCE,
     start_conversion,
     start_ingest,
-    start_rejects,
     start_report,
 )
 from roadpulse.streaming.session import scratch, stream_session
@@ -267,16 +267,39 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingest.partition_counts(read_lake(spark, root))
 
 
+def _both_outputs(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """A lake and its rejects, of one ingest of defective messages."""
+    root, path, checkpoint = (scratch(spark, x) for x in ("lake", "rejects", "checkpoint"))
+    messages = with_defects(_message_stream(spark, sf_dir, "event_type"))
+    start_ingest(messages, root, checkpoint, trigger=ONCE, rejects=path).awaitTermination()
+    return root, path
+
+
 @_query
 def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Defective messages streamed into the dataset of rejects; records per reason."""
-    path, checkpoint = scratch(spark, "rejects"), scratch(spark, "checkpoint")
-    messages = with_defects(_message_stream(spark, sf_dir, "event_type"))
-    start_rejects(messages, path, checkpoint, trigger=ONCE).awaitTermination()
-    rejects = spark.read.schema("value STRING, reason STRING").parquet(path)
+    root, path = _both_outputs(spark, sf_dir)
+    rejects = read_rejects(spark, path, root)
     return rejects.groupBy("reason").agg(F.count("*").alias("records"))
 
 
+@_query
+def stream_both_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What one ingest put into the lake, by date and zone, and into the rejects, by reason."""
+    root, path = _both_outputs(spark, sf_dir)
+    last = commits.done(spark, root)
+    lake = ingest.partition_counts(read_lake(spark, root, last=last))
+    rejects = read_rejects(spark, path, root, last).groupBy("reason").agg(F.count("*").alias("events"))
+    return lake.unionByName(rejects, allowMissingColumns=True)
+
+
+@_query
+def ingest_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counts that each batch of ingest was committed with."""
+    root, _ = _both_outputs(spark, sf_dir)
+    return commits.read_commits(spark, root).select("number", "messages", "accepted", "rejected")
+
+
 @_query
 def stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, checkpoint = scratch(spark, "alerts"), scratch(spark, "checkpoint")

@@ -8,7 +8,7 @@ from roadpulse.functions.codec import iso_text
 from roadpulse.functions.traffic import wall_time
 from roadpulse.operators.ingest import route, spread
 from roadpulse.schema import EVENT_COLUMNS, EXTRA, LAKE_PARTITIONS
-from roadpulse.sources.lake import require_batch_lake
+from roadpulse.sources.lake import require_no_stream_log
 
 PARTITIONS = LAKE_PARTITIONS.fieldNames()
 
@@ -36,6 +36,6 @@ def lake_rows(events: DataFrame, fmt: str = "json") -> DataFrame:
 
 def write_lake(events: DataFrame, root: str, fmt: str = "json", mode: str = "append") -> None:
     """Backfills the lake with a batch of events."""
-    require_batch_lake(events.sparkSession, root)
+    require_no_stream_log(events.sparkSession, root)
     rows = spread(lake_rows(events, fmt))
     rows.write.partitionBy(*PARTITIONS).mode(mode).format(fmt).save(root)

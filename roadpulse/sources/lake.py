@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 from roadpulse.functions.codec import whole
 from roadpulse.operators.ingest import typed
 from roadpulse.schema import EVENT, EVENT_COLUMNS, EXTRA, LAKE_PARTITIONS, WHOLE, WIRE_EVENT
+from roadpulse.sources.commits import only_done
 
 FORMATS = {"json": WIRE_EVENT, "parquet": EVENT}
 
@@ -37,9 +38,9 @@ def followed_by_a_stream(spark: SparkSession, root: str) -> bool:
     return exists(spark, f"{root}/_spark_metadata")
 
 
-def require_batch_lake(spark: SparkSession, root: str) -> None:
+def require_no_stream_log(spark: SparkSession, root: str) -> None:
     if followed_by_a_stream(spark, root):
-        raise LakeOfAnotherWriter(f"{root} is written by a stream; send the events through it")
+        raise LakeOfAnotherWriter(f"{root} is read through a stream's log, which would hide the events")
 
 
 def require_stream_lake(spark: SparkSession, root: str, fmt: str) -> None:
@@ -47,7 +48,7 @@ def require_stream_lake(spark: SparkSession, root: str, fmt: str) -> None:
         return
     if not read_lake(spark, root, fmt).isEmpty():
         raise LakeOfAnotherWriter(
-            f"{root} holds files of another writer, which a stream would hide; use a new root"
+            f"{root} holds files of another writer, which the stream's log would hide; use a new root"
         )
 
 
@@ -79,14 +80,19 @@ def read_extra(spark: SparkSession, root: str, fmt: str = "json") -> DataFrame:
     """The messages that hold more than their event's columns, with ``date`` and ``zone``."""
     partitions = LAKE_PARTITIONS.fieldNames()
     schema = T.StructType([T.StructField(EXTRA, T.StringType()), *LAKE_PARTITIONS])
-    found = spark.read.schema(schema).format(fmt).load(root)
+    found = only_done(spark.read.schema(schema).format(fmt).load(root), root)
     return found.filter(F.col(EXTRA).isNotNull()).select(EXTRA, *partitions)
 
 
 def read_lake(
-    spark: SparkSession, root: str, fmt: str = "json", mode: str = "FAILFAST"
+    spark: SparkSession,
+    root: str,
+    fmt: str = "json",
+    mode: str = "FAILFAST",
+    last: dict[str, int] | None = None,
 ) -> DataFrame:
-    """All events, typed, with the partition ``date``.
+    """All events, typed, with the partition ``date``; of ingested batches those that are done, or
+    up to the ``last`` ones given (see ``sources.commits.done``), for instance the same as the rejects.
 
     The directory is read rather than a pattern of files, so filters on ``date``
     and ``zone`` skip whole directories; the schema is given, so no pass over the
@@ -97,13 +103,21 @@ def read_lake(
     if fmt == "json":
         reader = reader.option("mode", mode)
     try:
-        return _typed_view(reader.format(fmt).load(root))
+        return _typed_view(only_done(reader.format(fmt).load(root), root, last))
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             raise LakeMissing(f"no event lake at {root}: nothing was ingested yet") from error
         raise
 
 
+def read_rejects(
+    spark: SparkSession, path: str, lake: str, last: dict[str, int] | None = None
+) -> DataFrame:
+    """What ingest kept out of a lake: ``value`` and ``reason``, of the same batches as the lake's."""
+    reader = spark.read.schema("value STRING, reason STRING")
+    return only_done(reader.parquet(path), lake, last).select("value", "reason")
+
+
 def stream_lake(
     spark: SparkSession,
     root: str,

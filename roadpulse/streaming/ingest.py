@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from roadpulse.operators.ingest import (
@@ -16,7 +17,8 @@ from roadpulse.operators.ingest import (
     spread,
 )
 from roadpulse.sinks.lake import PARTITIONS, lake_rows
-from roadpulse.sources.lake import require_stream_lake
+from roadpulse.sources import commits
+from roadpulse.sources.lake import require_no_stream_log, require_stream_lake
 
 # One file per zone and minute by default, instead of one per handful of events.
 DEFAULT_TRIGGER = {"processingTime": "1 minute"}
@@ -54,6 +56,10 @@ def start_report(
     return start_batches(events.select("date", "zone"), write, checkpoint, trigger)
 
 
+class CountsDiffer(RuntimeError):
+    """A batch wrote other numbers of messages than it had read."""
+
+
 def start_ingest(
     messages: DataFrame,
     root: str,
@@ -62,21 +68,61 @@ def start_ingest(
     tasks_per_file: int = 4,
     trigger: dict | None = None,
     partitions: int | None = None,
+    rejects: str | None = None,
 ) -> StreamingQuery:
-    """Good messages into the lake, each event under its own date and zone.
+    """Good messages into the lake, each event under its own date and zone, and with ``rejects`` the
+    others there, whole, by reason: both of one read, and each message exactly once.
 
-    ``tasks_per_file`` input tasks share a file per date and zone (see ``spread``).
+    A batch is decoded once and kept while both are staged, then committed for both (see
+    ``sources.commits``). A batch that broke off before its commit is staged anew, after it moved on.
+    No batch is committed whose written rows do not add up to the messages read.
 
-    Late events need no watermark: nothing waits, nothing is dropped. The sink's log
-    and the checkpoint make a restart add nothing twice. One writer per lake: reads
-    of the directory see what this query committed, hence a root that holds files of
-    another writer is refused.
+    ``tasks_per_file`` input tasks share a file per date and zone (see ``spread``). Late events need
+    no watermark: nothing waits, nothing is dropped. Files that others wrote into the lake stay in
+    sight, unless they are read through the log of a file stream: such a lake is refused.
     """
-    require_stream_lake(messages.sparkSession, root, fmt)
-    decoded = observe_ingest(decode(messages))
-    rows = spread(lake_rows(accepted(decoded, extra="value"), fmt), tasks_per_file, partitions)
-    writer = rows.writeStream.format(fmt).partitionBy(*PARTITIONS).option("path", root)
-    return _start(writer, checkpoint, trigger)
+    require_no_stream_log(messages.sparkSession, root)
+
+    def write(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        stream = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+        roots = (root,) if rejects is None else (root, rejects)
+        known = commits.state(spark, root, stream, number)
+        if known is None:
+            commits.commit(spark, root, _stage(batch, stream, number))
+        if known != commits.DONE:
+            commits.publish(spark, root, stream, number, *roots)
+
+    def _stage(batch: DataFrame, stream: str, number: int) -> commits.Batch:
+        read, good, bad = Observation(), Observation(), Observation()
+        batch = batch.observe(read, F.count("*").alias("messages")).persist()
+        try:
+            rows = spread(lake_rows(accepted(batch, extra="value"), fmt), tasks_per_file, partitions)
+            rows = rows.observe(good, F.count("*").alias("rows"))
+            to = rows.write.partitionBy(*PARTITIONS).mode("overwrite").format(fmt)
+            to.save(commits.staged(root, stream, number))
+            left = rejected(batch).observe(bad, F.count("*").alias("rows"))
+            if rejects is None:
+                left.write.format("noop").mode("overwrite").save()
+            else:
+                to = left.write.partitionBy("reason").mode("overwrite")
+                to.parquet(commits.staged(rejects, stream, number))
+        finally:
+            batch.unpersist()
+        counted = commits.Batch(stream, number, read.get["messages"], good.get["rows"], bad.get["rows"])
+        require_sum(counted)
+        return counted
+
+    decoded = observe_ingest(decode(messages.select("value")))
+    return start_batches(decoded, write, checkpoint, trigger)
+
+
+def require_sum(batch: commits.Batch) -> None:
+    if batch.messages != batch.accepted + batch.rejected:
+        raise CountsDiffer(
+            f"batch {batch.number}: {batch.messages} messages read, {batch.accepted} accepted"
+            f" and {batch.rejected} rejected ones written"
+        )
 
 
 def start_conversion(
@@ -99,7 +145,7 @@ def start_conversion(
 def start_rejects(
     messages: DataFrame, root: str, checkpoint: str, trigger: dict | None = None
 ) -> StreamingQuery:
-    """Messages kept out of the lake, whole, by reason."""
+    """Messages kept out of the lake, whole, by reason, without the lake; ``start_ingest`` writes both."""
     rows = rejected(decode(messages))
     writer = rows.writeStream.format("parquet").partitionBy("reason").option("path", root)
     return _start(writer.queryName("rejects"), checkpoint, trigger)

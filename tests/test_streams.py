@@ -17,9 +17,11 @@ from roadpulse.plans.follow import start_following
 from roadpulse.plans.refresh import Refresh
 from roadpulse.schema import EVENT_COLUMNS, KPI_NAMES, RAW_EVENT
 from roadpulse.sinks.lake import make_folder, write_lake
-from roadpulse.sources.lake import LakeOfAnotherWriter, read_lake, stream_lake
+from roadpulse.sources import commits
+from roadpulse.sources.lake import LakeOfAnotherWriter, read_lake, read_rejects, stream_lake
 from roadpulse.sources.messages import message_files
 from roadpulse.sources.store import read_table
+from roadpulse.streaming import ingest as streaming_ingest
 from roadpulse.streaming import live
 from roadpulse.streaming.ingest import (
     ONCE,
@@ -100,23 +102,152 @@ def test_alerts_from_the_lake(spark, golden, inbox, tmp_path):
     assert rows(alerts) == rows(kpis.congestion_alerts(golden))
 
 
-def test_one_writer_per_lake(spark, golden, inbox, tmp_path):
+def test_ingest_into_a_lake_of_other_files(spark, golden, inbox, tmp_path):
+    """A lake may be filled by ingest and by batches; one that a file stream's log hides is refused."""
     inbox("1.txt", MESSAGES)
-    batch, stream = str(tmp_path / "batch"), str(tmp_path / "stream")
+    lake, logged = str(tmp_path / "lake"), str(tmp_path / "logged")
 
     def run(root):
         messages = message_files(spark, inbox.path)
         start_ingest(messages, root, f"{root}-c", trigger=ONCE).awaitTermination()
 
-    write_lake(golden, batch)
-    with pytest.raises(LakeOfAnotherWriter, match="batch"):
-        run(batch)
-    (tmp_path / "stream").mkdir()
+    write_lake(golden, lake)
+    for count in (10, 10):
+        run(lake)
+        assert read_lake(spark, lake).count() == count
+    write_lake(golden, lake)
+    assert read_lake(spark, lake).count() == 15
+    events = stream_lake(spark, lake)
+    start_conversion(events, logged, f"{logged}-c1", trigger=ONCE).awaitTermination()
+    for write in (lambda: run(logged), lambda: write_lake(golden, logged)):
+        with pytest.raises(LakeOfAnotherWriter, match="logged"):
+            write()
+    full = str(tmp_path / "full")
+    write_lake(golden, full, "parquet")
+    with pytest.raises(LakeOfAnotherWriter, match="full holds"):
+        start_conversion(events, full, str(tmp_path / "c2"), trigger=ONCE)
+
+
+class Ingest:
+    """Ingest of an inbox, run by run, that can be made to break off."""
+
+    def __init__(self, spark, inbox, tmp_path, monkeypatch):
+        self.spark, self.inbox, self.monkeypatch = spark, inbox, monkeypatch
+        self.lake, self.rejects, self.checkpoint = (str(tmp_path / x) for x in ("lake", "rejects", "c"))
+
+    def run(self):
+        messages = message_files(self.spark, self.inbox.path, files_per_batch=1)
+        query = start_ingest(messages, self.lake, self.checkpoint, trigger=ONCE, rejects=self.rejects)
+        query.awaitTermination()
+        return query
+
+    def break_off(self, where, name):
+        """Runs with one function failing at its first call."""
+        with self.monkeypatch.context() as broken:
+            broken.setattr(where, name, lambda *a, **k: 1 / 0)
+            with pytest.raises(Exception, match="division by zero"):
+                self.run()
+
+    def events(self):
+        return read_lake(self.spark, self.lake).count() if os.path.isdir(self.lake) else 0
+
+    def values(self):
+        found = read_rejects(self.spark, self.rejects, self.lake) if os.path.isdir(self.rejects) else None
+        return sorted(x.value for x in found.collect()) if found else []
+
+
+@pytest.fixture
+def ingest_runs(spark, inbox, tmp_path, monkeypatch):
+    return Ingest(spark, inbox, tmp_path, monkeypatch)
+
+
+def test_a_break_between_the_two_outputs(golden, inbox, ingest_runs):
+    inbox("1.txt", [*MESSAGES[:3], "{bad"])
+    ingest_runs.run()
+    inbox("2.txt", [*MESSAGES[3:], "worse", ""])
+    ingest_runs.break_off(streaming_ingest, "rejected")  # the lake is staged, the rejects are not
+    assert ingest_runs.events() == 3 and ingest_runs.values() == ["{bad"]
+    ingest_runs.break_off(commits, "commit")  # both are staged
+    assert ingest_runs.events() == 3 and ingest_runs.values() == ["{bad"]
     for _ in range(2):
-        run(stream)
-    with pytest.raises(LakeOfAnotherWriter, match="stream"):
-        write_lake(golden, stream)
-    assert read_lake(spark, batch).count() == read_lake(spark, stream).count() == 5
+        ingest_runs.run()
+        assert rows(read_lake(ingest_runs.spark, ingest_runs.lake).select(*EVENT_COLUMNS)) == rows(golden)
+        assert ingest_runs.events() == 5 and ingest_runs.values() == ["", "worse", "{bad"]
+
+
+def test_a_break_while_files_are_moved(inbox, ingest_runs, spark):
+    inbox("1.txt", [*MESSAGES, "{bad"])
+    moved, move = [], commits.Folder.move
+
+    def some(folder, source, target):
+        if "part-" in source.getName():
+            moved.append(target.toString())
+            if len(moved) > 2:
+                raise ZeroDivisionError("division by zero")
+        move(folder, source, target)
+
+    with ingest_runs.monkeypatch.context() as broken:
+        broken.setattr(commits, "MOVERS", 1)
+        broken.setattr(commits.Folder, "move", some)
+        with pytest.raises(Exception, match="division by zero"):
+            ingest_runs.run()
+    assert 0 < spark.read.json(ingest_runs.lake).count() < 5  # moved, but not yet in sight:
+    assert ingest_runs.events() == 0 and ingest_runs.values() == []
+    with ingest_runs.monkeypatch.context() as broken:  # nothing is staged again, only moved on
+        broken.setattr(streaming_ingest, "accepted", lambda *a, **k: 1 / 0)
+        ingest_runs.run()
+    assert ingest_runs.events() == 5 and ingest_runs.values() == ["{bad"]
+    assert spark.read.json(ingest_runs.lake).count() == 5
+    ingest_runs.run()
+    assert ingest_runs.events() == 5
+
+
+def test_ingest_reads_its_source_once(inbox, ingest_runs, spark):
+    inbox("1.txt", [*MESSAGES, "{bad"])
+    query = ingest_runs.run()
+    assert [(p.numInputRows, len(p.sources)) for p in query.recentProgress if p.numInputRows] == [(6, 1)]
+    assert [tuple(x)[1:] for x in commits.read_commits(spark, ingest_runs.lake).collect()] == [(0, 6, 5, 1)]
+
+
+def test_lake_and_rejects_at_the_same_batch(inbox, ingest_runs, spark):
+    inbox("1.txt", [*MESSAGES[:2], "{bad"])
+    ingest_runs.run()
+    last = commits.done(spark, ingest_runs.lake)
+    inbox("2.txt", [*MESSAGES[2:], "worse"])
+    ingest_runs.run()
+    assert read_lake(spark, ingest_runs.lake, last=last).count() == 2
+    assert read_rejects(spark, ingest_runs.rejects, ingest_runs.lake, last).count() == 1
+    assert ingest_runs.events() == 5 and len(ingest_runs.values()) == 2
+
+
+def test_counts_that_do_not_add_up_are_not_committed(inbox, ingest_runs, monkeypatch):
+    inbox("1.txt", [*MESSAGES, "{bad"])
+    whole = streaming_ingest.accepted
+    with monkeypatch.context() as broken:
+        broken.setattr(streaming_ingest, "accepted", lambda *a, **k: whole(*a, **k).filter("zone <> 'Suburbs'"))
+        with pytest.raises(Exception, match="6 messages read, 4 accepted and 1 rejected"):
+            ingest_runs.run()
+    assert ingest_runs.events() == 0 and ingest_runs.values() == []
+    ingest_runs.run()
+    assert ingest_runs.events() == 5
+
+
+def test_records_are_not_kept_for_ever(inbox, ingest_runs, spark, monkeypatch):
+    monkeypatch.setattr(commits, "KEPT_RECORDS", 2)
+    for number in range(4):
+        inbox(f"{number}.txt", [MESSAGES[number], "{bad"])
+        ingest_runs.run()
+    assert [x.number for x in commits.read_commits(spark, ingest_runs.lake).collect()] == [2, 3]
+    assert ingest_runs.events() == 4
+    stream = next(iter(commits.done(spark, ingest_runs.lake)))
+    assert [commits.state(spark, ingest_runs.lake, stream, x) for x in (0, 3, 4)] == ["done", "done", None]
+
+
+def test_zones_that_are_no_plain_folder_names(inbox, ingest_runs, spark):
+    zones = ["a b", "x%y", "50%25", "é:1", "a/b", "q=1", "01"]
+    inbox("1.txt", [message(zone=x) for x in zones])
+    ingest_runs.run()
+    assert sorted(x.zone for x in read_lake(spark, ingest_runs.lake).collect()) == sorted(zones)
 
 
 def test_following_two_lakes(spark, golden, tmp_path):
@@ -153,7 +284,7 @@ def test_jobs(spark, golden, inbox, tmp_path, monkeypatch):
     for _ in range(2):
         ingest.main([*common, "--files", inbox.path, "--report", report])
     assert rows(read_lake(spark, lake).select(*EVENT_COLUMNS)) == rows(golden)
-    assert spark.read.parquet(rejects).count() == 1
+    assert read_rejects(spark, rejects, lake).count() == 1
     typed_lake = str(tmp_path / "typed")
     convert.main(["--source", lake, "--lake", typed_lake, "--checkpoint", f"{checkpoint}/t"])
     store = str(tmp_path / "store")
