@@ -1,10 +1,12 @@
 """Indicators that follow the lake: events are read when they arrive and not again.
 
 The summary consists of sums and counts, so that of new events is stored beside the older
-ones, by date and batch, and added up when it is read. The four indicators need it without
-the date: these totals, a few rows an hour of day, zone and road type, are carried from batch
-to batch. A batch therefore costs what arrives in it, however many dates there are. A store is
-kept either this way or by runs over the lake (``plans.refresh``), never by both.
+ones, by date, and added up when it is read. The four indicators need it without the date: these
+totals, a few rows an hour of day, zone and road type, are carried from version to version, and so are
+the newest alerts. A batch therefore costs what arrives in it, however many dates there are. Its tables
+become one version of the store (``sources.versions``), which says the batch: a batch that broke off is
+done again, and one that is in a version is not. Small parts of a date are joined when there are many.
+A store is kept either this way or by runs over the lake (``plans.refresh``), never by both.
 """
 
 from __future__ import annotations
@@ -13,51 +15,72 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from roadpulse.operators import kpis, summary
+from roadpulse.operators import kpis, panels, summary
 from roadpulse.operators.checks import require_rows
-from roadpulse.plans.refresh import PROGRESS, Refresh, publish, write_indicators
-from roadpulse.schema import ALERT_COLUMNS, SUMMARY
+from roadpulse.plans.refresh import FollowedStore, Refresh, publish, write_indicators
+from roadpulse.schema import ALERT_COLUMNS, KPI_SCHEMAS, SUMMARY
 from roadpulse.sinks.database import append_database
-from roadpulse.sinks.store import add_alerts, add_summary
+from roadpulse.sinks.store import compact, write_alerts, write_summary
 from roadpulse.sources.lake import stream_lake
-from roadpulse.sources.store import ALERTS, read_dated_alerts, read_table
+from roadpulse.sources.store import (
+    ALERTS,
+    LATEST_NAME,
+    SUMMARY_NAME,
+    TOTALS_NAME,
+    read_batch_alerts,
+    read_latest,
+    read_table,
+    read_totals,
+)
+from roadpulse.sources.versions import Draft, Version, find, read_dated
 from roadpulse.streaming.ingest import ONCE
 
+#: Folder of a store in which following keeps its progress.
+PROGRESS = "_progress"
 
-def add_batch(spark: SparkSession, events: DataFrame, store: str, batch: int) -> None:
-    """Adds a batch of events, with ``date``, to the stored tables.
 
-    Batches alternate between two totals: each reads the one its predecessor left and
-    writes the other. Nothing a batch reads is changed by it, so a batch that broke off is
-    simply done again, and never counted twice.
+def add_batch(
+    spark: SparkSession, events: DataFrame, store: str, batch: int, stream: str = ""
+) -> Version:
+    """Adds a batch of events, with ``date``, to the stored tables, as one version.
+
+    The first batch of a stream starts the store afresh, whatever it held. A batch that the store
+    has already is left as it is.
     """
-    part = f"{store}/_running/part"
-    summary.summarize(events).write.mode("overwrite").parquet(part)
-    added = spark.read.schema(SUMMARY).parquet(part)
+    base = find(spark, store)
+    if base is not None and base.stream == stream and batch <= base.batch:
+        return base
+    if batch > 0 and (base is None or base.stream != stream):
+        raise FollowedStore(f"{store} does not hold the batches before {batch} of this stream")
+    draft = Draft(spark, store, base, keep_tables=batch > 0)
+    part = write_summary(draft, summary.summarize(events))
+    added = read_dated(spark, store, part, SUMMARY_NAME, SUMMARY).select(*SUMMARY.fieldNames())
     total = added.withColumn("date", F.lit(None).cast("date"))
+    found = write_alerts(draft, events.filter(kpis.congested()).select(*ALERT_COLUMNS, "date"))
+    newest = panels.latest_alerts(read_dated(spark, store, found, ALERTS, KPI_SCHEMAS[ALERTS]))
     if batch > 0:
-        before = spark.read.schema(SUMMARY).parquet(f"{store}/_running/{(batch - 1) % 2}")
-        total = before.unionByName(total)
-    running = f"{store}/_running/{batch % 2}"
-    summary.merge(total).coalesce(1).write.mode("overwrite").parquet(running)
-    add_summary(added, store, batch)
-    alerts = events.filter(kpis.congested()).select(*ALERT_COLUMNS, "date")
-    add_alerts(alerts, store, batch)
-    write_indicators(spark.read.schema(SUMMARY).parquet(running), store)
+        total = read_totals(spark, store, base).unionByName(total)
+        newest = panels.latest_alerts(read_latest(spark, store, base).unionByName(newest))
+    draft.add(SUMMARY_NAME, part)
+    draft.add(ALERTS, found)
+    draft.write_small(summary.merge(total), TOTALS_NAME)
+    draft.write_small(newest, LATEST_NAME)
+    write_indicators(draft, read_totals(spark, store, draft.version))
+    return draft.commit(stream=stream, batch=batch, batch_label=draft.label)
 
 
-def publish_batch(spark: SparkSession, refresh: Refresh, batch: int) -> None:
-    """The four small tables whole, and the alerts of the batch where alerts are published.
+def publish_batch(spark: SparkSession, refresh: Refresh, version: Version) -> None:
+    """The four small tables whole, and the alerts of the version's batch where alerts are published.
 
     Alerts are appended; a batch done again after its load appends them again, which
     ``verify`` finds by comparing the counts. The first batch replaces what is there.
     """
     small = [name for name in refresh.published if name != ALERTS]
-    publish(spark, refresh.store, refresh.database, small)
-    if ALERTS in refresh.published and batch == 0:
-        publish(spark, refresh.store, refresh.database, [ALERTS], refresh.alert_connections)
+    publish(spark, refresh.store, refresh.database, small, version=version)
+    if ALERTS in refresh.published and version.batch == 0:
+        publish(spark, refresh.store, refresh.database, [ALERTS], refresh.alert_connections, version)
     elif ALERTS in refresh.published:
-        alerts = read_dated_alerts(spark, refresh.store, batch).select(*ALERT_COLUMNS)
+        alerts = read_batch_alerts(spark, refresh.store, version).select(*ALERT_COLUMNS)
         append_database(alerts, refresh.database, ALERTS, refresh.alert_connections)
 
 
@@ -78,10 +101,12 @@ def start_following(
     """
 
     def add(arrived: DataFrame, batch: int) -> None:
-        add_batch(spark, arrived, refresh.store, batch)
-        require_rows(read_table(spark, refresh.store, "traffic_by_zone"), "traffic_by_zone")
+        stream = arrived.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        version = add_batch(spark, arrived, refresh.store, batch, stream)
+        require_rows(read_table(spark, refresh.store, "traffic_by_zone", version), "traffic_by_zone")
         if refresh.database is not None:
-            publish_batch(spark, refresh, batch)
+            publish_batch(spark, refresh, version)
+        compact(spark, refresh.store)
 
     if events is None:
         events = stream_lake(

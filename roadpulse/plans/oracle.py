@@ -213,6 +213,10 @@ FROM v WHERE CAST(event_time AS DATE) <> DATE '2024-01-16'
 GROUP BY CAST(event_time AS DATE)
 """,
     "follow_lake": _SUMMARY,
+    "follow_compacted": _SUMMARY,
+    "stored_pinned_version": f"""
+SELECT zone, congestion_count, congestion_count AS alerts FROM ({_CRITICAL_ZONES}) z
+""",
 }
 
 

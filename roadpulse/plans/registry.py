@@ -21,7 +21,8 @@ from roadpulse.plans.road_events import (
 )
 from roadpulse.schema import EVENT_COLUMNS
 from roadpulse.sinks.lake import write_lake
-from roadpulse.sources import commits
+from roadpulse.sinks.store import compact
+from roadpulse.sources import commits, versions
 from roadpulse.sources.lake import read_documents, read_lake, read_rejects, stream_lake
 from roadpulse.sources.store import read_dated_alerts, read_summary, read_table, register_views
 from roadpulse.streaming import live
@@ -458,3 +459,32 @@ def follow_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
         write_lake(events.filter(period), paths.lake, "parquet")
         start_following(spark, paths).awaitTermination()
     return read_summary(spark, paths.store)
+
+
+@_query
+def follow_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The summary of a store that followed a lake in three steps, after its parts were joined."""
+    events, day = road_events(spark, sf_dir), F.dayofmonth("event_time") % 3
+    paths = refresh.Refresh(scratch(spark, "lake"), scratch(spark, "store"), "parquet")
+    for step in range(3):
+        # The last step adds to the dates of those before it.
+        also = (F.col("vehicle_count") % 2 == 0) if step < 2 else F.lit(True)
+        seen = F.coalesce(day == step, F.lit(step == 2)) & also
+        rest = F.coalesce(day < 2, F.lit(False)) & (F.coalesce(F.col("vehicle_count") % 2 != 0, F.lit(True)))
+        write_lake(events.filter(seen | rest if step == 2 else seen), paths.lake, "parquet")
+        start_following(spark, paths).awaitTermination()
+    compact(spark, paths.store, most_parts=1)
+    return read_summary(spark, paths.store)
+
+
+@_query
+def stored_pinned_version(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored alerts by zone as a reader sees them that read the version before a refresh."""
+    store = _store(spark, sf_dir)
+    before = versions.pinned(spark, store)
+    quiet = road_events(spark, sf_dir).filter(~F.coalesce(congested(), F.lit(False)))
+    refresh.store_kpis(spark, quiet, store)
+    alerts = read_table(spark, store, "congestion_alerts", before)
+    zones = read_table(spark, store, "critical_zones", before)
+    counted = alerts.groupBy("zone").agg(F.count("*").alias("alerts"))
+    return zones.join(counted, "zone", "left").fillna(0, ["alerts"])

@@ -1,62 +1,51 @@
-"""Writing the stored tables."""
+"""Writing the stored tables into a version in the making."""
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-from datetime import date
-
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
+from roadpulse.operators.summary import merge
+from roadpulse.schema import KPI_SCHEMAS, SUMMARY
 from roadpulse.sources.store import ALERTS, SUMMARY_NAME
+from roadpulse.sources.versions import Draft, Parts, Version, find, read_dated
 
-
-def write_table(table: DataFrame, store: str, name: str) -> None:
-    """Replaces a small indicator table; a handful of rows makes one file."""
-    table.coalesce(1).write.mode("overwrite").parquet(f"{store}/{name}")
-
-
-def _write_dated(table: DataFrame, path: str, replace_all: bool, *below: str) -> None:
-    (
-        table.write.mode("overwrite")
-        .option("partitionOverwriteMode", "static" if replace_all else "dynamic")
-        .partitionBy("date", *below)
-        .parquet(path)
-    )
+#: Small parts of a date from which on they are joined, and bytes from which on a part is none.
+MOST_PARTS, SMALL = 8, 128 << 20
 
 
-def clear_dates(spark: SparkSession, store: str, dates: Iterable[date | None]) -> None:
-    """Removes what is stored of these dates, so that a date that lost its rows keeps none."""
-    files = spark._jvm.org.apache.hadoop.fs
-    for name in (SUMMARY_NAME, ALERTS):
-        for day in dates:
-            value = "__HIVE_DEFAULT_PARTITION__" if day is None else day.isoformat()
-            path = files.Path(f"{store}/{name}/date={value}")
-            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
-def write_summary(summary: DataFrame, store: str, replace_all: bool = True) -> None:
-    """Replaces the summary, or only the dates present in ``summary``."""
+def write_summary(draft: Draft, summary: DataFrame) -> Parts:
     # Some hundred rows a date: one task writes a date's single file.
-    _write_dated(summary.repartition("date"), f"{store}/{SUMMARY_NAME}", replace_all)
-
-
-def add_summary(summary: DataFrame, store: str, batch: int) -> None:
-    """Adds the summary of a batch; writing the same batch again replaces it."""
-    numbered = summary.withColumn("batch", F.lit(batch)).repartition("date")
-    _write_dated(numbered, f"{store}/{SUMMARY_NAME}", batch == 0, "batch")
+    return draft.write_dated(summary.repartition("date"), SUMMARY_NAME)
 
 
-def add_alerts(alerts: DataFrame, store: str, batch: int) -> None:
-    """Adds the alerts of a batch; writing the same batch again replaces it."""
-    numbered = alerts.withColumn("batch", F.lit(batch))
-    _write_dated(numbered, f"{store}/{ALERTS}", batch == 0, "batch")
+def write_alerts(draft: Draft, alerts: DataFrame) -> Parts:
+    """Alerts (with ``date``) are the one table that grows with the input. They are written where they
+    were computed: no shuffle, no sort, and no date is gathered in one task."""
+    return draft.write_dated(alerts, ALERTS)
 
 
-def write_alerts(alerts: DataFrame, store: str, replace_all: bool = True) -> None:
-    """Replaces the alerts (with ``date``), or only the dates present.
+def compact(spark: SparkSession, store: str, most_parts: int = MOST_PARTS, small: int = SMALL) -> Version | None:
+    """Joins the small parts of dates that have more than ``most_parts`` of them, as a new version.
 
-    The one table that grows with the input. It is written where it was computed:
-    no shuffle, no sort, and no date is gathered in one task.
+    Parts of ``small`` bytes or more stay as they are, so what is written again is bounded, and the
+    parts of a date by its size and ``most_parts``, not by the batches that came. Nothing changes in
+    what is read. None if there was nothing to join.
     """
-    _write_dated(alerts, f"{store}/{ALERTS}", replace_all)
+    version = find(spark, store)
+    if version is None:
+        return None
+    draft, joined = Draft(spark, store, version), False
+    for name, schema in ((SUMMARY_NAME, SUMMARY), (ALERTS, KPI_SCHEMAS[ALERTS])):
+        days = {day: [x for x in parts if x[1] < small] for day, parts in version.dated.get(name, {}).items()}
+        days = {day: parts for day, parts in days.items() if len(parts) > most_parts}
+        if not days:
+            continue
+        rows = read_dated(spark, store, days, name, schema)
+        # By date, and large dates cut by size where the planner adapts.
+        rows = merge(rows).repartition("date") if name == SUMMARY_NAME else rows.hint("rebalance", "date")
+        written = draft.write_dated(rows, name)
+        left = {day: [x for x in version.dated[name][day] if x not in parts] for day, parts in days.items()}
+        draft.replace_dates(name, left, set(days))
+        draft.add(name, written)
+        joined = True
+    return draft.commit() if joined else None

@@ -1,49 +1,73 @@
-"""The stored indicator tables and the summary they come from (Parquet)."""
+"""The stored indicator tables and the summary they come from (Parquet), in versions.
+
+Every function reads the newest version at the moment it is called, or the one it is given (see
+``sources.versions``); tables read with one version belong together, whatever is written meanwhile.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from roadpulse.operators.summary import merge
 from roadpulse.schema import KPI_NAMES, KPI_SCHEMAS, SUMMARY
+from roadpulse.sources.versions import Version, pinned, read_dated, read_small
 
 ALERTS = "congestion_alerts"
 SUMMARY_NAME = "event_summary"
-_DATE = T.StructField("date", T.DateType())
+#: The newest alerts, as many as the dashboard shows, and the summary of a followed store without dates.
+LATEST_NAME, TOTALS_NAME = "latest_alerts", "summary_totals"
+_LATEST_COLUMNS = ["zone", "road_type", "average_speed", "event_time"]
+LATEST = T.StructType([KPI_SCHEMAS[ALERTS][x] for x in _LATEST_COLUMNS])
+
+Pin = Version | int | None
 
 
-def read_table(spark: SparkSession, store: str, name: str) -> DataFrame:
+def read_table(spark: SparkSession, store: str, name: str, version: Pin = None) -> DataFrame:
     """One indicator table with its published columns."""
-    schema = KPI_SCHEMAS[name]
-    # The selection leaves out the partition columns that the alerts are stored by.
-    return spark.read.schema(schema).parquet(f"{store}/{name}").select(*schema.fieldNames())
+    version, schema = pinned(spark, store, version), KPI_SCHEMAS[name]
+    if name == ALERTS:
+        return read_dated_alerts(spark, store, version).select(*schema.fieldNames())
+    return read_small(spark, store, version, name, schema)
+
+
+def read_tables(spark: SparkSession, store: str, version: Pin = None) -> dict[str, DataFrame]:
+    version = pinned(spark, store, version)
+    return {name: read_table(spark, store, name, version) for name in KPI_NAMES}
 
 
-def read_tables(spark: SparkSession, store: str) -> dict[str, DataFrame]:
-    return {name: read_table(spark, store, name) for name in KPI_NAMES}
+def read_dated_alerts(spark: SparkSession, store: str, version: Pin = None) -> DataFrame:
+    """The alerts with the partition column ``date``, for reads of a few dates."""
+    version = pinned(spark, store, version)
+    return read_dated(spark, store, version.dated.get(ALERTS, {}), ALERTS, KPI_SCHEMAS[ALERTS])
 
 
-def read_dated_alerts(spark: SparkSession, store: str, batch: int | None = None) -> DataFrame:
-    """The alerts with the partition column ``date``, for reads of a few dates; of one batch
-    in a store that follows a lake."""
-    schema = T.StructType(list(KPI_SCHEMAS[ALERTS]) + [_DATE])
-    stored = spark.read.schema(schema).parquet(f"{store}/{ALERTS}")
-    if batch is not None:
-        stored = stored.filter(F.col("batch") == batch) if "batch" in stored.columns else stored.limit(0)
-    return stored.select(*schema.fieldNames())
+def read_batch_alerts(spark: SparkSession, store: str, version: Version) -> DataFrame:
+    """The alerts that the version's last batch added to a followed store."""
+    schema = T.StructType(list(KPI_SCHEMAS[ALERTS]))
+    return spark.read.schema(schema).parquet(f"{store}/{ALERTS}/version={version.batch_label}")
 
 
-def read_summary(spark: SparkSession, store: str) -> DataFrame:
-    """The stored summary; what following added batch by batch is added up here."""
-    stored = spark.read.schema(SUMMARY).parquet(f"{store}/{SUMMARY_NAME}")
-    if "batch" in stored.columns:
+def read_summary(spark: SparkSession, store: str, version: Pin = None) -> DataFrame:
+    """The stored summary; what batches added to a date is added up here."""
+    parts = pinned(spark, store, version).dated.get(SUMMARY_NAME, {})
+    stored = read_dated(spark, store, parts, SUMMARY_NAME, SUMMARY)
+    if any(len(found) > 1 for found in parts.values()):
         stored = merge(stored)
     return stored.select(*SUMMARY.fieldNames())
 
 
-def register_views(spark: SparkSession, store: str) -> None:
-    """The five tables as temporary views, so that dashboard SQL runs unchanged."""
-    for name, table in read_tables(spark, store).items():
+def read_totals(spark: SparkSession, store: str, version: Pin = None) -> DataFrame:
+    """The summary of a followed store without dates: a row an hour of day, zone and road type."""
+    return read_small(spark, store, pinned(spark, store, version), TOTALS_NAME, SUMMARY)
+
+
+def read_latest(spark: SparkSession, store: str, version: Pin = None) -> DataFrame:
+    """The newest alerts, kept apart: no more rows than the dashboard shows."""
+    return read_small(spark, store, pinned(spark, store, version), LATEST_NAME, LATEST)
+
+
+def register_views(spark: SparkSession, store: str, version: Pin = None) -> None:
+    """The five tables of one version as temporary views, so that dashboard SQL runs unchanged."""
+    for name, table in read_tables(spark, store, version).items():
         table.createOrReplaceTempView(name)

@@ -9,13 +9,21 @@ from samples import GOLDEN, plan, rows
 from test_indicators import EXPECTED
 
 from roadpulse.jobs import process, verify
-from roadpulse.operators import checks, kpis
+from roadpulse.operators import checks, kpis, panels
 from roadpulse.operators.ingest import route, typed
 from roadpulse.plans import follow, refresh
 from roadpulse.plans.follow import add_batch, start_following
 from roadpulse.schema import EVENT, KPI_NAMES, KPI_SCHEMAS, RAW_EVENT
 from roadpulse.sinks.lake import write_lake
-from roadpulse.sources.store import read_summary, read_tables, register_views
+from roadpulse.sinks.store import compact
+from roadpulse.sources import versions
+from roadpulse.sources.store import (
+    read_summary,
+    read_table,
+    read_tables,
+    read_totals,
+    register_views,
+)
 
 PANELS = {
     "SELECT hour, AVG(avg_vehicles) FROM hourly_stats GROUP BY hour ORDER BY hour": [
@@ -110,7 +118,7 @@ def test_a_batch_reads_totals_that_do_not_grow_with_dates(spark, tmp_path):
     sizes = []
     for number, days in enumerate((range(1, 3), range(3, 20), range(20, 29), [28])):
         add_batch(spark, route(_more(spark, *days)), store, number)
-        sizes.append(spark.read.parquet(f"{store}/_running/{number % 2}").count())
+        sizes.append(read_totals(spark, store).count())
     assert sizes == [5, 5, 5, 5]  # hour, zone and road type of the samples
     assert read_summary(spark, store).count() == 28 * 5
 
@@ -178,22 +186,152 @@ def test_following_with_events_without_a_time(spark, golden, tmp_path):
 def test_latest_alerts_open_few_dates(spark, tmp_path):
     store = str(tmp_path / "store")
     refresh.store_kpis(spark, _more(spark, *range(1, 10)), store)
-    latest = refresh.latest_alerts(spark, store, 4)
-    assert [(r.event_time.day, r.average_speed) for r in latest.collect()] == [
+    latest = refresh.latest_alerts(spark, store, 11)
+    assert [(r.event_time.day, r.average_speed) for r in latest.collect()][:4] == [
         (9, 18), (9, 22), (9, 30), (8, 18),
     ]
     text = plan(latest)
     assert "PartitionFilters" in text and "TakeOrderedAndProject" in text
     assert refresh.latest_alerts(spark, store, 100).count() == 27
-    # Files of the first seven dates are no longer readable, and are not read.
-    for file in (tmp_path / "store" / "congestion_alerts").glob("date=2026-01-0[1-7]/part-*"):
+    # Files of the first five dates are no longer readable, and are not read.
+    spoiled = list((tmp_path / "store" / "congestion_alerts").glob("version=*/date=2026-01-0[1-5]/part-*"))
+    for file in spoiled:
         file.write_bytes(b"spoiled")
     spark.catalog.clearCache()
-    assert len(refresh.latest_alerts(spark, store, 4).collect()) == 4
+    assert spoiled and len(refresh.latest_alerts(spark, store, 11).collect()) == 11
     with pytest.raises(Exception, match="not a Parquet file"):
         refresh.latest_alerts(spark, store, 100).collect()
 
 
+def test_latest_alerts_of_the_dashboard_open_no_date(spark, tmp_path):
+    store = str(tmp_path / "store")
+    refresh.store_kpis(spark, _more(spark, *range(1, 10)), store)
+    expected = refresh.latest_alerts(spark, store, 11).collect()[:10]
+    for file in (tmp_path / "store" / "congestion_alerts").glob("version=*/date=*/part-*"):
+        file.write_bytes(b"spoiled")
+    assert refresh.latest_alerts(spark, store).collect() == expected
+    assert refresh.latest_alerts(spark, store, 4).collect() == expected[:4]
+
+
+def test_latest_alerts_under_ties_and_refreshed_dates(spark, tmp_path):
+    store, full, followed = (str(tmp_path / x) for x in ("store", "full", "followed"))
+    days = [1, 2, 2, 2, 2, 2, 3, 3]
+    refresh.store_kpis(spark, _more(spark, *days), store)
+    left = _more(spark, *days).filter("event_time < TIMESTAMP_NTZ '2026-01-03 10:00:00'")
+    refresh.store_kpis(spark, left, store, [date(2026, 1, 3)])
+    refresh.store_kpis(spark, left, full)
+    for number, day in enumerate([3, 2, 1]):
+        part = left.filter(f"date(event_time) = DATE '2026-01-0{day}'")
+        add_batch(spark, route(part), followed, number)
+    plain = [tuple(x) for x in panels.latest_alerts(kpis.congestion_alerts(left), 10).collect()]
+    for place in (store, full, followed):
+        assert [tuple(x) for x in refresh.latest_alerts(spark, place).collect()] == plain
+
+
+def test_a_reader_between_two_table_writes_sees_one_version(spark, tmp_path, monkeypatch):
+    store, old, seen = str(tmp_path / "store"), str(tmp_path / "old"), []
+    refresh.store_kpis(spark, _more(spark, 1, 2), store)
+    refresh.store_kpis(spark, _more(spark, 1, 2), old)
+    write = versions.Draft.write_small
+
+    def write_and_look(draft, table, name):
+        write(draft, table, name)
+        found = read_tables(spark, store)
+        seen.append({x: sorted(map(str, table.collect())) for x, table in found.items()})
+
+    with monkeypatch.context() as watched:
+        watched.setattr(versions.Draft, "write_small", write_and_look)
+        refresh.store_kpis(spark, _more(spark, 2, 3, 3), store)
+    expected = {x: sorted(map(str, table.collect())) for x, table in read_tables(spark, old).items()}
+    assert len(seen) == 5 and all(x == expected for x in seen)
+    assert read_summary(spark, store).filter("date = DATE '2026-01-01'").count() == 0
+
+
+def test_a_run_that_breaks_off_loses_nothing(spark, tmp_path, monkeypatch):
+    store, old = str(tmp_path / "store"), str(tmp_path / "old")
+    refresh.store_kpis(spark, _more(spark, 1, 2), store)
+    refresh.store_kpis(spark, _more(spark, 1, 2), old)
+    for name in ("write_summary", "write_alerts", "write_indicators"):
+        for dates in (None, [date(2026, 1, 2)]):
+            with monkeypatch.context() as broken:
+                broken.setattr(refresh, name, lambda *a: 1 / 0)
+                with pytest.raises(ZeroDivisionError):
+                    refresh.store_kpis(spark, _more(spark, 2, 3), store, dates)
+            _same_tables(spark, old, store)
+    refresh.store_kpis(spark, _more(spark, 1, 1), store)
+    assert versions.find(spark, store).number == 2
+    labels = {x.name for x in (tmp_path / "store").glob("*/version=*")}
+    assert len(labels) == 2  # nothing is left of the runs that broke off
+
+
+def test_a_pinned_version_stays_readable_for_a_while(spark, tmp_path):
+    store = str(tmp_path / "store")
+    first = refresh.store_kpis(spark, _more(spark, 1, 2), store)
+    before = sorted(map(str, read_table(spark, store, "congestion_alerts", first).collect()))
+    for _ in range(versions.KEPT):
+        refresh.store_kpis(spark, _more(spark, 2, 3, 4), store, [date(2026, 1, 2)])
+    assert sorted(map(str, read_table(spark, store, "congestion_alerts", first.number).collect())) == before
+    refresh.store_kpis(spark, _more(spark, 5), store)
+    with pytest.raises(versions.StoreMissing, match="version 1"):
+        read_table(spark, store, "congestion_alerts", first.number)
+    with pytest.raises(versions.StoreMissing):
+        read_summary(spark, str(tmp_path / "none"))
+
+
+def test_two_writers_do_not_mix(spark, tmp_path):
+    store = str(tmp_path / "store")
+    refresh.store_kpis(spark, _more(spark, 1), store)
+    slow = versions.Draft(spark, store, versions.find(spark, store))
+    refresh.store_kpis(spark, _more(spark, 2), store)
+    slow.write_small(_more(spark, 1).selectExpr("zone", "0 AS congestion_count"), "critical_zones")
+    with pytest.raises(versions.VersionTaken):
+        slow.commit()
+    assert {r.congestion_count for r in read_table(spark, store, "critical_zones").collect()} == {0, 1, 2}
+
+
+def _parts(store):
+    return {x: len(list(store.glob(f"{x}/version=*/date=*/part-*"))) for x in ("event_summary", "congestion_alerts")}
+
+
+def test_files_of_a_followed_store_are_bounded_by_dates(spark, tmp_path, monkeypatch):
+    store, full = tmp_path / "store", str(tmp_path / "full")
+    monkeypatch.setattr(versions, "KEPT", 0)
+    batches = [_more(spark, 1 + number % 2, 3) for number in range(14)]
+    for number, batch in enumerate(batches):
+        add_batch(spark, route(batch).coalesce(1), str(store), number)
+        before = read_summary(spark, str(store)).collect()
+        alerts = sorted(map(str, read_table(spark, str(store), "congestion_alerts").collect()))
+        if compact(spark, str(store), most_parts=3) is not None:
+            assert sorted(map(str, before)) == sorted(map(str, read_summary(spark, str(store)).collect()))
+            assert alerts == sorted(map(str, read_table(spark, str(store), "congestion_alerts").collect()))
+        assert all(x <= 3 * 4 for x in _parts(store).values())
+    refresh.store_kpis(spark, _more(spark, *([1, 2] * 7 + [3] * 14)), full)
+    _same_tables(spark, full, str(store))
+
+
+def test_large_parts_are_not_written_again(spark, tmp_path):
+    store = str(tmp_path / "store")
+    for number in range(4):
+        add_batch(spark, route(_more(spark, 1)), store, number)
+    held = versions.find(spark, store).dated["event_summary"]["2026-01-01"]
+    assert len(held) == 4 and compact(spark, store, most_parts=3, small=1) is None
+    assert compact(spark, store, most_parts=4) is None
+    joined = compact(spark, store, most_parts=3)
+    assert [len(x["2026-01-01"]) for x in joined.dated.values()] == [1, 1]
+    assert (joined.stream, joined.batch) == ("", 3)
+    add_batch(spark, route(_more(spark, 1)), store, 4)
+    assert read_summary(spark, store).agg({"events": "sum"}).first()[0] == 25
+
+
+def test_a_stream_does_not_go_on_with_the_store_of_another(spark, tmp_path):
+    store = str(tmp_path / "store")
+    add_batch(spark, route(_more(spark, 1)), store, 0, "one")
+    with pytest.raises(refresh.FollowedStore, match="batches before 1"):
+        add_batch(spark, route(_more(spark, 1)), store, 1, "other")
+    add_batch(spark, route(_more(spark, 2)), store, 0, "other")
+    assert read_summary(spark, store).agg({"events": "sum"}).first()[0] == 5
+
+
 def test_gate(spark, golden, tmp_path):
     assert checks.require_rows(golden, "events") == 5
     with pytest.raises(checks.EmptyTable, match="events"):
