@@ -125,8 +125,7 @@ def test_alerts_are_appended_batch_by_batch(monkeypatch, spark, golden, tmp_path
     paths = refresh.Refresh("", str(tmp_path / "store"), database=DATABASE, alert_connections=3)
     batches = [golden, golden.limit(0).union(golden.filter("sensor_id = 'S001'")), golden.filter("sensor_id = 'S004'")]
     for number, batch in enumerate(batches):
-        follow.add_batch(spark, route(batch), paths.store, number)
-        follow.publish_batch(spark, paths, number)
+        follow.publish_batch(spark, paths, follow.add_batch(spark, route(batch), paths.store, number))
     alerts = [x[1:] for x in loads if x[0] == "congestion_alerts"]
     assert alerts == [("all", 3), ("more", 1, 3), ("more", 0, 3)]
     assert {x[0] for x in loads} == set(KPI_NAMES)
