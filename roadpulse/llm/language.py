@@ -3,8 +3,9 @@
 One model per language predicts the letters of a word one after the other, and its end, from the
 letters before; a text goes to the language of lowest cross-entropy per character. The counts come
 from all documents that may be learned from, combined in each task before they are shuffled. All grams
-of all orders stay in tables of Spark, to which the distinct grams of the texts are joined; `estimate`
-and `log_likelihood` say the same of one language's counts in arrays.
+of all orders stay in tables of Spark. Texts are packed in chunks, chunks put into groups of a size in
+letters whatever the partitions they came in; the distinct grams of a group are joined to the models once,
+and stand in its task as sorted hashes, each with its log-probability in every language.
 """
 
 from __future__ import annotations
@@ -32,25 +33,6 @@ KEPT_WORDS = 200_000
 UNKNOWN = "und"
 
 
-class Level(NamedTuple):
-    """One order of a model: grams and contexts as sorted hashes, with log-probability and log-backoff."""
-
-    grams: np.ndarray
-    log_p: np.ndarray
-    contexts: np.ndarray
-    log_backoff: np.ndarray
-
-
-class Model(NamedTuple):
-    """Levels from order 1 up, the log-probability of a letter never met, and the mean and deviation
-    of the characters' surprise in the training text."""
-
-    levels: list[Level]
-    log_unseen: float
-    mean: float
-    deviation: float
-
-
 def grams(words: dict[str, int]) -> Counter:
     """How often each run of ORDER characters occurs in the words, padded at the start, closed at the end."""
     counts: Counter = Counter()
@@ -96,79 +78,6 @@ def _discount(ones: int, twos: int) -> float:
     return min(0.95, max(0.05, ones / (ones + 2 * twos))) if ones else 0.5
 
 
-def estimate(counts: dict[str, int], alphabet: int) -> Model:
-    """Interpolated Kneser-Ney: the highest order from counts, lower orders from the number of distinct
-    characters before a gram, each discounted by n1 / (n1 + 2 n2) of its own counts."""
-    points = _points(list(counts), ORDER)
-    times = np.fromiter(counts.values(), np.float64, len(counts))
-    spelled, before = _hashes(points), [np.zeros(len(points), np.uint64), *_hashes(points[:, :-1])]
-    levels: list[Level] = []
-    tables = []
-    rows, weight = np.arange(len(points)), times
-    for order in range(ORDER, 0, -1):  # one row for each distinct gram of the order
-        if order < ORDER:
-            _, first, back = np.unique(spelled[order - 1][rows], return_index=True, return_inverse=True)
-            weight, rows = np.bincount(back).astype(np.float64), rows[first]
-        tables.append((order, rows, weight))
-    lower, floor = None, 1.0 / (alphabet + 1)
-    for order, rows, weight in reversed(tables):
-        ones, twos = (weight == 1).sum(), (weight == 2).sum()
-        discount = _discount(ones, twos)
-        contexts, back = np.unique(before[order - 1][rows], return_inverse=True)
-        total, kinds = np.bincount(back, weight), np.bincount(back)
-        backoff = discount * kinds / total
-        if lower is None:
-            shorter = np.full(len(rows), floor)
-        else:
-            shorter = np.exp(lower.log_p[np.searchsorted(lower.grams, spelled[order - 2][rows])])
-        p = np.maximum(weight - discount, 0) / total[back] + backoff[back] * shorter
-        names = spelled[order - 1][rows]
-        sort = np.argsort(names)
-        lower = Level(names[sort], np.log(p[sort]), contexts, np.log(backoff))
-        levels.append(lower)
-    surprise = -levels[-1].log_p[np.searchsorted(levels[-1].grams, spelled[-1])]
-    mean = float(np.average(surprise, weights=times))
-    return Model(levels, float(np.log(floor)), mean, float(np.sqrt(np.average((surprise - mean) ** 2, weights=times))))
-
-
-def _found(names: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    at = np.minimum(np.searchsorted(names, wanted), len(names) - 1)
-    return at, names[at] == wanted
-
-
-def log_likelihood(model: Model, spelled: list[np.ndarray], before: list[np.ndarray]) -> np.ndarray:
-    """Of each character, by the longest gram that the model knows, backing off from longer ones."""
-    out = np.full(len(spelled[0]), model.log_unseen)
-    left, off = np.arange(len(out)), np.zeros(len(out))
-    for order in range(ORDER, 0, -1):
-        level = model.levels[order - 1]
-        at, known = _found(level.grams, spelled[order - 1][left])
-        out[left[known]] = off[known] + level.log_p[at[known]]
-        left, off = left[~known], off[~known]
-        at, known = _found(level.contexts, before[order - 1][left])
-        off = off + np.where(known, level.log_backoff[at], 0.0)
-    out[left] = off + model.log_unseen
-    return out
-
-
-def most_frequent(counted: DataFrame, most: int) -> DataFrame:
-    """The rows of `counted` (lang, gram, times) of the `most` most frequent grams of each language. Nothing
-    that `identify` scores by is chosen in this way: models keep every gram.
-
-    How many grams there are of each frequency tells the least one that is kept; of the grams of that
-    frequency, those of smallest hash, by the share there is room for. So grams are never sorted, and
-    a language with more than `most` keeps about as many.
-    """
-    frequencies = counted.groupBy("lang", "times").agg(F.count("*").alias("grams"))
-    over = Window.partitionBy("lang").orderBy(F.col("times").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    room = F.lit(most) - F.coalesce(F.sum("grams").over(over), F.lit(0))
-    kept = frequencies.withColumn("share", F.least(F.lit(1.0), room / F.col("grams"))).filter("share > 0")
-    least = kept.groupBy("lang").agg(F.min("times").alias("least"), F.min_by("share", "times").alias("share"))
-    draw = F.pmod(F.xxhash64("gram"), F.lit(1 << 20)) / F.lit(float(1 << 20))
-    chosen = counted.join(F.broadcast(least), "lang")  # a row a language, each of which becomes a model
-    return chosen.filter((F.col("times") > F.col("least")) | ((F.col("times") == F.col("least")) & (draw < F.col("share")))).select("lang", "gram", "times")
-
-
 class Trained(NamedTuple):
     """The models of all languages, in Spark: weights[k] (lang, gram, weight) and contexts[k] (context, total,
     kinds: maps by language) of order k + 1, and the discounts of each order by language. Only what has a
@@ -238,11 +147,14 @@ def probabilities(models: Trained, wanted: DataFrame) -> DataFrame:
     return known.select("gram", F.transform("p", lambda x: F.log(x)).alias("log_p"))
 
 
-PACKED = "chunk long, kind int, ids array<bigint>, blob binary"
+PACKED = "chunk long, kind int, letters long, ids array<bigint>, blob binary"
 #: Kinds of rows, in the order in which a chunk is scored.
 GRAM, WORDS_OF, DOCS_OF = 0, 1, 2
-#: Letters of distinct words up to which a chunk is filled, and tokens up to which documents share a row.
+#: Letters of distinct words up to which a chunk, and a group of chunks, is filled, and tokens up to which
+#: documents share a row.
 CHUNK_LETTERS, ROW_TOKENS = 3_000_000, 200_000
+#: Input partitions in a row whose chunks may share a group.
+NEIGHBOURS = 1024
 
 
 class Places(dict):
@@ -272,8 +184,9 @@ def _pack(batches: Iterator[pa.RecordBatch], most_letters: int) -> Iterator[pa.R
     index, ids, tokens = Places(), [], []
 
     def row(kind: int, ids: list[int | None] | None, blob: bytes) -> pa.RecordBatch:
-        columns = [pa.array([chunk], pa.int64()), pa.array([kind], pa.int32()), pa.array([ids], pa.list_(pa.int64())), pa.array([blob], pa.binary())]
-        return pa.RecordBatch.from_arrays(columns, ["chunk", "kind", "ids", "blob"])
+        numbers = [pa.array([chunk], pa.int64()), pa.array([kind], pa.int32()), pa.array([index.letters], pa.int64())]
+        columns = [*numbers, pa.array([ids], pa.list_(pa.int64())), pa.array([blob], pa.binary())]
+        return pa.RecordBatch.from_arrays(columns, ["chunk", "kind", "letters", "ids", "blob"])
 
     def documents() -> pa.RecordBatch:
         doc = np.repeat(np.arange(len(tokens)), [len(x) for x in tokens])
@@ -305,28 +218,50 @@ def _pack(batches: Iterator[pa.RecordBatch], most_letters: int) -> Iterator[pa.R
         yield row(WORDS_OF, None, zlib.compress("\n".join(index).encode(), 1))
 
 
-def _spelled(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The distinct grams of a chunk's words as code points, the gram of each window of the words one
-    after the other, and how many windows each word has."""
+def grouped(packed: DataFrame, letters: int) -> DataFrame:
+    """`packed` with `team`: chunks in a row whose words have about `letters` letters together, however many
+    chunks that takes. Only chunks of NEIGHBOURS partitions in a row may meet in a team."""
+    sizes = packed.filter(F.col("kind") == WORDS_OF).select("chunk", "letters", F.shiftright("chunk", 32 + NEIGHBOURS.bit_length() - 1).alias("street"))
+    before = Window.partitionBy("street").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+    place = F.floor(F.coalesce(F.sum("letters").over(before), F.lit(0)) / letters)
+    teams = sizes.select("chunk", (F.shiftleft("street", 40) + place).alias("team"))
+    return packed.join(teams, "chunk")
+
+
+def _spelled(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct grams of a chunk's words as hashes and as code points, the gram of each window of the
+    words one after the other, and how many windows each word has."""
     words = zlib.decompress(blob).decode().split("\n") if blob else []
     words = words if words != [""] else []
     sizes = np.fromiter(map(len, words), np.int64, len(words)) + 1
     letters = _points(["".join(START * (ORDER - 1) + x + END for x in words)], 1).ravel()
     starts = np.arange(sizes.sum()) + np.repeat((ORDER - 1) * np.arange(len(words)), sizes)
     points = letters[starts[:, None] + np.arange(ORDER)]
-    _, first, back = np.unique(_hashes(points)[-1], return_index=True, return_inverse=True)
-    return points[first], back, sizes
+    names, first, back = np.unique(_hashes(points)[-1], return_index=True, return_inverse=True)
+    return names, points[first], back, sizes
 
 
 def _grams_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Words of chunks, sorted by team: the distinct grams of each team, with their hashes."""
+    team, names, points = None, np.zeros(0, np.uint64), np.zeros((0, ORDER), "<u4")
+
+    def found() -> Iterator[pa.RecordBatch]:
+        for start in range(0, len(points), 50_000):
+            part = points[start : start + 50_000]
+            text = part.tobytes().decode("utf-32-le")
+            grams_ = [text[i : i + ORDER] for i in range(0, len(text), ORDER)]
+            columns = [pa.array([team] * len(part), pa.int64()), pa.array(names[start : start + 50_000].view(np.int64)), pa.array(grams_, pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, ["team", "name", "gram"])
+
     for batch in batches:
-        for chunk, blob in zip(batch.column("chunk").to_pylist(), batch.column("blob").to_pylist()):
-            points = _spelled(blob)[0]
-            for start in range(0, len(points), 50_000):
-                part = points[start : start + 50_000]
-                text = part.tobytes().decode("utf-32-le")
-                columns = [pa.array([chunk] * len(part), pa.int64()), pa.array(range(start, start + len(part)), pa.int32()), pa.array([text[i : i + ORDER] for i in range(0, len(text), ORDER)], pa.string())]
-                yield pa.RecordBatch.from_arrays(columns, ["chunk", "at", "gram"])
+        for team_, blob in zip(batch.column("team").to_pylist(), batch.column("blob").to_pylist()):
+            if team_ != team:
+                yield from found()
+                team, names, points = team_, names[:0], points[:0]
+            more, spelled, _, _ = _spelled(blob)
+            new = ~np.isin(more, names)
+            names, points = np.concatenate([names, more[new]]), np.concatenate([points, spelled[new]])
+    yield from found()
 
 
 class Limits(NamedTuple):
@@ -342,41 +277,49 @@ def judge(total: np.ndarray, size: int, limits: Limits, reject: float = 2.0, tem
 
     The score is the posterior of the language under equal priors, of the likelihood tempered
     because neighbouring characters are not independent. A text is rejected if its cross-entropy
-    lies over the language's own by more than `reject` deviations, and as many standard errors.
+    lies over the language's own by more than `reject` deviations, and as many standard errors; its score
+    then falls by the factor e for each nat it lies over that.
     """
     if not size:
         return UNKNOWN, 0.0, None, True
     best = int(np.argmax(total))
     posterior, entropy = 1.0 / np.exp((total - total[best]) / temper).sum(), -total[best] / size
     limit = limits.mean[best] + reject * limits.deviation[best] * (1 + size**-0.5)
-    return limits.langs[best], float(posterior), float(entropy), bool(entropy > limit)
+    score = posterior * np.exp(min(0.0, limit - entropy))
+    return limits.langs[best], float(score), float(entropy), bool(entropy > limit)
 
 
 def _score(batches: Iterator[pa.RecordBatch], limits: Limits) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by chunk and kind: the grams of a chunk with log-probabilities, its words, its documents."""
-    width, chunk = len(limits.langs), None
-    at, log_p, scores, sizes = [], [], np.zeros((0, width)), np.zeros(0, np.int64)
+    """Rows sorted by team, chunk and kind: the grams of a team with log-probabilities, under a chunk of
+    their own in front, then the words and the documents of each chunk."""
+    width, team = len(limits.langs), None
+    names, log_p, scores, sizes = [], [], np.zeros((0, width)), np.zeros(0, np.int64)
     for batch in batches:
         found = []
-        chunks, kinds = batch.column("chunk").to_numpy(), batch.column("kind").to_numpy()
-        edges = np.flatnonzero((np.diff(chunks) != 0) | (np.diff(kinds) != 0)) + 1
+        teams, chunks, kinds = (batch.column(x).to_numpy() for x in ("team", "chunk", "kind"))
+        edges = np.flatnonzero((np.diff(teams) != 0) | (np.diff(chunks) != 0) | (np.diff(kinds) != 0)) + 1
         for start, end in zip([0, *edges], [*edges, len(kinds)]):
             if start == end:
                 continue
             part = batch.slice(start, end - start)
-            if chunks[start] != chunk:
-                chunk, at, log_p = chunks[start], [], []
+            if teams[start] != team:
+                team, names, log_p = teams[start], [], []
             if kinds[start] == GRAM:
-                at.append(part.column("at").to_numpy())
+                names.append(part.column("name").to_numpy().view(np.uint64))
                 log_p.append(part.column("log_p").flatten().to_numpy(zero_copy_only=False).reshape(-1, width))
             elif kinds[start] == WORDS_OF:
-                points, back, sizes = _spelled(part.column("blob")[0].as_py())
-                table, scores = np.zeros((len(points), width)), np.zeros((len(sizes), width))
+                if len(names) != 1:  # all grams of the team are in: sorted hashes from here on
+                    names = [np.concatenate([*names, np.zeros(0, np.uint64)])]
+                    log_p = [np.concatenate([*log_p, np.zeros((0, width))])]
+                if names[0].size and (names[0][1:] < names[0][:-1]).any():
+                    order = np.argsort(names[0])
+                    names, log_p = [names[0][order]], [log_p[0][order]]
+                wanted, _, back, sizes = _spelled(part.column("blob")[0].as_py())
+                scores = np.zeros((len(sizes), width))
                 if len(sizes):
-                    table[np.concatenate(at)] = np.concatenate(log_p)
+                    table = log_p[0][np.searchsorted(names[0], wanted)]
                     for lang in range(width):
                         scores[:, lang] = np.add.reduceat(table[back, lang], np.cumsum(sizes) - sizes)
-                at, log_p = [], []
             else:
                 for ids, blob in zip(part.column("ids").to_pylist(), part.column("blob").to_pylist()):
                     numbers = _unsqueezed(blob).astype(np.int64)
@@ -396,15 +339,17 @@ def identify(docs: DataFrame, models: Trained | dict) -> DataFrame:
     rejected or not; `und` with score 0 for texts that are null or have no letter, and for all texts
     if there are no models. Repeated rows repeat; other columns are not looked at.
 
-    Texts are packed in chunks. The distinct grams of all chunks are joined to the models' tables, and
-    their log-probabilities sent back to the chunks; so no task holds a model."""
+    Texts are packed in chunks, and chunks gathered in teams. The distinct grams of all teams are joined to
+    the models' tables, and their log-probabilities sent back to the teams; so no task holds a model, and
+    what is sent does not depend on the partitions that the texts came in."""
     schema = "doc_id long, lang_pred string, score double, cross_entropy double, rejected boolean"
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     if not models:
         none = (F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(None).cast("double").alias("cross_entropy"), F.lit(True).alias("rejected"))
         return rows.select("doc_id", *none)
-    packed = cut(map_batches(rows, partial(_pack, most_letters=CHUNK_LETTERS), PACKED))
-    grams_ = map_batches(packed.filter(F.col("kind") == WORDS_OF).select("chunk", "blob"), _grams_of, "chunk long, at int, gram string")
+    packed = grouped(cut(map_batches(rows, partial(_pack, most_letters=CHUNK_LETTERS), PACKED)), CHUNK_LETTERS)
+    words = packed.filter(F.col("kind") == WORDS_OF).select("team", "chunk", "blob").repartition("team").sortWithinPartitions("team", "chunk")
+    grams_ = map_batches(words, _grams_of, "team long, name long, gram string")
     learned = models.weights[-1]
     log_p = cut(probabilities(models, cut(grams_.select("gram").union(learned.select("gram")).distinct())))
     place = F.create_map(*(y for i, x in enumerate(models.langs) for y in (F.lit(x), F.lit(i))))
@@ -413,6 +358,6 @@ def identify(docs: DataFrame, models: Trained | dict) -> DataFrame:
     found = {x.lang: x for x in surprise.groupBy("lang").agg(weighed[0].alias("mean"), weighed[1].alias("square")).collect()}
     mean = [found[x].mean for x in models.langs]
     limits = Limits(models.langs, mean, [max(0.0, found[x].square - y * y) ** 0.5 for x, y in zip(models.langs, mean)])
-    scored = grams_.join(log_p, "gram").select("chunk", F.lit(GRAM).alias("kind"), "at", "log_p")
-    dealt = scored.unionByName(packed, allowMissingColumns=True).repartition("chunk").sortWithinPartitions("chunk", "kind")
+    scored = grams_.join(log_p, "gram").select("team", F.lit(-1).cast("long").alias("chunk"), F.lit(GRAM).alias("kind"), "name", "log_p")
+    dealt = scored.unionByName(packed.drop("letters"), allowMissingColumns=True).repartition("team").sortWithinPartitions("team", "chunk", "kind")
     return map_batches(dealt, partial(_score, limits=limits), schema)

@@ -8,6 +8,7 @@ import re
 import zlib
 
 import numpy as np
+import plain_language
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -357,19 +358,6 @@ def test_broken_markup():
 # language
 
 
-def test_most_frequent_grams(spark):
-    """Above the least frequency all stay, at it a share; a language within the limit keeps everything."""
-    counts = [("en", f"g{i}", 1 + (i < 300) + (i < 100)) for i in range(4000)] + [("fr", f"g{i}", i % 3 + 1) for i in range(900)]
-    counted = spark.createDataFrame(counts, "lang string, gram string, times long")
-    for most in (1000, 200, 50):
-        kept = [tuple(x) for x in language.most_frequent(counted.filter("lang = 'en'"), most).collect()]
-        least = min(x[2] for x in kept)
-        assert {x for x in counts if x[0] == "en" and x[2] > least} <= set(kept) <= set(counts)
-        assert len(set(kept)) == len(kept) and abs(len(kept) - most) < 4 * most**0.5
-    assert rows(language.most_frequent(counted, 4000), "lang", "gram", "times") == sorted(counts)
-    assert language.most_frequent(counted.limit(0), 10).count() == 0
-
-
 def test_language(spark, odd, none):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     models = language.train(docs)
@@ -401,30 +389,57 @@ def test_language_equals_whole_counts(spark, letters_a_chunk, monkeypatch):
     if letters_a_chunk > 20:
         assert len(counts["yy"]) > 400_000
     letters = {x for y in counts.values() for gram in y for x in gram}
-    models = {lang: language.estimate(dict(x), len(letters)) for lang, x in counts.items()}
+    models = {lang: plain_language.estimate(dict(x), len(letters)) for lang, x in counts.items()}
     found = {x.doc_id: x for x in language.identify(docs, language.train(docs)).collect()}
     assert len(found) == len(texts)
     for i, text, _ in texts:
         spelled = [w[k : k + 5] for x in language.WORDS.findall(text.lower()) for w in ["\x02" * 4 + x + "\x03"] for k in range(len(w) - 4)]
         points = language._points(spelled, 5)
         before = [np.zeros(len(points), np.uint64), *language._hashes(points[:, :-1])]
-        total = {x: language.log_likelihood(m, language._hashes(points), before).sum() for x, m in models.items()}
+        total = {x: plain_language.log_likelihood(m, language._hashes(points), before).sum() for x, m in models.items()}
         best = max(sorted(total), key=total.get)
         posterior = 1 / sum(np.exp((x - total[best]) / 8.0) for x in total.values())
         entropy = -total[best] / len(points)
         limit = models[best].mean + 2.0 * models[best].deviation * (1 + len(points) ** -0.5)
-        assert (found[i].lang_pred, found[i].score, found[i].cross_entropy) == (best, pytest.approx(posterior), pytest.approx(entropy))
+        assert (found[i].lang_pred, found[i].score, found[i].cross_entropy) == (best, pytest.approx(posterior * np.exp(min(0, limit - entropy))), pytest.approx(entropy))
         assert found[i].rejected == (entropy > limit)
 
 
+def test_what_is_sent_does_not_depend_on_the_partitions(spark, monkeypatch):
+    """As many grams go to the teams from 4 partitions as from 211, and the results are the same."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    models, sent, results = language.train(docs), [], []
+
+    def counting(df, function, schema):
+        found = map_batches(df, function, schema)
+        if function is language._grams_of:
+            sent.append(found.count())
+        return found
+
+    map_batches = language.map_batches
+    monkeypatch.setattr(language, "map_batches", counting)
+    for partitions in (4, 211):
+        found = language.identify(docs.repartition(partitions), models)
+        results.append(rows(found, "doc_id", "lang_pred", F.round("score", 9), F.round("cross_entropy", 9), "rejected"))
+    assert sent[1] < 1.1 * sent[0]
+    assert results[0] == results[1]
+
+
+def test_an_unlearned_language_has_a_low_score(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    text = "Сегодня утром дождь шёл над рекой, и люди медленно шли домой через старый мост. " * 5
+    found = language.identify(documents(spark, [(1, text, None, None)]), language.train(docs)).first()
+    assert found.rejected and found.score < 0.2
+
+
 def test_model_is_a_distribution():
     counts = language.grams({"the": 20, "then": 3, "hat": 5, "a": 1})
     letters = sorted({x for gram in counts for x in gram} - {language.START})
-    model = language.estimate(dict(counts), len({x for gram in counts for x in gram}))
+    model = plain_language.estimate(dict(counts), len({x for gram in counts for x in gram}))
     for context in ("\x02\x02\x02\x02", "\x02\x02th", "qqqq", "\x02\x02\x02h"):
         points = language._points([context + x for x in letters], 5)
         before = [np.zeros(len(points), np.uint64), *language._hashes(points[:, :-1])]
-        total = np.exp(language.log_likelihood(model, language._hashes(points), before)).sum()
+        total = np.exp(plain_language.log_likelihood(model, language._hashes(points), before)).sum()
         unseen = 2 / (1 + len({x for gram in counts for x in gram}))  # the start mark and letters never met
         assert 1 - unseen < total <= 1 + 1e-9
 
