@@ -44,8 +44,9 @@ def read_dated_alerts(spark: SparkSession, store: str, version: Pin = None) -> D
 
 def read_batch_alerts(spark: SparkSession, store: str, version: Version) -> DataFrame:
     """The alerts that the version's last batch added to a followed store."""
-    schema = T.StructType(list(KPI_SCHEMAS[ALERTS]))
-    return spark.read.schema(schema).parquet(f"{store}/{ALERTS}/version={version.batch_label}")
+    found = version.dated.get(ALERTS, {}).items()
+    parts = {day: [x for x in labels if x[0] == version.batch_label] for day, labels in found}
+    return read_dated(spark, store, parts, ALERTS, KPI_SCHEMAS[ALERTS])
 
 
 def read_summary(spark: SparkSession, store: str, version: Pin = None) -> DataFrame:
