@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roadpulse.llm.common import BATCH_ROWS, cut, held_out, map_batches, pieces
@@ -150,11 +150,10 @@ def probabilities(models: Trained, wanted: DataFrame) -> DataFrame:
 PACKED = "chunk long, kind int, letters long, ids array<bigint>, blob binary"
 #: Kinds of rows, in the order in which a chunk is scored.
 GRAM, WORDS_OF, DOCS_OF = 0, 1, 2
-#: Letters of distinct words up to which a chunk, and a group of chunks, is filled, and tokens up to which
-#: documents share a row.
+#: Letters of distinct words up to which a chunk is filled, and tokens up to which documents share a row.
 CHUNK_LETTERS, ROW_TOKENS = 3_000_000, 200_000
-#: Input partitions in a row whose chunks may share a group.
-NEIGHBOURS = 1024
+#: Letters that small chunks are gathered to on average, and that no team exceeds.
+TEAM_LETTERS, MOST_LETTERS = 1_500_000, 12_000_000
 
 
 class Places(dict):
@@ -218,14 +217,13 @@ def _pack(batches: Iterator[pa.RecordBatch], most_letters: int) -> Iterator[pa.R
         yield row(WORDS_OF, None, zlib.compress("\n".join(index).encode(), 1))
 
 
-def grouped(packed: DataFrame, letters: int) -> DataFrame:
-    """`packed` with `team`: chunks in a row whose words have about `letters` letters together, however many
-    chunks that takes. Only chunks of NEIGHBOURS partitions in a row may meet in a team."""
-    sizes = packed.filter(F.col("kind") == WORDS_OF).select("chunk", "letters", F.shiftright("chunk", 32 + NEIGHBOURS.bit_length() - 1).alias("street"))
-    before = Window.partitionBy("street").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
-    place = F.floor(F.coalesce(F.sum("letters").over(before), F.lit(0)) / letters)
-    teams = sizes.select("chunk", (F.shiftleft("street", 40) + place).alias("team"))
-    return packed.join(teams, "chunk")
+def neighbours(packed: DataFrame) -> int:
+    """How many partitions in a row share their chunks, so that teams have TEAM_LETTERS letters on average,
+    and MOST_LETTERS at most: one where partitions fill chunks of their own."""
+    sizes = packed.filter(F.col("kind") == WORDS_OF).agg(F.avg("letters").alias("mean"), F.max("letters").alias("most")).first()
+    if not sizes.most:
+        return 1
+    return max(1, min(int(TEAM_LETTERS / sizes.mean), int(MOST_LETTERS / sizes.most)))
 
 
 def _spelled(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -242,26 +240,29 @@ def _spelled(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarra
 
 
 def _grams_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Words of chunks, sorted by team: the distinct grams of each team, with their hashes."""
-    team, names, points = None, np.zeros(0, np.uint64), np.zeros((0, ORDER), "<u4")
+    """Words of chunks, those of a team side by side: each team's distinct grams by rising hash, with their places."""
+    held: list[tuple[np.ndarray, np.ndarray]] = []
 
-    def found() -> Iterator[pa.RecordBatch]:
+    def found(team: int) -> Iterator[pa.RecordBatch]:
+        names, points = (np.concatenate(x) for x in zip(*held))
+        points = points[np.unique(names, return_index=True)[1]]
         for start in range(0, len(points), 50_000):
             part = points[start : start + 50_000]
             text = part.tobytes().decode("utf-32-le")
             grams_ = [text[i : i + ORDER] for i in range(0, len(text), ORDER)]
-            columns = [pa.array([team] * len(part), pa.int64()), pa.array(names[start : start + 50_000].view(np.int64)), pa.array(grams_, pa.string())]
-            yield pa.RecordBatch.from_arrays(columns, ["team", "name", "gram"])
+            columns = [pa.array([team] * len(part), pa.int64()), pa.array(range(start, start + len(part)), pa.int32()), pa.array(grams_, pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, ["team", "at", "gram"])
 
+    team = None
     for batch in batches:
         for team_, blob in zip(batch.column("team").to_pylist(), batch.column("blob").to_pylist()):
-            if team_ != team:
-                yield from found()
-                team, names, points = team_, names[:0], points[:0]
-            more, spelled, _, _ = _spelled(blob)
-            new = ~np.isin(more, names)
-            names, points = np.concatenate([names, more[new]]), np.concatenate([points, spelled[new]])
-    yield from found()
+            if team_ != team and held:
+                yield from found(team)
+                held.clear()
+            team = team_
+            held.append(_spelled(blob)[:2])
+    if held:
+        yield from found(team)
 
 
 class Limits(NamedTuple):
@@ -289,11 +290,34 @@ def judge(total: np.ndarray, size: int, limits: Limits, reject: float = 2.0, tem
     return limits.langs[best], float(score), float(entropy), bool(entropy > limit)
 
 
+class Team:
+    """What is known of a team: its grams' hashes, sorted, with log-probabilities, and the scores of its words."""
+
+    def __init__(self, width: int):
+        self.width, self.at, self.log_p, self.words = width, [], [], {}
+
+    def scored(self) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+        """By chunk the log-likelihoods and sizes of its words; the grams are given up for them."""
+        if self.at is None:
+            return self.words
+        names = np.unique(np.concatenate([x[0] for x in self.words.values()]))
+        table = np.zeros((len(names), self.width))
+        if len(names):
+            table[np.concatenate(self.at)] = np.concatenate(self.log_p)
+        for chunk, (own, _, back, sizes) in self.words.items():
+            scores, log_p = np.zeros((len(sizes), self.width)), table[np.searchsorted(names, own)]
+            if len(sizes):
+                for lang in range(self.width):
+                    scores[:, lang] = np.add.reduceat(log_p[back, lang], np.cumsum(sizes) - sizes)
+            self.words[chunk] = scores, sizes
+        self.at = self.log_p = None
+        return self.words
+
+
 def _score(batches: Iterator[pa.RecordBatch], limits: Limits) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by team, chunk and kind: the grams of a team with log-probabilities, under a chunk of
-    their own in front, then the words and the documents of each chunk."""
-    width, team = len(limits.langs), None
-    names, log_p, scores, sizes = [], [], np.zeros((0, width)), np.zeros(0, np.int64)
+    """Rows sorted by team and kind: the grams of a team with log-probabilities, the words of its chunks,
+    their documents."""
+    width, team, known = len(limits.langs), None, None
     for batch in batches:
         found = []
         teams, chunks, kinds = (batch.column(x).to_numpy() for x in ("team", "chunk", "kind"))
@@ -303,24 +327,15 @@ def _score(batches: Iterator[pa.RecordBatch], limits: Limits) -> Iterator[pa.Rec
                 continue
             part = batch.slice(start, end - start)
             if teams[start] != team:
-                team, names, log_p = teams[start], [], []
+                team, known = teams[start], Team(width)
             if kinds[start] == GRAM:
-                names.append(part.column("name").to_numpy().view(np.uint64))
-                log_p.append(part.column("log_p").flatten().to_numpy(zero_copy_only=False).reshape(-1, width))
+                known.at.append(part.column("at").to_numpy())
+                known.log_p.append(part.column("log_p").flatten().to_numpy(zero_copy_only=False).reshape(-1, width))
             elif kinds[start] == WORDS_OF:
-                if len(names) != 1:  # all grams of the team are in: sorted hashes from here on
-                    names = [np.concatenate([*names, np.zeros(0, np.uint64)])]
-                    log_p = [np.concatenate([*log_p, np.zeros((0, width))])]
-                if names[0].size and (names[0][1:] < names[0][:-1]).any():
-                    order = np.argsort(names[0])
-                    names, log_p = [names[0][order]], [log_p[0][order]]
-                wanted, _, back, sizes = _spelled(part.column("blob")[0].as_py())
-                scores = np.zeros((len(sizes), width))
-                if len(sizes):
-                    table = log_p[0][np.searchsorted(names[0], wanted)]
-                    for lang in range(width):
-                        scores[:, lang] = np.add.reduceat(table[back, lang], np.cumsum(sizes) - sizes)
+                names, _, back, sizes = _spelled(part.column("blob")[0].as_py())
+                known.words[chunks[start]] = names, None, back, sizes
             else:
+                scores, sizes = known.scored()[chunks[start]]
                 for ids, blob in zip(part.column("ids").to_pylist(), part.column("blob").to_pylist()):
                     numbers = _unsqueezed(blob).astype(np.int64)
                     ends, rest = np.cumsum(numbers[: len(ids)]), numbers[len(ids) :].reshape(2, -1)
@@ -347,9 +362,15 @@ def identify(docs: DataFrame, models: Trained | dict) -> DataFrame:
     if not models:
         none = (F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(None).cast("double").alias("cross_entropy"), F.lit(True).alias("rejected"))
         return rows.select("doc_id", *none)
-    packed = grouped(cut(map_batches(rows, partial(_pack, most_letters=CHUNK_LETTERS), PACKED)), CHUNK_LETTERS)
-    words = packed.filter(F.col("kind") == WORDS_OF).select("team", "chunk", "blob").repartition("team").sortWithinPartitions("team", "chunk")
-    grams_ = map_batches(words, _grams_of, "team long, name long, gram string")
+    packed = cut(map_batches(rows, partial(_pack, most_letters=CHUNK_LETTERS), PACKED))
+    street, number = neighbours(packed), F.col("chunk").bitwiseAND(F.lit((1 << 32) - 1))
+    # Of partitions in a row the first chunks are one team, their second chunks another.
+    team = F.shiftleft(F.floor(F.shiftright("chunk", 32) / street), 32) + number
+    packed = packed.withColumn("team", team).drop("letters")
+    words = packed.filter(F.col("kind") == WORDS_OF).select("team", "blob")
+    if street > 1:
+        words = words.repartition("team").sortWithinPartitions("team")
+    grams_ = map_batches(words, _grams_of, "team long, at int, gram string")
     learned = models.weights[-1]
     log_p = cut(probabilities(models, cut(grams_.select("gram").union(learned.select("gram")).distinct())))
     place = F.create_map(*(y for i, x in enumerate(models.langs) for y in (F.lit(x), F.lit(i))))
@@ -358,6 +379,6 @@ def identify(docs: DataFrame, models: Trained | dict) -> DataFrame:
     found = {x.lang: x for x in surprise.groupBy("lang").agg(weighed[0].alias("mean"), weighed[1].alias("square")).collect()}
     mean = [found[x].mean for x in models.langs]
     limits = Limits(models.langs, mean, [max(0.0, found[x].square - y * y) ** 0.5 for x, y in zip(models.langs, mean)])
-    scored = grams_.join(log_p, "gram").select("team", F.lit(-1).cast("long").alias("chunk"), F.lit(GRAM).alias("kind"), "name", "log_p")
-    dealt = scored.unionByName(packed.drop("letters"), allowMissingColumns=True).repartition("team").sortWithinPartitions("team", "chunk", "kind")
+    scored = grams_.join(log_p, "gram").select("team", F.lit(GRAM).alias("kind"), "at", "log_p", F.lit(0).cast("long").alias("chunk"))
+    dealt = scored.unionByName(packed, allowMissingColumns=True).repartition("team").sortWithinPartitions("team", "kind", "chunk")
     return map_batches(dealt, partial(_score, limits=limits), schema)
