@@ -52,14 +52,24 @@ def sensor_conflicts(events: DataFrame) -> DataFrame:
     third of all events counts no more than any other. Values are counted, never
     collected: a sensor that makes up roads cannot fill a task.
     """
-    attributes = ["road_id", "road_type", "zone"]
+    return conflicts(combinations(events))
+
+
+ATTRIBUTES = ["road_id", "road_type", "zone"]
+
+
+def combinations(events: DataFrame) -> DataFrame:
+    """What each sensor was seen with; can be put together from any parts of the events."""
+    return events.select("sensor_id", *ATTRIBUTES).distinct()
+
+
+def conflicts(seen: DataFrame) -> DataFrame:
+    """``sensor_conflicts`` of what sensors were seen with, each combination once."""
     return (
-        events.select("sensor_id", *attributes)
-        .distinct()
-        .groupBy("sensor_id")
+        seen.groupBy("sensor_id")
         .agg(
             F.count("*").alias("combinations"),
-            *[F.count_distinct(name).alias(f"{name}s") for name in attributes],
+            *[F.count_distinct(name).alias(f"{name}s") for name in ATTRIBUTES],
         )
         .filter(F.col("combinations") > 1)
     )

@@ -48,6 +48,12 @@ def hourly_sums(events: DataFrame) -> DataFrame:
     )
 
 
+def merged_hours(sums: DataFrame) -> DataFrame:
+    """Any number of ``hourly_sums`` as one."""
+    measures = [F.sum(x).alias(x) for x in ("vehicles", "counted", "events")]
+    return sums.groupBy("window_start", "zone").agg(*measures)
+
+
 def added_hours(sums: DataFrame) -> DataFrame:
     """Hourly traffic by zone from any number of ``hourly_sums``."""
     added = sums.groupBy("window_start", "zone").agg(

@@ -91,6 +91,15 @@ CASE event_type WHEN 'error' THEN 'malformed' WHEN 'signup' THEN 'missing_zone'
      WHEN 'view' THEN 'bad_event_time' END
 """
 
+_CONFLICTS = """
+SELECT sensor_id, count(DISTINCT (road, road_type, zone)) AS combinations,
+       count(DISTINCT road) AS road_ids, count(DISTINCT road_type) AS road_types,
+       count(DISTINCT zone) AS zones
+FROM (SELECT *, CASE WHEN user_id < 5 AND event_type = 'error' THEN 'R999'
+                     ELSE road_id END AS road FROM v) t
+GROUP BY sensor_id HAVING count(DISTINCT (road, road_type, zone)) > 1
+"""
+
 _QUERIES = {
     "traffic_by_zone": _TRAFFIC_BY_ZONE,
     "speed_by_road": _SPEED_BY_ROAD,
@@ -127,14 +136,7 @@ FROM ({_CHECKED}) c WHERE {_ANY_BAD}
 SELECT road_type, count(*) AS events, count(CASE WHEN {_ANY_BAD} THEN 1 END) AS implausible
 FROM ({_CHECKED}) c GROUP BY road_type
 """,
-    "sensor_conflicts": """
-SELECT sensor_id, count(DISTINCT (road, road_type, zone)) AS combinations,
-       count(DISTINCT road) AS road_ids, count(DISTINCT road_type) AS road_types,
-       count(DISTINCT zone) AS zones
-FROM (SELECT *, CASE WHEN user_id < 5 AND event_type = 'error' THEN 'R999'
-                     ELSE road_id END AS road FROM v) t
-GROUP BY sensor_id HAVING count(DISTINCT (road, road_type, zone)) > 1
-""",
+    "sensor_conflicts": _CONFLICTS,
     "encode_messages": """
 SELECT event_id, sensor_id AS key,
        '{"sensor_id":"' || sensor_id || '","road_id":"' || road_id || '","road_type":"' ||
@@ -214,6 +216,21 @@ GROUP BY CAST(event_time AS DATE)
 """,
     "follow_lake": _SUMMARY,
     "follow_compacted": _SUMMARY,
+    "stream_late_hours": """
+SELECT date_trunc('hour', event_time) AS window_start, zone,
+       CASE WHEN event_time IS NULL OR event_time < TIMESTAMP '2024-01-15 00:00:00' THEN 'late'
+            WHEN date_trunc('hour', event_time) + INTERVAL 1 HOUR <=
+                 (SELECT max(event_time) - INTERVAL 10 MINUTE FROM v) THEN 'closed'
+            ELSE 'open' END AS part,
+       CAST(sum(vehicle_count) AS BIGINT) AS vehicles, count(*) AS events
+FROM v GROUP BY 1, 2, 3
+""",
+    "stream_late_hours_added": _HOURS,
+    "follow_conflicts": _CONFLICTS,
+    "unknown_fields": """
+SELECT CAST(event_time AS DATE) AS date, 'lane' AS field, 'BIGINT' AS type, count(*) AS messages
+FROM v WHERE event_type = 'click' GROUP BY 1
+""",
     "stored_pinned_version": f"""
 SELECT zone, congestion_count, congestion_count AS alerts FROM ({_CRITICAL_ZONES}) z
 """,

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from roadpulse.functions.codec import iso_text
 from roadpulse.functions.traffic import congested
-from roadpulse.operators import checks, ingest, kpis, panels, summary, windows
+from roadpulse.operators import checks, drift, ingest, kpis, panels, summary, windows
 from roadpulse.plans import refresh
 from roadpulse.plans.follow import start_following
 from roadpulse.plans.road_events import (
@@ -23,7 +23,13 @@ from roadpulse.schema import EVENT_COLUMNS
 from roadpulse.sinks.lake import write_lake
 from roadpulse.sinks.store import compact
 from roadpulse.sources import commits, versions
-from roadpulse.sources.lake import read_documents, read_lake, read_rejects, stream_lake
+from roadpulse.sources.lake import (
+    read_documents,
+    read_extra,
+    read_lake,
+    read_rejects,
+    stream_lake,
+)
 from roadpulse.sources.store import read_dated_alerts, read_summary, read_table, register_views
 from roadpulse.streaming import live
 from roadpulse.streaming.ingest import (
@@ -488,3 +494,50 @@ def stored_pinned_version(spark: SparkSession, sf_dir: str) -> DataFrame:
     zones = read_table(spark, store, "critical_zones", before)
     counted = alerts.groupBy("zone").agg(F.count("*").alias("alerts"))
     return zones.join(counted, "zone", "left").fillna(0, ["alerts"])
+
+
+_MIDNIGHT = "2024-01-15 00:00:00"
+
+
+def _in_two_steps(events: DataFrame, root: str, late_first: bool):
+    """Writes a lake in two steps, cut at a time; events without one come with the earlier ones."""
+    early = F.coalesce(F.col("event_time") < _MIDNIGHT, F.lit(True))
+    for period in (~early, early) if late_first else (early, ~early):
+        write_lake(events.filter(period), root, "parquet")
+        yield stream_lake(events.sparkSession, root, "parquet")
+
+
+def _hour_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root, path, checkpoint = (scratch(spark, x) for x in ("lake", "hours", "checkpoint"))
+    for events in _in_two_steps(road_events(spark, sf_dir), root, late_first=True):
+        live.start_hours(events, path, checkpoint, trigger=ONCE).awaitTermination()
+    return live.read_parts(spark, path)
+
+
+@_query
+def stream_late_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Closed, late and open hours by zone, where the earlier half of the events comes last."""
+    return _hour_parts(spark, sf_dir).select("window_start", "zone", "part", "vehicles", "events")
+
+
+@_query
+def stream_late_hours_added(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same added up: the traffic of all events."""
+    return windows.added_hours(_hour_parts(spark, sf_dir)).drop("window_end")
+
+
+@_query
+def follow_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sensor conflicts over a lake that grew twice, reading new events only."""
+    root, path, checkpoint = (scratch(spark, x) for x in ("lake", "sensors", "checkpoint"))
+    events = with_wrong_road(road_events(spark, sf_dir, "user_id", "event_type"))
+    for arrived in _in_two_steps(events, root, late_first=False):
+        live.start_sensor_check(arrived, path, checkpoint, ONCE).awaitTermination()
+    return live.read_conflicts(spark, path)
+
+
+@_query
+def unknown_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fields that messages hold beside those of an event, by date, from the lake they came into."""
+    root, _ = _both_outputs(spark, sf_dir)
+    return drift.unknown_fields(read_extra(spark, root))

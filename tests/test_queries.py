@@ -18,7 +18,7 @@ DATA = "/root/testdata"
 SCALES = [scale for scale in ("sf0.001", "sf0.01") if os.path.isdir(f"{DATA}/{scale}")]
 QUERIES = registry.all_queries()
 SQL = oracle.all_sql()
-WRITING = ("stream_", "ingest_", "stored_", "lake_", "refresh_", "follow_", "document_")
+WRITING = ("stream_", "ingest_", "stored_", "lake_", "refresh_", "follow_", "document_", "unknown_")
 BATCH = [n for n in QUERIES if not n.startswith(WRITING)]
 
 

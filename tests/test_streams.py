@@ -10,15 +10,22 @@ from samples import GOLDEN, message, rows
 
 from roadpulse.jobs import convert, ingest, process, publish, refresh
 from roadpulse.jobs import live as live_job
-from roadpulse.operators import kpis
+from roadpulse.operators import checks, drift, kpis
 from roadpulse.operators.ingest import partition_counts, typed
-from roadpulse.operators.windows import hourly_by_zone
+from roadpulse.operators.windows import added_hours, hourly_by_zone, hourly_sums
 from roadpulse.plans.follow import start_following
 from roadpulse.plans.refresh import Refresh
 from roadpulse.schema import EVENT_COLUMNS, KPI_NAMES, RAW_EVENT
 from roadpulse.sinks.lake import make_folder, write_lake
 from roadpulse.sources import commits
-from roadpulse.sources.lake import LakeOfAnotherWriter, read_lake, read_rejects, stream_lake
+from roadpulse.sources.folder import Folder
+from roadpulse.sources.lake import (
+    LakeOfAnotherWriter,
+    read_extra,
+    read_lake,
+    read_rejects,
+    stream_lake,
+)
 from roadpulse.sources.messages import message_files
 from roadpulse.sources.store import read_table
 from roadpulse.streaming import ingest as streaming_ingest
@@ -407,6 +414,80 @@ def test_hours(spark, tmp_path):
     assert late["open"] == 0
 
 
+def _timed(spark, *events):
+    raw = [("S1", "R1", "Street", zone, n, 50, 1.0, time) for zone, n, time in events]
+    return typed(spark.createDataFrame(raw, RAW_EVENT))
+
+
+def test_late_events_are_kept_apart(spark, tmp_path, monkeypatch):
+    """Closed and late and open hours are all events, also after batches that broke off."""
+    folder, path, steps = str(tmp_path / "in"), str(tmp_path / "hours"), []
+
+    def run():
+        stream = spark.readStream.schema(_timed(spark).schema).parquet(folder)
+        live.start_hours(stream, path, str(tmp_path / "c"), trigger=ONCE).awaitTermination()
+
+    def add(*events):
+        steps.extend(events)
+        _timed(spark, *events).coalesce(1).write.mode("append").parquet(folder)
+        for name in ("write", "delete"):
+            with monkeypatch.context() as broken:
+                broken.setattr(Folder, name, lambda *a: 1 / 0)
+                with pytest.raises(Exception, match="division by zero"):
+                    run()
+        run()
+        parts = live.read_parts(spark, path)
+        every = added_hours(hourly_sums(_timed(spark, *steps)))
+        assert rows(added_hours(parts)) == rows(every)
+        return {(r.window_start and r.window_start.hour, r.zone, r.part, r.events) for r in parts.collect()}
+
+    assert live.read_parts(spark, path).count() == 0
+    first = add(("A", 2, "2026-01-02T08:00:00"), ("A", 4, "2026-01-02T08:59:59"), ("B", 1, None))
+    assert first == {(8, "A", "open", 2), (None, "B", "late", 1)}
+    second = add(("A", 6, "2026-01-02T08:30:00"), ("A", 3, "2026-01-02T09:10:00"))
+    assert second == {(8, "A", "closed", 3), (9, "A", "open", 1), (None, "B", "late", 1)}
+    third = add(("A", 8, "2026-01-02T08:40:00"), ("B", None, "2026-01-02T09:20:00"), ("A", 1, None))
+    assert third - second == {(8, "A", "late", 1), (9, "B", "open", 1), (None, "A", "late", 1)}
+    fourth = add(("C", 1, "2026-01-02T11:10:00"))
+    assert {x for x in fourth if x[0] == 9} == {(9, "A", "closed", 1), (9, "B", "closed", 1)}
+    assert (11, "C", "open", 1) in fourth
+
+
+def test_conflicts_as_events_arrive(spark, tmp_path):
+    folder, path = str(tmp_path / "in"), str(tmp_path / "sensors")
+    steps = []
+
+    def add(*sensors):
+        raw = [(s, road, kind, zone, 1, 50, 1.0, "2026-01-02T08:00:00") for s, road, kind, zone in sensors]
+        steps.extend(raw)
+        typed(spark.createDataFrame(raw, RAW_EVENT)).write.mode("append").parquet(folder)
+        stream = spark.readStream.schema(_timed(spark).schema).parquet(folder)
+        live.start_sensor_check(stream, path, str(tmp_path / "c"), trigger=ONCE).awaitTermination()
+        found = rows(live.read_conflicts(spark, path))
+        assert found == rows(checks.sensor_conflicts(spark.createDataFrame(steps, RAW_EVENT)))
+        return {x[0] for x in found}
+
+    assert add(("S1", "R1", "Street", "A"), ("S1", "R1", "Street", "A"), ("S2", "R2", None, "B")) == set()
+    assert add(("S2", "R2", None, "B"), ("S1", "R1", "Street", "A")) == set()
+    assert spark.read.parquet(path).count() == 2  # nothing new, nothing added
+    assert add(("S2", "R2", "Street", "B"), ("S3", "R1", "Street", "A")) == {"S2"}
+    assert add(("S1", "R1", "Street", "C"), ("S1", "R9", "Street", "C"), (None, "R9", "Street", "C")) == {"S1", "S2"}
+
+
+def test_unknown_fields_of_messages(inbox, ingest_runs, spark):
+    more = [message(lane=2), message(lane=2.5, event_time="2026-01-03T08:00:00"), message(lane="x", tags={"a": [1]})]
+    twice = message()[:-1] + ', "lane": 1, "lane": 2}'
+    inbox("1.txt", [*MESSAGES, *more, message(average_speed=35.5), twice])
+    ingest_runs.run()
+    found = rows(drift.unknown_fields(read_extra(spark, ingest_runs.lake)))
+    assert {x for x in found if x[1] is not None} == {
+        (date(2026, 1, 2), "lane", "VARIANT", 2),
+        (date(2026, 1, 2), "tags", "OBJECT<a: ARRAY<BIGINT>>", 1),
+        (date(2026, 1, 3), "lane", "DECIMAL(2,1)", 1),
+    }
+    assert [x for x in found if x[1] is None] == [(date(2026, 1, 2), None, "VOID", 1)]
+
+
 def test_windows_need_a_utc_session(spark, golden):
     session = spark.newSession()
     session.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")
