@@ -19,7 +19,7 @@ from roadpulse.operators import kpis, panels, summary
 from roadpulse.operators.checks import require_rows
 from roadpulse.plans.refresh import FollowedStore, Refresh, publish, write_indicators
 from roadpulse.schema import ALERT_COLUMNS, KPI_SCHEMAS, SUMMARY
-from roadpulse.sinks.database import append_database
+from roadpulse.sinks.database import load_once
 from roadpulse.sinks.store import compact, write_alerts, write_summary
 from roadpulse.sources.lake import stream_lake
 from roadpulse.sources.store import (
@@ -72,16 +72,15 @@ def add_batch(
 def publish_batch(spark: SparkSession, refresh: Refresh, version: Version) -> None:
     """The four small tables whole, and the alerts of the version's batch where alerts are published.
 
-    Alerts are appended; a batch done again after its load appends them again, which
-    ``verify`` finds by comparing the counts. The first batch replaces what is there.
+    The alerts of a batch are loaded once, however often the batch is done (see
+    ``sinks.database.load_once``). The first batch replaces what is there.
     """
     small = [name for name in refresh.published if name != ALERTS]
     publish(spark, refresh.store, refresh.database, small, version=version)
-    if ALERTS in refresh.published and version.batch == 0:
-        publish(spark, refresh.store, refresh.database, [ALERTS], refresh.alert_connections, version)
-    elif ALERTS in refresh.published:
+    if ALERTS in refresh.published:
         alerts = read_batch_alerts(spark, refresh.store, version).select(*ALERT_COLUMNS)
-        append_database(alerts, refresh.database, ALERTS, refresh.alert_connections)
+        key = f"{version.stream}/{version.batch}"
+        load_once(alerts, refresh.database, ALERTS, key, refresh.alert_connections, version.batch == 0)
 
 
 def start_following(
