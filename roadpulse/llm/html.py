@@ -56,6 +56,16 @@ BESIDE = frozenset(
     "share sharing social related recommended recommendations comment comments commentlist disqus reply replies respond "
     "discussion feedback widget toolbar pagination pager paywall skip hidden".split()
 )
+#: Words that say where or in what such a part stands, and nothing by themselves.
+AROUND = frozenset("area bar block box button buttons container list site slot unit wrap wrapper".split())
+#: Of these, the words of readers' comments, and of what stands inside articles as well: adverts and sharing.
+COMMENTS = frozenset("comment comments commentlist disqus".split())
+WITHIN = COMMENTS | frozenset(
+    "ad ads adv advert adverts advertisement advertising adsense sponsor sponsored promo cookie cookies consent gdpr newsletter "
+    "subscribe share sharing social".split()
+)
+WHOSE = frozenset("article page post reader section user".split())
+
 
 class Block(NamedTuple):
     """A run of text: the nodes it stands under, whether it is part of the article, the text."""
@@ -74,19 +84,23 @@ def _beside(name: str, attributes: dict[str, str], in_article: bool) -> bool:
     return "display:none" in attributes.get("style", "").replace(" ", "").lower()
 
 
-def _labelled(name: str, attributes: dict[str, str]) -> bool:
-    """Whether a whole label of the element says that it stands beside the article."""
+def _labelled(name: str, attributes: dict[str, str], in_article: bool) -> bool:
+    """Whether a whole label of the element says that it stands beside the article; in an article,
+    whether it says so of a part that may stand there: comments, adverts, sharing."""
     if name in ("html", "body", "article", "main"):
         return False
+    telling = WITHIN if in_article else BESIDE
     for value in (attributes.get("class", ""), attributes.get("id", "")):
         for label in value.split():
-            words = re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", label).lower())
-            if words and BESIDE.issuperset(words):
+            words = set(re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", label).lower()))
+            rest = words - telling - AROUND
+            if words & telling and (not rest or (words & COMMENTS and rest <= WHOSE)):
                 return True
     return False
 
 
 MAIN, ARTICLE = 1, 2
+IN_FORM, BESIDE_IT = 1, 2
 
 
 def _declares_article(name: str, attributes: dict[str, str]) -> int:
@@ -101,12 +115,14 @@ def parse(html: str) -> tuple[list[Block], dict[int, int]]:
     """The blocks of text of a page that are not declared to stand beside the article, in page order,
     and the presentation style of every node: a hash of its children.
 
-    A label says so only outside an article, and not of a branch with most of the text or with all the
-    articles that the page declares; inside an article, labels are left to the style tree."""
+    A label does not say so of a branch with most of the text or with all the articles that the page
+    declares; inside an article, only labels of comments, adverts and sharing do, others are left to the
+    style tree. A form around a declared article or main part, as servers render it, is no form beside it."""
     blocks: list[Block] = []
     styles: dict[int, list[str]] = {}
-    # open elements: name, node, beside, in an article (or in the main part of the page), labelled branches
-    stack: list[tuple[str, int, bool, int, tuple[int, ...]]] = [("", 0, False, 0, ())]
+    # open elements: name, node, beside (in a form only, or otherwise), in an article (or in the main part of
+    # the page), labelled branches
+    stack: list[tuple[str, int, int, int, tuple[int, ...]]] = [("", 0, 0, 0, ())]
     texts: list[str] = []
     branches: list[tuple[int, ...]] = []  # of each block
     letters: dict[int, int] = {}  # under each labelled branch
@@ -177,10 +193,15 @@ def parse(html: str) -> tuple[list[Block], dict[int, int]]:
                 children.append(label)
             node = xxhash.xxh64_intdigest(label, node) >> 1
         if block or not plain:
-            beside = beside or _beside(name, attributes, article > 0)
-            if not plain and article < ARTICLE and _labelled(name, attributes):
+            if _beside(name, attributes, article > 0):
+                form = name == "form" or attributes.get("role", "").lower() == "form"
+                beside = max(beside, IN_FORM if form and not article else BESIDE_IT)
+            if not plain and _labelled(name, attributes, article == ARTICLE):
                 under = (*under, found.start())
-        stack.append((name, node, beside, max(article, _declares_article(name, attributes)), under))
+        declared = _declares_article(name, attributes)
+        if declared and beside == IN_FORM:
+            beside = 0
+        stack.append((name, node, beside, max(article, declared), under))
     flush()
     total = sum(len(x.text) for x in blocks)
     dropped = {x for x, size in letters.items() if 2 * size <= total}

@@ -350,6 +350,22 @@ def test_labels_do_not_take_the_article():
     assert text(f"<article>{story}</article><div class='related'><article>more</article></div>") == whole
 
 
+def test_articles_in_forms_and_parts_in_articles():
+    text = lambda x: html.main_text(html.parse(x)[0])
+    story = "<h1>Title</h1><p>The whole of a story, which goes on for a while.</p><p>It ends.</p>"
+    whole = "Title\n\nThe whole of a story, which goes on for a while.\n\nIt ends."
+    for part in (f"<article>{story}</article>", f"<div><main>{story}</main></div>", f"<div role='article'>{story}</div>"):
+        assert text(f"<body><form id='f'><nav>menu</nav><input><p>Search</p>{part}<div>x</div></form></body>") == whole, part
+    assert text(f"<article>{story}<form><p>Your name</p><article>no</article></form></article>") == whole
+    for label in ("ad", "ad-slot", "share-buttons", "socialShare", "sponsored-box", "comments", "post-comments", "newsletter"):
+        assert text(f"<article>{story}<div class='{label}'><p>Beside it</p></div></article>") == whole, label
+        assert text(f"<article>{story}<section id='{label}'>Beside it</section></article>") == whole, label
+    for label in ("cookie-bar", "gdpr-box", "ad-slot", "site-header", "footer-wrap", "post-comments", "user-comment-list"):
+        assert text(f"<body><div class='{label}'>Beside it</div><div>{story}</div></body>") == whole, label
+    for label in ("post-header", "market-share", "share-price", "ad-hoc", "page-title", "social-history", "comment-free-zone"):
+        assert text(f"<article>{story}<div class='{label}'><p>Of it</p></div></article>") == f"{whole}\n\nOf it", label
+
+
 def test_broken_markup():
     for text in ("<", "<p", "<!--", '<a href="x>y', "</x>", "<div>" * 5000 + "x", '"' * 500 + '<a "' * 3000, "<script>", "<table><tr><td>a<td>b"):
         html.parse(text)
