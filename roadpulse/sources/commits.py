@@ -82,9 +82,10 @@ def publish(spark: SparkSession, lake: str, stream: str, number: int, *roots: st
 
         def move(part: str, folder=folder, within=within) -> None:
             below, _, name = part.rpartition("/")
-            folder.move(folder.at(f"{within}/{part}"), folder.at(f"{below}/{file_prefix(stream, number)}{name}"))
+            folder.rename(folder.at(f"{within}/{part}"), folder.at(f"{below}/{file_prefix(stream, number)}{name}"))
 
         with ThreadPoolExecutor(max_workers=MOVERS) as movers:
+            list(movers.map(folder.make, {x.rpartition("/")[0] for x in parts}))
             list(movers.map(move, parts))
         folder.delete(within)
     records = Folder(spark, lake)

@@ -61,6 +61,12 @@ class Folder:
         self.system.mkdirs(target.getParent())
         if self.system.exists(target):
             raise FileExistsError(target.toString())
+        self.rename(source, target)
+
+    def make(self, name: str) -> None:
+        self.system.mkdirs(self.at(name))
+
+    def rename(self, source, target) -> None:
         if not self.system.rename(source, target):
             raise OSError(f"{source.toString()} could not be moved to {target.toString()}")
 

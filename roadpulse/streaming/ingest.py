@@ -23,6 +23,8 @@ from roadpulse.sources.lake import require_no_stream_log, require_stream_lake
 # One file per zone and minute by default, instead of one per handful of events.
 DEFAULT_TRIGGER = {"processingTime": "1 minute"}
 ONCE = {"availableNow": True}
+# What is staged is out of sight until its commit, so tasks may put their files in place at once.
+STAGED = {"mapreduce.fileoutputcommitter.algorithm.version": "2"}
 
 
 def _start(writer: DataStreamWriter, checkpoint: str, trigger: dict | None) -> StreamingQuery:
@@ -95,21 +97,23 @@ def start_ingest(
 
     def _stage(batch: DataFrame, stream: str, number: int) -> commits.Batch:
         read, good, bad = Observation(), Observation(), Observation()
-        batch = batch.observe(read, F.count("*").alias("messages")).persist()
+        failed = F.count_if(F.col("reason").isNotNull()).alias("rejected")
+        batch = batch.observe(read, F.count("*").alias("messages"), failed)
+        if rejects is not None:  # read once for two outputs
+            batch.persist()
         try:
             rows = spread(lake_rows(accepted(batch, extra="value"), fmt), tasks_per_file, partitions)
             rows = rows.observe(good, F.count("*").alias("rows"))
-            to = rows.write.partitionBy(*PARTITIONS).mode("overwrite").format(fmt)
+            to = rows.write.options(**STAGED).partitionBy(*PARTITIONS).mode("overwrite").format(fmt)
             to.save(commits.staged(root, stream, number))
-            left = rejected(batch).observe(bad, F.count("*").alias("rows"))
-            if rejects is None:
-                left.write.format("noop").mode("overwrite").save()
-            else:
-                to = left.write.partitionBy("reason").mode("overwrite")
+            if rejects is not None:
+                left = rejected(batch).observe(bad, F.count("*").alias("rows"))
+                to = left.write.options(**STAGED).partitionBy("reason").mode("overwrite")
                 to.parquet(commits.staged(rejects, stream, number))
         finally:
             batch.unpersist()
-        counted = commits.Batch(stream, number, read.get["messages"], good.get["rows"], bad.get["rows"])
+        left_out = read.get["rejected"] if rejects is None else bad.get["rows"]
+        counted = commits.Batch(stream, number, read.get["messages"], good.get["rows"], left_out)
         require_sum(counted)
         return counted
 

@@ -184,18 +184,18 @@ def test_a_break_between_the_two_outputs(golden, inbox, ingest_runs):
 
 def test_a_break_while_files_are_moved(inbox, ingest_runs, spark):
     inbox("1.txt", [*MESSAGES, "{bad"])
-    moved, move = [], commits.Folder.move
+    moved, rename = [], commits.Folder.rename
 
     def some(folder, source, target):
         if "part-" in source.getName():
             moved.append(target.toString())
             if len(moved) > 2:
                 raise ZeroDivisionError("division by zero")
-        move(folder, source, target)
+        rename(folder, source, target)
 
     with ingest_runs.monkeypatch.context() as broken:
         broken.setattr(commits, "MOVERS", 1)
-        broken.setattr(commits.Folder, "move", some)
+        broken.setattr(commits.Folder, "rename", some)
         with pytest.raises(Exception, match="division by zero"):
             ingest_runs.run()
     assert 0 < spark.read.json(ingest_runs.lake).count() < 5  # moved, but not yet in sight:
