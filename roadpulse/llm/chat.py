@@ -20,7 +20,8 @@ def perspectives(turns: DataFrame, context: tuple[str, ...] = CONTEXT, block: in
 
     `role` is assistant for the perspective's own turns, the context role for context turns, and
     user for all others, whose speaker is given as `name`. `segment` is
-    `<|role|>` or `<|user name=...|>`, a line feed, the text, `<|end|>` and a line feed.
+    `<|role|>` or `<|user name=...|>`, a line feed, the text, `<|end|>` and a line feed. So that no text or
+    name can pass for a mark, `<|` in a text is written `<||`, and `%` and `|` in a name `%25` and `%7C`.
     segment_start is its place in the rendered dialogue in code points; mask_start and mask_end bound
     the part the assistant is trained on: its text and end mark in its own turns, empty elsewhere.
 
@@ -41,8 +42,10 @@ def perspectives(turns: DataFrame, context: tuple[str, ...] = CONTEXT, block: in
     own, ambient = F.col("speaker") == F.col("perspective"), F.col("speaker").isin(*context)
     role = F.when(own, "assistant").when(ambient, F.col("speaker")).otherwise("user")
     name = F.when(~own & ~ambient, F.col("speaker"))
-    head = F.concat(F.lit("<|"), role, F.coalesce(F.concat(F.lit(" name="), name), F.lit("")), F.lit("|>\n"))
-    shaped = seen.select("*", role.alias("role"), name.alias("name"), head.alias("head"), F.concat(head, "text", F.lit("<|end|>\n")).alias("segment"))
+    named = F.concat(F.lit(" name="), F.replace(F.replace(name, F.lit("%"), F.lit("%25")), F.lit("|"), F.lit("%7C")))
+    head = F.concat(F.lit("<|"), role, F.coalesce(named, F.lit("")), F.lit("|>\n"))
+    text = F.replace("text", F.lit("<|"), F.lit("<||"))
+    shaped = seen.select("*", role.alias("role"), name.alias("name"), head.alias("head"), F.concat(head, text, F.lit("<|end|>\n")).alias("segment"))
     shaped = shaped.withColumn("length", F.length("segment")).withColumn("part", F.floor(F.coalesce("turn", F.lit((1 << 63) - 1)) / block))
 
     keys = ["conv_id", "perspective"]

@@ -32,8 +32,11 @@ shaped AS (
     CASE WHEN t.speaker <> s.perspective AND t.speaker <> 'system' THEN t.speaker END AS name
   FROM turns t JOIN speakers s ON t.conv_id IS NOT DISTINCT FROM s.conv_id
 ),
-headed AS (SELECT *, '<|' || role || coalesce(' name=' || name, '') || chr(124) || '>' || chr(10) AS head FROM shaped),
-segmented AS (SELECT *, head || text || '<|end|>' || chr(10) AS segment FROM headed),
+headed AS (
+  SELECT *, '<|' || role || coalesce(' name=' || replace(replace(name, '%', '%25'), '|', '%7C'), '') || chr(124) || '>' || chr(10) AS head
+  FROM shaped
+),
+segmented AS (SELECT *, head || replace(text, '<|', '<||') || '<|end|>' || chr(10) AS segment FROM headed),
 placed AS (
   SELECT *, row_number() OVER o AS turn_no,
     sum(length(segment)) OVER (o ROWS UNBOUNDED PRECEDING) - length(segment) AS segment_start
