@@ -1,9 +1,10 @@
 """Mixing sources to target weights by weighted fair queueing, in built-in Spark functions only.
 
-Every document gets a virtual finish time: the words its source has sent up to its end, divided by
-the source's target. Sources interleave in the order of these times, so any prefix of the mix holds
-them in proportion. Virtual time runs from 0 to 1, evenly filled by every source; equal ranges of it
-are therefore equal shares of the mix, and they are the ranges of the global sort.
+Documents are sent in packets. Every packet gets a virtual finish time: the words its source has sent
+up to its end, divided by the source's target. Sources interleave in the order of these times, and the
+mix is cut once, where all sources together have sent the total budget; no source is cut by itself.
+Any prefix of the mix holds the sources in proportion, so equal ranges of virtual time are about equal
+shares of it; they are the ranges of the global sort.
 """
 
 from __future__ import annotations
@@ -14,6 +15,11 @@ from pyspark.sql import functions as F
 from roadpulse.llm.common import WORD, cut
 
 WEIGHTS = (5.0, 2.0, 1.0)
+#: A packet holds at most this part of its source's target (one word at least), which bounds how far
+#: from its target a source may be where the mix is cut.
+PACKETS = 256
+#: Ranges of one unit of virtual time.
+RANGES = 1 << 20
 
 
 def word_count(text: Column) -> Column:
@@ -65,13 +71,13 @@ def _identity(docs: DataFrame) -> list[Column]:
     return [docs["doc_id"].cast("long").alias("doc_id"), docs["source"].cast("string").alias("source"), F.md5(text).alias("text_md5")]
 
 
-def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int = 3, ranges: int = 4096, seed: int = 0) -> DataFrame:
+def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int = 3, seed: int = 0) -> DataFrame:
     """(doc_id, source, text_md5, copy, size, source_size, target, taken) per row of `docs` (doc_id, text, source).
 
-    A source sends its documents in an order drawn by hash of doc_id, text and `seed`, again from
-    the start when it is through, up to its target: a document is taken `most` times at most, and
-    the one at the target only up to it, so a source's taken words are its target rounded down.
-    The sort and both running sums work on ranges (of the draw, of virtual time), so no source and
+    A source sends its documents in an order drawn by hash of doc_id, text and `seed`, `most` times
+    over. All packets are sorted by virtual finish time, equal times by source, and cut at the budget:
+    the sum of all targets, each rounded down. A source's taken words come as near to its target as
+    its packets are long. The sums work on ranges (of the draw, of virtual time), so no source and
     no group is one task's work. Null texts have size 0 and are never taken; a null source is a
     source of its own; repeated rows are rows of their own, told apart by `copy`; other columns are
     not looked at.
@@ -90,36 +96,54 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int = 3, ra
     starts = slots.select("source", "slot", F.coalesce(F.sum("slot_size").over(earlier), F.lit(0)).alias("slot_start"))
     within = Window.partitionBy("source", "slot").orderBy("draw", "doc_id").rowsBetween(Window.unboundedPreceding, 0)
     placed = drawn.withColumn("upto", F.sum("size").over(within)).alias("r").join(starts.alias("s"), _same("r", "s", ["source", "slot"]))
-    placed = placed.select("r.*", (F.col("slot_start") + F.col("upto") - F.col("size")).alias("start"))
+    placed = placed.select("r.*", (F.col("slot_start") + F.col("upto") - F.col("size")).alias("start")).drop("draw", "slot", "upto")
     known = placed.alias("r").join(aims.alias("a"), _same("r", "a", ["source"]))
-    known = known.select("r.*", "source_size", "target", "rank", F.floor("target").alias("aim"))
+    known = cut(known.select("r.*", "source_size", "target", "rank"))
 
-    # every sending of a document that starts before its source's target, the last one cut there
-    passes = F.explode(F.sequence(F.lit(0), F.lit(most - 1)))
-    sent = known.filter("size > 0").select("*", passes.alias("pass")).withColumn("begin", F.col("start") + F.col("pass") * F.col("source_size"))
-    sent = sent.filter("begin < aim").withColumn("words", F.least("size", F.col("aim") - F.col("begin")))
-    sent = sent.withColumn("finish", (F.col("begin") + F.col("words")) / F.col("target"))
-    taken = _up_to_budget(sent, budget, ranges).groupBy(*KEYS, "copy").agg(F.sum("taken").alias("taken"))
+    taken = _up_to_budget(_packets(known, most), budget).groupBy(*KEYS, "copy").agg(F.sum("taken").alias("taken"))
     out = known.alias("k").join(taken.alias("t"), _same("k", "t", [*KEYS, "copy"]), "left")
     return out.select("k.doc_id", "k.source", "k.text_md5", "k.copy", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
 
 
-def _up_to_budget(sent: DataFrame, budget: int, ranges: int) -> DataFrame:
-    """The sendings in order of virtual finish time, cut where their running sum reaches the budget."""
-    ranged = sent.withColumn("range", F.least(F.floor(F.col("finish") * ranges), F.lit(ranges - 1)))
-    sums = ranged.groupBy("range").agg(F.sum("words").alias("range_words"))
-    before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sums.select("range", F.coalesce(F.sum("range_words").over(before), F.lit(0)).alias("offset"))
-    order = Window.partitionBy("range").orderBy("finish", "rank", "begin", "draw").rowsBetween(Window.unboundedPreceding, 0)
-    running = ranged.withColumn("upto", F.sum("words").over(order))
-    running = running.join(F.broadcast(offsets), "range")  # at most `ranges` rows
-    left = F.lit(budget) - (F.col("offset") + F.col("upto") - F.col("words"))
-    return running.withColumn("taken", F.greatest(F.lit(0), F.least("words", left))).filter("taken > 0")
+def _packets(known: DataFrame, most: int) -> DataFrame:
+    """(KEYS, copy, rank, words, finish) per packet of every sending.
+
+    Up to virtual time 2 only: by then every source has sent its target rounded down, or all it has,
+    so the budget is used up before and nothing later can be taken.
+    """
+    packet = F.greatest(F.lit(1).cast("long"), F.floor(F.col("target") / PACKETS))
+    passes = F.explode(F.sequence(F.lit(0), F.lit(most - 1)))
+    sent = known.filter("size > 0").select("*", passes.alias("pass"), packet.alias("packet"))
+    sent = sent.withColumn("begin", F.col("start") + F.col("pass") * F.col("source_size")).filter("begin < 2 * target")
+    last = F.least(F.col("size") - 1, F.floor(2 * F.col("target") - F.col("begin")))
+    cut_up = sent.select("*", F.explode(F.sequence(F.lit(0).cast("long"), last, "packet")).alias("at"))
+    cut_up = cut_up.withColumn("words", F.least("packet", F.col("size") - F.col("at")))
+    finish = (F.col("begin") + F.col("at") + F.col("words")) / F.col("target")
+    return cut_up.select(*KEYS, "copy", "rank", "words", finish.alias("finish"))
+
+
+def _up_to_budget(packets: DataFrame, budget: int) -> DataFrame:
+    """The packets in order of virtual finish time, cut where their running sum reaches the budget.
+
+    Sums by range tell the range in which that happens. What lies in ranges before it is taken whole;
+    only the packets of that one range, a RANGES-th part of the mix or so, need their order.
+    """
+    ranged = packets.withColumn("range", F.floor(F.col("finish") * RANGES))
+    sums = ranged.groupBy("range").agg(F.sum("words").alias("range_words"))  # at most 2 * RANGES rows
+    upto = F.sum("range_words").over(Window.orderBy("range").rowsBetween(Window.unboundedPreceding, 0))
+    edge = sums.select("range", "range_words", upto.alias("upto")).filter(F.col("upto") >= budget).orderBy("range").first()
+    if edge is None:  # no packet at all
+        return ranged.withColumn("taken", F.col("words"))
+    before = ranged.filter(F.col("range") < edge["range"]).select(*KEYS, "copy", F.col("words").alias("taken"))
+    order = Window.partitionBy("range").orderBy("finish", "rank").rowsBetween(Window.unboundedPreceding, -1)
+    left = F.lit(budget - edge["upto"] + edge["range_words"]) - F.coalesce(F.sum("words").over(order), F.lit(0))
+    at_edge = ranged.filter(F.col("range") == edge["range"]).withColumn("taken", F.least(F.col("words"), left))
+    return before.unionByName(at_edge.filter("taken > 0").select(*KEYS, "copy", "taken"))
 
 
 def mixed_documents(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int = 3, seed: int = 0) -> DataFrame:
     """`docs`, all its columns, every document as often as the mix sends it. A document is sent
-    whole, also the one at its source's target. Of rows equal in doc_id, source and text, the other
+    whole, also one of which the mix takes a part. Of rows equal in doc_id, source and text, the other
     columns of one stand for all. Documents without a word are not sent."""
     taken = mix(docs, weights, most, seed=seed)
     times = taken.filter("taken > 0").withColumn("times", F.ceil(F.col("taken") / F.col("size")))

@@ -70,19 +70,32 @@ filled AS (
 leveled AS (
   SELECT *, max(CASE WHEN (total - capped) / open <= own_level THEN (total - capped) / open END) OVER () AS level FROM filled
 ),
-aims AS (SELECT source, source_size, least(weight * coalesce(level, own_level), cap) AS target FROM leveled),
+aims AS (SELECT source, source_size, rank, least(weight * coalesce(level, own_level), cap) AS target FROM leveled),
 drawn AS (
-  SELECT r.*, a.source_size, a.target, CAST(floor(a.target) AS BIGINT) AS aim,
-    sum(size) OVER (
+  SELECT r.*, a.source_size, a.target, a.rank, CAST(greatest(1, floor(a.target / 256)) AS BIGINT) AS packet,
+    CAST(sum(size) OVER (
       PARTITION BY r.source ORDER BY md5(concat_ws(':', doc_id::VARCHAR, text_md5, copy::VARCHAR, '0')), doc_id
       ROWS UNBOUNDED PRECEDING
-    ) - size AS start
+    ) - size AS BIGINT) AS start
   FROM rows_ r JOIN aims a ON r.source IS NOT DISTINCT FROM a.source
+),
+sent AS (
+  SELECT *, start + pass * source_size AS began FROM drawn, (SELECT unnest([0, 1, 2]) AS pass)
+  WHERE size > 0 AND start + pass * source_size < 2 * target
+),
+places AS (SELECT *, unnest(range(0, size, packet)) AS place FROM sent),
+packets AS (
+  SELECT *, least(packet, size - place) AS words, CAST(began + place + least(packet, size - place) AS DOUBLE) / target AS finish FROM places
+),
+served AS (SELECT *, sum(words) OVER (ORDER BY finish, rank ROWS UNBOUNDED PRECEDING) - words AS before FROM packets),
+budget AS (SELECT sum(floor(target)) AS words FROM aims),
+taken AS (
+  SELECT doc_id, source, text_md5, copy, CAST(sum(greatest(0, least(s.words, b.words - before))) AS BIGINT) AS taken
+  FROM served s, budget b GROUP BY ALL
 )
-SELECT doc_id, size, source_size, target, CAST(
-    greatest(0, least(size, aim - start)) + greatest(0, least(size, aim - start - source_size))
-    + greatest(0, least(size, aim - start - 2 * source_size)) AS BIGINT) AS taken
-FROM drawn
+SELECT d.doc_id, size, source_size, target, coalesce(taken, 0) AS taken
+FROM drawn d LEFT JOIN taken t ON d.doc_id IS NOT DISTINCT FROM t.doc_id AND d.source IS NOT DISTINCT FROM t.source
+  AND d.text_md5 IS NOT DISTINCT FROM t.text_md5 AND d.copy = t.copy
 """
 
 SUBSTRINGS = r"""
