@@ -3,11 +3,13 @@
 The distinct pre-tokens of a batch stand as symbols in one flat array. In each round the pairs of
 neighbouring symbols are looked up by binary search in the sorted keys of all merges, every word's
 pairs of lowest rank are merged, and words without a known pair leave. The rounds are as many as the
-longest word needs; their work shrinks with the words that are left.
+longest word needs; their work shrinks with the words that are left. Words of more than LONG bytes go one
+by one: their places are kept by rank, and a round visits only those of the lowest rank and their neighbours.
 """
 
 from __future__ import annotations
 
+import heapq
 import json
 from collections.abc import Iterator
 from functools import partial
@@ -25,6 +27,8 @@ from roadpulse.llm.common import map_batches, pieces, share, shared
 #: Fixed value: the public pattern of byte-level BPE vocabularies that splits text before merging.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 NONE = np.iinfo(np.int64).max
+#: Bytes of a word beyond which it is merged by itself.
+LONG = 256
 #: Distinct pre-tokens a task keeps encoded before it starts afresh.
 KEPT_WORDS = 400_000
 
@@ -77,26 +81,73 @@ def load(path: str) -> Vocabulary:
     return Vocabulary(keys[order], order.astype(np.int64), merged[order], of_byte, tokens, added, _newer_letters())
 
 
+def _find(left: np.ndarray, right: np.ndarray, vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
+    """Where each pair of symbols stands among the merges, and its rank: NONE if it is no merge."""
+    key = left << 32 | right
+    at = np.minimum(np.searchsorted(vocabulary.keys, key), len(vocabulary.keys) - 1)
+    return at, np.where(vocabulary.keys[at] == key, vocabulary.ranks[at], NONE)
+
+
+def merge_long(word: bytes, vocabulary: Vocabulary) -> np.ndarray:
+    """The token ids of one word, in a time that grows with its length and merges, not with their product."""
+    symbols = vocabulary.of_byte[np.frombuffer(word, np.uint8)]
+    if len(symbols) < 2 or not len(vocabulary.keys):
+        return symbols
+    following, previous = np.arange(1, len(symbols) + 1), np.arange(-1, len(symbols) - 1)
+    pair, rank = np.zeros(len(symbols), np.int64), np.full(len(symbols), NONE)
+    ranks: list[int] = []
+    places_of: dict[int, list[np.ndarray]] = {}
+    changed = np.arange(len(symbols) - 1)
+    while True:
+        pair[changed], rank[changed] = _find(symbols[changed], symbols[following[changed]], vocabulary)
+        changed = changed[rank[changed] != NONE]
+        changed = changed[np.argsort(rank[changed], kind="stable")]
+        starts = np.flatnonzero(np.diff(rank[changed], prepend=-1))
+        for number, places in zip(rank[changed[starts]].tolist(), np.split(changed, starts[1:])):
+            if number not in places_of:
+                heapq.heappush(ranks, number)
+            places_of.setdefault(number, []).append(places)
+        if not ranks:
+            break
+        lowest = heapq.heappop(ranks)
+        first = np.unique(np.concatenate(places_of.pop(lowest)))
+        first = first[rank[first] == lowest]  # others have been merged, or their neighbours have
+        first = first[_every_other(np.append(True, first[1:] != following[first[:-1]])[: len(first)])]
+        second = following[first]
+        symbols[first] = vocabulary.merged[pair[first]]
+        symbols[second], rank[first], rank[second] = -1, NONE, NONE
+        following[first] = following[second]
+        ahead = first[following[first] < len(symbols)]
+        previous[following[ahead]] = ahead
+        behind = previous[first]
+        changed = np.unique(np.concatenate([ahead, behind[behind >= 0]]))
+    return symbols[symbols >= 0]
+
+
+def _every_other(run: np.ndarray) -> np.ndarray:
+    """The first, third and so on of each run, whose starts are given."""
+    step = np.arange(len(run))
+    return (step - np.maximum.accumulate(np.where(run, step, 0))) % 2 == 0
+
+
 def merge(words: list[bytes], vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
     """All words' token ids in one array, and how many each has."""
     sizes = np.fromiter(map(len, words), np.int64, len(words))
-    symbols = vocabulary.of_byte[np.frombuffer(b"".join(words), np.uint8)]
-    word, done = np.repeat(np.arange(len(words)), sizes), []
+    long = np.flatnonzero(sizes > LONG)
+    done = [(np.full(len(ids), i), ids) for i in long.tolist() for ids in [merge_long(words[i], vocabulary)]]
+    short = np.flatnonzero(sizes <= LONG)
+    symbols = vocabulary.of_byte[np.frombuffer(b"".join(words[i] for i in short), np.uint8)]
+    word = np.repeat(short, sizes[short])
     while len(symbols):
-        key = np.append(symbols[:-1] << 32 | symbols[1:], -1)
-        at = np.minimum(np.searchsorted(vocabulary.keys, key), len(vocabulary.keys) - 1)
-        known = vocabulary.keys[at] == key
-        known[:-1] &= word[1:] == word[:-1]
-        rank = np.where(known, vocabulary.ranks[at], NONE)
+        at, rank = _find(symbols, np.append(symbols[1:], -1), vocabulary)
+        rank[np.append(word[1:] != word[:-1], True)] = NONE
         starts = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
         lowest = np.repeat(np.minimum.reduceat(rank, starts), np.diff(np.append(starts, len(word))))
         ended = lowest == NONE
         done.append((word[ended], symbols[ended]))
         first = np.flatnonzero(~ended & (rank == lowest))
         if len(first):  # in a run such as aaaa every other pair
-            run = np.append(True, first[1:] != first[:-1] + 1)
-            step = np.arange(len(first))
-            first = first[(step - np.maximum.accumulate(np.where(run, step, 0))) % 2 == 0]
+            first = first[_every_other(np.append(True, first[1:] != first[:-1] + 1))]
             symbols[first] = vocabulary.merged[at[first]]
         going = ~ended
         going[first + 1] = False
