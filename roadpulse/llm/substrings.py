@@ -287,10 +287,15 @@ def _remove(batches: Iterator[pa.RecordBatch], untouched: bool) -> Iterator[pa.R
         yield pa.RecordBatch.from_arrays([batch.column("rest"), *found], ["rest", "n_words", "n_removed", "kept"])
 
 
+def quoted(name: str) -> str:
+    """A column's name as an identifier, also with dots or back-quotes in it."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def _searched(docs: DataFrame, rest: list[str], untouched: bool) -> DataFrame:
     """(rest, n_words, n_removed, kept) per row of `docs`; `rest` holds the columns so named."""
     doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST))
-    packed = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.struct(*rest).alias("rest"))
+    packed = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.struct(*map(quoted, rest)).alias("rest"))
     digest = F.md5(F.coalesce("text", F.lit("")))
     texts = packed.select(doc.alias("doc"), F.xxhash64(doc, digest).alias("row"), digest.alias("digest"), "text", "rest")
     copies = texts.groupBy("digest").agg(F.min("doc").alias("doc")).select(F.xxhash64("doc", "digest").alias("row"), F.lit(True).alias("first_copy"))
@@ -339,4 +344,4 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     text; one that loses all of them goes; all others stay as they are, also those without a word."""
     found = _searched(docs, [x for x in docs.columns if x != "text"], untouched=True)
     left = found.filter("n_removed = 0 OR n_removed < n_words")
-    return left.select(*(F.col("kept").alias(x) if x == "text" else F.col(f"rest.`{x}`") for x in docs.columns))
+    return left.select(*(F.col("kept").alias(x) if x == "text" else F.col(f"rest.{quoted(x)}").alias(x) for x in docs.columns))

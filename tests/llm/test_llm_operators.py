@@ -277,6 +277,14 @@ def test_fm_index(spark):
             assert found.tolist() == [first[x[i : i + 13].tobytes()] for i in range(len(x) - 12)]
 
 
+def test_names_with_dots_and_quotes_stay(spark):
+    docs = documents(spark, [(i, " ".join(map(str, range(20))) + f" end{i}", None, None) for i in range(3)])
+    odd_names = docs.withColumn("a.b", F.col("doc_id")).withColumn("c`d", F.lit("x"))
+    found = substrings.without_repeats(odd_names)
+    assert found.columns == odd_names.columns
+    assert sorted((x["doc_id"], x["a.b"], x["c`d"], x["text"][-4:]) for x in found.collect()) == [(i, i, "x", f"end{i}") for i in range(3)]
+
+
 # simhash
 
 
@@ -499,6 +507,18 @@ def test_model_is_a_distribution():
 # bpe
 
 
+def test_words_of_any_length_encode_like_the_library():
+    tokenizers = pytest.importorskip("tokenizers")
+    known, vocabulary, rng = tokenizers.Tokenizer.from_file(byte_bpe()), bpe.load(byte_bpe()), random.Random(8)
+    for letters in ("a", "ab", "etaoinshr", "é=", "abcdefghijklmnopqrstuvwxyz", "的一"):
+        for size in (1, 2, 3, 85, 255, 256, 257, 1000, 20_000):
+            word = "".join(rng.choice(letters) for _ in range(size))
+            ids = known.encode(word, add_special_tokens=False).ids
+            assert bpe.Encoder(vocabulary).encode([word])[0].tolist() == ids
+            if "=" not in letters:  # one pre-token: the two ways agree at every length
+                assert bpe.merge_long(word.encode(), vocabulary).tolist() == ids
+
+
 def test_bpe_equals_the_library(spark, odd, none):
     tokenizers = pytest.importorskip("tokenizers")
     known = tokenizers.Tokenizer.from_file(byte_bpe())
