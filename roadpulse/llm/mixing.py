@@ -18,8 +18,8 @@ WEIGHTS = (5.0, 2.0, 1.0)
 #: A packet holds at most this part of its source's target (one word at least), which bounds how far
 #: from its target a source may be where the mix is cut.
 PACKETS = 256
-#: Ranges of one unit of virtual time.
-RANGES = 1 << 20
+#: Ranges of one unit of virtual time, and parts of such a range, as powers of two.
+RANGES, PARTS = 10, 10
 
 
 def word_count(text: Column) -> Column:
@@ -125,20 +125,23 @@ def _packets(known: DataFrame, most: int) -> DataFrame:
 def _up_to_budget(packets: DataFrame, budget: int) -> DataFrame:
     """The packets in order of virtual finish time, cut where their running sum reaches the budget.
 
-    Sums by range tell the range in which that happens. What lies in ranges before it is taken whole;
-    only the packets of that one range, a RANGES-th part of the mix or so, need their order.
+    Sums by range tell the range in which that happens, and sums by its parts the part. What lies
+    before is taken whole; only the packets of that part, a millionth of the mix or so, need their order.
     """
-    ranged = packets.withColumn("range", F.floor(F.col("finish") * RANGES))
-    sums = ranged.groupBy("range").agg(F.sum("words").alias("range_words"))  # at most 2 * RANGES rows
-    upto = F.sum("range_words").over(Window.orderBy("range").rowsBetween(Window.unboundedPreceding, 0))
-    edge = sums.select("range", "range_words", upto.alias("upto")).filter(F.col("upto") >= budget).orderBy("range").first()
-    if edge is None:  # no packet at all
-        return ranged.withColumn("taken", F.col("words"))
-    before = ranged.filter(F.col("range") < edge["range"]).select(*KEYS, "copy", F.col("words").alias("taken"))
-    order = Window.partitionBy("range").orderBy("finish", "rank").rowsBetween(Window.unboundedPreceding, -1)
-    left = F.lit(budget - edge["upto"] + edge["range_words"]) - F.coalesce(F.sum("words").over(order), F.lit(0))
-    at_edge = ranged.filter(F.col("range") == edge["range"]).withColumn("taken", F.least(F.col("words"), left))
-    return before.unionByName(at_edge.filter("taken > 0").select(*KEYS, "copy", "taken"))
+    packets = packets.withColumn("part", F.floor(F.col("finish") * (1 << RANGES + PARTS)))
+    left, within = budget, packets
+    for bits in (PARTS, 0):  # by ranges, then by the parts of one: some 2,000 rows at most
+        sums = within.groupBy(F.shiftright("part", bits).alias("range")).agg(F.sum("words").alias("words"))
+        upto = F.sum("words").over(Window.orderBy("range").rowsBetween(Window.unboundedPreceding, 0))
+        edge = sums.withColumn("upto", upto).filter(F.col("upto") >= left).orderBy("range").first()
+        if edge is None:  # no packet at all
+            return packets.withColumn("taken", F.col("words"))
+        left -= edge["upto"] - edge["words"]
+        within = within.filter(F.shiftright("part", bits) == edge["range"])
+    before = packets.filter(F.col("part") < edge["range"]).select(*KEYS, "copy", F.col("words").alias("taken"))
+    order = Window.partitionBy("part").orderBy("finish", "rank").rowsBetween(Window.unboundedPreceding, -1)
+    taken = F.least(F.col("words"), F.lit(left) - F.coalesce(F.sum("words").over(order), F.lit(0)))
+    return before.unionByName(within.select(*KEYS, "copy", taken.alias("taken")).filter("taken > 0"))
 
 
 def mixed_documents(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int = 3, seed: int = 0) -> DataFrame:
