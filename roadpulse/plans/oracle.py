@@ -155,6 +155,11 @@ FROM v WHERE {_REASON} IS NULL
 SELECT sensor_id, road_id, road_type, zone, vehicle_count, average_speed, occupancy_rate,
        event_time
 FROM v
+""",
+    "document_ranges": """
+SELECT sensor_id, road_id, road_type, zone, vehicle_count, average_speed, occupancy_rate,
+       event_time
+FROM v
 """,
     "lake_partition_counts": _PARTITION_COUNTS,
     "lake_pruned_scan": """

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from roadpulse.functions.codec import iso_text
@@ -24,6 +24,7 @@ from roadpulse.sinks.lake import write_lake
 from roadpulse.sinks.store import compact
 from roadpulse.sources import commits, versions
 from roadpulse.sources.lake import (
+    read_document_ranges,
     read_documents,
     read_extra,
     read_lake,
@@ -203,6 +204,20 @@ def document_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_documents(spark, path).select(*EVENT_COLUMNS)
 
 
+@_query
+def document_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events written as arrays of up to 200,000, an event a line, and read back by ranges of the files."""
+    path = scratch(spark, "documents")
+    events = road_events(spark, sf_dir, "event_id").withColumn("event_time", iso_text())
+    numbered = events.withColumn("document", F.floor(F.col("event_id") / 200_000))
+    order = Window.partitionBy("document").orderBy("event_id")
+    opening = F.when(F.lag("event_id").over(order).isNull(), "[").otherwise(",")
+    closing = F.when(F.lead("event_id").over(order).isNull(), "\n]").otherwise("")
+    lines = numbered.select("document", F.concat(opening, F.to_json(F.struct(*EVENT_COLUMNS)), closing).alias("value"))
+    lines.write.partitionBy("document").text(path)
+    return read_document_ranges(spark, path).select(*EVENT_COLUMNS)
+
+
 # ---- lake ---------------------------------------------------------------------
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from roadpulse.functions.codec import whole
+from roadpulse.functions.codec import JSON_SPACE, is_one_object, whole
 from roadpulse.operators.ingest import typed
 from roadpulse.schema import EVENT, EVENT_COLUMNS, EXTRA, LAKE_PARTITIONS, WHOLE, WIRE_EVENT
 from roadpulse.sources.commits import only_done
@@ -147,7 +147,67 @@ def read_files(spark: SparkSession, pattern: str, mode: str = "FAILFAST") -> Dat
 def read_documents(spark: SparkSession, path: str, mode: str = "FAILFAST") -> DataFrame:
     """Events from pretty-printed JSON documents, each an array of events.
 
-    A document is one unit of work for a task; large data belongs into JSON lines.
+    A document is one unit of work for a task; for large ones see ``read_document_ranges``.
     """
     documents = spark.read.schema(WIRE_EVENT).option("multiLine", True).option("mode", mode)
     return typed(whole_readings(documents.json(path)))
+
+
+def _document_pieces(spark: SparkSession, path: str) -> DataFrame:
+    """Documents cut behind each closing brace, by as many tasks as their sizes give: ``file``, ``place``
+    in it, ``kind`` (start, more, end, empty; NULL for a piece that is none of them) and ``object``."""
+    text = spark.read.option("lineSep", "}").text(path)
+    pieces = text.select(
+        F.col("_metadata.file_path").alias("file"),
+        F.struct("_metadata.file_block_start", F.monotonically_increasing_id()).alias("place"),
+        F.btrim("value", F.lit(JSON_SPACE)).alias("piece"),
+    )
+    body = F.ltrim(F.substring("piece", 2, 2147483647), F.lit(JSON_SPACE))
+    pieces = pieces.withColumn("object", F.concat(body, F.lit("}")))
+    whole_object = body.startswith("{") & is_one_object(F.col("object"))
+    kind = (
+        F.when(F.col("piece") == "]", "end")
+        .when(F.col("piece").startswith("[") & (body == "]"), "empty")
+        .when(F.col("piece").startswith("[") & whole_object, "start")
+        .when(F.col("piece").startswith(",") & whole_object, "more")
+    )
+    return pieces.withColumn("kind", kind)
+
+
+def documents_read_whole(spark: SparkSession, path: str) -> list[str]:
+    """The files that cannot be read in ranges: anything but one array of flat objects, none of whose
+    texts holds a closing brace.
+
+    An object that ends at the first closing brace behind its start is whole, and the next piece
+    starts where it ends. So if the first piece of a file opens the array, the last one closes it,
+    and all between are whole objects, then every piece is exactly one event.
+    """
+    files = _document_pieces(spark, path).groupBy("file").agg(
+        F.min_by("kind", "place").alias("first"),
+        F.max_by("kind", "place").alias("last"),
+        F.count("*").alias("pieces"),
+        F.count_if(F.col("kind") == "more").alias("more"),
+    )
+    array = (F.col("first") == "start") & (F.col("last") == "end") & (F.col("more") == F.col("pieces") - 2)
+    empty = (F.col("first") == "empty") & (F.col("pieces") == 1)
+    others = files.filter(~F.coalesce(array | empty, F.lit(False))).select("file")
+    return [row.file for row in others.collect()]
+
+
+def read_document_ranges(spark: SparkSession, path: str, mode: str = "FAILFAST") -> DataFrame:
+    """The events of ``read_documents``, a large document read by many tasks.
+
+    A first pass proves which documents may be cut behind each closing brace; events with
+    nested fields, braces in texts, single objects and broken documents are read whole, as
+    ``read_documents`` does. ``mode`` is FAILFAST or PERMISSIVE.
+    """
+    others = documents_read_whole(spark, path)
+    pieces = _document_pieces(spark, path).filter("kind IN ('start', 'more')")
+    if others:
+        pieces = pieces.filter(~F.col("file").isin(others))
+    parsed = pieces.select(F.inline(F.array(F.from_json("object", WIRE_EVENT, {"mode": mode}))))
+    ranges = typed(whole_readings(parsed))
+    if not others:
+        return ranges
+    documents = spark.read.schema(WIRE_EVENT).option("multiLine", True).option("mode", mode).json(path)
+    return ranges.unionByName(typed(whole_readings(documents.filter(F.col("_metadata.file_path").isin(others)))))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import os
+from collections import Counter
 from datetime import datetime
 
 import pytest
@@ -13,7 +14,14 @@ from roadpulse.operators import kpis, windows
 from roadpulse.operators.ingest import typed
 from roadpulse.schema import EVENT_COLUMNS, RAW_EVENT
 from roadpulse.sinks.lake import write_lake
-from roadpulse.sources.lake import LakeMissing, read_documents, read_files, read_lake
+from roadpulse.sources.lake import (
+    LakeMissing,
+    documents_read_whole,
+    read_document_ranges,
+    read_documents,
+    read_files,
+    read_lake,
+)
 
 FORMATS = ["json", "parquet"]
 
@@ -129,6 +137,60 @@ def test_documents(spark, tmp_path, golden):
     assert rows(read_documents(spark, str(tmp_path))) == rows(golden)
 
 
+def test_a_large_document_is_read_by_many_tasks(spark, tmp_path, golden):
+    (tmp_path / "a b.json").write_text(json.dumps([as_dict(x) for x in GOLDEN] * 50, indent=2))
+    (tmp_path / "lines.json").write_text("[" + "\n,".join(json.dumps(as_dict(x)) for x in GOLDEN) + "\n]\n")
+    (tmp_path / "none.json").write_text("[ ]\n")
+    session = spark.newSession()
+    session.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    session.conf.set("spark.sql.files.openCostInBytes", "0")
+    assert documents_read_whole(session, str(tmp_path)) == []
+    found = read_document_ranges(session, str(tmp_path))
+    assert found.rdd.getNumPartitions() > 10 >= read_documents(session, str(tmp_path)).rdd.getNumPartitions()
+    assert sorted(found.collect()) == sorted(golden.collect() * 51)
+    assert sorted(found.collect()) == sorted(read_documents(session, str(tmp_path)).collect())
+
+
+def test_documents_that_cannot_be_cut_are_read_whole(spark, tmp_path):
+    one, two = as_dict(GOLDEN[0]), as_dict(GOLDEN[1])
+    texts = {
+        "brace": json.dumps([{**one, "sensor_id": "a},{\"b"}, two]),
+        "end": json.dumps([{**one, "sensor_id": "}]"}, two]),
+        "nested": json.dumps([{**one, "place": {"x": 1}}, two]),
+        "object": json.dumps(one, indent=2),
+        "quote": json.dumps([{**one, "sensor_id": "\\\""}, two]),
+    }
+    for name, text in texts.items():
+        (tmp_path / f"{name} 1.json").write_text(text)
+    session = spark.newSession()
+    session.conf.set("spark.sql.files.maxPartitionBytes", "100")
+    session.conf.set("spark.sql.files.openCostInBytes", "0")
+    whole = {x.rsplit("/", 1)[1].split("%20")[0].split(" ")[0] for x in documents_read_whole(session, str(tmp_path))}
+    assert whole == {"brace", "end", "nested", "object"}
+    found, expected = (read(session, str(tmp_path)).collect() for read in (read_document_ranges, read_documents))
+    assert Counter(found) == Counter(expected) and len(found) == 9
+
+
+@pytest.mark.parametrize("broken", ["[%s,%s", "%s,%s]", "[%s,[%s]", "[%s %s]", "[%s,%s,]"])
+def test_broken_documents_are_taken_as_a_whole_read_takes_them(spark, tmp_path, broken):
+    (tmp_path / "1.json").write_text(broken % (json.dumps(as_dict(GOLDEN[0])), json.dumps(as_dict(GOLDEN[1]))))
+    assert len(documents_read_whole(spark, str(tmp_path))) == 1
+    outcomes = []
+    for read in (read_document_ranges, read_documents):
+        try:
+            outcomes.append(Counter(read(spark, str(tmp_path)).collect()))
+        except Exception as error:  # noqa: BLE001 - the same failure is what is compared
+            outcomes.append(type(error))
+    assert outcomes[0] == outcomes[1]
+
+
+def test_a_wrong_type_in_a_document_stops(spark, tmp_path):
+    (tmp_path / "1.json").write_text(json.dumps([{**as_dict(GOLDEN[0]), "vehicle_count": "many"}]))
+    with pytest.raises(Exception, match="MALFORMED"):
+        read_document_ranges(spark, str(tmp_path)).collect()
+    assert read_document_ranges(spark, str(tmp_path), "PERMISSIVE").first().vehicle_count is None
+
+
 def test_rebalance_keeps_files_few(spark, tmp_path):
     root = str(tmp_path / "lake")
     many = spark.range(0, 4000, 1, 16).selectExpr(
