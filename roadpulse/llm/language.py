@@ -10,6 +10,7 @@ and stand in its task as sorted hashes, each with its log-probability in every l
 
 from __future__ import annotations
 
+import sys
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -31,20 +32,65 @@ START, END = "\x02", "\x03"
 #: Distinct words a task counts at a time.
 KEPT_WORDS = 200_000
 UNKNOWN = "und"
+LETTER, MARK = 1, 2
+#: Letters and marks by runs of code points, as WORDS knows them: first, end, LETTER or MARK.
+RUNS = [(*x.span(), x.lastindex) for x in regex.finditer(r"(\p{L}+)|(\p{M}+)", "".join(map(chr, range(sys.maxunicode + 1))))]
+#: Characters from which on a text is cut by a table of all code points.
+LONG = 300
+
+
+def kinds() -> np.ndarray:
+    """LETTER, MARK or 0 for each code point."""
+    found = np.zeros(sys.maxunicode + 1, np.uint8)
+    for start, end, kind in RUNS:
+        found[start:end] = kind
+    return found
+
+
+def words_of(text: str, table: np.ndarray) -> list[str]:
+    """WORDS of the text in small letters; `table` are the kinds of code points."""
+    text = text.lower()
+    if len(text) < LONG:
+        return WORDS.findall(text)
+    points = _points([text], 1).ravel()
+    kind = table[points]
+    marks = kind == MARK
+    if marks.any():  # they are as the last character before them that is none
+        kind = kind[np.maximum.accumulate(np.where(marks, 0, np.arange(len(kind))))]
+    return str(np.where(kind == LETTER, points, np.uint32(0x20)), "utf-32-le").split()
+
+
+def _windows(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The code points of the words, padded at the start and closed at the end, one word after the other;
+    where each gram starts in them; how many grams each word has."""
+    sizes = np.fromiter(map(len, words), np.int64, len(words)) + 1
+    letters = _points(["".join(START * (ORDER - 1) + x + END for x in words)], 1).ravel()
+    return letters, np.arange(sizes.sum()) + np.repeat((ORDER - 1) * np.arange(len(words)), sizes), sizes
 
 
-def grams(words: dict[str, int]) -> Counter:
+def grams(words: dict[str, int]) -> dict[str, int]:
     """How often each run of ORDER characters occurs in the words, padded at the start, closed at the end."""
-    counts: Counter = Counter()
-    for word, times in words.items():
-        padded = START * (ORDER - 1) + word + END
-        for i in range(len(word) + 1):
-            counts[padded[i : i + ORDER]] += times
-    return counts
+    if not words:
+        return {}
+    letters, starts, sizes = _windows(list(words))
+    met = np.zeros(sys.maxunicode + 1, bool)
+    met[letters] = True
+    places, base = (np.cumsum(met) - 1)[letters], int(met.sum())
+    names, most = places[starts], base
+    for column in range(1, ORDER):  # a number a gram, without hashing: none stands for two
+        if most * base >= 1 << 63:
+            names = np.unique(names, return_inverse=True)[1]
+            most = len(names)
+        names, most = names * base + places[starts + column], most * base
+    _, first, back = np.unique(names, return_index=True, return_inverse=True)
+    times = np.zeros(len(first), np.int64)
+    np.add.at(times, back, np.repeat(np.fromiter(words.values(), np.int64, len(words)), sizes))
+    return dict(zip(_texts(letters[starts[first, None] + np.arange(ORDER)]), times.tolist()))
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     words: dict[str, Counter] = {}
+    table = kinds()
 
     def flush() -> pa.RecordBatch:
         found = [(lang, *x) for lang, counter in words.items() for x in grams(counter).items()]
@@ -54,7 +100,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in pieces(batches, "text"):
         for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
-            words.setdefault(lang, Counter()).update(WORDS.findall(text.lower()))
+            words.setdefault(lang, Counter()).update(words_of(text, table))
         if sum(map(len, words.values())) > KEPT_WORDS:
             yield flush()
     yield flush()
@@ -74,6 +120,12 @@ def _points(texts: list[str], width: int) -> np.ndarray:
     return np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), "<u4").reshape(-1, width)
 
 
+def _texts(points: np.ndarray) -> list[str]:
+    """The rows of a matrix of code points."""
+    text, width = points.tobytes().decode("utf-32-le", "surrogatepass"), points.shape[1]
+    return [text[i : i + width] for i in range(0, len(text), width)]
+
+
 def _discount(ones: int, twos: int) -> float:
     return min(0.95, max(0.05, ones / (ones + 2 * twos))) if ones else 0.5
 
@@ -180,7 +232,7 @@ def _pack(batches: Iterator[pa.RecordBatch], most_letters: int) -> Iterator[pa.R
     """Documents in chunks. A row holds some documents of the chunk: how many words each has, the words'
     places in the chunk in rising order as steps, and how often they occur; one row holds the words."""
     chunk = TaskContext.get().partitionId() << 32
-    index, ids, tokens = Places(), [], []
+    index, ids, tokens, table = Places(), [], [], kinds()
 
     def row(kind: int, ids: list[int | None] | None, blob: bytes) -> pa.RecordBatch:
         numbers = [pa.array([chunk], pa.int64()), pa.array([kind], pa.int32()), pa.array([index.letters], pa.int64())]
@@ -201,7 +253,7 @@ def _pack(batches: Iterator[pa.RecordBatch], most_letters: int) -> Iterator[pa.R
     used = held = 0
     for batch in pieces(batches, "text"):
         for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-            words = WORDS.findall((text or "").lower())
+            words = words_of(text or "", table)
             ids.append(doc_id), tokens.append(np.fromiter(map(index.__getitem__, words), np.int64, len(words)))
             used, held = used + 1, held + len(words)
             full = index.letters > most_letters
@@ -231,9 +283,7 @@ def _spelled(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarra
     words one after the other, and how many windows each word has."""
     words = zlib.decompress(blob).decode().split("\n") if blob else []
     words = words if words != [""] else []
-    sizes = np.fromiter(map(len, words), np.int64, len(words)) + 1
-    letters = _points(["".join(START * (ORDER - 1) + x + END for x in words)], 1).ravel()
-    starts = np.arange(sizes.sum()) + np.repeat((ORDER - 1) * np.arange(len(words)), sizes)
+    letters, starts, sizes = _windows(words)
     points = letters[starts[:, None] + np.arange(ORDER)]
     names, first, back = np.unique(_hashes(points)[-1], return_index=True, return_inverse=True)
     return names, points[first], back, sizes
@@ -248,9 +298,7 @@ def _grams_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         points = points[np.unique(names, return_index=True)[1]]
         for start in range(0, len(points), 50_000):
             part = points[start : start + 50_000]
-            text = part.tobytes().decode("utf-32-le")
-            grams_ = [text[i : i + ORDER] for i in range(0, len(text), ORDER)]
-            columns = [pa.array([team] * len(part), pa.int64()), pa.array(range(start, start + len(part)), pa.int32()), pa.array(grams_, pa.string())]
+            columns = [pa.array([team] * len(part), pa.int64()), pa.array(range(start, start + len(part)), pa.int32()), pa.array(_texts(part), pa.string())]
             yield pa.RecordBatch.from_arrays(columns, ["team", "at", "gram"])
 
     team = None

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import collections
 import hashlib
 import random
 import re
@@ -9,6 +10,7 @@ import zlib
 
 import numpy as np
 import plain_language
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -430,6 +432,52 @@ def test_language(spark, odd, none):
     assert language.train(none) == {} and language.identify(none, models).count() == 0
 
 
+class NoPattern:
+    """Stands where long texts must not go through a regular expression."""
+
+    @staticmethod
+    def findall(text):
+        raise AssertionError(f"{len(text)} characters")
+
+
+def test_long_texts_are_cut_by_a_table(monkeypatch):
+    every, rng = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)])), random.Random(7)
+    texts = [every[i : i + 1000] for i in range(0, len(every) - 1000, 1000)] + [every[-1000:]]
+    texts += ["".join(rng.choices("aßÉΣ İ\u0301\u0903\u093fक漢۱ʰ²Ⅷ_-'\n\xa0\u200d", k=400)) for _ in range(300)]
+    texts += ["\u0301" * 400, "a" + "\u0301" * 400, "x" * 400, " " * 400]
+    plain = [language.WORDS.findall(x.lower()) for x in texts]
+    short = [x[:40] for x in texts[-304:]]
+    table = language.kinds()
+    assert [language.words_of(x, table) for x in ["", *short]] == [[], *(language.WORDS.findall(x.lower()) for x in short)]
+    monkeypatch.setattr(language, "WORDS", NoPattern)
+    assert [language.words_of(x, table) for x in texts] == plain
+    batch = pa.RecordBatch.from_pydict({"text": texts, "lang": ["xx"] * len(texts)})
+    counts = collections.Counter()
+    for found in language._count(iter([batch])):
+        for gram, times in zip(*(found.column(x).to_pylist() for x in ("gram", "times"))):
+            counts[gram] += times
+    assert counts == plain_grams(collections.Counter(x for words in plain for x in words))
+
+
+def plain_grams(words):
+    counts = collections.Counter()
+    for word, times in words.items():
+        padded = "\x02" * 4 + word + "\x03"
+        for i in range(len(word) + 1):
+            counts[padded[i : i + 5]] += times
+    return counts
+
+
+@pytest.mark.parametrize("letters", [3, 300, 20_000])
+def test_grams_of_any_alphabet(letters):
+    """Also where five letters of the alphabet do not fit one whole number."""
+    rng = random.Random(letters)
+    words = {"".join(chr(0x4E00 + rng.randrange(letters)) for _ in range(rng.randint(1, 9))): rng.randint(1, 2**40) for _ in range(9000)}
+    found = language.grams(words)
+    assert found == plain_grams(words)
+    assert language.grams({}) == {}
+
+
 @pytest.mark.parametrize("letters_a_chunk", [20, 3_000_000])
 def test_language_equals_whole_counts(spark, letters_a_chunk, monkeypatch):
     """Every gram counts, also the rare ones of a language that has more than 400,000 of them."""
